@@ -1,91 +1,90 @@
 """Lenient and strict coercions of one JSON value held as VARIANT.
 
-Every function takes the field (``v``) and its type name (``kind``, from
-``schema_of_variant``) and returns the value, or NULL when the value does not
-fit. VARIANT casts are too generous (true casts to 1, "5" to 5), so each one
-tests the type name first.
+Functions take the field (``v``) and its type name (``kind``, from
+``schema_of_variant``) as SQL text and return the value's expression, which is
+NULL when the value does not fit. VARIANT casts are too generous (true casts to
+1, "5" to 5), so each one tests the type name first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from siltstone.functions import ids
 
-_BOUNDS = {
-    "int8": (-(2**7), 2**7 - 1),
-    "int32": (-(2**31), 2**31 - 1),
-    "uint32": (0, 2**32 - 1),
-    "int64": (-(2**63), 2**63 - 1),
+# Bounds and stored type per integer width.
+_INTEGERS = {
+    "int8": (-128, 127, "int"),
+    "int32": (-2147483648, 2147483647, "int"),
+    "uint32": (0, 4294967295, "bigint"),
 }
-_STORED_TYPE = {"int8": "int", "int32": "int", "uint32": "bigint", "int64": "bigint"}
 
 
-def _read(v: Column, target: str) -> Column:
-    return F.try_variant_get(v, "$", target)
+def _read(v: str, target: str) -> str:
+    return f"try_variant_get({v}, '$', '{target}')"
 
 
-def text(v: Column, kind: Column) -> Column:
-    return F.when(kind == "STRING", _read(v, "string"))
+def text(v: str, kind: str) -> str:
+    return f"CASE WHEN {kind} = 'STRING' THEN {_read(v, 'string')} END"
 
 
-def boolean(v: Column, kind: Column) -> Column:
-    return F.when(kind == "BOOLEAN", _read(v, "boolean"))
+def boolean(v: str, kind: str) -> str:
+    return f"CASE WHEN {kind} = 'BOOLEAN' THEN {_read(v, 'boolean')} END"
 
 
-def integer(v: Column, kind: Column, width: str) -> Column:
-    low, high = _BOUNDS[width]
+def integer(v: str, kind: str, width: str) -> str:
     number = _read(v, "bigint")
-    fits = kind == "BIGINT"
-    if width != "int64":
-        fits = fits & number.between(low, high)
-    return F.when(fits, number.cast(_STORED_TYPE[width]))
+    if width == "int64":
+        return f"CASE WHEN {kind} = 'BIGINT' THEN {number} END"
+    low, high, stored = _INTEGERS[width]
+    fits = f"{kind} = 'BIGINT' AND {number} BETWEEN {low}L AND {high}L"
+    return f"CASE WHEN {fits} THEN cast({number} AS {stored}) END"
 
 
-def integer_text(value: Column) -> Column:
+def integer_text(value: str) -> str:
     """Decimal text to BIGINT with an optional sign and nothing else around it."""
-    return F.when(F.rlike(value, F.lit(r"\A[+-]?[0-9]+\z")), value.try_cast("bigint"))
+    return rf"CASE WHEN {value} RLIKE r'\A[+-]?[0-9]+\z' THEN try_cast({value} AS bigint) END"
 
 
-def round_half_away(value: Column) -> Column:
+def round_half_away(value: str) -> str:
     """Double to the nearest BIGINT, halves away from zero, NULL when out of range."""
-    return F.when(F.abs(value) < F.lit(2.0**63), F.round(value).cast("bigint"))
+    return f"CASE WHEN abs({value}) < 9223372036854775808D THEN cast(round({value}) AS bigint) END"
 
 
-def time(v: Column, kind: Column) -> Column:
+def time(v: str, kind: str) -> str:
     """Epoch seconds from an integer, a float or integer text."""
-    return (
-        F.when(kind == "BIGINT", _read(v, "bigint"))
-        .when(kind == "STRING", integer_text(_read(v, "string")))
-        .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), round_half_away(_read(v, "double")))
-    )
+    return f"""CASE
+        WHEN {kind} = 'BIGINT' THEN {_read(v, 'bigint')}
+        WHEN {kind} = 'STRING' THEN {integer_text(_read(v, 'string'))}
+        WHEN {kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL')
+            THEN {round_half_away(_read(v, 'double'))}
+    END"""
 
 
-def score(v: Column, kind: Column) -> Column:
+def score(v: str, kind: str) -> str:
     """Integer or integer text; floats and booleans do not fit."""
-    return F.when(kind == "BIGINT", _read(v, "bigint")).when(
-        kind == "STRING", integer_text(_read(v, "string"))
-    )
+    return f"""CASE
+        WHEN {kind} = 'BIGINT' THEN {_read(v, 'bigint')}
+        WHEN {kind} = 'STRING' THEN {integer_text(_read(v, 'string'))}
+    END"""
 
 
-def reference(value: Column, v: Column, kind: Column) -> Column:
+def reference(value: str, v: str, kind: str) -> str:
     """struct(parent_type, parent_id, decoded_parent_id) from text or an integer.
 
     ``value`` is the field as text (:func:`text`), named by the caller because
     every part of the struct reads it.
     """
-    return F.when(kind == "STRING", ids.ref_from_text(value)).when(
-        kind == "BIGINT", ids.ref_from_int(_read(v, "bigint"))
-    )
+    return f"""CASE
+        WHEN {kind} = 'STRING' THEN {ids.ref_from_text(value)}
+        WHEN {kind} = 'BIGINT' THEN {ids.ref_from_int(_read(v, 'bigint'))}
+    END"""
 
 
-def uuid(value: Column) -> Column:
+def uuid(value: str) -> str:
     """UUID text to 16 bytes; empty text gives empty bytes, to be stored as NULL."""
-    return F.when(value == "", F.lit(b"")).otherwise(ids.uuid_bytes(value))
+    return f"CASE WHEN {value} = '' THEN X'' ELSE {ids.uuid_bytes(value)} END"
 
 
-def canonical(value: Column, values: dict[str, str]) -> Column:
+def canonical(value: str, values: dict[str, str]) -> str:
     """Stored text of an enum spelling, NULL when the spelling is unknown."""
-    pairs = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), value)
+    arms = " ".join(f"WHEN '{spelled}' THEN '{stored}'" for spelled, stored in values.items())
+    return f"CASE {value} {arms} END"

@@ -1,9 +1,10 @@
-"""Base-36 ids, reference ids and UUIDs as Column expressions."""
+"""Base-36 ids, reference ids and UUIDs.
 
-from __future__ import annotations
+Functions here and in ``coerce`` take SQL expressions as text and return one, for
+``selectExpr``/``F.expr``: a whole field rule then costs one call to build.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # The largest signed 64-bit number in base 36, and the magnitude
 # of the smallest.
@@ -16,63 +17,55 @@ _UUID_PATTERN = (
 )
 
 
-def base36_decode(text: Column) -> Column:
+def base36_decode(text: str) -> str:
     """Base-36 text to BIGINT; NULL where it is not a 64-bit base-36 number.
 
     ``conv`` alone stops at the first bad digit and fails on overflow, so the
     shape is checked before it runs. Up to 12 digits always fit; signs, padding
     and longer numbers take the second path.
     """
-    digits = F.lower(F.regexp_replace(text, r"\A[+-]?0*", ""))
-    negative = F.startswith(text, F.lit("-"))
-    fits = (F.length(digits) < 13) | ((F.length(digits) == 13) & (digits <= MAX_BASE36))
-    magnitude = F.conv(digits, 36, 10).cast("bigint")
-    unusual = (
-        F.when(digits == "", F.lit(0).cast("bigint"))
-        .when(fits, F.when(negative, -magnitude).otherwise(magnitude))
-        .when(negative & (digits == MIN_BASE36), F.lit(-(2**63)).cast("bigint"))
-    )
-    return F.when(
-        F.rlike(text, F.lit(r"\A[0-9A-Za-z]{1,12}\z")), F.conv(text, 36, 10).cast("bigint")
-    ).when(F.rlike(text, F.lit(r"\A[+-]?[0-9A-Za-z]+\z")), unusual)
-
-
-def base36_encode(number: Column) -> Column:
+    digits = rf"lower(regexp_replace({text}, r'\A[+-]?0*', ''))"
+    magnitude = f"cast(conv({digits}, 36, 10) AS bigint)"
+    return rf"""CASE
+        WHEN {text} RLIKE r'\A[0-9A-Za-z]{{1,12}}\z' THEN cast(conv({text}, 36, 10) AS bigint)
+        WHEN {text} RLIKE r'\A[+-]?[0-9A-Za-z]+\z' THEN CASE
+            WHEN {digits} = '' THEN 0L
+            WHEN length({digits}) < 13 OR (length({digits}) = 13 AND {digits} <= '{MAX_BASE36}')
+                THEN if(startswith({text}, '-'), -{magnitude}, {magnitude})
+            WHEN startswith({text}, '-') AND {digits} = '{MIN_BASE36}'
+                THEN -9223372036854775807L - 1L
+        END
+    END"""
+
+
+def base36_encode(number: str) -> str:
     """Integer to lower-case base-36 text."""
-    return F.lower(F.conv(number.cast("string"), 10, 36))
+    return f"lower(conv(cast({number} AS string), 10, 36))"
 
 
-def ref_from_text(text: Column) -> Column:
+def ref_from_text(text: str) -> str:
     """``t3_1abc`` style text to struct(parent_type, parent_id, decoded_parent_id).
 
     The type is the second character and must be a digit; the id follows the
     first underscore. The decoded id is NULL when the text is no reference id.
     """
-    cut = F.instr(text, "_")
-    kind = F.substring(text, 2, 1)
-    body = F.substr(text, cut + 1)
-    shaped = (cut > 2) & kind.between("0", "9")
-    return F.struct(
-        F.when(shaped, F.ascii(kind) - 48).alias("parent_type"),
-        F.when(shaped, body).alias("parent_id"),
-        F.when(shaped, base36_decode(body)).alias("decoded_parent_id"),
-    )
-
-
-def ref_from_int(number: Column) -> Column:
-    """A plain integer reference: no type digit, text is its base-36 form."""
-    return F.struct(
-        F.lit(None).cast("int").alias("parent_type"),
-        base36_encode(number).alias("parent_id"),
-        number.cast("bigint").alias("decoded_parent_id"),
-    )
+    body = f"substr({text}, instr({text}, '_') + 1)"
+    shaped = f"instr({text}, '_') > 2 AND substr({text}, 2, 1) BETWEEN '0' AND '9'"
+    return f"""named_struct(
+        'parent_type', CASE WHEN {shaped} THEN ascii(substr({text}, 2, 1)) - 48 END,
+        'parent_id', CASE WHEN {shaped} THEN {body} END,
+        'decoded_parent_id', CASE WHEN {shaped} THEN {base36_decode(body)} END)"""
 
 
-def is_uuid(text: Column) -> Column:
-    return F.rlike(text, F.lit(_UUID_PATTERN))
+def ref_from_int(number: str) -> str:
+    """A plain integer reference: no type digit, text is its base-36 form."""
+    return f"""named_struct(
+        'parent_type', cast(NULL AS int),
+        'parent_id', {base36_encode(number)},
+        'decoded_parent_id', cast({number} AS bigint))"""
 
 
-def uuid_bytes(text: Column) -> Column:
+def uuid_bytes(text: str) -> str:
     """UUID text to 16 bytes; empty or malformed text gives NULL."""
-    bare = F.regexp_replace(text, r"\Aurn:uuid:|[{}-]", "")
-    return F.when(is_uuid(text), F.unhex(bare))
+    bare = rf"regexp_replace({text}, r'\Aurn:uuid:|[{{}}-]', '')"
+    return f"CASE WHEN {text} RLIKE r'{_UUID_PATTERN}' THEN unhex({bare}) END"

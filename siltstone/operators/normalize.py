@@ -7,62 +7,61 @@ projected to the stored columns. A line that breaks any rule gets a reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import coerce, ids
 from siltstone.schema import DEFAULT_FALSE, NULLABLE, OPTIONAL, Entity, Rule
 
 SENTINEL = "~"
-_JSON_OPTIONS = {
-    "allowSingleQuotes": "false",
-    "allowNonNumericNumbers": "false",
-}
+_JSON_OPTIONS = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
 
-def trim_line(value: Column) -> Column:
+def trim_line(value: str) -> str:
     """Drop everything before the first and after the last brace; empty if there is none.
 
     Most lines need no trimming and skip the pattern.
     """
-    clean = F.startswith(value, F.lit("{")) & F.endswith(value, F.lit("}"))
-    return F.when(clean, value).otherwise(F.regexp_extract(value, r"(?s)[{}](?:.*[{}])?", 0))
+    return f"""CASE
+        WHEN startswith({value}, '{{') AND endswith({value}, '}}') THEN {value}
+        ELSE regexp_extract({value}, r'(?s)[{{}}](?:.*[{{}}])?', 0)
+    END"""
 
 
-def parse_pair(line: Column, keys: list[str]) -> Column:
+def parse_pair(line: str, keys: list[str]) -> str:
     """One JSON line to an array: the object with VARIANT fields, then a sentinel.
 
     Spark's parsers stop after the first value and would take ``{..}{..}``. The
     line is therefore placed in an array in front of a second object carrying the
     line's own hash; see :func:`whole_object`.
     """
-    fields = ",".join(f"`{k}`: variant" for k in [*keys, SENTINEL])
-    mark = F.xxhash64(line).cast("string")
-    wrapped = F.concat(F.lit("["), line, F.lit(f',{{"{SENTINEL}":'), mark, F.lit("}]"))
-    return F.from_json(wrapped, f"array<struct<{fields}>>", _JSON_OPTIONS)
+    fields = ", ".join(f"`{k}`: variant" for k in [*keys, SENTINEL])
+    wrapped = f"""concat('[', {line}, ',{{"{SENTINEL}":', cast(xxhash64({line}) AS string), '}}]')"""
+    return f"from_json({wrapped}, 'array<struct<{fields}>>', {_JSON_OPTIONS})"
 
 
-def whole_object(pair: Column, line: Column) -> Column:
+def whole_object(pair: str, line: str) -> str:
     """The object, or NULL unless the line was exactly one object.
 
     Only then are there two elements with the right hash in the second.
     """
-    found = F.try_variant_get(F.get(pair, F.lit(1))[SENTINEL], "$", "bigint")
-    whole = (F.size(pair) == 2) & F.coalesce(found == F.xxhash64(line), F.lit(False))
-    return F.when(whole, F.get(pair, F.lit(0)))
+    found = f"try_variant_get(get({pair}, 1).`{SENTINEL}`, '$', 'bigint')"
+    return f"CASE WHEN size({pair}) = 2 AND {found} = xxhash64({line}) THEN get({pair}, 0) END"
 
 
-def repeats_a_key(found: Column, keys: list[str]) -> Column:
+def repeats_a_key(found: str, keys: list[str]) -> str:
     """True when one of ``keys`` occurs twice in the ``json_object_keys`` of a line."""
-    known = F.filter(found, lambda k: k.isin(keys))
-    return F.when(
-        F.size(found) != F.size(F.array_distinct(found)),
-        F.size(known) != F.size(F.array_distinct(known)),
-    ).otherwise(False)
+    listed = ", ".join(f"'{k}'" for k in keys)
+    known = f"filter({found}, k -> k IN ({listed}))"
+    return f"""CASE
+        WHEN size({found}) = size(array_distinct({found})) THEN false
+        ELSE size({known}) <> size(array_distinct({known}))
+    END"""
 
 
-def _value(rule: Rule, v: Column, kind: Column, text: Column) -> Column:
+def _value(rule: Rule) -> str:
     """The rule's coercion; NULL when the value does not fit."""
+    v, kind, text = f"_v_{rule.key}", f"_k_{rule.key}", f"_t_{rule.key}"
     if rule.kind == "string":
         return text
     if rule.kind == "bool":
@@ -82,42 +81,53 @@ def _value(rule: Rule, v: Column, kind: Column, text: Column) -> Column:
     raise ValueError(f"unknown kind {rule.kind}")
 
 
-def _problem(rule: Rule, kind: Column, value: Column) -> Column:
+def _problem(rule: Rule) -> str:
     """Reason text when the field breaks its rule, else NULL.
 
-    ``kind`` is NULL for a missing key and VOID for a JSON null.
+    The type name is NULL for a missing key and VOID for a JSON null.
     """
-    unfit = value["decoded_parent_id"].isNull() if rule.kind == "ref" else value.isNull()
+    kind, value = f"_k_{rule.key}", f"_x_{rule.key}"
+    if rule.kind == "ref":
+        value += ".decoded_parent_id"
+    unfit = f"{value} IS NULL"
     harmless = []
     if rule.presence in (NULLABLE, OPTIONAL):
-        harmless.append("VOID")
+        harmless.append("'VOID'")
     if rule.kind == "loose_time":
-        harmless.append("BOOLEAN")
+        harmless.append("'BOOLEAN'")
     if harmless:
-        unfit = unfit & ~kind.isin(harmless)
-    invalid = F.lit(f"invalid {rule.key}")
+        unfit += f" AND ({kind} IS NULL OR {kind} NOT IN ({', '.join(harmless)}))"
     if rule.presence in (OPTIONAL, DEFAULT_FALSE):
-        return F.when(kind.isNotNull() & unfit, invalid)
-    return F.when(unfit, F.when(kind.isNull(), F.lit(f"missing {rule.key}")).otherwise(invalid))
+        return f"CASE WHEN {kind} IS NOT NULL AND {unfit} THEN 'invalid {rule.key}' END"
+    return (
+        f"CASE WHEN {kind} IS NULL THEN 'missing {rule.key}' "
+        f"WHEN {unfit} THEN 'invalid {rule.key}' END"
+    )
+
+
+def _pinned(expression: str) -> str:
+    """The expression, computed in the step that names it.
+
+    Filters on the reason would otherwise be rewritten into filters on the whole
+    parse and coercion, repeated below every step. A row number never below zero
+    makes the step non-deterministic to the optimizer, which then leaves it be.
+    """
+    return f"CASE WHEN monotonically_increasing_id() >= 0 THEN {expression} END"
 
 
-def _stored_values(rule: Rule, value: Column) -> list[Column]:
+def _stored_values(rule: Rule) -> list[str]:
     if rule.stored is None:
         return []
+    value = f"_x_{rule.key}"
     if rule.kind == "ref":
-        decoded = value["decoded_parent_id"]
         if rule.stored == "parent_id":
-            return [
-                value["parent_type"].alias("parent_type"),
-                value["parent_id"].alias("parent_id"),
-                decoded.alias("decoded_parent_id"),
-            ]
-        return [decoded.alias(rule.stored)]
+            return [f"{value}.*"]
+        return [f"{value}.decoded_parent_id AS {rule.stored}"]
     if rule.presence == DEFAULT_FALSE:
-        value = F.coalesce(value, F.lit(False))
+        value = f"coalesce({value}, false)"
     if rule.kind == "uuid":
-        value = F.nullif(value, F.lit(b""))
-    return [value.alias(rule.stored)]
+        value = f"nullif({value}, X'')"
+    return [f"{value} AS {rule.stored}"]
 
 
 def normalize(lines: DataFrame, entity: Entity) -> DataFrame:
@@ -130,63 +140,52 @@ def normalize(lines: DataFrame, entity: Entity) -> DataFrame:
     """
     keys = [r.key for r in entity.rules]
     checked = [r for r in entity.rules if r.kind != "any"]
+    texts = [r.key for r in checked if r.kind in ("string", "ref", "uuid", "enum")]
+    kinds = [f"_k_{r.key}" for r in checked]
     carried = ["file_path", "value", "error"]
     # Each step below names what the next one uses more than once, so that Spark
     # evaluates it once instead of inlining it.
-    line = F.col("_line")
     parsed = (
-        lines.select(
-            *carried,
-            F.when(F.is_valid_utf8("value"), trim_line(F.col("value"))).alias("_line"),
+        lines.selectExpr(
+            *carried, f"CASE WHEN is_valid_utf8(value) THEN {trim_line('value')} END AS _line"
+        )
+        .selectExpr(
+            *carried, "_line",
+            f"{parse_pair('_line', keys)} AS _pair",
+            "json_object_keys(_line) AS _keys",
         )
-        .select(*carried, "_line", parse_pair(line, keys).alias("_pair"),
-                F.json_object_keys(line).alias("_keys"))
-        .select(
+        .selectExpr(
             *carried,
-            F.xxhash64(line).alias("line_hash"),
-            whole_object(F.col("_pair"), line).alias("_doc"),
-            repeats_a_key(F.col("_keys"), keys).alias("_repeats"),
+            "xxhash64(_line) AS line_hash",
+            f"{whole_object('_pair', '_line')} AS _doc",
+            f"{repeats_a_key('_keys', keys)} AS _repeats",
         )
     )
     carried += ["line_hash", "_repeats", "_is_object"]
-    kinds = [f"_k_{r.key}" for r in checked]
-    texts = [r.key for r in checked if r.kind in ("string", "ref", "uuid", "enum")]
-    typed = (
-        parsed.withColumn("_is_object", F.col("_doc").isNotNull())
-        .select(
-            *carried,
-            *[F.col("_doc")[r.key].alias(f"_v_{r.key}") for r in checked],
-            *[F.schema_of_variant(F.col("_doc")[r.key]).alias(f"_k_{r.key}") for r in checked],
-        )
-        .select(
-            *carried,
-            *kinds,
-            *[f"_v_{r.key}" for r in checked if r.kind not in ("string", "uuid", "enum")],
-            *[coerce.text(F.col(f"_v_{k}"), F.col(f"_k_{k}")).alias(f"_t_{k}") for k in texts],
-        )
+    typed = parsed.selectExpr("*", "_doc IS NOT NULL AS _is_object").selectExpr(
+        *carried,
+        *[f"_doc.{r.key} AS _v_{r.key}" for r in checked],
+        *[f"schema_of_variant(_doc.{r.key}) AS _k_{r.key}" for r in checked],
     )
-    valued = typed.select(
+    named = typed.selectExpr(
         *carried,
         *kinds,
-        *[
-            _value(r, *[F.col(f"_{part}_{r.key}") for part in "vkt"]).alias(f"_x_{r.key}")
-            for r in checked
-        ],
-    )
-    reason = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(~F.is_valid_utf8("value"), F.lit("invalid utf-8"))
-        .when(~F.col("_is_object"), F.lit("malformed json"))
-        .when(F.col("_repeats"), F.lit("repeated key"))
-        .otherwise(
-            F.coalesce(*[_problem(r, F.col(f"_k_{r.key}"), F.col(f"_x_{r.key}")) for r in checked])
-        )
+        *[f"_v_{r.key}" for r in checked if r.kind not in ("string", "uuid", "enum")],
+        *[f"{coerce.text(f'_v_{k}', f'_k_{k}')} AS _t_{k}" for k in texts],
     )
-    stored = [c for r in checked if r.stored for c in _stored_values(r, F.col(f"_x_{r.key}"))]
-    return valued.select(
-        "file_path", "value", "line_hash", reason.alias("reason"),
-        ids.base36_decode(F.col("_x_id")).alias("decoded_reddit_id"),
-        *stored,
+    valued = named.selectExpr(*carried, *kinds, *[f"{_value(r)} AS _x_{r.key}" for r in checked])
+    reason = f"""CASE
+        WHEN error IS NOT NULL THEN error
+        WHEN NOT is_valid_utf8(value) THEN 'invalid utf-8'
+        WHEN NOT _is_object THEN 'malformed json'
+        WHEN _repeats THEN 'repeated key'
+        ELSE coalesce({', '.join(_problem(r) for r in checked)})
+    END"""
+    return valued.selectExpr(
+        "file_path", "value", "line_hash",
+        f"{_pinned(reason)} AS reason",
+        f"{ids.base36_decode('_x_id')} AS decoded_reddit_id",
+        *[c for r in checked for c in _stored_values(r)],
     ).select("file_path", "value", "line_hash", "reason", *entity.columns)
 
 

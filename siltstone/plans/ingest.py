@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.operators import filters, normalize, store
 from siltstone.operators.filters import FilterSpec
@@ -44,6 +45,20 @@ def reject_path(out: str, entity: Entity) -> str:
     return f"{out.rstrip('/')}/rejects/entity={entity.name}"
 
 
+def _staged_schema(entity: Entity) -> T.StructType:
+    """Layout of judged rows in the work folder: nothing but the status is always set."""
+    return T.StructType(
+        [
+            T.StructField("file_path", T.StringType()),
+            T.StructField("line_hash", T.LongType()),
+            T.StructField("value", T.BinaryType()),
+            T.StructField("reason", T.StringType()),
+            *[T.StructField(f.name, f.dataType) for f in entity.schema.fields],
+            T.StructField("status", T.StringType()),
+        ]
+    )
+
+
 def judged(
     lines: DataFrame,
     entity: Entity,
@@ -99,43 +114,48 @@ def ingest_lines(
 
     The judged rows are written once to the shared work folder. Decompression
     and parsing therefore run once, although kept rows and rejects go to
-    different tables, and a lost executor later on does not repeat them.
+    different tables, and a lost executor later on does not repeat them. ``batch``
+    names this delivery's rejects: the same name again replaces them.
 
     Without ``report_rejects`` lines that cannot match the name filter are
     dropped before parsing; the kept rows are the same.
     """
-    batch = batch or uuid.uuid4().hex
     if not report_rejects:
         may_match = filters.may_match_line(spec, F.col("value"))
         lines = lines.where(F.col("error").isNull() & may_match)
     rows = judged(lines, entity, spec, on_bad_id)
-    seen = Observation(f"judged_{entity.name}_{uuid.uuid4().hex}")
+    staged_path = work_dir(spark)
+    try:
+        # Filtered rows are written too, as all NULLs, so that counting the staged
+        # rows gives exact totals however often a task was retried.
+        rows.selectExpr(
+            "status",
+            "if(status = 'filtered', NULL, file_path) AS file_path",
+            "if(status = 'kept', line_hash, NULL) AS line_hash",
+            "if(status = 'rejected', cast(value AS binary), NULL) AS value",
+            "if(status = 'rejected', reason, NULL) AS reason",
+            *[f"if(status = 'kept', {c}, NULL) AS {c}" for c in entity.columns],
+        ).write.partitionBy("status").parquet(staged_path)
+        return _append_staged(
+            spark, staged_path, out, entity, build_index, report_rejects,
+            batch or uuid.uuid4().hex,
+        )
+    finally:
+        delete_path(spark, staged_path)
 
-    def tally(status: str):
-        return F.count(F.when(F.col("status") == status, F.lit(1))).alias(status)
 
-    rows = rows.observe(
-        seen,
-        F.count(F.lit(1)).alias("lines"),
-        tally("rejected"),
-        tally("filtered"),
-        tally("kept"),
-    )
-    rejected = F.col("status") == "rejected"
-    blank = [F.when(~rejected, F.col(c)).alias(c) for c in entity.columns]
-    staged_path = work_dir(spark)
-    rows.where("status <> 'filtered'").select(
-        "status",
-        "file_path",
-        "line_hash",
-        F.when(rejected, F.col("value").cast("binary")).alias("value"),
-        "reason",
-        *blank,
-    ).write.partitionBy("status").parquet(staged_path)
-    counts = seen.get
-    staged = spark.read.parquet(staged_path)
-
-    if report_rejects and counts["rejected"]:
+def _append_staged(
+    spark: SparkSession, staged_path: str, out: str, entity: Entity,
+    build_index: bool, report_rejects: bool, batch: str,
+) -> IngestCounts:
+    """Move judged rows from the work folder to the tables."""
+    path = table_path(out, entity)
+    store.create_table(spark, path, entity)
+    staged = spark.read.schema(_staged_schema(entity)).parquet(staged_path)
+    tally = {r["status"]: r["count"] for r in staged.groupBy("status").count().collect()}
+    kept_count, rejected_count = tally.get("kept", 0), tally.get("rejected", 0)
+
+    if report_rejects and rejected_count:
         refused = staged.where("status = 'rejected'").withColumn(
             "value", F.col("value").cast("string")
         )
@@ -144,13 +164,11 @@ def ingest_lines(
         )
 
     stored, ranges = 0, []
-    path = table_path(out, entity)
-    store.create_table(spark, path, entity)
     index = covered = None
     if build_index:
         index = TextIndex(spark, index_path(out, entity), entity.key, entity.text_fields)
         covered = index.covers(store.read_table(spark, path, entity))
-    if counts["kept"]:
+    if kept_count:
         kept = staged.where("status = 'kept'")
         ranges = store.touched_ranges(kept, entity.key)
         stored = store.append(spark, kept, path, entity, ["file_path", "line_hash"], ranges)
@@ -158,9 +176,8 @@ def ingest_lines(
         # When all older rows are indexed, only the ranges of this batch need comparing.
         table = store.read_table(spark, path, entity)
         index.add_missing(table, ranges if covered else None)
-    delete_path(spark, staged_path)
     return IngestCounts(
-        counts["lines"], counts["rejected"], counts["filtered"], counts["kept"], stored
+        sum(tally.values()), rejected_count, tally.get("filtered", 0), kept_count, stored
     )
 
 
