@@ -380,7 +380,7 @@ def sql_over_views(spark, sf):
     jobs.register_views(spark, out)
     return spark.sql(
         """
-        SELECT author, replies_to_submission, count(*) AS n, max(created_at) AS latest,
+        SELECT author, replies_to_submission, count(*) AS n, max(unix_seconds(created_at)) AS latest,
                sum(CAST(stickied AS INT)) AS stickied
         FROM comment GROUP BY author, replies_to_submission
         """
@@ -477,7 +477,7 @@ def ingest_rejects(spark, sf):
     out = work_dir(spark)
     jobs.ingest_lines(spark, _broken_lines(spark, sf), out, COMMENT)
     return jobs.read_rejects(spark, out).groupBy("entity", "reason").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("line")).alias("line_chars")
+        F.count(F.lit(1)).alias("n")
     )
 
 
