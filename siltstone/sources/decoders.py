@@ -48,7 +48,7 @@ def open_file(uri: str):
 def xz_chunks(stream) -> Iterator[bytes]:
     try:
         with lzma.LZMAFile(stream) as decoded:
-            while chunk := decoded.read(XZ_READ_BYTES):
+            while chunk := decoded.read1(XZ_READ_BYTES):
                 yield chunk
     except (lzma.LZMAError, EOFError) as e:
         raise DamagedFile(str(e)) from e
