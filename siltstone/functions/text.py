@@ -69,31 +69,29 @@ def query_tokens(spark: SparkSession, text: str) -> list[str]:
     return spark.range(1).select(tokens(F.lit(text)).alias("t")).first()["t"]
 
 
-def token_pattern(token: str) -> str:
-    """Regular expression for every spelling of a folded token in original text."""
-    variants: dict[str, str] = {}
-    for letter, base in accent_folds().items():
-        variants[base] = variants.get(base, "") + letter
-    marks = f"[{MARKS}]*"
-    letters = [f"[{c}{c.upper() if len(c.upper()) == 1 else ''}{variants.get(c, '')}]{marks}"
-               for c in token]
-    return "".join(letters)
-
-
-def phrase_pattern(phrase: list[str]) -> str:
-    """Regular expression for a run of tokens, bounded by token edges."""
-    inside = rf"(?:{TOKEN_CLASS}|[{MARKS}])"
-    gap = rf"(?:(?!{TOKEN_CLASS}).)+"
-    body = gap.join(token_pattern(t) for t in phrase)
-    return f"(?s)(?<!{inside}){body}(?!{inside})"
+def _spellings(letter: str) -> str:
+    """Original characters that fold to a letter, for use inside a character class."""
+    upper = letter.upper() if len(letter.upper()) == 1 else ""
+    accented = [c for c, base in accent_folds().items() if base == letter]
+    return letter + upper + "".join(accented)
+
+
+def _phrase_pattern(phrase: list[str]) -> str:
+    """Regular expression for the original spellings of a run of tokens."""
+    words = ["".join(f"[{_spellings(c)}][{MARKS}]*" for c in token) for token in phrase]
+    return rf"(?:(?!{TOKEN_CLASS}).)+".join(words)
 
 
 def highlight(text: Column, phrases: list[list[str]], before: str, after: str) -> Column:
     """Original text with every occurrence of the phrases wrapped."""
     longest_first = sorted(phrases, key=len, reverse=True)
-    either = "|".join(phrase_pattern(p).removeprefix("(?s)") for p in longest_first)
+    either = "|".join(_phrase_pattern(p) for p in longest_first)
+    inside = rf"(?:{TOKEN_CLASS}|[{MARKS}])"
+    # The look ahead at the first letter rules out most positions cheaply.
+    first = "".join(_spellings(c) for c in sorted({p[0][0] for p in phrases}))
+    pattern = f"(?s)(?=[{first}])(?<!{inside})(?:{either})(?!{inside})"
 
     def literal(s: str) -> str:
         return s.replace("\\", "\\\\").replace("$", "\\$")
 
-    return F.regexp_replace(text, f"(?s){either}", f"{literal(before)}$0{literal(after)}")
+    return F.regexp_replace(text, pattern, f"{literal(before)}$0{literal(after)}")

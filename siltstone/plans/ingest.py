@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from siltstone.operators import filters, normalize, store
 from siltstone.operators.filters import FilterSpec
-from siltstone.operators.text_index import TextIndex
+from siltstone.operators.text_index import DEFAULT_BUCKETS, TextIndex
 from siltstone.schema import COMMENT, ENTITIES, SUBMISSION, Entity
 from siltstone.sources.archives import read_lines
 from siltstone.workspace import delete_path, path_exists, work_dir
@@ -108,6 +108,7 @@ def ingest_lines(
     build_index: bool = False,
     report_rejects: bool = True,
     on_bad_id: str = "reject",
+    index_buckets: int = DEFAULT_BUCKETS,
     batch: str | None = None,
 ) -> IngestCounts:
     """Judge raw lines and append the kept ones to the entity's table.
@@ -137,7 +138,7 @@ def ingest_lines(
             *[f"if(status = 'kept', {c}, NULL) AS {c}" for c in entity.columns],
         ).write.partitionBy("status").parquet(staged_path)
         return _append_staged(
-            spark, staged_path, out, entity, build_index, report_rejects,
+            spark, staged_path, out, entity, build_index, index_buckets, report_rejects,
             batch or uuid.uuid4().hex,
         )
     finally:
@@ -146,7 +147,7 @@ def ingest_lines(
 
 def _append_staged(
     spark: SparkSession, staged_path: str, out: str, entity: Entity,
-    build_index: bool, report_rejects: bool, batch: str,
+    build_index: bool, index_buckets: int, report_rejects: bool, batch: str,
 ) -> IngestCounts:
     """Move judged rows from the work folder to the tables."""
     path = table_path(out, entity)
@@ -166,13 +167,15 @@ def _append_staged(
     stored, ranges = 0, []
     index = covered = None
     if build_index:
-        index = TextIndex(spark, index_path(out, entity), entity.key, entity.text_fields)
+        index = TextIndex(
+            spark, index_path(out, entity), entity.key, entity.text_fields, index_buckets
+        )
         covered = index.covers(store.read_table(spark, path, entity))
     if kept_count:
         kept = staged.where("status = 'kept'")
         ranges = store.touched_ranges(kept, entity.key)
         stored = store.append(spark, kept, path, entity, ["file_path", "line_hash"], ranges)
-    if index is not None:
+    if index is not None and (stored or not covered):
         # When all older rows are indexed, only the ranges of this batch need comparing.
         table = store.read_table(spark, path, entity)
         index.add_missing(table, ranges if covered else None)
@@ -192,6 +195,7 @@ def ingest(
     report_rejects: bool = True,
     on_bad_id: str = "reject",
     on_damage: str = "fail",
+    index_buckets: int = DEFAULT_BUCKETS,
 ) -> dict[str, IngestCounts]:
     """Read the given directories of archives into tables under ``out``.
 
@@ -207,6 +211,7 @@ def ingest(
         entity.name: ingest_lines(
             spark, lines, out, entity, filters,
             build_index=build_index, report_rejects=report_rejects, on_bad_id=on_bad_id,
+            index_buckets=index_buckets,
         )
         for entity, lines in inputs
     }

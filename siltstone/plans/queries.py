@@ -334,7 +334,7 @@ def rejects_by_reason(spark, sf):
 
 @query
 def keep_first(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = samples.dealt(table(spark, sf, "documents"))
     digests = docs.select("doc_id", "source", "lang", F.sha2("text", 256).alias("digest"))
     return store.keep_first(digests, "digest", ["doc_id"]).drop("digest")
 
@@ -533,7 +533,7 @@ def _talk(spark, sf) -> DataFrame:
 
 
 def _documents(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return samples.dealt(table(spark, sf, "documents").select("doc_id", "text", "lang"))
 
 
 def _postings(spark, sf) -> DataFrame:
@@ -554,10 +554,8 @@ def fts_postings(spark, sf):
 
 @query
 def fts_term(spark, sf):
-    docs = table(spark, sf, "documents")
-    return docs.where(F.array_contains(tokens(F.col("text")), "para")).select(
-        "doc_id", "source", "lang"
-    )
+    docs = samples.dealt(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
+    return docs.where(F.array_contains(tokens(F.col("text")), "para")).drop("text")
 
 
 @query
@@ -659,7 +657,7 @@ def fts_snippet(spark, sf):
 
 @query
 def fts_changes(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = _documents(spark, sf)
     changed = docs.where("lang in ('de', 'es')").select("doc_id")
     new = docs.where("lang = 'de'").select("doc_id", F.reverse("text").alias("text"))
     postings = text_index.with_changes(_postings(spark, sf), changed, new, "doc_id", ("text",))
@@ -690,7 +688,7 @@ def fts_index_build(spark, sf):
 @query
 def fts_index_update(spark, sf):
     index = _stored_index(spark, sf)
-    docs = table(spark, sf, "documents")
+    docs = _documents(spark, sf)
     index.add_missing(docs)
     index.remove(docs.where("lang = 'es'").select("doc_id"))
     index.replace(docs.where("lang = 'de'").withColumn("text", F.reverse("text")))
@@ -710,7 +708,7 @@ def ingest_with_index(spark, sf):
     out = work_dir(spark)
     lines = samples.conversation_lines(spark, sf)
     jobs.ingest_lines(spark, lines, out, COMMENT, FilterSpec(users={"user"}))
-    jobs.ingest_lines(spark, lines, out, COMMENT, build_index=True)
+    jobs.ingest_lines(spark, lines, out, COMMENT, build_index=True, index_buckets=16)
     index = text_index.TextIndex(spark, jobs.index_path(out, COMMENT), COMMENT.key, ("body",))
     stored = store.read_table(spark, jobs.table_path(out, COMMENT), COMMENT)
     found = text_search.term_docs(index.postings(), "the", field="body")

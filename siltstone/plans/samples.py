@@ -15,12 +15,26 @@ from siltstone.plans import task_writer
 cloudpickle.register_pickle_by_value(task_writer)
 
 
+SPLIT_BYTES = 128 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # The registry's timestamps are UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A small table dealt over all cores, before work that costs far more than moving it.
+
+    The test tables are single files that one task would read. Inputs with
+    enough data to give every core full splits are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
+
+
 def epoch(ts: Column) -> Column:
     return F.unix_seconds(ts.cast("timestamp"))
 
@@ -53,7 +67,7 @@ def json_lines(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     """One JSON object line per row; NULL fields are written as null."""
     pairs = ", ".join(f"'{key}', {value}" for key, value in fields.items())
     text = f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))"
-    return df.selectExpr(
+    return dealt(df).selectExpr(
         "'memory' AS file_path", f"{text} AS value", "cast(NULL AS string) AS error"
     )
 

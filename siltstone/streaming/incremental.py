@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.filters import FilterSpec
+from siltstone.operators.text_index import DEFAULT_BUCKETS
 from siltstone.plans.ingest import IngestCounts, ingest_lines
 from siltstone.schema import Entity
 from siltstone.sources.archives import (
@@ -53,6 +54,7 @@ def start_ingest(
     build_index: bool = False,
     on_bad_id: str = "reject",
     on_damage: str = "fail",
+    index_buckets: int = DEFAULT_BUCKETS,
     max_files_per_trigger: int | None = None,
     on_batch: Callable[[int, IngestCounts], None] | None = None,
 ) -> StreamingQuery:
@@ -67,7 +69,8 @@ def start_ingest(
     def take(batch: DataFrame, number: int) -> None:
         counts = ingest_lines(
             batch.sparkSession, batch, out, entity, spec,
-            build_index=build_index, on_bad_id=on_bad_id, batch=f"stream-{number}",
+            build_index=build_index, on_bad_id=on_bad_id, index_buckets=index_buckets,
+            batch=f"stream-{number}",
         )
         if on_batch is not None:
             on_batch(number, counts)

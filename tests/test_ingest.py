@@ -119,7 +119,7 @@ def test_whole_job_with_views_and_index(spark, tmp_path):
     write_archives(c, "b.xz", [comment(id="c2", body="nothing", parent_id="t1_c1")], lzma.compress)
     write_archives(s, "a.xz", [submission(id="s1", title="Snoo!", selftext="x")], lzma.compress)
     (c / "notes.txt").write_text("skip me")
-    counts = ingest(spark, out, str(c), str(s), build_index=True)
+    counts = ingest(spark, out, str(c), str(s), build_index=True, index_buckets=4)
     assert (counts["comment"].stored, counts["comment"].rejected) == (2, 2)
     assert counts["submission"].stored == 1
     assert jobs.register_views(spark, out) == ["comment", "submission"]
@@ -142,8 +142,8 @@ def test_inputs_are_checked_before_any_work(spark, tmp_path):
 def test_index_turned_on_later_covers_older_rows(spark, tmp_path):
     out = str(tmp_path)
     jobs.ingest_lines(spark, frame(spark, [comment(id="c1")]), out, COMMENT)
-    jobs.ingest_lines(spark, frame(spark, [comment(id="c2")]), out, COMMENT, build_index=True)
-    jobs.ingest_lines(spark, frame(spark, [comment(id="c3")]), out, COMMENT, build_index=True)
+    jobs.ingest_lines(spark, frame(spark, [comment(id="c2")]), out, COMMENT, build_index=True, index_buckets=4)
+    jobs.ingest_lines(spark, frame(spark, [comment(id="c3")]), out, COMMENT, build_index=True, index_buckets=4)
     index = TextIndex(spark, jobs.index_path(out, COMMENT), COMMENT.key, ("body",))
     assert text_search.term_docs(index.postings(), "text").count() == 3
     assert index.postings().where("term = 'text'").count() == 3
@@ -155,7 +155,7 @@ def test_stream_takes_new_files_once(spark, tmp_path):
 
     def run():
         start_ingest(
-            spark, str(folder), out, COMMENT, checkpoint, build_index=True,
+            spark, str(folder), out, COMMENT, checkpoint, build_index=True, index_buckets=4,
             on_batch=lambda n, counts: seen.append(counts),
         ).awaitTermination()
 
