@@ -46,8 +46,12 @@ def postings_of(rows: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame
             F.struct(F.lit(f).alias("field"), F.col(f"_t_{f}").alias("tokens")) for f in fields
         ]
         cut = cut.select("doc_id", "doc_len", F.inline(F.array(*each)))
-    return cut.select("doc_id", "doc_len", "field", F.posexplode("tokens").alias("pos", "term")).select(
-        "term", "field", "doc_id", "pos", "doc_len"
+    # The outer form keeps Spark from adding a filter on the array's size, which
+    # would cut the text a second time.
+    return (
+        cut.select("doc_id", "doc_len", "field", F.posexplode_outer("tokens").alias("pos", "term"))
+        .where("term IS NOT NULL")
+        .select("term", "field", "doc_id", "pos", "doc_len")
     )
 
 

@@ -170,8 +170,13 @@ def ranked(
             F.avg("doc_len").alias("mean"),
         )
     ).scalar()
+    # Reading doc_len here too gives both uses of per_doc the same shuffle, which
+    # Spark then runs once.
+    sized = F.col("doc_len").isNotNull()
     found = per_doc.agg(
-        F.array(*[F.count(f"tf_{i}").cast("double") for i in numbers])
+        F.array(*[
+            F.count(F.when(sized, F.col(f"tf_{i}"))).cast("double") for i in numbers
+        ])
     ).scalar()
     scored = per_doc.select("*", corpus.alias("_corpus"), found.alias("_found"))
     total: Column = F.lit(0.0)
