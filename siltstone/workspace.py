@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from py4j.java_gateway import JavaObject
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -39,18 +40,16 @@ def work_dir(spark: SparkSession) -> str:
     """A fresh folder name under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir``. Only a local session that has
-    none gets one of its own.
+    none gets one of its own, where driver and executors share one machine.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="siltstone-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def write_and_read(df: DataFrame, path: str) -> DataFrame:
-    """Cut lineage: write ``df`` to Parquet at ``path`` and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="siltstone-")
