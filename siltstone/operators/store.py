@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from siltstone.schema import Entity
 from siltstone.workspace import path_exists
 
-# Ids per table partition and per output file, as powers of two.
+# Ids per table partition, and per block kept together on write, as powers of two.
 RANGE_BITS = 28
 BLOCK_BITS = 20
 # Ids beyond the last range share it, so stray ids cannot create folders without end.
@@ -116,7 +116,11 @@ def append(
     fresh = insert_if_absent(existing(), batch, entity.key, order).select(*entity.columns)
     (
         fresh.withColumn("id_range", id_range(F.col(entity.key)))
-        .repartition(F.shiftright(entity.key, BLOCK_BITS))
+        .withColumn("_block", F.shiftright(entity.key, BLOCK_BITS))
+        # Blocks of neighbouring ids go to one task; AQE merges small tasks and
+        # cuts large ones to the advisory size.
+        .hint("rebalance", "_block")
+        .drop("_block")
         .sortWithinPartitions("id_range", entity.key)
         .write.mode("append")
         .partitionBy("id_range")
