@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, language_id
+from siltstone.llm import chat_format, language_id, packing
 from siltstone.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,17 @@ def op2_chat_parts(spark, sf_dir):
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
     return chat_format.digests(chat_format.format_chat(turns.unionByName(extra)))
+
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: A sequence of 1024 tokens can hold any 1024 pieces, so only tokens bind here.
+SEQUENCE = packing.Capacity(tokens=1024, documents=1024, attention=1024 * 1024)
+
+
+@query
+def op3_vector_packing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return packing.pack(
+        packing.pieces(docs, TOKENIZER, RANKS, 2, SEQUENCE.tokens, [F.col("doc_id")]), SEQUENCE
+    )
