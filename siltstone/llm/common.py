@@ -7,10 +7,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.workspace import delete_path, work_dir
+from siltstone.workspace import delete_path, hadoop_path, work_dir
 
 #: Rows that a task turns into Python objects at a time, so that memory follows
 #: the longest texts and not the Arrow batch.
@@ -51,3 +52,18 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}-{os.getpid()}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as Spark's own file system settings have it."""
+    fs, jpath = hadoop_path(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
+def task_fs(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """A file system for use in tasks, and the path on it, of a qualified URI."""
+    if uri.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    if uri.startswith(("s3a:", "s3n:")):
+        uri = "s3" + uri[3:]
+    return pyarrow.fs.FileSystem.from_uri(uri)

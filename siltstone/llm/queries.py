@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, language_id, packing
+from siltstone.llm import chat_format, language_id, packing, warc
 from siltstone.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op3_vector_packing(spark, sf_dir):
     return packing.pack(
         packing.pieces(docs, TOKENIZER, RANKS, 2, SEQUENCE.tokens, [F.col("doc_id")]), SEQUENCE
     )
+
+
+@query
+def op5_warc_round_trip(spark, sf_dir):
+    return warc.round_trip(read(spark, sf_dir, "pages"))
