@@ -21,3 +21,13 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
 FROM safe GROUP BY conv_id
 """
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op6_extendible_dedup"] = f"""
+WITH rows AS (SELECT doc_id, {_LOWERED} AS t FROM documents),
+groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
+    sha256(t) AS text_sha256
+FROM rows JOIN groups USING (t)
+"""

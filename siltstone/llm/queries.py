@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, language_id, packing, warc
+from siltstone.llm import chat_format, exact_dedup, language_id, packing, warc
 from siltstone.llm.common import crc_of_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op3_vector_packing(spark, sf_dir):
 @query
 def op5_warc_round_trip(spark, sf_dir):
     return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+@query
+def op6_extendible_dedup(spark, sf_dir):
+    return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
