@@ -31,3 +31,59 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
     sha256(t) AS text_sha256
 FROM rows JOIN groups USING (t)
 """
+
+ORACLES["op10_temperature_mixing"] = r"""
+WITH RECURSIVE rows AS (
+    SELECT doc_id AS i, source, coalesce('=' || source, '') AS s,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n
+    FROM documents
+), sources AS (SELECT s, CAST(sum(n) AS BIGINT) AS tokens FROM rows GROUP BY s),
+whole AS (
+    SELECT sum(tokens)::BIGINT AS total,
+        list(tokens ORDER BY tokens) FILTER (tokens > 0) AS each FROM sources
+), shares AS (SELECT total, list_transform(each, lambda t: t / total) AS p FROM whole),
+by_entropy AS (
+    SELECT 0 AS k, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+    UNION ALL
+    SELECT k + 1, CASE WHEN up THEN mid ELSE lo END, CASE WHEN up THEN hi ELSE mid END FROM (
+        SELECT k, lo, hi, (lo + hi) / 2 AS mid,
+            ln(list_sum(list_transform(p, lambda x: x ** ((lo + hi) / 2))))
+            - (lo + hi) / 2 * list_sum(list_transform(p, lambda x: x ** ((lo + hi) / 2) * ln(x)))
+            / list_sum(list_transform(p, lambda x: x ** ((lo + hi) / 2))) > 0.95 * ln(len(p)) AS up
+        FROM by_entropy, shares WHERE k < 60)
+), by_epochs AS (
+    SELECT 0 AS k, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+    UNION ALL
+    SELECT k + 1, CASE WHEN up THEN mid ELSE lo END, CASE WHEN up THEN hi ELSE mid END FROM (
+        SELECT k, lo, hi, (lo + hi) / 2 AS mid,
+            list_max(list_transform(p, lambda x: x ** ((lo + hi) / 2 - 1)))
+            / list_sum(list_transform(p, lambda x: x ** ((lo + hi) / 2))) > 4.0 AS up
+        FROM by_epochs, shares WHERE k < 60)
+), exponent AS (
+    SELECT greatest((SELECT hi FROM by_entropy WHERE k = 60), (SELECT hi FROM by_epochs WHERE k = 60)) AS a
+), weighed AS (
+    SELECT s, tokens, total, CASE WHEN tokens > 0 THEN
+        (tokens / total) ** a / list_sum(list_transform(p, lambda x: x ** a)) ELSE 0 END AS weight
+    FROM sources, shares, exponent
+), plan AS (
+    SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS epochs FROM (
+        SELECT *, floor(weight * total)::BIGINT AS budget FROM weighed)
+), copies AS (
+    SELECT *, md5(coalesce(i::VARCHAR, 'null') || ':' || epoch) AS h FROM (
+        SELECT r.*, p.tokens, p.total, p.budget, p.epochs, p.budget - p.epochs * p.tokens AS rest,
+            unnest(range(p.epochs + CASE WHEN p.budget > p.epochs * p.tokens THEN 1 ELSE 0 END)) AS epoch
+        FROM rows r JOIN plan p USING (s))
+), placed AS (
+    SELECT *, sum(n) OVER (PARTITION BY s, epoch ORDER BY h) AS upto FROM copies
+), chosen AS (
+    SELECT *, least(
+        floor(CASE WHEN tokens > 0 THEN (epoch * tokens + upto - n)::DOUBLE / budget
+            ELSE ('0x' || h[1:3])::BIGINT::DOUBLE / 4096 END
+            * greatest(1, ceil(total / 1e6)))::BIGINT,
+        greatest(1, ceil(total / 1e6))::BIGINT - 1) AS block
+    FROM placed WHERE epoch < epochs OR upto <= rest
+)
+SELECT i AS doc_id, source, n AS tokens, epoch, block,
+    row_number() OVER (PARTITION BY block ORDER BY h, source, n) - 1 AS position
+FROM chosen
+"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, exact_dedup, language_id, packing, warc
-from siltstone.llm.common import crc_of_id
+from siltstone.llm import chat_format, exact_dedup, language_id, mixing, packing, warc
+from siltstone.llm.common import crc_of_id, shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -65,3 +65,12 @@ def op5_warc_round_trip(spark, sf_dir):
 @query
 def op6_extendible_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_temperature_mixing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    rows = stored(mixing.narrow_rows(docs), shared_dir(spark))
+    return mixing.schedule(rows, mixing.plan(rows)).select(
+        F.col("i").alias("doc_id"), "source", F.col("n").alias("tokens"), "epoch", "block", "position"
+    )
