@@ -21,6 +21,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from siltstone.llm.common import slices
@@ -210,7 +211,7 @@ def pack(
     give no rows.
     """
     dealt = parts.hint("rebalance").sortWithinPartitions(*parts.columns)
-    schema = parts.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType(parts.schema.fields).add("sequence_id", "long").add("offset", "long")
     column = parts.columns.index(length)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, exact_dedup, language_id, mixing, packing, warc
+from siltstone.llm import chat_format, exact_dedup, language_id, mixing, near_dedup, packing, warc
 from siltstone.llm.common import crc_of_id, shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op10_temperature_mixing(spark, sf_dir):
     return mixing.schedule(rows, mixing.plan(rows)).select(
         F.col("i").alias("doc_id"), "source", F.col("n").alias("tokens"), "epoch", "block", "position"
     )
+
+
+@query
+def op9_setsketch_near(spark, sf_dir):
+    return near_dedup.near_groups(read(spark, sf_dir, "documents"))
