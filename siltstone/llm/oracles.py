@@ -87,3 +87,17 @@ SELECT i AS doc_id, source, n AS tokens, epoch, block,
     row_number() OVER (PARTITION BY block ORDER BY h, source, n) - 1 AS position
 FROM chosen
 """
+
+ORACLES["op8_cover_tree_search"] = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id, list_dot_product(q.v, r.v)::BIGINT AS score
+    FROM vectors q JOIN vectors r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, exact_dedup, language_id, mixing, near_dedup, packing, warc
+from siltstone.llm import chat_format, cover_tree, exact_dedup, language_id, mixing, near_dedup, packing
+from siltstone.llm import viterbi_counts, warc
 from siltstone.llm.common import crc_of_id, shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,14 @@ def op10_temperature_mixing(spark, sf_dir):
 @query
 def op9_setsketch_near(spark, sf_dir):
     return near_dedup.near_groups(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_cover_tree_search(spark, sf_dir):
+    return cover_tree.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op7_viterbi_counts(spark, sf_dir):
+    pieces = viterbi_counts.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return viterbi_counts.token_counts(read(spark, sf_dir, "documents"), pieces, [F.col("doc_id")])
