@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.workspace import delete_path, hadoop_path, work_dir
@@ -38,6 +38,39 @@ def crc_of_id(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))
 
 
+def text_hash(text: str) -> Column:
+    """A hash of a text as it stands; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def rows_of(docs: DataFrame, wanted: DataFrame, id_column: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each row of ``wanted``: ``id``, ``t`` (hash of its text)
+    and ``c``, how many rows of ``docs`` have both.
+
+    Where rows repeat, the first by their other columns' hash stays; a task passes
+    on one row of each such group before they meet.
+    """
+    key = F.xxhash64(F.col("id").isNull(), "id", "t")
+    marked = docs.withColumns({"__id": F.col(id_column).cast("bigint"), "__t": text_hash(text)})
+    marked = marked.withColumn("__key", F.xxhash64(F.col("__id").isNull(), "__id", "__t"))
+
+    def chosen(some: DataFrame) -> DataFrame:
+        ids = some.select(key.alias("__k"), F.col("id").alias("__i"), F.col("t").alias("__h"))
+        match = (
+            (F.col("__key") == F.col("__k")) & F.col("__id").eqNullSafe(F.col("__i"))
+            & (F.col("__t") == F.col("__h"))
+        )
+        return marked.join(ids, match, "left_semi")
+
+    out = chosen(wanted.where("c = 1"))
+    repeated = wanted.where("c > 1")
+    if not repeated.isEmpty():
+        order = Window.partitionBy("__id", "__t").orderBy(F.xxhash64(*docs.columns))
+        first = chosen(repeated).withColumn("__n", F.row_number().over(order)).where("__n = 1")
+        out = out.unionByName(first.drop("__n"))
+    return out.drop("__id", "__t", "__key")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

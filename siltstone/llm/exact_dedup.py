@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import as_bytes, shared_dir, slices, stored
+from siltstone.llm.common import as_bytes, rows_of, shared_dir, slices, stored, text_hash
 
 #: Leading bits of a key that keys are counted by, which bounds the directory.
 CELL_BITS = 16
@@ -83,18 +83,23 @@ class Directory:
 
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, key, sha`` of each row, by its normalised whole text."""
+    """``id, key, sha, t`` of each row, by its normalised whole text; t: ``text_hash``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [hashlib.sha256(normalised(t)).digest() for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(text_key, found), pa.int64()), pa.array(found, pa.binary())],
-                names=["id", "key", "sha"],
+                [
+                    batch.column(0), pa.array(map(text_key, found), pa.int64()),
+                    pa.array(found, pa.binary()), batch.column(2),
+                ],
+                names=["id", "key", "sha", "t"],
             )
 
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("t"))
-    return rows.mapInArrow(read, "id long, key long, sha binary")
+    rows = docs.select(
+        F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("x"), text_hash(text).alias("t")
+    )
+    return rows.mapInArrow(read, "id long, key long, sha binary, t long")
 
 
 def _cell(key: str = "key"):
@@ -252,15 +257,32 @@ def exact_groups(
     a group of null ids alone keeps them. Rows that repeat the kept id and text are
     all marked kept. An empty table gives no rows, other columns are not read.
     """
+    return _joined(*_indexed(docs, id_column, text, capacity, folder, keep_texts)).select(
+        F.col("id").alias(id_column), "keep_id", "group_size", "kept",
+        F.lower(F.hex("sha")).alias("text_sha256"),
+    )
+
+
+def _indexed(docs, id_column, text, capacity, folder, keep_texts) -> tuple[DataFrame, DataFrame]:
+    """Digests of the rows, and the index entries of their texts."""
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     rows = stored(digests(docs, id_column, text), f"{folder}/digests")
     index = ExtendibleIndex(spark, f"{folder}/index", capacity, keep_texts)
-    entries = index.add(combined(docs, id_column, text), rows).select(
-        F.col("sha"), F.col("keep").alias("keep_id"), F.col("size").alias("group_size")
-    )
-    return rows.join(entries, "sha").select(
-        F.col("id").alias(id_column), "keep_id", "group_size",
-        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-    )
+    return rows, index.add(combined(docs, id_column, text), rows)
+
+
+def _joined(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    groups = entries.select("sha", F.col("keep").alias("keep_id"), F.col("size").alias("group_size"))
+    return rows.join(groups, "sha").withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
+
+
+def keep_one(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = 50_000,
+    folder: str | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group, also where rows repeat."""
+    kept = _joined(*_indexed(docs, id_column, text, capacity, folder, False)).where("kept")
+    copies = kept.groupBy("sha", "id", "t").agg(F.count("sha").alias("c"))
+    wanted = copies.groupBy("sha").agg(F.min(F.struct("t", "id", "c")).alias("w")).select("w.*")
+    return rows_of(docs, wanted, id_column, text)

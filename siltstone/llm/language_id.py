@@ -179,10 +179,11 @@ def _count_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def identify(
     docs: DataFrame, model: LanguageModel, keep: list[Column], text: str = "text",
-    penalty: float = 2.0,
+    penalty: float = 2.0, prefix: str = "",
 ) -> DataFrame:
     """``keep`` of every row with ``lang_pred``, ``score``, ``languages``, ``proportions``.
 
+    ``prefix`` goes before these names, for tables that have such columns.
     ``score`` is the predicted language's share of the text. A null text, one
     without a letter, and any text under an empty model get ``und`` and 0. Rows are
     judged by their text alone: repeated rows get equal answers, nothing is
@@ -190,11 +191,11 @@ def identify(
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.languages, model.log_p))
-    names = ("lang_pred", "score", "languages", "proportions")
+    names = [prefix + n for n in ("lang_pred", "score", "languages", "proportions")]
     source = docs.select(F.col(text).alias("__text"), *keep)
     out = (
-        source.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-        .add("languages", ArrayType(StringType())).add("proportions", ArrayType(DoubleType()))
+        source.drop("__text").schema.add(names[0], "string").add(names[1], "double")
+        .add(names[2], ArrayType(StringType())).add(names[3], ArrayType(DoubleType()))
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import as_bytes, shared_dir, slices, stored
+from siltstone.llm.common import as_bytes, rows_of, shared_dir, slices, stored, text_hash
 from siltstone.llm.components import components
 from siltstone.llm.setsketch import SketchShape, low_matches, low_planes, matches_for
 from siltstone.llm.shingles import many_word_hashes, set_digest, shingle_set
@@ -73,14 +73,10 @@ def sketches(docs: DataFrame, id_column: str, text: str, settings: NearSettings)
                 names=["id", "t", "n", "digest", "registers", "low"],
             )
 
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), _text_hash(text).alias("t"), F.col(text).alias("x"))
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), text_hash(text).alias("t"), F.col(text).alias("x"))
     return rows.mapInArrow(read, "id long, t long, n long, digest binary, registers binary, low binary")
 
 
-def _text_hash(text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-
-
 def _node(digest: str = "digest") -> Column:
     return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("bigint")
 
@@ -331,7 +327,7 @@ def texts_of(docs: DataFrame, nodes: DataFrame, id_column: str, text: str) -> Da
             )
 
     rows = docs.select(
-        F.col(id_column).cast("bigint").alias("id"), _text_hash(text).alias("t"),
+        F.col(id_column).cast("bigint").alias("id"), text_hash(text).alias("t"),
         F.coalesce(F.col(text), F.lit("")).alias("x"),
     ).select("id", "t", place.alias("p"), "x")
     near = rows.mapInArrow(passing, "id long, t long, x string")
@@ -372,6 +368,31 @@ def near_groups(
     keeps its rows. Rows that repeat the kept id are all marked kept unless their
     text belongs elsewhere. An empty table gives no rows, other columns are not read.
     """
+    rows, labels = _grouped(docs, id_column, text, settings, folder)
+    component = F.when(F.col("n") > 0, F.col("stays.id")).otherwise(F.col("id"))
+    return rows.withColumn("k", _node()).join(labels, "k", "left").select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"),
+    )
+
+
+def keep_one(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+    settings: NearSettings = NearSettings(), folder: str | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group, and of repeated empty rows one."""
+    rows, labels = _grouped(docs, id_column, text, settings, folder)
+    stays = labels.select("stays.id", "stays.t").distinct()
+    stays = stays.unionByName(rows.where("n = 0").select("id", "t").distinct())
+    copies = rows.groupBy("id", "t").agg(F.count("n").alias("c"))
+    wanted = copies.alias("x").join(
+        stays.alias("y"), (F.col("x.t") == F.col("y.t")) & F.col("x.id").eqNullSafe(F.col("y.id")), "left_semi"
+    )
+    return rows_of(docs, wanted, id_column, text)
+
+
+def _grouped(docs, id_column, text, settings, folder) -> tuple[DataFrame, DataFrame]:
+    """Rows with their sketches; for each node the row of its component that stays."""
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     rows = stored(sketches(docs, id_column, text, settings), f"{folder}/rows")
@@ -412,18 +433,11 @@ def near_groups(
         tried = pairs if tried is None else tried.union(pairs)
         links = new if links is None else links.union(new)
         found = components(links, f"{folder}/components-{turn}")
-    labels = nodes.select("k", F.col("first.id").alias("id"))
+    labels = nodes.select("k", "first")
     if found is not None:
         labels = labels.join(found, "k", "left").withColumn("c", F.coalesce("c", "k"))
-        smallest = labels.groupBy("c").agg(F.min("id").alias("component"))
+        smallest = labels.groupBy("c").agg(F.min("first").alias("stays"))
         labels = labels.join(smallest, "c")
     else:
-        labels = labels.withColumnRenamed("id", "component")
-    return (
-        rows.withColumn("k", _node()).join(labels.select("k", "component"), "k", "left")
-        .withColumn("component_id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
-        .select(
-            F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id",
-            F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
-        )
-    )
+        labels = labels.withColumn("stays", F.col("first"))
+    return rows, labels.select("k", "stays")
