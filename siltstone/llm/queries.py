@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat_format, cover_tree, exact_dedup, language_id, mixing, near_dedup, packing
-from siltstone.llm import viterbi_counts, warc
+from siltstone.llm import brown_lm, chat_format, cover_tree, exact_dedup, language_id, mixing
+from siltstone.llm import near_dedup, packing, viterbi_counts, warc
 from siltstone.llm.common import crc_of_id, shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,10 @@ def op8_cover_tree_search(spark, sf_dir):
 def op7_viterbi_counts(spark, sf_dir):
     pieces = viterbi_counts.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     return viterbi_counts.token_counts(read(spark, sf_dir, "documents"), pieces, [F.col("doc_id")])
+
+
+@query
+def op4_brown_classes(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_of_id("doc_id") % 10 == 0
+    return brown_lm.score_texts(docs, ~held_out, [F.col("doc_id"), held_out.alias("held_out")])
