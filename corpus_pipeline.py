@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from siltstone.llm.common import shared_dir, stored
+from siltstone.llm.common import plain_names, shared_dir, stored
 from siltstone.llm.queries import RANKS, SEQUENCE, TOKENIZER
 
 #: A document stays if its main language has at least this share of it.
@@ -18,12 +18,17 @@ END_OF_TEXT = 2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those in which no language prevails."""
-    model = language_id.train(docs, F.lit(True))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    judged = language_id.identify(docs, model, columns, prefix="__")
-    clear = (F.col("__lang_pred") != language_id.UNDETERMINED) & (F.col("__score") >= LEAST_SHARE)
-    return judged.where(clear).select(*columns)
+    """Drops documents without a letter and those in which no language prevails.
+
+    Without any labelled document nothing can be told, and all documents stay.
+    """
+    rows, (doc_id, text, lang) = plain_names(docs, "doc_id", "text", "lang")
+    model = language_id.train(rows, F.lit(True), doc_id, text, lang)
+    if not model.languages:
+        return docs
+    judged = language_id.identify(rows, model, [F.col(c) for c in rows.columns], text)
+    clear = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)
+    return judged.where(clear).select(*rows.columns).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

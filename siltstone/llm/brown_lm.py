@@ -213,7 +213,8 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
             table[:, old] -= left
             table[old, old] -= self_
             base = _f(table)
-            rows, columns = table.sum(axis=1), table.sum(axis=0)
+            # What the unit follows and what follows it belongs to some class in any case.
+            rows, columns = table.sum(axis=1) + left, table.sum(axis=0) + right
             a = _f(table + right[None, :]) - base
             b = _f(table + left[:, None]) - base
             both = _f(table[diagonal, diagonal] + right + left + self_) - base[diagonal, diagonal]

@@ -51,7 +51,8 @@ def rows_of(docs: DataFrame, wanted: DataFrame, id_column: str, text: str) -> Da
     on one row of each such group before they meet.
     """
     key = F.xxhash64(F.col("id").isNull(), "id", "t")
-    marked = docs.withColumns({"__id": F.col(id_column).cast("bigint"), "__t": text_hash(text)})
+    rows, (id_name, text_name) = plain_names(docs, id_column, text)
+    marked = rows.withColumns({"__id": F.col(id_name).cast("bigint"), "__t": text_hash(text_name)})
     marked = marked.withColumn("__key", F.xxhash64(F.col("__id").isNull(), "__id", "__t"))
 
     def chosen(some: DataFrame) -> DataFrame:
@@ -65,10 +66,18 @@ def rows_of(docs: DataFrame, wanted: DataFrame, id_column: str, text: str) -> Da
     out = chosen(wanted.where("c = 1"))
     repeated = wanted.where("c > 1")
     if not repeated.isEmpty():
-        order = Window.partitionBy("__id", "__t").orderBy(F.xxhash64(*docs.columns))
+        order = Window.partitionBy("__id", "__t").orderBy(F.xxhash64(*rows.columns))
         first = chosen(repeated).withColumn("__n", F.row_number().over(order)).where("__n = 1")
         out = out.unionByName(first.drop("__n"))
-    return out.drop("__id", "__t", "__key")
+    return out.select(*rows.columns).toDF(*docs.columns)
+
+
+def plain_names(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns named by position, so that no name clashes with another,
+    and the new names of the ``used`` ones (the first of that name)."""
+    return docs.toDF(*[f"column_{i}" for i in range(len(docs.columns))]), [
+        f"column_{docs.columns.index(name)}" for name in used
+    ]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

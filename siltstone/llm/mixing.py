@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import shared_dir, stored
+from siltstone.llm.common import plain_names, shared_dir, stored
 
 #: Hex digits of the permutation hash that make a cell; sums over cells are what
 #: orders a source, so that no source is ever sorted in one task.
@@ -191,11 +191,12 @@ def mix(
     ends = sources.join(last, "s", "left").select(
         F.col("s").alias("__s"), F.col("epochs").alias("__epochs"), "__until"
     )
-    more = permutation_hash(F.col(id_column), F.col("__epochs")) <= F.col("__until")
+    plain, (id_name, source_name) = plain_names(docs, id_column, source)
+    more = permutation_hash(F.col(id_name), F.col("__epochs")) <= F.col("__until")
     times = F.col("__epochs") + F.coalesce(more, F.lit(False)).cast("bigint")
     return (
-        docs.withColumn("__key", source_key(F.col(source)))
+        plain.withColumn("__key", source_key(F.col(source_name)))
         .join(ends, F.col("__key") == F.col("__s"))
         .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select(*plain.columns).toDF(*docs.columns)
     )
