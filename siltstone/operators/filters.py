@@ -18,10 +18,15 @@ from pyspark.sql import functions as F
 
 # Fixed value: the accepted datetime argument format, read as UTC.
 DATETIME_FORMAT = "%Y-%m-%d-%H:%M:%S"
-_DATETIME_PATTERN = "yyyy-MM-dd-HH:mm:ss"
+_DATETIME_PATTERN = "yyyy-M-d-H:m:sXXX"
+# Both forms take a year of four digits, and one or two digits for what follows.
+_DATETIME_SHAPE = r"[0-9]{4}(-[0-9]{1,2}){3}(:[0-9]{1,2}){2}"
 
 # Above this many names the set is joined instead of written into the plan.
 INLINE_NAMES = 1000
+# Above this many names lines are parsed without looking for names first, which only
+# costs time.
+SOUGHT_NAMES = 50
 # A name list is broadcast only up to this many bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -29,18 +34,20 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def parse_datetime(text: str) -> int:
     """Datetime argument to epoch seconds; ValueError when it does not fit the format."""
     try:
+        if not re.fullmatch(_DATETIME_SHAPE, text, re.ASCII):
+            raise ValueError("wrong shape")
         parsed = datetime.strptime(text, DATETIME_FORMAT)
     except ValueError as e:
         raise ValueError(
-            f"unable to parse date {text!r}, expected {DATETIME_FORMAT}, "
-            "for example 2015-09-05-23:56:04"
+            f"{text!r} is not a time in the form {DATETIME_FORMAT}, as in 2019-01-31-08:00:00"
         ) from e
     return int(parsed.replace(tzinfo=timezone.utc).timestamp())
 
 
 def parse_datetime_column(text: Column) -> Column:
-    """Column form of :func:`parse_datetime`; NULL when malformed (UTC session)."""
-    return F.unix_timestamp(F.try_to_timestamp(text, F.lit(_DATETIME_PATTERN)))
+    """Column form of :func:`parse_datetime`; NULL when malformed. Always UTC."""
+    shaped = F.when(text.rlike(rf"\A{_DATETIME_SHAPE}\z"), F.concat(text, F.lit("+00:00")))
+    return F.unix_seconds(F.try_to_timestamp(shaped, F.lit(_DATETIME_PATTERN)))
 
 
 def _parse_score(value: int | str | None) -> int | None:
@@ -219,7 +226,7 @@ def may_match_line(spec: FilterSpec, line: Column) -> Column:
     ``\\u00XX``), so a line with neither cannot match. Names holding characters
     JSON must or may escape in another way turn the test off.
     """
-    if not spec.names or len(spec.names) > 50:
+    if not spec.names or len(spec.names) > SOUGHT_NAMES:
         return F.lit(True)
     if any(c in '"\\/' or ord(c) < 32 for n in spec.names for c in n):
         return F.lit(True)

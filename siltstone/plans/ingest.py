@@ -59,14 +59,31 @@ def _staged_schema(entity: Entity) -> T.StructType:
     )
 
 
+UNWANTED = "not wanted"
+
+
+def unparsed_where_unwanted(lines: DataFrame, spec: FilterSpec) -> DataFrame:
+    """Takes away the text of lines that cannot match the name filter, not the lines."""
+    unwanted = F.col("error").isNull() & ~filters.may_match_line(spec, F.col("value"))
+    return lines.select(
+        "file_path",
+        F.when(~unwanted, F.col("value")).alias("value"),
+        F.when(unwanted, F.lit(UNWANTED)).otherwise(F.col("error")).alias("error"),
+    )
+
+
 def judged(
     lines: DataFrame,
     entity: Entity,
     spec: FilterSpec = FilterSpec(),
     on_bad_id: str = "reject",
+    files_only: bool = False,
 ) -> DataFrame:
     """Normalised rows with a ``status``: kept, filtered or rejected.
 
+    With ``files_only`` lines that are no record count as filtered, and only files
+    that could not be read, and bad ids, as rejected.
+
     An id that does not decode matters only for rows the filter keeps; it
     rejects the row, or with ``on_bad_id="fail"`` stops the job.
     """
@@ -83,8 +100,11 @@ def judged(
         rows = filters.mark_listed(rows, users, subreddits, "_listed")
         passes = filters.bounds(spec) & F.col("_listed")
     bad_id = F.col(entity.key).isNull()
+    no_file_error = F.col("value").isNotNull() if files_only else F.lit(False)
     status = (
-        F.when(~record, F.lit("rejected"))
+        F.when(F.col("reason") == UNWANTED, F.lit("filtered"))
+        .when(~record & no_file_error, F.lit("filtered"))
+        .when(~record, F.lit("rejected"))
         .when(~passes, F.lit("filtered"))
         .when(bad_id, F.lit("rejected"))
         .otherwise(F.lit("kept"))
@@ -98,6 +118,11 @@ def judged(
     )
 
 
+def write_rejects(rows: DataFrame, out: str, entity: Entity, batch: str) -> None:
+    """Store refused rows (file_path, value, reason); the same batch again replaces them."""
+    normalize.rejects(rows).write.mode("overwrite").parquet(f"{reject_path(out, entity)}/batch={batch}")
+
+
 def ingest_lines(
     spark: SparkSession,
     lines: DataFrame,
@@ -118,13 +143,13 @@ def ingest_lines(
     different tables, and a lost executor later on does not repeat them. ``batch``
     names this delivery's rejects: the same name again replaces them.
 
-    Without ``report_rejects`` lines that cannot match the name filter are
-    dropped before parsing; the kept rows are the same.
+    Without ``report_rejects`` lines that cannot match the name filter are not
+    parsed, and lines that are no record count as filtered; the kept rows are the
+    same. Files that could not be read are reported in any case.
     """
     if not report_rejects:
-        may_match = filters.may_match_line(spec, F.col("value"))
-        lines = lines.where(F.col("error").isNull() & may_match)
-    rows = judged(lines, entity, spec, on_bad_id)
+        lines = unparsed_where_unwanted(lines, spec)
+    rows = judged(lines, entity, spec, on_bad_id, files_only=not report_rejects)
     staged_path = work_dir(spark)
     try:
         # Filtered rows are written too, as all NULLs, so that counting the staged
@@ -156,13 +181,11 @@ def _append_staged(
     tally = {r["status"]: r["count"] for r in staged.groupBy("status").count().collect()}
     kept_count, rejected_count = tally.get("kept", 0), tally.get("rejected", 0)
 
-    if report_rejects and rejected_count:
-        refused = staged.where("status = 'rejected'").withColumn(
-            "value", F.col("value").cast("string")
-        )
-        normalize.rejects(refused).write.mode("overwrite").parquet(
-            f"{reject_path(out, entity)}/batch={batch}"
-        )
+    if rejected_count:
+        refused = staged.where("status = 'rejected'")
+        if not report_rejects:
+            refused = refused.where("value IS NULL")
+        write_rejects(refused.withColumn("value", F.col("value").cast("string")), out, entity, batch)
 
     stored, ranges = 0, []
     index = covered = None
@@ -202,8 +225,10 @@ def ingest(
     Both directories are checked and listed before any work starts. Existing
     tables are kept: their rows win over incoming rows with the same id.
     """
+    # Lines nobody wants lose their text before large files are dealt out.
+    prepare = None if report_rejects else (lambda lines: unparsed_where_unwanted(lines, filters))
     inputs = [
-        (entity, read_lines(spark, directory, on_damage))
+        (entity, read_lines(spark, directory, on_damage, prepare=prepare))
         for entity, directory in ((COMMENT, comments), (SUBMISSION, submissions))
         if directory is not None
     ]

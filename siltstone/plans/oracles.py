@@ -218,6 +218,17 @@ ORACLES: dict[str, str] = {
         FROM {_EVENT_ROWS}""",
     "source_skips": """SELECT 'line' AS what, count(*) AS n FROM events
         UNION ALL SELECT 'unknown file extension', CAST(1 AS BIGINT)""",
+    "source_hidden": "SELECT 'line' AS what, 2 * count(*) AS n FROM events",
+    "source_damaged_keep": """SELECT 'line' AS what, count(*) AS n FROM events
+        UNION ALL SELECT 'damaged file', CAST(4 AS BIGINT)""",
+    "source_unopenable": """SELECT 'line' AS what, count(*) AS n FROM events
+        UNION ALL SELECT 'unreadable file', CAST(4 AS BIGINT)""",
+    "ingest_quiet_errors": """SELECT count(*) + 4 AS lines, CAST(4 AS BIGINT) AS rejected,
+        count(*) FILTER (event_type <> 'error') AS filtered,
+        count(*) FILTER (event_type = 'error') AS kept,
+        count(*) FILTER (event_type = 'error') AS stored, CAST(4 AS BIGINT) AS reported FROM events""",
+    "stream_two_checkpoints": """SELECT starts, 'malformed json' AS reason, n FROM
+        (SELECT count(*) AS n FROM events) CROSS JOIN (VALUES ('one'), ('two')) v(starts)""",
     "ingest_counts": f"""WITH e AS (SELECT {_REASON} AS reason,
             score >= 5 AND subreddit IN ('error', 'click', 'view') AS passes FROM {_EVENT_ROWS}),
         s AS (SELECT CASE WHEN reason IS NOT NULL AND reason <> 'invalid id' THEN 'rejected'

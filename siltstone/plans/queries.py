@@ -21,7 +21,7 @@ from siltstone.plans.samples import event_records, document_records, table
 from siltstone.schema import COMMENT, POST_HINTS, SUBMISSION
 from siltstone.sources.archives import read_lines
 from siltstone.streaming.incremental import start_ingest
-from siltstone.workspace import work_dir
+from siltstone.workspace import child_names, rename_path, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -458,6 +458,83 @@ def source_skips(spark, sf):
     )
 
 
+def _lines_and_errors(read: DataFrame) -> DataFrame:
+    """Number of lines, and of error rows by the part of their text before a colon."""
+    what = F.substring_index(F.coalesce("error", F.lit("line")), ":", 1)
+    return read.groupBy(what.alias("what")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _four_archives(spark, sf, directory: str, damage: bytes = b"") -> None:
+    """Events as four gz files, if asked for with damage behind the last line."""
+    lines = samples.event_lines(spark, sf).select("value").repartition(4)
+    samples.write_archives(lines, directory, "gzip" if not damage else "gz", damage)
+
+
+def _renamed(spark, directory: str, prefix: str = "", suffix: str = "") -> None:
+    for name in child_names(spark, directory):
+        if name.endswith((".gz", ".txt")):
+            rename_path(spark, f"{directory}/{name}", f"{directory}/{prefix}{name}{suffix}")
+
+
+@query
+def source_hidden(spark, sf):
+    directory = work_dir(spark)
+    _four_archives(spark, sf, directory)
+    _renamed(spark, directory, prefix="_")
+    _four_archives(spark, sf, directory)
+    return _lines_and_errors(read_lines(spark, directory))
+
+
+@query
+def source_damaged_keep(spark, sf):
+    directory = work_dir(spark)
+    _four_archives(spark, sf, directory, b"junk behind the archive")
+    return _lines_and_errors(read_lines(spark, directory, on_damage="keep"))
+
+
+def _with_unopenable(spark, sf, directory: str) -> None:
+    """Four good archives and four files with a gz name that are none."""
+    lines = samples.event_lines(spark, sf).select("value").repartition(4)
+    lines.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(directory)
+    _renamed(spark, directory, suffix=".gz")
+    _four_archives(spark, sf, directory)
+
+
+@query
+def source_unopenable(spark, sf):
+    directory = work_dir(spark)
+    _with_unopenable(spark, sf, directory)
+    return _lines_and_errors(read_lines(spark, directory))
+
+
+@query
+def ingest_quiet_errors(spark, sf):
+    root = work_dir(spark)
+    _with_unopenable(spark, sf, f"{root}/in")
+    spec = FilterSpec(subreddits={"error"})
+    counts = jobs.ingest(spark, f"{root}/out", f"{root}/in", filters=spec, report_rejects=False)
+    reported = jobs.read_rejects(spark, f"{root}/out").count()
+    return _counts_row(spark, counts["comment"]).withColumn(
+        "reported", F.lit(reported).cast("bigint")
+    )
+
+
+@query
+def stream_two_checkpoints(spark, sf):
+    root = work_dir(spark)
+    for n in ("one", "two"):
+        junk = samples.event_lines(spark, sf).select(
+            F.concat(F.lit(n), F.substring("value", 2, 1_000_000)).alias("value")
+        )
+        samples.write_archives(junk, f"{root}/{n}", "bzip2" if n == "one" else "zstd")
+        start_ingest(
+            spark, f"{root}/{n}", f"{root}/out", COMMENT, f"{root}/checkpoint-{n}"
+        ).awaitTermination()
+    return jobs.read_rejects(spark, f"{root}/out").groupBy(
+        F.substring("line", 1, 3).alias("starts"), "reason"
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _counts_row(spark: SparkSession, counts: jobs.IngestCounts) -> DataFrame:
     names = ["lines", "rejected", "filtered", "kept", "stored"]
     values = [tuple(getattr(counts, n) for n in names)]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.ids import base36_encode
 from siltstone.plans import task_writer
+from siltstone.workspace import qualified_path
 
 cloudpickle.register_pickle_by_value(task_writer)
 
@@ -141,8 +142,11 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_archives(lines: DataFrame, directory: str, codec: str) -> None:
-    """Write lines as compressed files, one per partition, into ``directory``."""
+def write_archives(lines: DataFrame, directory: str, codec: str, tail: bytes = b"") -> None:
+    """Write lines as compressed files, one per partition, into ``directory``.
+
+    ``tail`` is put behind each file that a task writes itself (gz, xz, zstd).
+    """
     if codec in ("gzip", "bzip2"):
         (
             lines.select("value")
@@ -153,8 +157,10 @@ def write_archives(lines: DataFrame, directory: str, codec: str) -> None:
         )
         return
 
+    directory = qualified_path(lines.sparkSession, directory)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from task_writer.write_partition(batches, directory, codec)
+        yield from task_writer.write_partition(batches, directory, codec, tail)
 
     lines.select("value").mapInArrow(write, "path string").write.format("noop").mode(
         "overwrite"

@@ -1,7 +1,8 @@
-"""Task-side writing of one xz or zstd text file per partition."""
+"""Task-side writing of one gz, xz or zstd text file per partition."""
 
 from __future__ import annotations
 
+import gzip
 import lzma
 import os
 from collections.abc import Iterator
@@ -23,6 +24,8 @@ def _create(uri: str):
 
 
 def _compressor(stream, codec: str):
+    if codec == "gz":
+        return gzip.GzipFile(fileobj=stream, mode="wb")
     if codec == "xz":
         return lzma.LZMAFile(stream, "w")
     import zstandard
@@ -31,20 +34,20 @@ def _compressor(stream, codec: str):
 
 
 def write_partition(
-    batches: Iterator[pa.RecordBatch], directory: str, codec: str
+    batches: Iterator[pa.RecordBatch], directory: str, codec: str, tail: bytes = b""
 ) -> Iterator[pa.RecordBatch]:
     """Write a partition's lines; a repeated task replaces its own file."""
     from pyspark import TaskContext
 
     context = TaskContext.get()
-    extension = {"xz": "xz", "zstd": "zst"}[codec]
+    extension = {"gz": "gz", "xz": "xz", "zstd": "zst"}[codec]
     name = f"part-{context.partitionId():05d}.json.{extension}"
     fs, draft = _create(f"{directory}/.{name}.{context.taskAttemptId()}")
     with fs.open_output_stream(draft, compression=None) as raw:
         with _compressor(raw, codec) as out:
             for batch in batches:
-                for line in batch.column(0).to_pylist():
-                    out.write(line.encode() + b"\n")
+                out.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
+        raw.write(tail)
     path = os.path.join(os.path.dirname(draft), name)
     fs.move(draft, path)
     yield pa.RecordBatch.from_pydict({"path": [path]})

@@ -6,7 +6,9 @@ Every reader returns (file_path, value, error): one row per line, or a row with
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,7 @@ _BINARY_DDL = "file_path string, value binary, error string"
 # Text grows by about this factor when decompressed; only used to size partitions.
 EXPANSION = 8
 SPREAD_BYTES = 128 << 20
+MOST_PER_CORE = 4
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,7 @@ def list_archives(spark: SparkSession, directory: str) -> list[ArchiveFile]:
     """
     fs, jpath = hadoop_path(spark, directory)
     if not fs.exists(jpath) or not fs.getFileStatus(jpath).isDirectory():
-        raise ValueError(f"{directory} must be a directory and exist")
+        raise ValueError(f"no such directory: {directory}")
     files = []
     for status in fs.listStatus(jpath):
         if status.isFile():
@@ -66,18 +69,17 @@ def _check_mode(on_damage: str) -> bool:
     return on_damage == "fail"
 
 
-def spark_text(reader, on_damage: str):
+def spark_text(reader):
     """Options for gz and bz2 on a batch or streaming reader.
 
-    Files that vanish are skipped. Damaged content fails the job, or with
-    ``keep`` ends that file at the damage. Lines end at a newline only.
+    Damaged content and files that vanish after listing fail the job: Spark could
+    pass over them, but not report them. Lines end at a newline only.
     """
-    keep = "false" if _check_mode(on_damage) else "true"
     return (
         reader.format("text")
         .option("lineSep", "\n")
-        .option("ignoreMissingFiles", "true")
-        .option("ignoreCorruptFiles", keep)
+        .option("ignoreMissingFiles", "false")
+        .option("ignoreCorruptFiles", "false")
     )
 
 
@@ -90,10 +92,13 @@ def text_lines(loaded: DataFrame) -> DataFrame:
 
 
 def task_lines(paths: DataFrame, on_damage: str) -> DataFrame:
-    """xz and zst lines: ``paths`` is a binaryFile frame, of which only the path is read.
+    """Lines of the files at ``paths``, a frame of which only the column path is read.
 
-    Spark packs small files into one task and gives a large one its own.
+    Read in tasks, which report damage and files that cannot be opened. From a
+    binaryFile frame, Spark packs small files into one task and gives a large one
+    its own.
     """
+    require_decoders()
     read = decoders.line_reader(_check_mode(on_damage))
     return (
         paths.select("path")
@@ -111,6 +116,19 @@ def _unopenable(spark: SparkSession, files: list[ArchiveFile]) -> list[tuple[str
     return [(r["file_path"], None, r["error"]) for r in found.collect()]
 
 
+def require_decoders() -> None:
+    """Fail before the job starts, not file by file, where a decoder is missing.
+
+    Executors have what the driver has; if one has not, its tasks fail.
+    """
+    import zstandard  # noqa: F401
+
+
+def hidden(path: str) -> bool:
+    """Whether Spark's readers pass over a file for its name."""
+    return path.rpartition("/")[2].startswith(("_", "."))
+
+
 def spread_partitions(files: list[ArchiveFile], parallelism: int) -> int | None:
     """Number of partitions to spread unsplittable files over, or None to leave them.
 
@@ -122,7 +140,9 @@ def spread_partitions(files: list[ArchiveFile], parallelism: int) -> int | None:
         return None
     if max(sizes) * parallelism <= 2 * sum(sizes):
         return None
-    return max(parallelism, sum(sizes) * EXPANSION // SPREAD_BYTES)
+    wanted = sum(sizes) * EXPANSION // SPREAD_BYTES
+    # Lines stream through, so a few partitions per core do for any amount.
+    return max(parallelism, min(wanted, MOST_PER_CORE * parallelism))
 
 
 def spread(lines: DataFrame, partitions: int) -> DataFrame:
@@ -138,51 +158,66 @@ def spread(lines: DataFrame, partitions: int) -> DataFrame:
     )
 
 
+def unread_files(files: list[ArchiveFile]) -> list[tuple[str, None, str]]:
+    """Error rows of the files that no reader takes."""
+    return [
+        (f.path, None, "unknown file extension")
+        for f in files
+        if f.extension not in SPARK_CODECS + TASK_CODECS
+    ]
+
+
 def read_lines(
     spark: SparkSession,
     directory: str,
     on_damage: str = "fail",
     spread_over: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """All lines of the gz, bz2, xz and zst files directly inside ``directory``.
 
     Files with another extension and files that cannot be opened become error
-    rows. ``spread_over`` forces the number of partitions unsplittable files are
-    dealt over; by default it is decided from the file sizes.
+    rows. Damage fails the job, or with ``on_damage="keep"`` ends its file with an
+    error row after the lines before it. ``spread_over`` forces the number of
+    partitions unsplittable files are dealt over; by default it is decided from the
+    file sizes. ``prepare`` is applied to lines before they are dealt out.
     """
-    _check_mode(on_damage)
+    fail = _check_mode(on_damage)
+    prepare = prepare or (lambda lines: lines)
     files = list_archives(spark, directory)
-    errors = [
-        (f.path, None, "unknown file extension")
-        for f in files
-        if f.extension not in SPARK_CODECS + TASK_CODECS
-    ]
-    bad = _unopenable(spark, [f for f in files if f.extension in SPARK_CODECS])
+    errors = unread_files(files)
+    known = [f for f in files if f.extension in SPARK_CODECS + TASK_CODECS]
+    # Spark hides some names, and cannot report damage or files that vanish; tasks
+    # read those by path.
+    by_path = {f for f in known if hidden(f.path) or not fail}
+    by_spark = [f for f in known if f.extension in SPARK_CODECS and f not in by_path]
+    by_task = [f for f in known if f.extension in TASK_CODECS and f not in by_path]
+    bad = _unopenable(spark, by_spark)
     errors += bad
     skipped = {path for path, _, _ in bad}
-    usable = [f for f in files if f.path not in skipped]
-
-    def paths(*extensions: str) -> list[str]:
-        return [f.path for f in usable if f.extension in extensions]
+    by_spark = [f for f in by_spark if f.path not in skipped]
 
     whole, split = [], []
-    if found := paths("gz"):
-        whole.append(text_lines(spark_text(spark.read, on_damage).load(found)))
-    if found := paths(*TASK_CODECS):
-        whole.append(task_lines(spark.read.format("binaryFile").load(found), on_damage))
-    if found := paths("bz2"):
-        split.append(text_lines(spark_text(spark.read, on_damage).load(found)))
+    if found := [f.path for f in by_spark if f.extension == "gz"]:
+        whole.append(text_lines(spark_text(spark.read).load(found)))
+    if by_task:
+        paths = spark.read.format("binaryFile").load([f.path for f in by_task])
+        whole.append(task_lines(paths, on_damage))
+    if by_path:
+        paths = spark.createDataFrame([(f.path,) for f in sorted(by_path, key=lambda f: f.path)], "path string")
+        tasks = min(len(by_path), MOST_PER_CORE * spark.sparkContext.defaultParallelism)
+        whole.append(task_lines(paths.repartition(tasks), on_damage))
+    if found := [f.path for f in by_spark if f.extension == "bz2"]:
+        split.append(text_lines(spark_text(spark.read).load(found)))
 
     partitions = spread_over or spread_partitions(
-        [f for f in usable if f.extension in UNSPLITTABLE], spark.sparkContext.defaultParallelism
+        [f for f in known if f.extension in UNSPLITTABLE], spark.sparkContext.defaultParallelism
     )
     if whole and partitions:
-        merged = whole[0] if len(whole) == 1 else whole[0].unionAll(whole[1])
-        whole = [spread(merged, partitions)]
-    frames = whole + split
+        whole = [spread(prepare(reduce(DataFrame.unionAll, whole)), partitions)]
+    else:
+        whole = [prepare(frame) for frame in whole]
+    frames = whole + [prepare(frame) for frame in split]
     if errors or not frames:
         frames.append(spark.createDataFrame(errors, LINE_DDL))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionAll(frame)
-    return out
+    return reduce(DataFrame.unionAll, frames)

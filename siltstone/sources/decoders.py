@@ -1,4 +1,7 @@
-"""Task-side decompression of xz and zstd files, which Spark cannot read itself.
+"""Task-side decompression, for files that Spark cannot read or cannot report on.
+
+Those are xz and zstd, names that Spark hides, and gz and bz2 where damage is to be
+reported instead of failing the job.
 
 Runs inside ``mapInArrow``: files in, batches of raw lines out. A file is
 streamed in bounded chunks, so memory follows the decode window and the longest
@@ -10,6 +13,7 @@ from __future__ import annotations
 import bz2
 import gzip
 import lzma
+import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -27,6 +31,11 @@ LINE_SCHEMA = pa.schema(
 )
 
 
+#: What it means that a file cannot be opened. Anything else, such as a file system
+#: that is out of reach, is a failure of the job and not of the file.
+UNREADABLE = (FileNotFoundError, PermissionError)
+
+
 class DamagedFile(Exception):
     """The compressed stream ends early or does not decode."""
 
@@ -54,6 +63,37 @@ def xz_chunks(stream) -> Iterator[bytes]:
         raise DamagedFile(str(e)) from e
 
 
+def _members(stream, new, failure: type[Exception] | tuple) -> Iterator[bytes]:
+    """Decode concatenated members, each by a fresh ``new()``; padding of NULs ends them."""
+    decoder, ended = None, False
+    try:
+        while piece := stream.read(ZSTD_READ_BYTES):
+            while piece:
+                if decoder is None:
+                    piece = piece.lstrip(b"\0") if ended else piece
+                    if not piece:
+                        break
+                    decoder = new()
+                out = decoder.decompress(piece)
+                if out:
+                    yield out
+                piece = decoder.unused_data if decoder.eof else b""
+                if decoder.eof:
+                    decoder, ended = None, True
+    except failure as e:
+        raise DamagedFile(str(e)) from e
+    if decoder is not None:
+        raise DamagedFile("ends early")
+
+
+def gz_chunks(stream) -> Iterator[bytes]:
+    return _members(stream, lambda: zlib.decompressobj(31), zlib.error)
+
+
+def bz2_chunks(stream) -> Iterator[bytes]:
+    return _members(stream, bz2.BZ2Decompressor, OSError)
+
+
 def zstd_chunks(stream) -> Iterator[bytes]:
     import zstandard
 
@@ -75,10 +115,32 @@ def zstd_chunks(stream) -> Iterator[bytes]:
         raise DamagedFile("incomplete frame")
 
 
-_CHUNKS = {"xz": xz_chunks, "zst": zstd_chunks}
+_CHUNKS = {"xz": xz_chunks, "zst": zstd_chunks, "gz": gz_chunks, "bz2": bz2_chunks}
 _MAGIC_READERS = {"gz": gzip.open, "bz2": bz2.open}
 
 
+# How files of each kind start; zstd also has skippable frames.
+_STARTS = {
+    "gz": (b"\x1f\x8b",),
+    "bz2": (b"BZh",),
+    "xz": (b"\xfd7zXZ\x00",),
+    "zst": (b"\x28\xb5\x2f\xfd", *(bytes([0x50 + i]) + b"\x2a\x4d\x18" for i in range(16))),
+}
+
+
+class _Peeked:
+    """A stream of which the first bytes have been read already."""
+
+    def __init__(self, stream, head: bytes):
+        self.stream, self.head = stream, head
+
+    def read(self, size: int = -1) -> bytes:
+        if self.head:
+            head, self.head = self.head, b""
+            return head
+        return self.stream.read(size)
+
+
 def split_lines(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
     """Group chunks into lists of complete lines (newline only, as in the archives)."""
     rest: list[bytes] = []
@@ -110,20 +172,23 @@ def _error_batch(path: str, error: str) -> pa.RecordBatch:
 def _read_one(path: str, fail_on_damage: bool) -> Iterator[pa.RecordBatch]:
     try:
         stream = open_file(path)
-    except OSError as e:
+    except UNREADABLE as e:
         yield _error_batch(path, f"unreadable file: {e}")
         return
+    kind = path.rpartition(".")[2]
     with stream:
+        head = stream.read(6)
+        if head and not head.startswith(_STARTS[kind]):
+            yield _error_batch(path, "unreadable file: wrong header")
+            return
         lines, size = [], 0
         try:
-            for group in split_lines(_CHUNKS[path.rpartition(".")[2]](stream)):
+            for group in split_lines(_CHUNKS[kind](_Peeked(stream, head))):
                 lines += group
                 size += sum(map(len, group))
                 if size >= BATCH_BYTES:
                     yield _line_batch(path, lines)
                     lines, size = [], 0
-        except ImportError as e:
-            yield _error_batch(path, f"unreadable file: {e}")
         except DamagedFile as e:
             if fail_on_damage:
                 raise
@@ -146,17 +211,26 @@ def line_reader(fail_on_damage: bool):
 
 
 def open_check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``mapInArrow`` function: one error row per gz or bz2 file that cannot be opened.
+    """``mapInArrow`` function: an error row per gz or bz2 file that cannot be opened.
 
-    Reads a single byte of content, enough to see a missing file, a refused one
-    or a wrong header.
+    That is a missing file, a refused one, or one with a wrong header; a byte of
+    content shows it. Where the file system cannot be reached this way, nothing is
+    said, and Spark's own reader judges the file.
     """
     for batch in batches:
         for path in batch.column("path").to_pylist():
             try:
-                with open_file(path) as f, _MAGIC_READERS[path.rpartition(".")[2]](f) as decoded:
-                    decoded.read(1)
-            except EOFError:
-                continue  # starts well and ends early: damage, not a failure to open
-            except OSError as e:
+                stream = open_file(path)
+            except UNREADABLE as e:
                 yield _error_batch(path, f"unreadable file: {e}")
+                continue
+            except Exception:
+                continue
+            with stream, _MAGIC_READERS[path.rpartition(".")[2]](stream) as decoded:
+                try:
+                    decoded.read(1)
+                except EOFError:
+                    continue  # starts well and ends early: damage, not a failure to open
+                except OSError as e:
+                    if e.errno is None:  # from the decoder, not from the file system
+                        yield _error_batch(path, f"unreadable file: {e}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,15 +11,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.filters import FilterSpec
 from siltstone.operators.text_index import DEFAULT_BUCKETS
-from siltstone.plans.ingest import IngestCounts, ingest_lines
+from siltstone.plans.ingest import IngestCounts, ingest_lines, reject_path, write_rejects
 from siltstone.schema import Entity
 from siltstone.sources.archives import (
     SPARK_CODECS,
     TASK_CODECS,
+    hidden,
+    list_archives,
     spark_text,
     task_lines,
     text_lines,
+    unread_files,
 )
+from siltstone.workspace import path_exists
 
 # Fixed value: the columns of Spark's binaryFile source.
 _BINARY_FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
@@ -36,13 +42,43 @@ def stream_lines(
     on_damage: str = "fail",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Lines of the archives in ``directory`` as a streaming (file_path, value, error)."""
-    text = _files(spark_text(spark.readStream, on_damage), SPARK_CODECS, max_files_per_trigger)
+    """Lines of the archives in ``directory`` as a streaming (file_path, value, error).
+
+    As in a batch, gz and bz2 are Spark's where damage fails the job, and read in
+    tasks, which report it, with ``on_damage="keep"``.
+    """
     files = spark.readStream.format("binaryFile").schema(_BINARY_FILE_DDL)
+    if on_damage == "keep":
+        paths = _files(files, SPARK_CODECS + TASK_CODECS, max_files_per_trigger)
+        return task_lines(paths.load(directory), on_damage)
+    text = _files(spark_text(spark.readStream), SPARK_CODECS, max_files_per_trigger)
     paths = _files(files, TASK_CODECS, max_files_per_trigger)
     return text_lines(text.load(directory)).unionAll(task_lines(paths.load(directory), on_damage))
 
 
+def report_unread(spark: SparkSession, directory: str, out: str, entity: Entity) -> int:
+    """Store a reject row for each file that the stream does not see; how many there are.
+
+    Those have another extension, or a name that Spark hides. The rows are those of
+    the directory as it is now, under a name of their own.
+    """
+    files = list_archives(spark, directory)
+    rows = unread_files(files)
+    other = {path for path, _, _ in rows}
+    rows += [(f.path, None, "hidden name") for f in files if hidden(f.path) and f.path not in other]
+    name = hashlib.sha256(directory.encode()).hexdigest()[:16]
+    if rows or path_exists(spark, f"{reject_path(out, entity)}/batch=files-{name}"):
+        frame = spark.createDataFrame(rows, "file_path string, value string, reason string")
+        write_rejects(frame, out, entity, f"files-{name}")
+    return len(rows)
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps over restarts, from its checkpoint."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0]
+    return json.loads(text)["id"]
+
+
 def start_ingest(
     spark: SparkSession,
     directory: str,
@@ -60,6 +96,10 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start a query that ingests everything new in ``directory`` and then stops.
 
+    Files it cannot take are stored as rejects first. Rejects of a micro-batch are
+    named by the query's id and the batch's number, so a batch that is run again
+    replaces its own, and queries do not replace each other's.
+
     ``checkpoint`` remembers the files already taken. Each micro-batch runs the
     batch job's append, which adds unseen ids only, so a batch that is run again
     after a failure changes nothing. No streaming state is kept: duplicates are
@@ -70,11 +110,12 @@ def start_ingest(
         counts = ingest_lines(
             batch.sparkSession, batch, out, entity, spec,
             build_index=build_index, on_bad_id=on_bad_id, index_buckets=index_buckets,
-            batch=f"stream-{number}",
+            batch=f"stream-{_query_id(batch.sparkSession, checkpoint)}-{number}",
         )
         if on_batch is not None:
             on_batch(number, counts)
 
+    report_unread(spark, directory, out, entity)
     lines = stream_lines(spark, directory, on_damage, max_files_per_trigger)
     return (
         lines.writeStream.foreachBatch(take)

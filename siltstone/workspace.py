@@ -18,6 +18,12 @@ def hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]
     return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; one without is on Hadoop's default file system."""
+    fs, jpath = hadoop_path(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = hadoop_path(spark, path)
     return fs.exists(jpath)
@@ -28,6 +34,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    fs, jpath = hadoop_path(spark, old)
+    if not fs.rename(jpath, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"cannot rename {old}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path``; empty when it does not exist."""
     fs, jpath = hadoop_path(spark, path)

@@ -37,6 +37,28 @@ def test_bounds_and_membership(spark, spec, ids):
     assert passing(spark, FilterSpec(**spec)) == ids
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_mean_the_same_in_both_forms_and_in_every_zone(spark, zone):
+    texts = ["2019-01-31-08:00:00", "2019-1-3-8:0:5", "2019-13-01-00:00:00", "19-01-01-00:00:00", "2019-01-31 08:00:00",
+             "2019-01-31-08:00:00 ", "2019-01-31-08:00:00+01", "2019-03-10-02:30:00", "", "2019-02-29-00:00:00", "2019-01-31-24:00:00"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(filters.parse_datetime_column(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+    def plain(t):
+        try:
+            return filters.parse_datetime(t)
+        except ValueError:
+            return None
+
+    assert got == [plain(t) for t in texts]
+    assert got[:2] == [1548921600, 1546502405] and got[2:7] == [None] * 5 and got[7] == 1552185000
+
+
 def test_long_lists_join_with_the_same_result(spark):
     many = {f"nobody{i}" for i in range(1500)}
     assert passing(spark, FilterSpec(users=many | {"ann"}, subreddits={"Birds"})) == [1, 3, 5]

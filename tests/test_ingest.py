@@ -94,6 +94,44 @@ def test_prefiltered_ingest_stores_the_same_rows(spark, tmp_path):
     assert both[0] == both[1] and len(both[0]) == 6
 
 
+def test_quiet_mode_keeps_file_errors(spark, tmp_path):
+    folder = tmp_path / "in"
+    write_archives(folder, "a.gz", [comment(id="c1"), "junk"], gzip.compress)
+    (folder / "b.gz").write_text("no archive")
+    (folder / "notes.txt").write_text("x")
+    for name, report in (("loud", True), ("quiet", False)):
+        counts = ingest(spark, str(tmp_path / name), str(folder), report_rejects=report)["comment"]
+        assert counts.lines == 4 and counts.stored == 1
+        assert (counts.rejected, counts.filtered) == ((3, 0) if report else (2, 1))
+        files = {r["file_path"].rpartition("/")[2] for r in jobs.read_rejects(spark, str(tmp_path / name)).collect()}
+        assert files == ({"a.gz"} if report else set()) | {"b.gz", "notes.txt"}
+
+
+def test_totals_do_not_depend_on_the_number_of_names(spark, tmp_path):
+    lines = frame(spark, [comment(id=base36(100 + i), author=f"u{i:02d}") for i in range(60)] + ["junk", "u01 junk"])
+    seen = set()
+    for n in (1, 50, 51, 1500):
+        spec = FilterSpec(users={f"u{i:02d}" for i in range(n)})
+        counts = jobs.ingest_lines(spark, lines, str(tmp_path / str(n)), COMMENT, spec, report_rejects=False)
+        assert counts.kept == min(n, 60)
+        seen.add((counts.lines, counts.rejected, counts.kept + counts.filtered))
+    assert seen == {(62, 0, 62)}
+
+
+def test_streams_keep_each_others_rejects(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n in ("one", "two"):
+        folder = tmp_path / n
+        write_archives(folder, "a.gz", [f"junk {n}"], gzip.compress)
+        write_archives(folder, "_hidden.gz", [comment()], gzip.compress)
+        (folder / "notes.txt").write_text("x")
+        for _ in range(2):
+            start_ingest(spark, str(folder), out, COMMENT, str(tmp_path / f"cp-{n}")).awaitTermination()
+    rows = jobs.read_rejects(spark, out).collect()
+    assert sorted(r["line"] for r in rows if r["line"]) == ["junk one", "junk two"]
+    assert sorted(r["reason"] for r in rows if not r["line"]) == ["hidden name"] * 2 + ["unknown file extension"] * 2
+
+
 def test_long_name_lists_in_the_job(spark, tmp_path):
     lines = [comment(id=base36(100 + i), author=f"u{i}") for i in range(10)]
     spec = FilterSpec(users={f"u{i}" for i in range(5, 2000)})

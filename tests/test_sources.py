@@ -113,15 +113,84 @@ def test_damage_in_task_readers(spark, tmp_path, name, pack):
         read_lines(spark, str(tmp_path), on_damage="fail").count()
 
 
-def test_damage_in_gzip(spark, tmp_path):
+@pytest.mark.parametrize("name, pack", [("t.gz", gzip.compress), ("t.bz2", lambda b: bz2.compress(b, 1))])
+def test_damage_in_spark_codecs(spark, tmp_path, name, pack):
     noise = os.urandom(300_000).hex().encode()
     body = b"\n".join(noise[i:i + 100] for i in range(0, len(noise), 100))
-    write(tmp_path / "t.gz", gzip.compress(body)[:-1000])
-    assert read_lines(spark, str(tmp_path), on_damage="keep").count() > 1000
+    write(tmp_path / name, pack(body)[:-1000])
+    df = read_lines(spark, str(tmp_path), on_damage="keep")
+    assert len(values(df)) > 1000
+    assert errors(df)[name].startswith("damaged file")
     with pytest.raises(Exception):
         read_lines(spark, str(tmp_path), on_damage="fail").count()
 
 
+@pytest.mark.parametrize("mode", ["fail", "keep"])
+def test_hidden_names_are_read(spark, tmp_path, mode):
+    write(tmp_path / "a.gz", gzip.compress(b'{"n": 0}\n'))
+    for i, (name, pack) in enumerate((
+        ("_b.gz", gzip.compress), (".c.gz", gzip.compress), ("_d.xz", lzma.compress), ("_e.bz2", bz2.compress),
+    ), 1):
+        write(tmp_path / name, pack(b'{"n": %d}\n' % i))
+    write(tmp_path / "_f.txt", b"x")
+    write(tmp_path / "_g.gz", b"no archive")
+    df = read_lines(spark, str(tmp_path), on_damage=mode)
+    assert values(df) == [f'{{"n": {i}}}' for i in range(5)]
+    assert set(errors(df)) == {"_f.txt", "_g.gz"}
+
+
+@pytest.mark.parametrize("mode", ["fail", "keep"])
+def test_wrong_headers_cost_the_file_only(spark, tmp_path, mode):
+    write(tmp_path / "ok.gz", gzip.compress(b'{"n": 1}\n'))
+    for name in ("a.gz", "b.bz2", "c.xz", "d.zst"):
+        write(tmp_path / name, b"plain text, no archive")
+    df = read_lines(spark, str(tmp_path), on_damage=mode)
+    assert values(df) == ['{"n": 1}']
+    assert {e.partition(":")[0] for e in errors(df).values()} == {"unreadable file"} and len(errors(df)) == 4
+
+
+def test_open_check_leaves_other_failures_to_the_reader(monkeypatch):
+    import pyarrow as pa
+
+    def refuse(error):
+        def opened(path):
+            raise error
+
+        return opened
+
+    batch = pa.RecordBatch.from_pydict({"path": ["x://h/a.gz"]})
+    for error, said in ((FileNotFoundError("gone"), 1), (PermissionError("no"), 1), (OSError("no libhdfs"), 0),
+                        (pa.ArrowInvalid("unknown scheme"), 0)):
+        monkeypatch.setattr(decoders, "open_file", refuse(error))
+        assert len(list(decoders.open_check(iter([batch])))) == said
+        if not said:
+            with pytest.raises(type(error)):
+                list(decoders._read_one("x://h/a.gz", False))
+
+
+def test_missing_decoder_fails_before_the_job(spark, tmp_path, monkeypatch):
+    import sys
+
+    write(tmp_path / "a.zst", zstandard.ZstdCompressor().compress(BODY))
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    with pytest.raises(ImportError):
+        read_lines(spark, str(tmp_path))
+
+
+def test_files_that_vanish_after_listing(spark, tmp_path):
+    for name, data in (("a.gz", gzip.compress(BODY)), ("b.xz", lzma.compress(BODY))):
+        write(tmp_path / name, data)
+    df = read_lines(spark, str(tmp_path))
+    (tmp_path / "a.gz").unlink()
+    with pytest.raises(Exception):
+        df.count()
+    (tmp_path / "b.xz").unlink()
+    write(tmp_path / "a.gz", gzip.compress(BODY))
+    kept = read_lines(spark, str(tmp_path), on_damage="keep")
+    (tmp_path / "a.gz").unlink()
+    assert errors(kept)["a.gz"].startswith("unreadable file")
+
+
 def test_lines_end_at_newlines_only(spark, tmp_path):
     data = b'{"a": 1}\r\n\n{"b":\r2}\n\xff\xfe\n'
     write(tmp_path / "a.gz", gzip.compress(data))
@@ -154,6 +223,7 @@ def test_when_to_spread():
 
     gb = 1 << 30
     assert archives.spread_partitions(files(*[gb] * 100), 10) is None
-    assert archives.spread_partitions(files(50 * gb, *[gb] * 50), 10) == 6400
+    assert archives.spread_partitions(files(50 * gb, *[gb] * 50), 10) == 40
+    assert archives.spread_partitions(files(*[100 * gb] * 1000, 60_000 * gb), 10_000) == 40_000
     assert archives.spread_partitions(files(1000, 10), 10) is None
     assert archives.spread_partitions([], 10) is None
