@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.schema import Entity
-from siltstone.workspace import path_exists
+from siltstone.workspace import child_names, delete_path, path_exists, work_dir
 
 # Ids per table partition, and per block kept together on write, as powers of two.
 RANGE_BITS = 28
@@ -128,3 +128,63 @@ def append(
     )
     # Both counts come from file footers of the touched ranges.
     return existing().count() - before
+
+
+def _rewrite(
+    spark: SparkSession, path: str, entity: Entity, gone: DataFrame, new: DataFrame | None
+) -> int:
+    """Take the rows with the ids of ``gone`` out of the table and put ``new`` in.
+
+    Only the id ranges concerned are read and written. What they will hold is
+    written to the work folder first, so a lost executor never leaves the table
+    between two states; ranges are then replaced one by one. Returns how many rows
+    there are less.
+    """
+    ranges = touched_ranges(gone, entity.key)
+    table = read_table(spark, path, entity)
+    old = table if ranges is None else table.where(F.col("id_range").isin(ranges))
+    before = old.count()
+    left = old.join(gone.select(entity.key).distinct(), entity.key, "left_anti")
+    if new is not None:
+        left = left.unionByName(new.withColumn("id_range", id_range(F.col(entity.key))))
+    staged_path = work_dir(spark)
+    try:
+        left.select(*entity.columns, "id_range").write.parquet(staged_path)
+        staged = spark.read.schema(table_schema(entity)).parquet(staged_path)
+        (
+            staged.hint("rebalance", "id_range")
+            .sortWithinPartitions("id_range", entity.key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("id_range")
+            .parquet(path)
+        )
+        filled = {r["id_range"] for r in staged.select("id_range").distinct().collect()}
+        present = {int(n.partition("=")[2]) for n in child_names(spark, path) if n.startswith("id_range=")}
+        for emptied in (present if ranges is None else present & set(ranges)) - filled:
+            delete_path(spark, f"{path}/id_range={emptied}")
+        return before - staged.count()
+    finally:
+        delete_path(spark, staged_path)
+
+
+def delete(spark: SparkSession, path: str, entity: Entity, ids: DataFrame) -> int:
+    """Delete rows by id (one column); returns how many. Unknown ids do not matter."""
+    return _rewrite(spark, path, entity, ids.toDF(entity.key), None)
+
+
+def update(spark: SparkSession, path: str, entity: Entity, rows: DataFrame) -> DataFrame:
+    """Put whole rows in place of the stored ones of equal id; returns those that were.
+
+    Rows with an unknown id are left out; of several rows with one id the first by
+    content counts.
+    """
+    known = read_table(spark, path, entity).select(entity.key)
+    fresh = keep_first(rows.select(*entity.columns), entity.key, [F.xxhash64(*entity.columns)])
+    changed = fresh.join(known, entity.key, "left_semi").select(*entity.columns)
+    # The table is read to find out, so the rows are set down before it is rewritten.
+    changed_path = work_dir(spark)
+    changed.write.parquet(changed_path)
+    changed = spark.read.schema(entity.schema).parquet(changed_path)
+    _rewrite(spark, path, entity, changed.select(entity.key), changed)
+    return changed

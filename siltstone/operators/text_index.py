@@ -5,7 +5,9 @@ Layout under the index path:
 * ``postings/buckets=B/batch=N/term_bucket=K``: term, field, doc_id, pos, doc_len,
   sorted by term, so that a term reads one bucket and a few pages of its files;
 * ``docs/batch=N/id_range=R``: doc_id, doc_len; a batch counts once this part is complete;
-* ``removed/batch=N``: doc_ids whose older postings no longer count.
+* ``removed/batch=N``: doc_ids whose older postings no longer count, once batch N is
+  complete;
+* ``covers_table``: there while the index holds every row of its table.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import tokens
 from siltstone.operators import store
-from siltstone.workspace import child_names, path_exists
+from siltstone.workspace import child_names, delete_path, path_exists, touch_path
 
 DEFAULT_BUCKETS = 256
 _POSTING_DDL = (
@@ -118,10 +120,11 @@ class TextIndex:
         return self.spark.read.schema(ddl).option("basePath", path).parquet(path)
 
     def _live(self, rows: DataFrame) -> DataFrame:
-        rows = rows.where(F.col("batch") <= self._last_batch())
+        complete = F.col("batch") <= self._last_batch()
+        rows = rows.where(complete)
         if not path_exists(self.spark, f"{self.path}/removed"):
             return rows
-        removed = self._read("removed", _REMOVED_DDL).groupBy("doc_id").agg(
+        removed = self._read("removed", _REMOVED_DDL).where(complete).groupBy("doc_id").agg(
             F.max("batch").alias("_removed")
         )
         dead = (rows["doc_id"] == removed["doc_id"]) & (rows["batch"] < removed["_removed"])
@@ -134,12 +137,35 @@ class TextIndex:
     def docs(self) -> DataFrame:
         return self._live(self._read("docs", _DOC_DDL))
 
-    def covers(self, table: DataFrame) -> bool:
-        """Whether the index already holds as many documents as ``table`` has rows."""
-        return self.docs().count() == table.count()
+    def covers(self) -> bool:
+        """Whether the index is known to hold every row of its table.
 
-    def _write(self, rows: DataFrame) -> None:
+        That is recorded, not counted: see ``uncover``.
+        """
+        return path_exists(self.spark, f"{self.path}/covers_table")
+
+    def uncover(self) -> None:
+        """To be called before the table changes; ``cover`` when the index has followed.
+
+        After a crash in between, the next writer compares the whole table.
+        """
+        delete_path(self.spark, f"{self.path}/covers_table")
+
+    def cover(self) -> None:
+        touch_path(self.spark, f"{self.path}/covers_table")
+
+    def _begin(self) -> int:
+        """The next batch's number, with all that a crashed writer left under it removed."""
         batch = self._last_batch() + 1
+        for part in (f"postings/buckets={self.buckets}", "docs", "removed"):
+            delete_path(self.spark, f"{self.path}/{part}/batch={batch}")
+        return batch
+
+    def _write_removed(self, ids: DataFrame, batch: int) -> None:
+        ids.toDF("doc_id").distinct().write.parquet(f"{self.path}/removed/batch={batch}")
+
+    def _write(self, rows: DataFrame, batch: int) -> None:
+        """Postings, then docs, which complete the batch."""
         bucketed = postings_of(rows, self.key, self.fields).withColumn(
             "term_bucket", term_bucket(F.col("term"), self.buckets)
         )
@@ -173,19 +199,27 @@ class TextIndex:
             table = table.where(F.col("id_range").isin(ranges))
             docs = docs.where(F.col("id_range").isin(ranges))
         known = docs.select(F.col("doc_id").alias(self.key))
-        self._write(table.select(self.key, *self.fields).join(known, self.key, "left_anti"))
+        missing = table.select(self.key, *self.fields).join(known, self.key, "left_anti")
+        self._write(missing, self._begin())
 
     def remove(self, ids: DataFrame) -> None:
-        """Forget documents; ``ids`` has one column."""
-        batch = self._last_batch() + 1
-        ids.toDF("doc_id").distinct().write.mode("append").parquet(
-            f"{self.path}/removed/batch={batch}"
-        )
+        """Forget documents; ``ids`` has one column. Counts as a whole or not at all."""
+        batch = self._begin()
+        self._write_removed(ids, batch)
+        empty = self.spark.createDataFrame([], "doc_id bigint, doc_len int, id_range int")
+        empty.write.partitionBy("id_range").parquet(f"{self.path}/docs/batch={batch}")
 
     def replace(self, rows: DataFrame) -> None:
-        """Index new versions of documents in place of the old ones."""
-        self.remove(rows.select(self.key))
-        self._write(rows)
+        """Index new versions of documents in place of the old ones, all of them or none."""
+        batch = self._begin()
+        self._write_removed(rows.select(self.key), batch)
+        self._write(rows, batch)
+
+    def drop_absent(self, table: DataFrame) -> None:
+        """Forget documents that ``table`` does not have."""
+        gone = self.docs().select(F.col("doc_id").alias(self.key)).join(table, self.key, "left_anti")
+        if not gone.isEmpty():
+            self.remove(gone)
 
     def compact(self, path: str) -> TextIndex:
         """Write the current content as a fresh single-batch index at ``path``."""

@@ -188,25 +188,70 @@ def _append_staged(
         write_rejects(refused.withColumn("value", F.col("value").cast("string")), out, entity, batch)
 
     stored, ranges = 0, []
-    index = covered = None
-    if build_index:
-        index = TextIndex(
-            spark, index_path(out, entity), entity.key, entity.text_fields, index_buckets
-        )
-        covered = index.covers(store.read_table(spark, path, entity))
+    index = TextIndex(
+        spark, index_path(out, entity), entity.key, entity.text_fields, index_buckets
+    )
+    covered = index.covers()
     if kept_count:
+        index.uncover()
         kept = staged.where("status = 'kept'")
         ranges = store.touched_ranges(kept, entity.key)
         stored = store.append(spark, kept, path, entity, ["file_path", "line_hash"], ranges)
-    if index is not None and (stored or not covered):
+    if build_index and (stored or not covered):
         # When all older rows are indexed, only the ranges of this batch need comparing.
         table = store.read_table(spark, path, entity)
+        if not covered:
+            index.drop_absent(table)
         index.add_missing(table, ranges if covered else None)
+    if (build_index or covered) and not (stored and not build_index):
+        index.cover()
     return IngestCounts(
         sum(tally.values()), rejected_count, tally.get("filtered", 0), kept_count, stored
     )
 
 
+def delete_stored(spark: SparkSession, out: str, entity: Entity, ids: DataFrame) -> int:
+    """Delete rows by id (one column) from the table, and from its index if there is one."""
+    index = _existing_index(spark, out, entity)
+    covered = index is not None and index.covers()
+    if index is not None:
+        index.uncover()
+    # The ids may come from the table itself, which is about to change.
+    listed_path = work_dir(spark)
+    try:
+        ids.toDF(entity.key).distinct().write.parquet(listed_path)
+        listed = spark.read.parquet(listed_path)
+        count = store.delete(spark, table_path(out, entity), entity, listed)
+        if index is not None:
+            index.remove(listed)
+    finally:
+        delete_path(spark, listed_path)
+    if covered:
+        index.cover()
+    return count
+
+
+def update_stored(spark: SparkSession, out: str, entity: Entity, rows: DataFrame) -> int:
+    """Replace stored rows by those of equal id; the index, if there is one, follows."""
+    index = _existing_index(spark, out, entity)
+    covered = index is not None and index.covers()
+    if index is not None:
+        index.uncover()
+    changed = store.update(spark, table_path(out, entity), entity, rows)
+    if index is not None:
+        index.replace(changed.select(entity.key, *entity.text_fields))
+    if covered:
+        index.cover()
+    return changed.count()
+
+
+def _existing_index(spark: SparkSession, out: str, entity: Entity) -> TextIndex | None:
+    path = index_path(out, entity)
+    if not path_exists(spark, path):
+        return None
+    return TextIndex(spark, path, entity.key, entity.text_fields)
+
+
 def ingest(
     spark: SparkSession,
     out: str,

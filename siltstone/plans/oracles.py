@@ -248,6 +248,34 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'submission', doc_id + 3000000000,
             CASE WHEN lang <> 'de' THEN source END, text FROM documents
         WHERE lang IN ('fr', 'de')""",
+    "table_delete": f"""SELECT decoded_reddit_id, author, score FROM {_EVENT_ROWS}
+        WHERE decoded_reddit_id % 3 <> 0""",
+    "table_update": f"""SELECT decoded_reddit_id, author,
+        CASE WHEN decoded_reddit_id % 5 = 0 THEN -1 ELSE score END AS score FROM {_EVENT_ROWS}""",
+    "fts_follows_changes": _TERM_COUNTS.format(
+        f"""SELECT unnest({_TOKEN_LIST.format('body')}) AS term, doc_id FROM (
+            SELECT {_KEY} AS doc_id, CASE WHEN turn = 1 THEN reverse(text) ELSE text END AS body
+            FROM conversations WHERE turn > 0)"""
+    ),
+    "fts_snippet": r"""WITH pieces AS (
+            SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+[^\p{L}\p{N}]*') AS p FROM documents
+        ), tokens AS (
+            SELECT doc_id, p, list_transform(p, lambda x:
+                strip_accents(lower(regexp_extract(x, '^[\p{L}\p{N}]+')))) AS k FROM pieces
+        ), hits AS (
+            SELECT doc_id, p, k, i, list_contains(k[i:i + 14], 'que')::INT
+                + list_contains(k[i:i + 14], 'para')::INT AS covered
+            FROM (SELECT *, unnest(range(1, len(k) + 1)) AS i FROM tokens)
+            WHERE k[i] IN ('que', 'para')
+        ), best AS (
+            SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY covered DESC, i) = 1
+        )
+        SELECT doc_id, CASE WHEN i > 1 THEN '...' ELSE '' END
+            || rtrim(array_to_string(list_transform(p[i:i + 14], lambda x:
+                CASE WHEN strip_accents(lower(regexp_extract(x, '^[\p{L}\p{N}]+'))) IN ('que', 'para')
+                THEN regexp_replace(x, '^([\p{L}\p{N}]+)', '[\1]') ELSE x END), ''), ' ')
+            || CASE WHEN i + 14 < len(p) THEN '...' ELSE '' END AS snippet
+        FROM best""",
     "stream_ingest": f"""SELECT decoded_reddit_id, author, subreddit, body, created_utc
         FROM {_EVENT_ROWS}""",
     "fts_tokens": f"SELECT doc_id, array_to_string(toks, ' ') AS folded FROM {_DOC_TOKENS}",

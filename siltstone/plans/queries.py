@@ -584,6 +584,51 @@ def ingest_archives(spark, sf):
     )
 
 
+def _event_table(spark, sf) -> str:
+    out = work_dir(spark)
+    jobs.ingest_lines(spark, samples.event_lines(spark, sf), out, COMMENT)
+    return out
+
+
+def _stored_comments(spark, out: str) -> DataFrame:
+    return store.read_table(spark, jobs.table_path(out, COMMENT), COMMENT)
+
+
+@query
+def table_delete(spark, sf):
+    out = _event_table(spark, sf)
+    ids = _stored_comments(spark, out).where("decoded_reddit_id % 3 = 0").select(COMMENT.key)
+    jobs.delete_stored(spark, out, COMMENT, ids.union(spark.range(5)))
+    return _stored_comments(spark, out).select("decoded_reddit_id", "author", "score")
+
+
+@query
+def table_update(spark, sf):
+    out = _event_table(spark, sf)
+    rows = _stored_comments(spark, out).where("decoded_reddit_id % 5 = 0")
+    unknown = rows.withColumn(COMMENT.key, F.col(COMMENT.key) + 10_000_000_000)
+    jobs.update_stored(spark, out, COMMENT, rows.union(unknown).withColumn("score", F.lit(-1)))
+    return _stored_comments(spark, out).select("decoded_reddit_id", "author", "score")
+
+
+@query
+def fts_follows_changes(spark, sf):
+    out = work_dir(spark)
+    lines = samples.conversation_lines(spark, sf)
+    turn = F.get_json_object("value", "$.score").cast("bigint")
+    early, late = lines.where(turn < 2), lines.where(turn >= 2)
+    jobs.ingest_lines(spark, early, out, COMMENT, build_index=True, index_buckets=16)
+    stored = _stored_comments(spark, out)
+    jobs.delete_stored(spark, out, COMMENT, stored.where("score = 0").select(COMMENT.key))
+    jobs.update_stored(
+        spark, out, COMMENT,
+        _stored_comments(spark, out).where("score = 1").withColumn("body", F.reverse("body")),
+    )
+    jobs.ingest_lines(spark, late, out, COMMENT, build_index=True, index_buckets=16)
+    index = text_index.TextIndex(spark, jobs.index_path(out, COMMENT), COMMENT.key, ("body",))
+    return _by_term(index.postings())
+
+
 @query
 def stream_ingest(spark, sf):
     root = work_dir(spark)

@@ -29,6 +29,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def touch_path(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    fs, jpath = hadoop_path(spark, path)
+    fs.create(jpath, True).close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)

@@ -187,6 +187,32 @@ def test_index_turned_on_later_covers_older_rows(spark, tmp_path):
     assert index.postings().where("term = 'text'").count() == 3
 
 
+def test_deletes_and_updates_are_followed_and_last(spark, tmp_path):
+    out = str(tmp_path)
+    ids = [7, 2**28 + 1, 2**28 + 2, 2**62]
+    lines = [comment(id=base36(i), body=f"word{n}") for n, i in enumerate(ids)]
+    jobs.ingest_lines(spark, frame(spark, lines), out, COMMENT, build_index=True, index_buckets=4)
+    gone = spark.createDataFrame([(ids[0],), (ids[1],), (99,)], "id bigint")
+    assert jobs.delete_stored(spark, out, COMMENT, gone) == 2
+    row = stored(spark, out).where(F.col(COMMENT.key) == ids[2])
+    changed = row.withColumn("body", F.lit("changed")).drop("id_range")
+    twice = changed.union(changed.withColumn(COMMENT.key, F.lit(12345).cast("bigint")))
+    assert jobs.update_stored(spark, out, COMMENT, twice.union(changed)) == 1
+    jobs.ingest_lines(spark, frame(spark, [comment(id="zz", body="later")]), out, COMMENT, build_index=True)
+
+    def terms():
+        index = TextIndex(spark, jobs.index_path(out, COMMENT), COMMENT.key, ("body",))
+        return sorted(r["term"] for r in index.postings().collect())
+
+    assert terms() == ["changed", "later", "word3"]
+    assert sorted(r["body"] for r in stored(spark, out).collect()) == ["changed", "later", "word3"]
+    # A job that does not build the index leaves it behind; the next one catches up.
+    jobs.ingest_lines(spark, frame(spark, [comment(id="zy", body="unseen")]), out, COMMENT)
+    assert terms() == ["changed", "later", "word3"]
+    jobs.ingest_lines(spark, frame(spark, [comment(id="zx", body="last")]), out, COMMENT, build_index=True)
+    assert terms() == ["changed", "last", "later", "unseen", "word3"]
+
+
 def test_stream_takes_new_files_once(spark, tmp_path):
     folder, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     seen = []

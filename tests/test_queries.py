@@ -30,7 +30,8 @@ def test_query(spark, db, name):
     columns, want = check.expected(db, name)
     got = check.bag(df.columns, df.collect())
     if want is None:
-        assert got
+        # The training-data operators that SQL cannot express have tests of their own.
+        assert got and (name == "pipeline" or name.startswith("op"))
     else:
         assert sorted(df.columns) == sorted(columns)
         assert got == want

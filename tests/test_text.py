@@ -192,7 +192,9 @@ def test_stored_index(spark, data, tmp_path):
     index.add_missing(df.where("id <= 50"))
     index.add_missing(df)
     assert snapshot(index.postings()) == snapshot(postings)
-    assert index.covers(df)
+    assert not index.covers()
+    index.cover()
+    assert index.covers()
     # A term reads its own bucket only.
     plan = search.term_docs(index.postings(), "alpha")._jdf.queryExecution().executedPlan()
     files = search._of_terms(index.postings(), ["alpha"], None).select("_metadata.file_path")
@@ -229,3 +231,23 @@ def test_unfinished_batches_do_not_count(spark, data, tmp_path):
 
 def test_query_text_is_folded(spark):
     assert query_tokens(spark, "Déjà-vu, ÇA!") == ["deja", "vu", "ca"]
+
+
+def test_a_crash_within_replace_changes_nothing(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "old text"), (2, "other")], "id bigint, body string")
+    index = TextIndex(spark, str(tmp_path), "id", ("body",), 4)
+    index.add_missing(df)
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(index, "_write", crash)
+    with pytest.raises(RuntimeError):
+        index.replace(df.where("id = 1").selectExpr("id", "'new' AS body"))
+    fresh = TextIndex(spark, str(tmp_path), "id", ("body",))
+    assert sorted(r["term"] for r in fresh.postings().collect()) == ["old", "other", "text"]
+    # What the crashed writer left must not come to life with the next batch.
+    fresh.add_missing(spark.createDataFrame([(1, "old text"), (2, "other"), (3, "third")], df.schema))
+    assert sorted(r["term"] for r in fresh.postings().collect()) == ["old", "other", "text", "third"]
+    fresh.replace(df.where("id = 1").selectExpr("id", "'new' AS body"))
+    assert sorted(r["term"] for r in fresh.postings().collect()) == ["new", "other", "third"]
