@@ -23,7 +23,7 @@ _COMMENT_VALUES = {
     "reddit_id": _base36(_KEY),
     "author": "role",
     "subreddit": "'talk'",
-    "decoded_subreddit_id": "4600465",
+    "decoded_subreddit_id": "5858204",
     "body": "text",
     "score": "turn",
     "created_utc": "1700000000 + conv_id * 60 + turn",

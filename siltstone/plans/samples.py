@@ -87,7 +87,7 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "body": "text",
             "subreddit": "'talk'",
             "id": base36_encode(CONVERSATION_KEY),
-            "subreddit_id": "'t5_2qlqp'",
+            "subreddit_id": "'t5_3hk7w'",
             "link_id": f"concat('t3_', {submission})",
             "parent_id": f"if(turn = 0, concat('t3_', {submission}), concat('t1_', {previous}))",
             "score": "turn",
@@ -108,8 +108,8 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "body": "props",
             "subreddit": "event_type",
             "id": base36_encode("(event_id + 45000000000)"),
-            "subreddit_id": "'t5_2qlqp'",
-            "link_id": "'t3_1afjd7n'",
+            "subreddit_id": "'t5_3hk7w'",
+            "link_id": "'t3_1zq8m4k'",
             "score": "cast(floor(value) AS bigint)",
             "created_utc": "unix_seconds(cast(ts AS timestamp))",
             "edited": "false",

@@ -6,10 +6,10 @@ COMMENT = {
     "author": "ann",
     "body": "some text",
     "subreddit": "birds",
-    "subreddit_id": "t5_2qlqp",
-    "id": "kod0bkd",
-    "link_id": "t3_1afjd7n",
-    "parent_id": "t3_1afjd7n",
+    "subreddit_id": "t5_3hk7w",
+    "id": "mb2x9ta",
+    "link_id": "t3_1zq8m4k",
+    "parent_id": "t3_1zq8m4k",
     "score": 2,
     "created_utc": 1706745600,
     "edited": False,
@@ -18,7 +18,7 @@ SUBMISSION = {
     "permalink": "/r/birds/1/",
     "title": "A title",
     "selftext": "",
-    "id": "1afjd7n",
+    "id": "1zq8m4k",
     "num_comments": 3,
     "over_18": False,
     "is_self": True,

@@ -153,9 +153,9 @@ def write_archives(folder, name, lines, pack):
 
 def test_whole_job_with_views_and_index(spark, tmp_path):
     c, s, out = tmp_path / "c", tmp_path / "s", str(tmp_path / "out")
-    write_archives(c, "a.gz", [comment(id="c1", body="A snoo appears"), "junk"], gzip.compress)
+    write_archives(c, "a.gz", [comment(id="c1", body="A heron appears"), "junk"], gzip.compress)
     write_archives(c, "b.xz", [comment(id="c2", body="nothing", parent_id="t1_c1")], lzma.compress)
-    write_archives(s, "a.xz", [submission(id="s1", title="Snoo!", selftext="x")], lzma.compress)
+    write_archives(s, "a.xz", [submission(id="s1", title="Heron!", selftext="x")], lzma.compress)
     (c / "notes.txt").write_text("skip me")
     counts = ingest(spark, out, str(c), str(s), build_index=True, index_buckets=4)
     assert (counts["comment"].stored, counts["comment"].rejected) == (2, 2)
@@ -165,7 +165,7 @@ def test_whole_job_with_views_and_index(spark, tmp_path):
     assert {(r["reddit_id"], r["r"]) for r in rows} == {("c1", True), ("c2", False)}
     for entity, expected in ((COMMENT, "c1"), (SUBMISSION, "s1")):
         index = TextIndex(spark, jobs.index_path(out, entity), entity.key, entity.text_fields)
-        docs = text_search.term_docs(index.postings(), "snoo")
+        docs = text_search.term_docs(index.postings(), "heron")
         found = text_search.rows_of(stored(spark, out, entity), docs, entity.key)
         assert [r["reddit_id"] for r in found.collect()] == [expected]
 

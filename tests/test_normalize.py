@@ -32,9 +32,9 @@ BIG = 2**63
 def test_comment_rules(spark):
     flair = str(uuid.uuid4())
     cases = [
-        ({}, dict(decoded_reddit_id=45008684941, reddit_id="kod0bkd", author="ann", score=2,
-                  decoded_subreddit_id=4600465, parent_type=3, parent_id="1afjd7n",
-                  decoded_parent_id=2807541923, edited_utc=None, stickied=False, locked=False,
+        ({}, dict(decoded_reddit_id=48559250926, reddit_id="mb2x9ta", author="ann", score=2,
+                  decoded_subreddit_id=5858204, parent_type=3, parent_id="1zq8m4k",
+                  decoded_parent_id=4337170436, edited_utc=None, stickied=False, locked=False,
                   created_utc=1706745600, ups=None, permalink=None, author_premium=None)),
         ({"author": DROP}, "missing author"),
         ({"author": None}, "invalid author"),
@@ -81,8 +81,8 @@ def test_comment_rules(spark):
         ({"author_premium": 1}, "invalid author_premium"),
         ({"parent_is_post": True}, dict(parent_is_post=True)),
         # References
-        ({"parent_id": 45568804275},
-         dict(parent_type=None, parent_id="kxmhmer", decoded_parent_id=45568804275)),
+        ({"parent_id": 47292772463},
+         dict(parent_type=None, parent_id="lq4w8rz", decoded_parent_id=47292772463)),
         ({"parent_id": DROP}, dict(parent_type=None, parent_id=None, decoded_parent_id=None)),
         ({"parent_id": None}, dict(decoded_parent_id=None)),
         ({"parent_id": "t1_KOD"}, dict(parent_type=1, parent_id="KOD", decoded_parent_id=26797)),
@@ -107,7 +107,7 @@ def test_comment_rules(spark):
         ({"all_awardings": [{"a": 1}], "_meta": {"x": None}}, {}),
         # Ids are decoded here and judged later
         ({"id": "invalid!@#"}, dict(decoded_reddit_id=None)),
-        ({"id": "0KOD0BKD"}, dict(decoded_reddit_id=45008684941, reddit_id="0KOD0BKD")),
+        ({"id": "0MB2X9TA"}, dict(decoded_reddit_id=48559250926, reddit_id="0MB2X9TA")),
         ({"id": 5}, "invalid id"),
     ]
     outcomes(spark, COMMENTS, comment, cases)
@@ -116,7 +116,7 @@ def test_comment_rules(spark):
 def test_submission_rules(spark):
     flair = uuid.uuid4()
     cases = [
-        ({}, dict(decoded_reddit_id=2807541923, title="A title", score=None, author=None,
+        ({}, dict(decoded_reddit_id=4337170436, title="A title", score=None, author=None,
                   num_comments=3, over_18=False, is_self=True, contest_mode=False, spoiler=None)),
         ({"edited": 5, "edited_utc": 9.6}, dict(edited_utc=10)),
         ({"edited_utc": False}, dict(edited_utc=None)),
@@ -134,8 +134,8 @@ def test_submission_rules(spark):
         ({"link_flair_template_id": flair.hex.upper()}, dict(link_flair_template_id=flair.bytes)),
         ({"link_flair_template_id": ""}, dict(link_flair_template_id=None)),
         ({"link_flair_template_id": "12-34"}, "invalid link_flair_template_id"),
-        ({"crosspost_parent": "t3_c13"}, dict(decoded_crosspost_parent_id=15591)),
-        ({"subreddit_id": "t5_2qlqp"}, dict(decoded_subreddit_id=4600465)),
+        ({"crosspost_parent": "t3_d47"}, dict(decoded_crosspost_parent_id=16999)),
+        ({"subreddit_id": "t5_3hk7w"}, dict(decoded_subreddit_id=5858204)),
         ({"gallery_data": {"a": [1]}, "media_metadata": 5}, {}),
         ({"selftext": DROP}, "missing selftext"),
         ({"url": 1}, "invalid url"),
