@@ -38,7 +38,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of a node move to its smallest neighbour or itself."""
     both = edges.union(edges.select("v", "u")).toDF("u", "v")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

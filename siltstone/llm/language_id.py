@@ -157,7 +157,7 @@ def train(
     )
     counts = np.zeros((len(languages), BUCKETS))
     at = {l: i for i, l in enumerate(languages)}
-    for row in counted.toLocalIterator():
+    for row in counted.collect():
         counts[at[row["l"]], row["bucket"]] = row["n"]
     total = counts.sum(axis=1, keepdims=True)
     return LanguageModel(languages, np.log((counts + smoothing) / (total + smoothing * BUCKETS)))

@@ -1,10 +1,11 @@
 """Near-duplicates: banded SetSketch registers, a joint estimate, then the full sets.
 
 Texts with equal shingle sets are one node. Bands of registers put nodes into
-buckets. Pairs within a bucket are first linked to a few leaders, so that a large
-group of copies costs a link per node; then, round by round, pairs that still lie
-in different components are tried, until no bucket has an untried one left. Every
-link is confirmed on the full shingle sets.
+buckets, and nodes of a bucket whose estimate is high enough into families. Each node
+is first linked to a leader, so that a large group of copies costs a link per node.
+Then every node outside its family's largest component is compared with the whole
+family, in blocks, within tasks: pairs are never rows. Every link is confirmed on the
+full shingle sets.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import as_bytes, rows_of, shared_dir, slices, stored, text_hash
 from siltstone.llm.components import components
 from siltstone.llm.setsketch import SketchShape, low_matches, low_planes, matches_for
-from siltstone.llm.shingles import many_word_hashes, set_digest, shingle_set
+from siltstone.llm.shingles import many_word_hashes, set_digest, shingle_set, word_hashes
 
 SHAPE = SketchShape(registers=128)
 BYTES = 2 * SHAPE.registers
@@ -48,7 +50,7 @@ class NearSettings:
     bands: int = 32
     leader_estimate: float = 0.7
     least_estimate: float = 0.5
-    first_tries: int = 4
+    block: int = 1024  # nodes of a family that a task compares with as many others
 
 
 def _lowered(texts: list[bytes | None]) -> list[bytes]:
@@ -135,39 +137,71 @@ def shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from table.filter(pa.array(keep)).to_batches()
 
 
-def leader_pairs(settings: NearSettings):
-    """Each row of a bucket with the leader whose estimate is highest.
+def bucket_links(settings: NearSettings):
+    """Rows ``a, b, m, kind`` for each bucket.
 
-    A row that no leader's estimate fits becomes a leader. Only leaders are held.
+    Kind 0: each row with the leader whose estimate is highest; a row that no
+    leader's estimate fits becomes a leader. Kind 1: each row with the first of those
+    it is connected to by estimates from ``least_estimate`` on.
     """
-    least = matches_for(settings.leader_estimate, SHAPE.registers)
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _buckets(batches):
-            keys, k, low = _columns(table)
+            keys = table.column(0).to_numpy()
+            k = table.column("k").to_numpy()
+            low = np.frombuffer(b"".join(table.column("low").to_pylist()), "<u8").reshape(-1, PLANES)
             out: list[tuple[np.ndarray, ...]] = []
             for start, end in _runs(keys):
-                chosen = np.empty(0, np.int64)
-                for at in range(start, end, TILE):
-                    rows = np.arange(at, min(end, at + TILE))
-                    best, leader = _best(low, rows, chosen)
-                    while True:
-                        new = rows[best < least]
-                        new = new[~np.isin(new, chosen)]
-                        if not len(new):
-                            break
-                        chosen = np.append(chosen, new[0])
-                        now = low_matches(low[rows], low[new[:1]])[:, 0]
-                        # Rows that have a leader stay with it.
-                        better = (best < least) & (now > best)
-                        best, leader = np.where(better, now, best), np.where(better, new[0], leader)
-                        best[rows == new[0]] = SHAPE.registers
-                        leader[rows == new[0]] = new[0]
-                    linked = leader != rows
-                    out.append((k[leader[linked]], k[rows[linked]], best[linked]))
-            yield from _pair_batch(out)
-
-    return pair
+                rows = low[start:end]
+                leader, matches = _leaders(rows, matches_for(settings.leader_estimate, SHAPE.registers))
+                first = _connected(rows, matches_for(settings.least_estimate, SHAPE.registers))
+                for kind, other in ((0, leader), (1, first)):
+                    at = np.flatnonzero(other != np.arange(len(rows)))
+                    out.append((k[start + other[at]], k[start + at], matches[at], np.full(len(at), kind)))
+            if out:
+                a, b, m, kind = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(m.astype(np.int64)), pa.array(kind.astype(np.int32))],
+                    names=["a", "b", "m", "kind"],
+                )
+
+    return link
+
+
+def _leaders(low: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row its leader, itself if it is one, and how many low bits they share."""
+    leader, matches = np.arange(len(low)), np.full(len(low), SHAPE.registers)
+    chosen = np.empty(0, np.int64)
+    for at in range(0, len(low), TILE):
+        rows = np.arange(at, min(len(low), at + TILE))
+        best, own = _best(low, rows, chosen)
+        while (best < least).any():
+            new = rows[np.argmax(best < least)]
+            chosen = np.append(chosen, new)
+            now = low_matches(low[rows], low[[new]])[:, 0]
+            better = (best < least) & (now > best)  # rows with a leader stay with it
+            best, own = np.where(better, now, best), np.where(better, new, own)
+        leader[rows], matches[rows] = own, best
+    return leader, matches
+
+
+def _connected(low: np.ndarray, least: float) -> np.ndarray:
+    """For each row the first row that it is connected to, by way of similar ones."""
+    first = np.full(len(low), -1, np.int64)
+    rest = np.arange(len(low))
+    while len(rest):
+        seed, reached = rest[0], rest[:1]
+        rest = rest[1:]
+        first[seed] = seed
+        while len(reached) and len(rest):
+            some, reached = reached[:TILE], reached[TILE:]
+            near = np.zeros(len(rest), bool)
+            for at in range(0, len(rest), TILE):
+                tile = slice(at, at + TILE)
+                near[tile] = (low_matches(low[some], low[rest[tile]]) >= least).any(axis=0)
+            first[rest[near]] = seed
+            reached, rest = np.append(reached, rest[near]), rest[~near]
+    return first
 
 
 def _best(low: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,67 +217,7 @@ def _best(low: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.nda
     return best, leader
 
 
-def cross_pairs(settings: NearSettings, tries: int | None):
-    """Pairs of a bucket in different components whose estimate is high enough.
-
-    With ``tries``, for each row only its best ones in each other component.
-    """
-    least = matches_for(settings.least_estimate, SHAPE.registers)
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _buckets(batches):
-            keys, k, low = _columns(table)
-            n, c = table.column("n").to_numpy(), table.column("c").to_numpy()
-            out: list[tuple[np.ndarray, ...]] = []
-            for start, end in _runs(keys):
-                if (c[start:end] == c[start]).all():
-                    continue
-                for at in range(start, end, TILE):
-                    rows = slice(at, min(end, at + TILE))
-                    for other in range(at, end, TILE):
-                        cols = slice(other, min(end, other + TILE))
-                        small = np.minimum(n[rows, None], n[None, cols]) * 100
-                        fits = small >= settings.numerator * np.maximum(n[rows, None], n[None, cols])
-                        fits &= c[rows, None] != c[None, cols]
-                        if other == at:
-                            fits = np.triu(fits, 1)
-                        if not fits.any():
-                            continue
-                        matches = low_matches(low[rows], low[cols])
-                        x, y = np.nonzero(fits & (matches >= least))
-                        m = matches[x, y]
-                        if tries is not None and len(x):
-                            x, y, m = _highest(x, y, m, c[cols][y], tries)
-                        out.append((k[rows][x], k[cols][y], m))
-            yield from _pair_batch(out)
-
-    return pair
-
-
-def _highest(x, y, m, component, tries):
-    order = np.lexsort((y, -m, component, x))
-    x, y, m, component = x[order], y[order], m[order], component[order]
-    start = np.append(True, (x[1:] != x[:-1]) | (component[1:] != component[:-1]))
-    first = np.flatnonzero(start)
-    rank = np.arange(len(x)) - np.repeat(first, np.diff(np.append(first, len(x))))
-    return x[rank < tries], y[rank < tries], m[rank < tries]
-
-
-def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    low = np.frombuffer(b"".join(table.column("low").to_pylist()), "<u8").reshape(-1, PLANES)
-    return table.column(0).to_numpy(), table.column("k").to_numpy(), low
-
-
-def _pair_batch(out: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    if out:
-        a, b, m = (np.concatenate(x) for x in zip(*out))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(m.astype(np.int64)), pa.array(b)],
-            names=["a", "b", "m", "follower"],
-        )
-
-
-PAIRS = "a long, b long, m long, follower long"
+LINKS = "a long, b long, m long, kind int"
 
 
 def _in_buckets(rows: DataFrame) -> DataFrame:
@@ -286,8 +260,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: NearSettings) -> Dat
                 if a[i] != last:
                     last = a[i]
                     held = shingle_set(many_word_hashes(_lowered([first[i]]))[0], settings.width)
-                common = len(np.intersect1d(held, shingles, assume_unique=True))
-                links.append(100 * common >= settings.numerator * (len(held) + len(shingles) - common))
+                links.append(_is_link(held, shingles, settings))
             keep = pa.array(links, pa.bool_())
             yield pa.RecordBatch.from_arrays(batch.filter(keep).columns[:2], names=["a", "b"])
 
@@ -297,6 +270,72 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: NearSettings) -> Dat
     return joined.sortWithinPartitions("a", "b").mapInArrow(check, "a long, b long").distinct()
 
 
+def _is_link(a: np.ndarray, b: np.ndarray, settings: NearSettings) -> bool:
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    common = int(np.count_nonzero(a[at] == b))
+    return 100 * common >= settings.numerator * (len(a) + len(b) - common)
+
+
+def across_families(members: DataFrame, texts: DataFrame, settings: NearSettings) -> DataFrame:
+    """Links ``a, b`` between components of a family, all that are needed to join them.
+
+    ``members`` has ``f, k, c, n, low``. Nodes outside a family's largest component meet
+    all of the family. Both come in blocks, so a task has two blocks, however large the
+    family is, and a node stops at its first link to a component.
+    """
+    counts = members.groupBy("f", "c").agg(F.count("k").alias("size"))
+    families = counts.groupBy("f").agg(
+        F.sum("size").alias("all"), F.max(F.struct("size", (-F.col("c")).alias("c"))).alias("main")
+    ).where(F.col("all") > F.col("main.size")).select(
+        "f", (-F.col("main.c")).alias("main"),
+        F.ceil((F.col("all") - F.col("main.size")) / settings.block).alias("lefts"),
+        F.ceil(F.col("all") / settings.block).alias("rights"),
+    )
+    rows = members.join(families, "f").join(texts, "k")
+    spread = F.xxhash64("k")
+    zero = F.lit(0).cast("bigint")
+    values = ["k", "c", "n", "low", "x"]
+    left = rows.where("c <> main").select(
+        "f", F.pmod(spread, "lefts").alias("i"), F.explode(F.sequence(zero, F.col("rights") - 1)).alias("j"), *values
+    ).toDF("lf", "li", "lj", *values)
+    right = rows.select(
+        "f", F.explode(F.sequence(zero, F.col("lefts") - 1)).alias("i"), F.pmod(spread, "rights").alias("j"), *values
+    ).toDF("rf", "ri", "rj", *[f"r{v}" for v in values])
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = _compared(a, b.set_axis(a.columns, axis=1), settings) if len(a) and len(b) else []
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return left.groupBy("lf", "li", "lj").cogroup(right.groupBy("rf", "ri", "rj")).applyInPandas(
+        compare, "a long, b long"
+    )
+
+
+def _compared(a: pd.DataFrame, b: pd.DataFrame, settings: NearSettings) -> list[tuple[int, int]]:
+    least = matches_for(settings.least_estimate, SHAPE.registers)
+    low_a, low_b = (np.frombuffer(b"".join(d.low), "<u8").reshape(-1, PLANES) for d in (a, b))
+    na, nb, ca, cb = a.n.to_numpy(), b.n.to_numpy(), a.c.to_numpy(), b.c.to_numpy()
+    sets: dict[str, dict[int, np.ndarray]] = {"a": {}, "b": {}}
+
+    def set_of(side: str, i: int) -> np.ndarray:
+        if i not in sets[side]:
+            text = (a if side == "a" else b).x.iat[i].encode()
+            sets[side][i] = shingle_set(word_hashes(text.lower()), settings.width)
+        return sets[side][i]
+
+    links = []
+    for i in range(len(a)):
+        matches = low_matches(low_a[i : i + 1], low_b)[0]
+        small = np.minimum(na[i], nb) * 100 >= settings.numerator * np.maximum(na[i], nb)
+        near = np.flatnonzero(small & (cb != ca[i]) & (matches >= least))
+        reached: set[int] = set()
+        for j in near[np.argsort(-matches[near], kind="stable")].tolist():
+            if cb[j] not in reached and _is_link(set_of("a", i), set_of("b", j), settings):
+                reached.add(cb[j])
+                links.append((a.k.iat[i], b.k.iat[j]))
+    return links
+
+
 def texts_of(docs: DataFrame, nodes: DataFrame, id_column: str, text: str) -> DataFrame:
     """``k, x``: the text of each node; rows that repeat one give it once per task.
 
@@ -312,7 +351,7 @@ def texts_of(docs: DataFrame, nodes: DataFrame, id_column: str, text: str) -> Da
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("bits"))
     )
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in bits.toLocalIterator():  # at most 2**26 bits, whatever the input
+    for row in bits.collect():  # at most 2**26 bits, whatever the input
         start = (row["part"] - 1) * 4096
         whole[start : start + 4096] = np.frombuffer(row["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(whole)
@@ -408,36 +447,18 @@ def _grouped(docs, id_column, text, settings, folder) -> tuple[DataFrame, DataFr
     busy = nodes.join(buckets.select("k").distinct(), "k", "left_semi")
     texts = stored(texts_of(docs, busy, id_column, text), f"{folder}/texts")
 
-    tried = links = None
-    found = None
-    for turn in range(1_000_000):
-        if turn == 0:
-            pairs = _in_buckets(buckets).mapInArrow(leader_pairs(settings), PAIRS)
-            # Of the leaders of its buckets, a row tries the most similar one first.
-            pairs = pairs.groupBy("follower").agg(F.max(F.struct("m", "a", "b")).alias("p")).select("p.a", "p.b")
-        else:
-            labelled = buckets.join(found, "k", "left").withColumn("c", F.coalesce("c", "k"))
-            open_ = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-            mixed = labelled.join(open_.select("bucket"), "bucket", "left_semi").select("bucket", "k", "n", "low", "c")
-            tries = settings.first_tries if turn == 1 else None
-            pairs = _in_buckets(mixed).mapInArrow(cross_pairs(settings, tries), PAIRS).select("a", "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"{folder}/pairs-{turn}")
-        if pairs.isEmpty():
-            break
-        new = stored(
-            confirmed(estimated(pairs, nodes, settings), texts, settings), f"{folder}/confirmed-{turn}"
-        )
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        found = components(links, f"{folder}/components-{turn}")
+    linked = stored(_in_buckets(buckets).mapInArrow(bucket_links(settings), LINKS).distinct(), f"{folder}/linked")
+    # Of the leaders of its buckets, a node tries the most similar one.
+    tries = linked.where("kind = 0").groupBy("b").agg(F.max(F.struct("m", "a")).alias("p")).select("p.a", "b")
+    links = stored(confirmed(estimated(tries, nodes, settings), texts, settings), f"{folder}/links")
+    found = components(links, f"{folder}/first")
+    families = components(linked.where("kind = 1"), f"{folder}/families").withColumnRenamed("c", "f")
+    members = families.join(found, "k", "left").join(nodes, "k").select(
+        "f", "k", F.coalesce("c", "k").alias("c"), "n", "low"
+    )
+    more = stored(across_families(stored(members, f"{folder}/members"), texts, settings), f"{folder}/more")
+    found = components(links.union(more), f"{folder}/last")
     labels = nodes.select("k", "first")
-    if found is not None:
-        labels = labels.join(found, "k", "left").withColumn("c", F.coalesce("c", "k"))
-        smallest = labels.groupBy("c").agg(F.min("first").alias("stays"))
-        labels = labels.join(smallest, "c")
-    else:
-        labels = labels.withColumn("stays", F.col("first"))
-    return rows, labels.select("k", "stays")
+    labels = labels.join(found, "k", "left").withColumn("c", F.coalesce("c", "k"))
+    smallest = labels.groupBy("c").agg(F.min("first").alias("stays"))
+    return rows, labels.join(smallest, "c").select("k", "stays")
