@@ -12,8 +12,9 @@ from siltstone.llm import exact_dedup, language_id, mixing, near_dedup, packing
 from siltstone.llm.common import plain_names, shared_dir, stored
 from siltstone.llm.queries import RANKS, SEQUENCE, TOKENIZER
 
-#: A document stays if its main language has at least this share of it.
-LEAST_SHARE = 0.5
+#: A document stays if its main language has at least this share of it. Texts in two or
+#: three languages are kept on purpose.
+LEAST_SHARE = 0.25
 END_OF_TEXT = 2
 
 

@@ -166,7 +166,7 @@ def top_k(
     null id, take no part. An id stands for one vector: repeated rows count once, of
     different vectors with one id the smaller counts. Only vectors of equal length
     meet. Of equal scores the smaller id comes first; with fewer than k candidates
-    all are given. ``is_query`` is a condition on the column ``id``.
+    all are given. Scores are exact; one beyond 64 bits raises OverflowError. ``is_query`` is a condition on the column ``id``.
 
     Queries are met with all rows in blocks: a task has one block of each, so its
     memory does not depend on the input.
