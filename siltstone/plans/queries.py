@@ -7,6 +7,7 @@ filter records or text documents first; see ``samples``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,15 @@ from siltstone.operators.filters import FilterSpec
 from siltstone.plans import ingest as jobs
 from siltstone.plans import samples
 from siltstone.plans.samples import event_records, document_records, table
-from siltstone.schema import COMMENT, POST_HINTS, SUBMISSION
+from siltstone.schema import (
+    COMMENT,
+    DISTINGUISHED,
+    POST_HINTS,
+    REMOVED_BY,
+    SUBMISSION,
+    SUBREDDIT_TYPES,
+    SUGGESTED_SORTS,
+)
 from siltstone.sources.archives import read_lines
 from siltstone.streaming.incremental import start_ingest
 from siltstone.workspace import child_names, rename_path, work_dir
@@ -264,11 +273,41 @@ def base36_decode(spark, sf):
 
 @query
 def enum_canon(spark, sf):
-    spelled = _variants("o_orderkey", *[f"'{v}'" for v in [*POST_HINTS, "Image", "unknown"]])
+    words = "gallery hosted:video image link rich:video self video Image unknown".split()
+    spelled = _variants("o_orderkey", *[f"'{w}'" for w in words])
     orders = table(spark, sf, "orders").selectExpr("o_orderkey", f"{spelled} AS spelled")
     return orders.selectExpr("o_orderkey", f"{coerce.canonical('spelled', POST_HINTS)} AS stored")
 
 
+# Spellings as the archives may have them, right and wrong, next to the map that judges them.
+_SPELLINGS = {
+    "subreddit_type": (
+        SUBREDDIT_TYPES,
+        "public restricted user archived gold_restricted gold_only private employees_only Public gold",
+    ),
+    "distinguished": (DISTINGUISHED, "admin moderator special user Admin"),
+    "suggested_sort": (SUGGESTED_SORTS, "confidence controversial live new old qa random top best"),
+    "removed_by_category": (
+        REMOVED_BY,
+        "author automod_filtered content_takedown deleted moderator reddit anti_evil_ops "
+        "community_ops copyright_takedown admin",
+    ),
+}
+
+
+@query
+def enum_others(spark, sf):
+    orders = table(spark, sf, "orders")
+    parts = []
+    for key, (values, words) in _SPELLINGS.items():
+        spelled = _variants("o_orderkey", *[f"'{w}'" for w in words.split()])
+        rows = orders.selectExpr("o_orderkey", f"{spelled} AS spelled")
+        parts.append(rows.selectExpr(
+            "o_orderkey", f"'{key}' AS key", "spelled", f"{coerce.canonical('spelled', values)} AS stored"
+        ))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def uuid_bytes(spark, sf):
     dashed = "regexp_replace(d, '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5')"

@@ -4,7 +4,6 @@ import uuid
 import pytest
 
 from records import COMMENT, DROP, SUBMISSION, comment, frame, submission
-from siltstone import schema
 from siltstone.operators import normalize
 from siltstone.schema import COMMENT as COMMENTS
 from siltstone.schema import SUBMISSION as SUBMISSIONS
@@ -140,13 +139,18 @@ def test_submission_rules(spark):
         ({"selftext": DROP}, "missing selftext"),
         ({"url": 1}, "invalid url"),
     ]
-    for key, values in (
-        ("post_hint", schema.POST_HINTS),
-        ("suggested_sort", schema.SUGGESTED_SORTS),
-        ("removed_by_category", schema.REMOVED_BY),
-        ("subreddit_type", schema.SUBREDDIT_TYPES),
-    ):
-        cases += [({key: spelled}, {key: stored}) for spelled, stored in values.items()]
+    same = {
+        "suggested_sort": "confidence controversial live new old qa random top",
+        "removed_by_category": "author automod_filtered content_takedown deleted moderator reddit "
+        "anti_evil_ops community_ops copyright_takedown",
+        "subreddit_type": "public restricted user archived gold_restricted gold_only private employees_only",
+        "post_hint": "gallery image link video",
+    }
+    changed = {"hosted:video": "hosted_video", "rich:video": "rich_video", "self": "slf"}
+    cases += [({"post_hint": spelled}, {"post_hint": stored}) for spelled, stored in changed.items()]
+    cases += [({"post_hint": stored}, "invalid post_hint") for stored in changed.values()]
+    for key, words in same.items():
+        cases += [({key: word}, {key: word}) for word in words.split()]
         cases += [({key: None}, {key: None}), ({key: "nope"}, f"invalid {key}")]
     outcomes(spark, SUBMISSIONS, submission, cases)
 
