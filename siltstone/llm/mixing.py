@@ -18,6 +18,10 @@ from siltstone.llm.common import plain_names, shared_dir, stored
 #: orders a source, so that no source is ever sorted in one task.
 CELL_DIGITS = 3
 ROUNDS = 60
+#: Up to so many sources (of a few numbers each) are broadcast; more are joined by
+#: source and salt, so that no source's rows meet in one task either way.
+BROADCAST_SOURCES = 100_000
+SALTS = 64
 #: A word, for the default count of tokens.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -117,6 +121,16 @@ def plan(
     )
 
 
+def _with_sources(rows: DataFrame, key: str, sources: DataFrame) -> DataFrame:
+    """Rows with the columns of their source, whose key is ``s`` in ``sources``."""
+    if sources.count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(sources), F.col(key) == F.col("s"))
+    salted = sources.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    on = (F.col(key) == F.col("s")) & (F.col("__salted") == F.col("__salt"))
+    return rows.withColumn("__salted", salt).join(salted, on).drop("__salted", "__salt")
+
+
 def permutation_hash(i: Column, epoch: Column) -> Column:
     """Where a row stands in its source's permutation of an epoch; a null id has a place too."""
     return F.md5(F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("null")), epoch.cast("string")))
@@ -128,7 +142,7 @@ def _placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     the tokens of the epoch up to and with this row and those of equal hash.
     """
     copies = (
-        rows.join(sources, "s")
+        _with_sources(rows.withColumnRenamed("s", "key"), "key", sources).drop("key")
         .where("tokens = 0 OR epochs > 0 OR rest > 0")
         .withColumn("epoch", F.explode(F.expr("sequence(0L, epochs - IF(rest > 0, 0L, 1L))")))
         .withColumn("h", permutation_hash(F.col("i"), F.col("epoch")))
@@ -188,15 +202,12 @@ def mix(
         _placed(rows, sources).where("epoch = epochs AND upto <= rest")
         .groupBy("s").agg(F.max("h").alias("__until"))
     )
-    ends = sources.join(last, "s", "left").select(
-        F.col("s").alias("__s"), F.col("epochs").alias("__epochs"), "__until"
-    )
+    ends = sources.join(last, "s", "left").select("s", F.col("epochs").alias("__epochs"), "__until")
     plain, (id_name, source_name) = plain_names(docs, id_column, source)
     more = permutation_hash(F.col(id_name), F.col("__epochs")) <= F.col("__until")
     times = F.col("__epochs") + F.coalesce(more, F.lit(False)).cast("bigint")
     return (
-        plain.withColumn("__key", source_key(F.col(source_name)))
-        .join(ends, F.col("__key") == F.col("__s"))
+        _with_sources(plain.withColumn("__key", source_key(F.col(source_name))), "__key", ends)
         .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
         .select(*plain.columns).toDF(*docs.columns)
     )

@@ -71,8 +71,9 @@ def op6_extendible_dedup(spark, sf_dir):
 @query
 def op10_temperature_mixing(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    rows = stored(mixing.narrow_rows(docs), shared_dir(spark))
-    return mixing.schedule(rows, mixing.plan(rows)).select(
+    folder = shared_dir(spark)
+    rows = stored(mixing.narrow_rows(docs), f"{folder}/rows")
+    return mixing.schedule(rows, stored(mixing.plan(rows), f"{folder}/sources")).select(
         F.col("i").alias("doc_id"), "source", F.col("n").alias("tokens"), "epoch", "block", "position"
     )
 

@@ -81,6 +81,14 @@ def test_copies_against_plain_python(spark, settings):
     assert Counter(repr((r["i"], r["source"], r["epoch"])) for r in got) == want
 
 
+def test_many_sources_are_joined_with_salt(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    rows = documents(long_words=300)
+    assert Counter(r["doc_id"] for r in mixing.mix(frame(spark, rows)).collect()) == Counter(
+        i for i, _, _ in expected(rows)
+    )
+
+
 def test_blocks_are_permutations_with_even_shares(spark):
     rows = [(i, "w " * (1 + i % 7), "en", "ab"[i % 3 == 0], 1) for i in range(3000)]
     narrow = mixing.narrow_rows(frame(spark, rows))
