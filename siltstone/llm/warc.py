@@ -22,8 +22,6 @@ from siltstone.llm.common import qualified, shared_dir, slices, stored, task_fs,
 
 MAGIC = b"\x1f\x8b\x08"
 BLOCK = 256 << 10
-#: A record header that has not ended by then is not one.
-HEADER_LIMIT = 1 << 20
 FILE_BYTES = 1 << 30
 SPLIT_BYTES = 8 << 20
 RECORD_ID = "<urn:page:%s>"
@@ -152,6 +150,10 @@ class NotARecord(ValueError):
     """No record starts at this place."""
 
 
+class LostRecords(RuntimeError):
+    """Files gave other numbers of records than were written to them."""
+
+
 def _fields(lines: list[bytes]) -> dict[str, str]:
     pairs = (line.partition(b":") for line in lines)
     return {k.decode("latin-1").strip().lower(): v.decode("utf-8", "replace").strip() for k, _, v in pairs}
@@ -185,12 +187,15 @@ class MemberReader:
         return True
 
     def _parts(self, at: int) -> Iterator[Record | bytes | int]:
-        """The record with its headers, then parts of its block, then where it ends."""
+        """The record with its headers, then parts of its block, then where it ends.
+
+        A header may be as long as its member: a url in it has no bound.
+        """
         inflate = zlib.decompressobj(31)
         self.stream.seek(at)
-        head, record, left, read = b"", None, 0, 0
+        head, record, left, read = bytearray(), None, 0, 0
         while not inflate.eof:
-            data = self.stream.read(BLOCK if record else 4096)
+            data = self.stream.read(BLOCK if record or head else 4096)
             if not data:
                 raise NotARecord(f"the record at {at} ends early")
             read += len(data)
@@ -199,15 +204,14 @@ class MemberReader:
             except zlib.error as e:
                 raise NotARecord(f"at {at}: {e}") from e
             if record is None:
+                known = max(0, len(head) - 3)
                 head += plain
                 if not b"WARC/1."[: len(head)] == head[:7]:
                     raise NotARecord(f"no record header at {at}")
-                top, ended, rest = head.partition(b"\r\n\r\n")
-                if not ended:
-                    if len(head) > HEADER_LIMIT:
-                        raise NotARecord(f"the header at {at} does not end")
+                ended = head.find(b"\r\n\r\n", known)
+                if ended < 0:
                     continue
-                record = Record(_fields(top.split(b"\r\n")[1:]))
+                record, rest = Record(_fields(bytes(head[:ended]).split(b"\r\n")[1:])), bytes(head[ended + 4 :])
                 if "warc-type" not in record.headers or not record.headers.get("content-length", "").isdigit():
                     raise NotARecord(f"the header at {at} lacks a field")
                 left = int(record.headers["content-length"])
@@ -316,11 +320,27 @@ def round_trip(
     pages: DataFrame, folder: str | None = None, key: str = "page_id", url: str = "url",
     payload: str = "html", smallest: int = 0,
 ) -> DataFrame:
-    """Write pages as archives, read the archives back, and describe each record."""
+    """Write pages as archives, read the archives back, and describe each record.
+
+    Fails if a file gives another number of records than were written to it.
+    """
     spark = pages.sparkSession
     folder = folder or shared_dir(spark)
     files = write_archives(plan_records(pages, key, url, payload, smallest), folder)
-    return read_archives(spark, files).select(
+    rows = read_archives(spark, files).select(
         page_of(F.col("record_id")).alias(key), "payload_bytes", "payload_digest", "record_type",
-        page_of(F.col("refers_to")).alias("refers_to"), "digest_ok",
+        page_of(F.col("refers_to")).alias("refers_to"), "digest_ok", F.col("path").alias("__path"),
     )
+    rows = stored(rows, f"{folder}/read")
+    check_counts(rows.select(F.col("__path").alias("path")), files)
+    return rows.drop("__path")
+
+
+def check_counts(rows: DataFrame, files: DataFrame) -> None:
+    """Raises ``LostRecords`` unless each file has as many rows as its manifest says."""
+    read = rows.groupBy("path").agg(F.count(F.lit(1)).alias("found"))
+    found = F.coalesce("found", F.lit(0))
+    wrong = files.join(read, "path", "left").where(found != F.col("records"))
+    named = wrong.select("path", "records", found.alias("found")).limit(20).collect()
+    if named:
+        raise LostRecords("; ".join(f"{r['path']}: {r['found']} of {r['records']} records" for r in named))

@@ -87,3 +87,30 @@ def test_split_size_does_not_change_records(spark, tmp_path):
     small = warc.read_archives(spark, files, split_bytes=500).select("record_id", "payload_digest")
     large = warc.read_archives(spark, files).select("record_id", "payload_digest")
     assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
+
+
+@pytest.mark.parametrize("step", [5000, 10**7])
+def test_header_of_any_length(step):
+    rng = random.Random(3)
+    urls = ["http://x/" + "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n)) for n in (10, 400_000, 20)]
+    data = b"".join(gzip.compress(warc.record_bytes(i, u, b"p", None, "2024"), mtime=0) for i, u in enumerate(urls))
+    assert [name for _, name in read_in_ranges(data, step)] == [f"<urn:page:{i}>" for i in range(3)]
+
+
+def test_long_url_comes_back(spark):
+    rng = random.Random(5)
+    url = "http://x/" + "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(400_000))
+    pages = spark.createDataFrame([(1, "u", "a"), (2, url, "b"), (3, "v", "c")], SCHEMA)
+    assert sorted(r["page_id"] for r in warc.round_trip(pages).collect()) == [1, 2, 3]
+
+
+def test_lost_records_are_reported(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, SCHEMA)
+    files = warc.write_archives(warc.plan_records(pages), str(tmp_path), file_bytes=10_000)
+    rows = warc.read_archives(spark, files)
+    warc.check_counts(rows, files)
+    name = files.first()["path"]
+    with open(name.removeprefix("file:"), "r+b") as f:
+        f.write(b"damage")
+    with pytest.raises(warc.LostRecords, match=name.rsplit("/", 1)[-1]):
+        warc.check_counts(warc.read_archives(spark, files), files)
