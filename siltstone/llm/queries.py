@@ -90,8 +90,11 @@ def op8_cover_tree_search(spark, sf_dir):
 
 @query
 def op7_viterbi_counts(spark, sf_dir):
-    pieces = viterbi_counts.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    return viterbi_counts.token_counts(read(spark, sf_dir, "documents"), pieces, [F.col("doc_id")])
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return viterbi_counts.token_counts(
+        read(spark, sf_dir, "documents"), viterbi_counts.vocabulary(model), [F.col("doc_id")],
+        byte_fallback=viterbi_counts.has_bytes(model), split=False,
+    )
 
 
 @query

@@ -8,6 +8,7 @@ Ties go as in the tokenizer: of equal scores the longer last piece stays.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,6 +22,8 @@ from siltstone.llm.common import slices
 MARK = "▁"  # stands for a space in pieces
 #: What an unknown character costs beyond the least score, as in the tokenizer.
 UNKNOWN_PENALTY = 10.0
+#: Marks and what follows them up to the next.
+WORD = re.compile(f"{MARK}+[^{MARK}]*")
 #: Words whose counts a worker remembers; only speed depends on it.
 KNOWN_WORDS = 300_000
 
@@ -38,10 +41,28 @@ def vocabulary(model_path: str) -> list[tuple[str, float]]:
     return [(p, -math.log(rank + 1)) for rank, p in enumerate(pieces, 1)]
 
 
+def has_bytes(model_path: str) -> bool:
+    """Whether a sentencepiece model file has a piece for each byte of unknown characters."""
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    return sum(map(model.is_byte, range(model.get_piece_size()))) == 256
+
+
 class UnigramCounter:
-    """Counts as a unigram model with these pieces would make, unknown runs fused."""
+    """Counts as a unigram model with these pieces would make.
+
+    With ``byte_fallback`` an unknown character is as many pieces as it has UTF-8
+    bytes, and none of them is unknown; else unknown runs are fused. With ``split``
+    each space starts a word, and so does the text. Without, the text has a mark put
+    before it whatever it starts with, as in sentencepiece, and pieces may hold more
+    than one.
+    """
 
-    def __init__(self, pieces: list[tuple[str, float]]):
+    def __init__(self, pieces: list[tuple[str, float]], byte_fallback: bool = False, split: bool = True):
+        self.byte_fallback, self.split = byte_fallback, split
+        # Pieces that go on past a space, and unknown runs that do, need the text in one.
+        crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p, _ in pieces)
+        fused_marks = not byte_fallback and MARK not in (p for p, _ in pieces)
+        self.whole = not split and (crossing or fused_marks)
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
             if piece not in self.automaton:
@@ -81,19 +102,27 @@ class UnigramCounter:
                 if total > best:
                     best, start, ends_unknown = total, end, True
             at = start % size
-            more = 0 if ends_unknown and fused[at] else 1
-            counted = count[at] + more, unknown[at] + (more if ends_unknown else 0)
+            if ends_unknown and self.byte_fallback:
+                counted = count[at] + len(word[end].encode()), unknown[at]
+            else:
+                more = 0 if ends_unknown and fused[at] else 1
+                counted = count[at] + more, unknown[at] + (more if ends_unknown else 0)
             score[slot], fused[slot] = best, ends_unknown
             count[slot], unknown[slot] = counted
         last = len(word) % size
         return count[last], unknown[last], score[last]
 
     def text(self, text: str) -> tuple[int, int, float]:
-        """The same over a text: each space starts a word, and so does the text."""
+        """The same over a text."""
         if not text:
             return 0, 0, 0.0
         marked = text.replace(" ", MARK)
-        words = (marked[1:] if marked.startswith(MARK) else marked).split(MARK)
+        if self.whole:
+            return self.word(MARK + marked)
+        if self.split:
+            words = (marked[1:] if marked.startswith(MARK) else marked).split(MARK)
+        else:  # each word with the marks before it, less one
+            words = [w[1:] for w in WORD.findall(MARK + marked)]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         found = list(map(self.known.get, words))
@@ -107,7 +136,8 @@ class UnigramCounter:
 
 
 def token_counts(
-    docs: DataFrame, pieces: list[tuple[str, float]], keep: list[Column], text: str = "text"
+    docs: DataFrame, pieces: list[tuple[str, float]], keep: list[Column], text: str = "text",
+    byte_fallback: bool = False, split: bool = True,
 ) -> DataFrame:
     """``keep`` of each row with ``n_tokens``, ``n_unknown`` and ``score`` of its text.
 
@@ -122,7 +152,7 @@ def token_counts(
     names = schema.names
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = UnigramCounter(shared.value)
+        counter = UnigramCounter(shared.value, byte_fallback, split)
         for batch in slices(batches):
             n, unknown, score = [], [], []
             for t in batch.column(0).to_pylist():
