@@ -2,7 +2,9 @@
 
 Word counts come from the whole corpus. The most frequent words are units of
 their own, all others share units by their last bytes; exchange clustering puts
-units into classes so that neighbouring classes tell most about each other. A text's
+units into classes so that neighbouring classes tell most about each other. From
+there every word of at least ``least_count`` occurrences is exchanged by itself: its
+neighbours' classes are counted in Spark, and all words choose against one table. A text's
 probability is that of its classes, one after the other, times that of each word in
 its class.
 """
@@ -41,6 +43,8 @@ class BrownSettings:
     sweeps: int = 6
     add: float = 0.1  # to each count of a word in its class
     prior: float = 10.0  # weight of class frequencies in transitions
+    least_count: int | None = None  # words so frequent choose classes; None: units only
+    word_sweeps: int = 2
 
     @property
     def units(self) -> int:
@@ -242,14 +246,44 @@ class BrownModel:
     head: list[tuple[bytes, int]]
     least_band: int
     unit_class: np.ndarray
+    head_class: np.ndarray
     step: np.ndarray
     size: np.ndarray
     tokens: int
     whole: float
 
 
+def head_units(head: list[tuple[bytes, int]], settings: BrownSettings) -> np.ndarray:
+    unit = UnitOf([w for w, _ in head], settings)
+    return np.fromiter((unit[w] for w, _ in head), np.int64, len(head))
+
+
+def model_of(
+    settings: BrownSettings, head: list[tuple[bytes, int]], least: int, own: np.ndarray, head_class: np.ndarray,
+    table: np.ndarray, class_tokens: np.ndarray, class_types: np.ndarray, total: tuple,
+) -> BrownModel:
+    often = (class_tokens + 0.5) / (class_tokens.sum() + 0.5 * settings.classes)
+    step = (table + settings.prior * often) / (table.sum(axis=1, keepdims=True) + settings.prior)
+    return BrownModel(
+        settings, head, least, own, head_class, np.log10(step),
+        np.log10(class_tokens + settings.add * (class_types + 1)), int(total[0]),
+        float(np.log10(total[0] + 0.1 * (total[1] + 1))),
+    )
+
+
+def class_table(pairs: np.ndarray, own: np.ndarray, classes: int) -> np.ndarray:
+    table = np.zeros((classes, classes))
+    np.add.at(table, (own[:, None], own[None, :]), pairs)
+    return table
+
+
 def train(texts: DataFrame, settings: BrownSettings, folder: str) -> tuple[BrownModel, DataFrame]:
-    """The model, and the stored counts of all words, from one column of texts."""
+    """The model of units, and the stored counts of all words, from one column of texts."""
+    return train_units(texts, settings, folder)[:2]
+
+
+def train_units(texts: DataFrame, settings: BrownSettings, folder: str) -> tuple[BrownModel, DataFrame, np.ndarray, tuple]:
+    """As ``train``, with the table of classes, and tokens and distinct words in all."""
     counts = stored(word_counts(texts), f"{folder}/words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
     head, least = frequent(counts, settings.head_words)
@@ -257,81 +291,329 @@ def train(texts: DataFrame, settings: BrownSettings, folder: str) -> tuple[Brown
     pairs = bigram_counts(texts, names, settings)
     tokens, types = unit_sizes(counts, names, settings)
     own = exchange(pairs, settings.classes, settings.sweeps)
-    table = np.zeros((settings.classes, settings.classes))
-    np.add.at(table, (own[:, None], own[None, :]), pairs)
-    class_tokens = np.bincount(own, tokens, settings.classes)
-    class_types = np.bincount(own, types, settings.classes)
-    often = (class_tokens + 0.5) / (class_tokens.sum() + 0.5 * settings.classes)
-    step = (table + settings.prior * often) / (table.sum(axis=1, keepdims=True) + settings.prior)
-    model = BrownModel(
-        settings, head, least, own, np.log10(step),
-        np.log10(class_tokens + settings.add * (class_types + 1)), int(total[0]),
-        float(np.log10(total[0] + 0.1 * (total[1] + 1))),
+    table = class_table(pairs, own, settings.classes)
+    sizes = np.bincount(own, tokens, settings.classes), np.bincount(own, types, settings.classes)
+    return model_of(settings, head, least, own, own[head_units(head, settings)], table, *sizes, total), counts, table, total
+
+
+# --- Classes of single words -----------------------------------------------
+
+
+def suffix_classes(model: BrownModel) -> np.ndarray:
+    return model.unit_class[model.settings.cluster_words :]
+
+
+def rare_words(counts: DataFrame, model: BrownModel) -> DataFrame:
+    """``w, n, c`` of the words that tasks do not hold, each in the class of its suffix."""
+    by_suffix = F.array(*(F.lit(int(c)) for c in suffix_classes(model)))
+    suffix = (F.crc32(F.substring("w", -3, 3)) % model.settings.suffixes + 1).cast("int")
+    return counts.where(_band("n") < model.least_band).select("w", "n", F.element_at(by_suffix, suffix).alias("c"))
+
+
+def looked_up(coded: DataFrame, rare: DataFrame, least_count: int) -> DataFrame:
+    """``coded`` with the classes of those rare words that chose one: ``__slot, __class``."""
+    slots = coded.select("__uid", F.posexplode("__tail").alias("__at", "w"))
+    found = slots.join(rare.where(F.col("n") >= least_count), "w").groupBy("__uid").agg(
+        F.collect_list("__at").alias("__slot"), F.collect_list("c").alias("__class")
     )
-    return model, counts
+    return coded.join(found, "__uid", "left")
+
+
+class Coded:
+    """A batch of coded texts as one run of tokens: numbers, classes, and rare words."""
+
+    def __init__(self, batch: pa.RecordBatch, head_class: np.ndarray, suffix_class: np.ndarray):
+        seq, tail = batch.column("__seq"), batch.column("__tail")
+        self.sizes = seq.value_lengths().to_numpy()
+        self.flat = seq.flatten().to_numpy().astype(np.int64)
+        self.tail = tail.flatten().to_pylist()
+        first = np.cumsum(np.append(0, tail.value_lengths().to_numpy()))[:-1]
+        kind = len(suffix_class)
+        tail_class = np.fromiter((suffix_class[zlib.crc32(w[-3:]) % kind] for w in self.tail), np.int64, len(self.tail))
+        self.chose = np.zeros(len(self.tail), bool)
+        if "__slot" in batch.schema.names:
+            slot = batch.column("__slot")
+            rows = np.repeat(first, slot.value_lengths().fill_null(0).to_numpy())
+            at = rows + slot.flatten().to_numpy()
+            tail_class[at] = batch.column("__class").flatten().to_numpy()
+            self.chose[at] = True
+        self.tail_class = tail_class
+        self.in_tail = np.flatnonzero(self.flat < 0)
+        self.tail_at = np.repeat(first, self.sizes)[self.in_tail] - 1 - self.flat[self.in_tail]
+        self.classes = head_class[np.maximum(self.flat, 0)]
+        self.classes[self.in_tail] = tail_class[self.tail_at]
+
+
+def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.ndarray, classes: int) -> np.ndarray:
+    """How often one class follows another."""
+    shared = coded.sparkSession.sparkContext.broadcast((head_class, suffix_class))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_head, of_suffix = shared.value
+        total = np.zeros(classes * classes, np.int64)
+        for batch in slices(batches):
+            _add_pairs(total, np.append(of_head[0], Coded(batch, of_head, of_suffix).classes), classes)
+        pairs = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total[pairs])], names=["pair", "n"])
 
-# --- Scores ----------------------------------------------------------------
+    table = np.zeros(classes * classes)
+    for batch in _arrow_batches(coded.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))):
+        table[batch[0]] = batch[1]
+    return table.reshape(classes, classes)
+
+
+#: Frequent words whose neighbours travel in one row.
+TOGETHER = 256
+HELD_TOKENS = 2_000_000
+NEIGHBOURS = "k binary, was int, codes binary, counts binary"
+
+
+def neighbour_counts(coded: DataFrame, head_class: np.ndarray, suffix_class: np.ndarray, classes: int) -> DataFrame:
+    """Classes after and before words (``NEIGHBOURS``). Frequent words come
+    ``TOGETHER`` to a row, each rare word that chooses in one of its own."""
+    shared = coded.sparkSession.sparkContext.broadcast((head_class, suffix_class))
+    width = 2 * classes
+
+    def emit(ids: list[np.ndarray], found: list[np.ndarray], tail: dict[bytes, int], was: list[int], of_head) -> Iterator[pa.RecordBatch]:
+        n, c = np.concatenate(ids), np.concatenate(found)
+        codes = np.concatenate([n[:-1] * width + c[1:], n[1:] * width + classes + c[:-1]])
+        codes, counts = np.unique(codes[codes >= 0], return_counts=True)
+        head_end = int(np.searchsorted(codes, len(of_head) * width))
+        block = codes // width
+        block[:head_end] //= TOGETHER
+        block[head_end:] += len(of_head)  # apart from the numbers of blocks
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        names = list(tail)
+        rows = []
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(codes)]):
+            some = codes[start:end]
+            if start < head_end:
+                at = int(some[0]) // width // TOGETHER
+                key, old, some = b"h" + at.to_bytes(4, "big"), 0, some - at * TOGETHER * width
+            else:
+                at = int(some[0]) // width - len(of_head)
+                key, old, some = b"w" + names[at], was[at], some % width
+            rows.append((key, old, some.astype(np.int32).tobytes(), counts[start:end].astype(np.int64).tobytes()))
+        for at in range(0, len(rows), 20_000):
+            columns = zip(*rows[at : at + 20_000])
+            kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["k", "was", "codes", "counts"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_head, of_suffix = shared.value
+        start = np.zeros(1, np.int64), of_head[:1].astype(np.int64)
+        ids, found, tail, was, size = [start[0]], [start[1]], {}, [], 0
+        for batch in slices(batches):
+            part = Coded(batch, of_head, of_suffix)
+            number = np.full(len(part.tail), -2, np.int64)  # codes of words that do not choose are below 0
+            for i in np.flatnonzero(part.chose).tolist():
+                at = tail.setdefault(part.tail[i], len(tail))
+                if at == len(was):
+                    was.append(int(part.tail_class[i]))
+                number[i] = len(of_head) + at
+            part.flat[part.in_tail] = number[part.tail_at]
+            ids.append(part.flat)
+            found.append(part.classes)
+            size += len(part.flat)
+            if size > HELD_TOKENS:
+                yield from emit(ids, found, tail, was, of_head)
+                ids, found, tail, was, size = [start[0]], [start[1]], {}, [], 0
+        if size:
+            yield from emit(ids, found, tail, was, of_head)
+
+    return coded.mapInArrow(count, NEIGHBOURS)
+
+
+def best_classes(table: np.ndarray, counts: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """Best class of each word, all others staying; ``counts`` are those of classes
+    after it and, further right, before it. The one it has stays if equal."""
+    c = len(table)
+    right, left = counts[:, :c].astype(float), counts[:, c:].astype(float)
+    rows = np.arange(len(old))
+    gain = np.zeros((len(old), c))
+    for own, other, cells in ((right, left, table.T), (left, right, table)):
+        i, j = np.nonzero(own)
+        r = own[i, j]
+        base = cells[j]
+        base[np.arange(len(i)), old[i]] -= r
+        same = j == old[i]
+        base[same] -= other[i[same]]
+        base = np.maximum(base, 0)
+        np.add.at(gain, i, _f(base + r[:, None]) - _f(base))
+    d = np.repeat(np.diagonal(table)[None, :], len(old), 0)
+    d[rows, old] = np.maximum(d[rows, old] - right[rows, old] - left[rows, old], 0)
+    gain += _f(d + right + left) - _f(d + right) - _f(d + left) + _f(d)
+    for own, sums in ((right, table.sum(axis=1)), (left, table.sum(axis=0))):
+        n = own.sum(axis=1, keepdims=True)
+        rest = np.repeat(sums[None, :], len(old), 0)
+        rest[rows, old] -= n[:, 0]
+        rest = np.maximum(rest, 0)
+        gain -= _f(rest + n) - _f(rest)
+    best = gain.argmax(axis=1)
+    return np.where(gain[rows, best] > gain[rows, old] + 1e-9, best, old)
+
+
+def chosen_classes(neighbours: DataFrame, table: np.ndarray, head_class: np.ndarray) -> DataFrame:
+    """``h, w, c``: the class of each word, frequent ones by number, others by name."""
+    shared = neighbours.sparkSession.sparkContext.broadcast((table, head_class))
+    width = 2 * len(table)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, of_head = shared.value
+        names: list[bytes] = []
+        held: list[np.ndarray] = []
+        old: list[int] = []
+
+        def decided() -> pa.RecordBatch:
+            numbers, words_, counts, before = [], [], [], []
+            for name, count, was in zip(names, held, old):
+                if name[:1] == b"h":
+                    first = int.from_bytes(name[1:], "big") * TOGETHER
+                    own = of_head[first : first + TOGETHER]
+                    numbers += range(first, first + len(own))
+                    words_ += [None] * len(own)
+                    counts.append(count.reshape(TOGETHER, width)[: len(own)])
+                    before += own.tolist()
+                else:
+                    numbers.append(None)
+                    words_.append(name[1:])
+                    counts.append(count[None, :])
+                    before.append(was)
+            best = best_classes(cells, np.concatenate(counts), np.array(before, np.int64))
+            names.clear(), held.clear(), old.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int32()), pa.array(words_, pa.binary()), pa.array(best, pa.int32())], names=["h", "w", "c"]
+            )
 
-class HeadOf(dict):
-    """Number of a frequent word, or -1 less the suffix of another."""
+        size = 0
+        for batch in batches:
+            for key, was, codes, counts in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if not names or names[-1] != key:
+                    if size >= 2048:
+                        yield decided()
+                        size = 0
+                    n = TOGETHER if key[:1] == b"h" else 1
+                    names.append(key), old.append(was), held.append(np.zeros(n * width, np.int64))
+                    size += n
+                held[-1][np.frombuffer(codes, np.int32)] += np.frombuffer(counts, np.int64)
+        if names:
+            yield decided()
+
+    return neighbours.repartition("k").sortWithinPartitions("k").mapInArrow(choose, "h int, w binary, c int")
+
+
+def exchange_words(
+    coded: DataFrame, model: BrownModel, counts: DataFrame, table: np.ndarray, total: tuple, folder: str
+) -> tuple[BrownModel, DataFrame | None]:
+    """The model with a class chosen for each frequent enough word, and ``coded`` with
+    the classes of rare ones. A sweep that does not raise the likelihood is undone."""
+    s = model.settings
+    suffix = suffix_classes(model)
+    often = np.array([n for _, n in model.head]) >= s.least_count
+    often[0] = True  # the end
+    head_class, rare = model.head_class.astype(np.int64), stored(rare_words(counts, model), f"{folder}/rare-0")
+    any_rare = not rare.where(F.col("n") >= s.least_count).isEmpty()
+
+    def with_classes(rows: DataFrame, name: str) -> DataFrame:
+        return stored(looked_up(rows, rare, s.least_count), f"{folder}/{name}") if any_rare else rows
+
+    now = with_classes(coded, "coded-0")
+    for sweep in range(1, s.word_sweeps + 1):
+        near = neighbour_counts(now.where("__train"), head_class, suffix, s.classes)
+        chosen = stored(chosen_classes(near, table, head_class), f"{folder}/chosen-{sweep}")
+        before = head_class, rare, now, table
+        head_class = head_class.copy()
+        moved = chosen.where("h is not null").select("h", "c").toArrow()
+        at, to = moved["h"].to_numpy(), moved["c"].to_numpy()
+        head_class[at[often[at]]] = to[often[at]]
+        if any_rare:
+            new = chosen.where("h is null").select("w", F.col("c").alias("__c"))
+            rare = rare.join(new, "w", "left").select("w", "n", F.coalesce("__c", "c").alias("c"))
+            rare = stored(rare, f"{folder}/rare-{sweep}")
+        now = with_classes(coded, f"coded-{sweep}")
+        table = count_classes(now.where("__train"), head_class, suffix, s.classes)
+        if information(table) <= information(before[3]):
+            head_class, rare, now, table = before
+            break
+    numbers = np.array([n for _, n in model.head], float)
+    tokens, types = np.bincount(head_class, numbers, s.classes), np.bincount(head_class, numbers > 0, s.classes)
+    for c, n, kinds in rare.groupBy("c").agg(F.sum("n"), F.count("n")).collect():
+        tokens[c], types[c] = tokens[c] + n, types[c] + kinds
+    return model_of(s, model.head, model.least_band, model.unit_class, head_class, table, tokens, types, total), now
 
-    def __init__(self, head: list[tuple[bytes, int]], suffixes: int):
-        super().__init__((w, i) for i, (w, _) in enumerate(head))
-        self.suffixes = suffixes
 
-    def __missing__(self, word: bytes) -> int:
-        return -1 - zlib.crc32(word[-3:]) % self.suffixes
+# --- Scores ----------------------------------------------------------------
 
 
-def partly_scored(docs: DataFrame, model: BrownModel, keep: list[Column], text: str) -> DataFrame:
+def coded_texts(
+    docs: DataFrame, model: BrownModel, training: Column, keep: list[Column], text: str
+) -> DataFrame:
     """``keep`` of each row, a number of its own, what its frequent words add to the
-    scores, and its other words with how often each occurs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col(text).alias("__text"), *keep)
+    scores, and its words: numbers of frequent ones, places in ``__tail`` of others."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.head, model.settings.add))
+    source = docs.select(F.col(text).alias("__text"), *keep, F.coalesce(training, F.lit(False)).alias("__train"))
     kinds = (
-        "uid long, n_tokens long, head_known long, head_logs double, class_logs double, "
-        "tail_words array<binary>, tail_counts array<int>"
+        "__uid long, n_tokens long, __head_known long, __head_logs double, "
+        "__seq array<int>, __tail array<binary>, __tail_counts array<int>"
     )
     schema = source.drop("__text").schema
     for field in source.sparkSession.createDataFrame([], kinds).schema:
         schema = schema.add(field)
     names = schema.names
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        s = m.settings
-        number = HeadOf(m.head, s.suffixes)
-        counts = np.array([n for _, n in m.head], float)
-        logs = np.log10(counts + s.add)
-        index = np.arange(len(m.head))
-        unit = np.where(index < s.cluster_words, index, 0)
-        for i in range(s.cluster_words, len(m.head)):
-            unit[i] = s.cluster_words + zlib.crc32(m.head[i][0][-3:]) % s.suffixes
-        head_class, suffix_class = m.unit_class[unit], m.unit_class[s.cluster_words :]
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, add = shared.value
+        number = {w: i for i, (w, _) in enumerate(head)}
+        counts = np.array([n for _, n in head], float)
+        logs = np.log10(counts + add)
         uid = TaskContext.get().partitionId() << TASK_BITS
         for batch in slices(batches, 500):
             rows: list[tuple] = []
             for text in as_bytes(batch.column(0)):
                 found = words(text)
-                ids = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
-                ids = np.append(ids, number[END])
-                in_head = ids >= 0
-                classes = np.where(in_head, head_class[np.maximum(ids, 0)], suffix_class[np.where(in_head, 0, -1 - ids)])
-                before = np.append(head_class[number[END]], classes[:-1])
-                tail = Counter(found[i] for i in np.flatnonzero(~in_head).tolist())
+                ids = list(map(number.get, found))
+                tail: Counter = Counter()
+                if None in ids:
+                    places: dict[bytes, int] = {}
+                    for i, v in enumerate(ids):
+                        if v is None:
+                            ids[i] = -1 - places.setdefault(found[i], len(places))
+                            tail[found[i]] += 1
+                seq = np.array([*ids, number[END]], np.int32)
+                known = seq[seq >= 0]
                 rows.append((
-                    uid, len(ids), int((counts[ids[in_head]] > 0).sum()), float(logs[ids[in_head]].sum()),
-                    float((m.step[before, classes] - m.size[classes]).sum()), list(tail), list(tail.values()),
+                    uid, len(seq), int((counts[known] > 0).sum()), float(logs[known].sum()), seq,
+                    list(tail), list(tail.values()),
                 ))
                 uid += 1
             columns = list(zip(*rows)) if rows else [[]] * 7
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+            types = [
+                pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()),
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *(pa.array(c, t) for c, t in zip(columns, types))], names=names
             )
 
+    return source.mapInArrow(code, schema)
+
+
+def class_scores(coded: DataFrame, model: BrownModel, keep: list[str]) -> DataFrame:
+    """``keep`` of each row and what its classes add to the score."""
+    shared = coded.sparkSession.sparkContext.broadcast((model.head_class, suffix_classes(model), model.step, model.size))
+    lookups = [c for c in ("__slot", "__class") if c in coded.columns]
+    source = coded.select("__seq", "__tail", *lookups, *keep)
+    schema = coded.select(*keep).schema.add("__class_logs", "double")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_head, of_suffix, step, size = shared.value
+        for batch in slices(batches):
+            part = Coded(batch, of_head, of_suffix)
+            before = np.append(of_head[0], part.classes[:-1])
+            logs = step[before, part.classes] - size[part.classes]
+            starts = np.cumsum(part.sizes) - part.sizes
+            sums = np.add.reduceat(logs, starts) if len(starts) else logs
+            yield pa.RecordBatch.from_arrays([*batch.columns[2 + len(lookups) :], pa.array(sums)], names=schema.names)
+
     return source.mapInArrow(score, schema)
 
 
@@ -348,24 +630,28 @@ def score_texts(
     all counts are 0. Other columns are not read.
     """
     folder = folder or shared_dir(docs.sparkSession)
-    model, counts = train(docs.where(training).select(text), settings, folder)
-    partly = stored(partly_scored(docs, model, keep, text), f"{folder}/partly")
-    tail = partly.select("uid", F.explode(F.arrays_zip("tail_words", "tail_counts")).alias("t")).select(
-        "uid", F.col("t.tail_words").alias("w"), F.col("t.tail_counts").alias("m")
+    model, counts, table, total = train_units(docs.where(training).select(text), settings, folder)
+    coded = stored(coded_texts(docs, model, training, keep, text), f"{folder}/coded")
+    kept = coded.columns[: -8]
+    now = coded
+    if settings.least_count is not None:
+        model, now = exchange_words(coded, model, counts, table, total, folder)
+    scores = class_scores(now, model, [*kept, "__uid", "n_tokens", "__head_known", "__head_logs"])
+    tail = coded.select("__uid", F.explode(F.arrays_zip("__tail", "__tail_counts")).alias("t")).select(
+        "__uid", F.col("t.__tail").alias("w"), F.col("t.__tail_counts").alias("m")
     )
     rare = counts.where(_band("n") < model.least_band)
     summed = (
-        tail.join(rare, "w", "left").groupBy("uid").agg(
+        tail.join(rare, "w", "left").groupBy("__uid").agg(
             F.sum(F.col("m") * F.log10(F.coalesce("n", F.lit(0)) + settings.add)).alias("tail_logs"),
             F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("tail_known"),
         )
     )
-    logs = F.col("head_logs") + F.coalesce("tail_logs", F.lit(0.0))
-    kept = partly.columns[: -7]
-    return partly.join(summed, "uid", "left").select(
+    logs = F.col("__head_logs") + F.coalesce("tail_logs", F.lit(0.0))
+    return scores.join(summed, "__uid", "left").select(
         *kept, "n_tokens",
-        (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
+        (F.col("__head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(model.whole)).alias("base_score"),
-        (logs + F.col("class_logs")).alias("score"),
+        (logs + F.col("__class_logs")).alias("score"),
     )

@@ -101,4 +101,6 @@ def op7_viterbi_counts(spark, sf_dir):
 def op4_brown_classes(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     held_out = crc_of_id("doc_id") % 10 == 0
-    return brown_lm.score_texts(docs, ~held_out, [F.col("doc_id"), held_out.alias("held_out")])
+    return brown_lm.score_texts(
+        docs, ~held_out, [F.col("doc_id"), held_out.alias("held_out")], settings=brown_lm.BrownSettings(least_count=3)
+    )

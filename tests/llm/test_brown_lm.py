@@ -102,3 +102,64 @@ def test_exchange_finds_classes():
         pairs[b, rng.randrange(10)] += 1
     own = lm.exchange(pairs, 2, 10)
     assert len(set(own[:10])) == 1 and len(set(own[10:])) == 1 and own[0] != own[10]
+
+
+def test_best_classes_are_those_of_full_recomputation():
+    rng = np.random.default_rng(6)
+    pairs = rng.poisson(0.8, (16, 16)).astype(float)
+    np.fill_diagonal(pairs, 0)
+    own = np.arange(16) % 4
+    counts = np.zeros((16, 8))
+    for i in range(16):
+        counts[i, :4], counts[i, 4:] = np.bincount(own, pairs[i], 4), np.bincount(own, pairs[:, i], 4)
+    got = lm.best_classes(lm.class_table(pairs, own, 4), counts, own)
+    assert got.tolist() == [naive_best(pairs, own, i, 4) for i in range(16)]
+
+
+def test_rare_words_choose_their_classes(spark, tmp_path):
+    """Beyond the clustered and the broadcast words, a word goes by its neighbours, not its ending."""
+    rng = random.Random(2)
+    kinds = [[f"{k}{i:03}x{rng.randrange(900)}" for i in range(60)] for k in "ab"]
+    texts = [" ".join(rng.choice(kinds[j % 2]) for j in range(40)) for _ in range(150)]
+    docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    settings = lm.BrownSettings(head_words=30, cluster_words=10, suffixes=5, classes=3, least_count=3, word_sweeps=6)
+    model, counts, table, total = lm.train_units(docs.select("text"), settings, str(tmp_path))
+    coded = lm.stored(lm.coded_texts(docs, model, F.lit(True), [], "text"), str(tmp_path / "coded"))
+    better, now = lm.exchange_words(coded, model, counts, table, total, str(tmp_path))
+    class_of = {w: int(c) for (w, _), c in zip(model.head, better.head_class)}
+    for r in now.collect():
+        class_of |= {bytes(r["__tail"][at]): c for at, c in zip(r["__slot"] or [], r["__class"] or [])}
+    number = Counter(w for t in texts for w in t.encode().split())
+    assert {w for w, n in number.items() if n >= 3} <= set(class_of)
+    tables = np.zeros((3, 3))
+    for t in texts:
+        line = [class_of[w] for w in [b"", *t.encode().split(), b""]]
+        for a, b in zip(line, line[1:]):
+            tables[a, b] += 1
+    assert lm.information(tables) > lm.information(table)
+    assert np.allclose(np.log10((tables + 10 * _often(better, number, class_of, len(texts))) / (tables.sum(1, keepdims=True) + 10)), better.step)
+    plain = lm.score_texts(docs, F.lit(True), [F.col("doc_id")], settings=lm.BrownSettings(30, 10, 5, 3))
+    chosen = lm.score_texts(docs, F.lit(True), [F.col("doc_id")], settings=settings).collect()
+    assert sum(r["score"] for r in chosen) > sum(r["score"] for r in plain.collect())
+    for r in chosen:
+        tokens = [*texts[r["doc_id"]].encode().split(), b""]
+        line = [class_of[w] for w in [b"", *tokens]]
+        want = sum(better.step[a, b] for a, b in zip(line, line[1:]))
+        want += sum(math.log10(number.get(w, len(texts)) + 0.1) - better.size[class_of[w]] for w in tokens)
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
+
+
+def _often(model, number, class_of, ends):
+    tokens = np.zeros(3)
+    for w, n in [*number.items(), (b"", ends)]:
+        tokens[class_of[w]] += n
+    return (tokens + 0.5) / (tokens.sum() + 1.5)
+
+
+def test_word_classes_on_odd_rows(spark):
+    settings = lm.BrownSettings(head_words=40, cluster_words=15, suffixes=5, classes=4, least_count=1)
+    few = scored(frame(spark), settings).select("doc_id", "n_known", F.round("base_score", 6).alias("b")).collect()
+    many = scored(frame(spark)).select("doc_id", "n_known", F.round("base_score", 6).alias("b")).collect()
+    assert sorted(map(repr, few)) == sorted(map(repr, many))
+    assert scored(spark.createDataFrame([], DOCUMENTS), settings).count() == 0
+    assert lm.score_texts(frame(spark), F.lit(False), [F.col("doc_id")], settings=settings).count() == len(documents())
