@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import as_bytes, shared_dir, slices, stored
+from siltstone.llm.common import as_bytes, discard, shared_dir, slices, stored
 
 #: The end of a text, which no word is.
 END = b""
@@ -312,6 +312,7 @@ def rare_words(counts: DataFrame, model: BrownModel) -> DataFrame:
 
 def looked_up(coded: DataFrame, rare: DataFrame, least_count: int) -> DataFrame:
     """``coded`` with the classes of those rare words that chose one: ``__slot, __class``."""
+    coded = coded.drop("__tail_counts")
     slots = coded.select("__uid", F.posexplode("__tail").alias("__at", "w"))
     found = slots.join(rare.where(F.col("n") >= least_count), "w").groupBy("__uid").agg(
         F.collect_list("__at").alias("__slot"), F.collect_list("c").alias("__class")
@@ -330,7 +331,8 @@ class Coded:
         first = np.cumsum(np.append(0, tail.value_lengths().to_numpy()))[:-1]
         kind = len(suffix_class)
         tail_class = np.fromiter((suffix_class[zlib.crc32(w[-3:]) % kind] for w in self.tail), np.int64, len(self.tail))
-        self.chose = np.zeros(len(self.tail), bool)
+        # Before any choice was looked up, each rare word may be one that chooses.
+        self.chose = np.full(len(self.tail), "__slot" not in batch.schema.names)
         if "__slot" in batch.schema.names:
             slot = batch.column("__slot")
             rows = np.repeat(first, slot.value_lengths().fill_null(0).to_numpy())
@@ -365,6 +367,18 @@ def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.nda
 #: Frequent words whose neighbours travel in one row.
 TOGETHER = 256
 HELD_TOKENS = 2_000_000
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest takes, that width first."""
+    kind = np.min_scalar_type(numbers.max())
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def _wide(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"u{packed[0]}", offset=1).astype(np.int64)
+
+
 NEIGHBOURS = "k binary, was int, codes binary, counts binary"
 
 
@@ -393,7 +407,7 @@ def neighbour_counts(coded: DataFrame, head_class: np.ndarray, suffix_class: np.
             else:
                 at = int(some[0]) // width - len(of_head)
                 key, old, some = b"w" + names[at], was[at], some % width
-            rows.append((key, old, some.astype(np.int32).tobytes(), counts[start:end].astype(np.int64).tobytes()))
+            rows.append((key, old, _narrow(some), _narrow(counts[start:end])))
         for at in range(0, len(rows), 20_000):
             columns = zip(*rows[at : at + 20_000])
             kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary()]
@@ -495,7 +509,7 @@ def chosen_classes(neighbours: DataFrame, table: np.ndarray, head_class: np.ndar
                     n = TOGETHER if key[:1] == b"h" else 1
                     names.append(key), old.append(was), held.append(np.zeros(n * width, np.int64))
                     size += n
-                held[-1][np.frombuffer(codes, np.int32)] += np.frombuffer(counts, np.int64)
+                held[-1][_wide(codes)] += _wide(counts)
         if names:
             yield decided()
 
@@ -517,7 +531,9 @@ def exchange_words(
     def with_classes(rows: DataFrame, name: str) -> DataFrame:
         return stored(looked_up(rows, rare, s.least_count), f"{folder}/{name}") if any_rare else rows
 
-    now = with_classes(coded, "coded-0")
+    spark = coded.sparkSession
+
+    now = coded  # rare words have the classes of their suffixes as yet
     for sweep in range(1, s.word_sweeps + 1):
         near = neighbour_counts(now.where("__train"), head_class, suffix, s.classes)
         chosen = stored(chosen_classes(near, table, head_class), f"{folder}/chosen-{sweep}")
@@ -528,13 +544,18 @@ def exchange_words(
         head_class[at[often[at]]] = to[often[at]]
         if any_rare:
             new = chosen.where("h is null").select("w", F.col("c").alias("__c"))
-            rare = rare.join(new, "w", "left").select("w", "n", F.coalesce("__c", "c").alias("c"))
+            moved_to = F.when(F.col("n") >= s.least_count, F.coalesce("__c", "c")).otherwise(F.col("c"))
+            rare = rare.join(new, "w", "left").select("w", "n", moved_to.alias("c"))
             rare = stored(rare, f"{folder}/rare-{sweep}")
         now = with_classes(coded, f"coded-{sweep}")
         table = count_classes(now.where("__train"), head_class, suffix, s.classes)
         if information(table) <= information(before[3]):
             head_class, rare, now, table = before
             break
+        discard(spark, f"{folder}/chosen-{sweep}")
+        if any_rare:  # else they are still in use
+            discard(spark, f"{folder}/coded-{sweep - 1}")
+            discard(spark, f"{folder}/rare-{sweep - 1}")
     numbers = np.array([n for _, n in model.head], float)
     tokens, types = np.bincount(head_class, numbers, s.classes), np.bincount(head_class, numbers > 0, s.classes)
     for c, n, kinds in rare.groupBy("c").agg(F.sum("n"), F.count("n")).collect():

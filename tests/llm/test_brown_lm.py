@@ -163,3 +163,5 @@ def test_word_classes_on_odd_rows(spark):
     assert sorted(map(repr, few)) == sorted(map(repr, many))
     assert scored(spark.createDataFrame([], DOCUMENTS), settings).count() == 0
     assert lm.score_texts(frame(spark), F.lit(False), [F.col("doc_id")], settings=settings).count() == len(documents())
+    held = scored(frame(spark), lm.BrownSettings(cluster_words=15, suffixes=5, classes=4, least_count=2))
+    assert held.count() == len(documents())  # tasks hold all words
