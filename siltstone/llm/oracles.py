@@ -101,3 +101,78 @@ WITH vectors AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+# crc32 bit by bit; then, from the last turn to the first, the cheapest edits from each
+# state of the grammar (start, after s, after u, after a), as (cost, audit) pairs.
+ORACLES["op11_structure_repair"] = r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations
+), faults AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ord(k[i])::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+            lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 20 AS fault
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM faults
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM damaged
+), judged AS (
+    SELECT *, CASE WHEN bare = '' THEN 'b'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'd'
+        WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS pair
+    FROM placed
+), whole AS (
+    SELECT i.conv_id, count(place) AS n,
+        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+        count(*) FILTER (fault = 't') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+        list({'role': role, 'text': text, 'kind': CASE left(role, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END,
+              'fault': fault} ORDER BY place) AS turns
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS i
+    LEFT JOIN judged ON i.conv_id IS NOT DISTINCT FROM judged.conv_id
+    GROUP BY i.conv_id
+), ways AS (
+    SELECT conv_id, n AS i, turns,
+        [{'c': 0, 'a': ''}, {'c': 6, 'a': 'II'}, {'c': 3, 'a': 'I'}, {'c': 0, 'a': ''}] AS f
+    FROM whole
+    UNION ALL
+    SELECT conv_id, i - 1, turns, list_transform([1, 2, 3, 4], lambda s: list_min([
+        g[s],
+        {'c': g[[3, 3, 4, 3][s]].c + 3, 'a': 'I' || g[[3, 3, 4, 3][s]].a},
+        {'c': g[[4, 4, 3, 4][s]].c + 6, 'a': 'II' || g[[4, 4, 3, 4][s]].a},
+        {'c': g[[3, 3, 4, 3][s]].c + 9, 'a': 'III' || g[[3, 3, 4, 3][s]].a}]))
+    FROM (
+        SELECT conv_id, i, turns, list_transform([1, 2, 3, 4], lambda s: list_min([
+            {'c': f[s].c + 4, 'a': 'D' || f[s].a},
+            {'c': f[[3, 3, 4, 3][s]].c + CASE WHEN x.fault IN ('b', 'd') THEN 1000000 WHEN x.fault = 't' THEN 3 ELSE 0 END
+                + CASE WHEN x.kind = [1, 1, 2, 1][s] THEN 0 ELSE 3 END,
+             'a': CASE WHEN x.kind = [1, 1, 2, 1][s] THEN 'K' ELSE 'R' END || f[[3, 3, 4, 3][s]].a},
+            {'c': f[2].c + CASE WHEN s > 1 OR x.kind > 0 OR x.fault IN ('b', 'd') THEN 1000000 WHEN x.fault = 't' THEN 3 ELSE 0 END,
+             'a': 'K' || f[2].a}])) AS g
+        FROM (SELECT *, turns[i] AS x FROM ways WHERE i > 0)
+    )
+), edits AS (SELECT conv_id, f[1].c AS cost, f[1].a AS audit FROM ways WHERE i = 0),
+lines AS (
+    SELECT whole.conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, turns,
+        left(replace(audit, 'D', ''), 1) = 'K' AND turns[length(audit) - length(ltrim(audit, 'D')) + 1].kind = 0 AS sys
+    FROM whole JOIN edits ON whole.conv_id IS NOT DISTINCT FROM edits.conv_id
+)
+SELECT conv_id, gaps, blank, duplicate, truncated, illegal, CAST(cost AS BIGINT) AS cost, audit,
+    sha256(array_to_string(list_transform(
+        list_filter(range(1, length(audit) + 1), lambda p: audit[p] <> 'D'),
+        lambda p: CASE WHEN audit[p] = 'K' THEN turns[length(replace(audit[1:p], 'I', ''))].role
+            WHEN (length(replace(audit[1:p], 'D', '')) - CASE WHEN sys THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN audit[p] = 'I' THEN '' ELSE turns[length(replace(audit[1:p], 'I', ''))].text END
+    ), chr(10))) AS repaired_sha256
+FROM lines
+"""
