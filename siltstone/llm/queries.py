@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import brown_lm, chat_format, cover_tree, exact_dedup, language_id, mixing
-from siltstone.llm import near_dedup, packing, viterbi_counts, warc
+from siltstone.llm import near_dedup, packing, structure_repair, token_files, viterbi_counts, warc
+from siltstone.llm import whitening
 from siltstone.llm.common import crc_of_id, shared_dir, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,20 @@ def op4_brown_classes(spark, sf_dir):
     return brown_lm.score_texts(
         docs, ~held_out, [F.col("doc_id"), held_out.alias("held_out")], settings=brown_lm.BrownSettings(least_count=3)
     )
+
+
+@query
+def op11_structure_repair(spark, sf_dir):
+    return structure_repair.repaired(structure_repair.damaged(read(spark, sf_dir, "conversations")))
+
+
+@query
+def op12_orc_tokens(spark, sf_dir):
+    folder = shared_dir(spark)
+    token_files.write_tokens(read(spark, sf_dir, "documents"), folder, TOKENIZER, RANKS, 0)
+    return token_files.document_table(spark, folder)
+
+
+@query
+def op13_qdwh_whitening(spark, sf_dir):
+    return whitening.whitened_rows(read(spark, sf_dir, "embeddings"), shared_dir(spark))

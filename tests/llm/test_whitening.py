@@ -1,0 +1,124 @@
+"""Components against numpy's eigenvectors, sums against exact integers."""
+
+import math
+
+import numpy as np
+import pytest
+
+from siltstone.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def random_symmetric(rng, values):
+    q, _ = np.linalg.qr(rng.normal(size=(len(values), len(values))))
+    return q @ np.diag(values) @ q.T
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 40])
+def test_polar_factor(n):
+    rng = np.random.default_rng(n)
+    values = rng.normal(size=n)
+    a = random_symmetric(rng, values)
+    u = whitening.polar_factor(a)
+    assert np.abs(u @ u - np.eye(n)).max() < 1e-13
+    w, v = np.linalg.eigh(a)
+    assert np.abs(u - v @ np.diag(np.sign(w)) @ v.T).max() < 1e-12 / min(1, np.abs(w).min())
+
+
+def test_polar_factor_ill_conditioned():
+    rng = np.random.default_rng(0)
+    a = random_symmetric(rng, np.array([1.0, -1e-3, 1e-7, -1e-11, 5e-14]))
+    u = whitening.polar_factor(a)
+    assert np.abs(u @ u - np.eye(5)).max() < 1e-12
+
+
+CASES = {
+    "spread": np.linspace(1, 100, 30),
+    "one": np.array([3.0]),
+    "equal": np.full(12, 5.0),
+    "clusters": np.repeat([1.0, 2.0, 9.0], 7),
+    "near": 1 + 1e-9 * np.arange(20),
+    "scales": 10.0 ** np.arange(-6, 7),
+    "singular": np.array([0.0, 0, 0, 1, 2, 3]),
+    "zero": np.zeros(4),
+    "mean is a value": np.array([1.0, 2.0, 3.0, 2.0]),
+    "wide": np.random.default_rng(5).random(128),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_components(case):
+    values = CASES[case]
+    a = random_symmetric(np.random.default_rng(1), values)
+    a = (a + a.T) / 2
+    found, vectors = whitening.spectral_components(a)
+    size = max(np.abs(values).max(), 1e-300)
+    assert np.abs(vectors.T @ vectors - np.eye(len(a))).max() < 1e-13
+    assert np.abs(a @ vectors - vectors * found).max() < 1e-13 * size * len(a)
+    assert np.abs(found - np.sort(values)[::-1]).max() < 1e-13 * size * len(a)
+
+
+def plain(rows, most=16):
+    """The same result from numpy's own solver."""
+    whole = [(i, [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v]) for i, v, _ in rows
+             if v and all(c is not None and math.isfinite(c) for c in v)]
+    fit = np.array(sorted({tuple(x) for _, x in whole}), float)
+    n, sums = len(fit), [int(s) for s in fit.sum(0)]
+    mean = np.array([s / n for s in sums])
+    v = (fit - mean).T @ (fit - mean) / n
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1][:most], u[:, ::-1][:, :most]
+    out = []
+    for i, x in whole:
+        dev = sum((n * c - s) ** 2 for c, s in zip(x, sums))
+        w = (np.array(x) - mean) @ u / np.sqrt(e)
+        out += [(i, k + 1, n, dev, w[k], e[k] / np.trace(v)) for k in range(len(e))]
+    return out
+
+
+def test_rows(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    scale = np.linspace(0.2, 3, 20)
+    rows = [(i, [float(c) for c in rng.normal(size=20) * scale], 1) for i in range(400)]
+    rows += [(1000 + i, rows[7][1], 2) for i in range(300)]  # copies weigh nothing
+    rows += [(7, rows[3][1], 0), (None, rows[4][1], 0), (2000, None, 1), (2001, [None] * 20, 1),
+             (2002, [float("nan")] * 20, 1), (2003, [1.0] * 19 + [float("inf")], 1), (2004, [], 1), (2005, [1.0], 1)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS x", "2 AS n", "3 AS `a.b`", "4 AS component")
+    got = whitening.whitened_rows(df.repartition(4), str(tmp_path)).collect()
+    want = plain([r for r in rows if r[1] is None or len(r[1]) != 1])
+    assert len(got) == len(want) == 16 * 702
+
+    def key(r):
+        return (r[0] is None, r[0] or 0, r[3], r[1])
+
+    got = sorted((tuple(r) for r in got), key=key)
+    want = sorted(want, key=key)
+    signs = {}
+    for g, w in zip(got, want):
+        assert g[:4] == w[:4]
+        if abs(w[4]) > 1e-3:
+            signs.setdefault(w[1], set()).add(np.sign(g[4] * w[4]))
+        assert abs(abs(g[4]) - abs(w[4])) < 1e-9
+        assert abs(g[5] - w[5]) < 1e-12 and g[6] < 1e-9
+    assert all(len(s) == 1 for s in signs.values())
+
+
+def test_few_and_equal_vectors(spark, tmp_path):
+    none = spark.createDataFrame([], SCHEMA)
+    assert whitening.whitened_rows(none, f"{tmp_path}/a").collect() == []
+    same = spark.createDataFrame([(i, [1.0, 2.0], 0) for i in range(5)], SCHEMA)
+    assert whitening.whitened_rows(same, f"{tmp_path}/b").collect() == []
+    line = spark.createDataFrame([(i, [float(i), 2.0 * i, 0.0], 0) for i in range(5)], SCHEMA)
+    got = whitening.whitened_rows(line, f"{tmp_path}/c").collect()
+    assert len(got) == 5 and {r.component for r in got} == {1} and got[0].explained == pytest.approx(1)
+    assert sorted(abs(r.whitened) for r in got) == pytest.approx([0, 2**-0.5, 2**-0.5, 2**0.5, 2**0.5])
+
+
+def test_large_entries_stay_exact(spark, tmp_path):
+    rows = [(i, [float(v), -float(v) / 3], 0) for i, v in enumerate([1e9, -2e9, 3e8, 1e38, 5.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = whitening.whitened_rows(df, str(tmp_path)).collect()
+    assert {r.vec_id for r in got} == set(range(5)) and all(r.n == 5 for r in got)
+    assert all(r.deviation is None or r.deviation > 0 for r in got)
+    assert all(math.isfinite(r.whitened) for r in got)
