@@ -115,8 +115,8 @@ def op11_structure_repair(spark, sf_dir):
 @query
 def op12_orc_tokens(spark, sf_dir):
     folder = shared_dir(spark)
-    token_files.write_tokens(read(spark, sf_dir, "documents"), folder, TOKENIZER, RANKS, 0)
-    return token_files.document_table(spark, folder)
+    token_files.write_tokens(read(spark, sf_dir, "documents"), f"{folder}/tokens", TOKENIZER, RANKS, 0)
+    return token_files.document_table(spark, f"{folder}/tokens", f"{folder}/digests")
 
 
 @query

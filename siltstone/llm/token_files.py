@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import plain_names, slices
+from siltstone.llm.common import plain_names, slices, stored
 from siltstone.llm.packing import FastTokenizer
 
 #: Rows of the input that one file is planned for.
@@ -29,8 +29,8 @@ STRIPE_BYTES = 16 << 20
 #: Rows per index entry and per Bloom filter.
 GROUP_ROWS = 1000
 FALSE_POSITIVES = 0.01
-#: Ids per row at most.
-ROW_IDS = 8192
+#: Ids per row at most: bounds what readers hold, as Spark hands rows on by the thousand.
+ROW_IDS = 1024
 #: ``start`` counts the ids before the document within its file, ``at`` those before the
 #: row within its document; ``n`` is the length of ``ids``, for readers that want no ids.
 FILE_DDL = "file bigint, doc_id bigint, start bigint, at bigint, last boolean, n int, ids array<int>"
@@ -143,8 +143,8 @@ def row_digests(rows: DataFrame) -> DataFrame:
     )
 
 
-def document_digests(rows: DataFrame) -> DataFrame:
-    """``file, doc_id, start, n_tokens, ids_crc32`` of each document in rows of the files.
+def document_digests(digests: DataFrame) -> DataFrame:
+    """``file, doc_id, start, n_tokens, ids_crc32`` of each document from ``row_digests``.
 
     Only documents of several rows are brought together, and of those no ids.
     """
@@ -159,7 +159,6 @@ def document_digests(rows: DataFrame) -> DataFrame:
 
         return parts.map(whole)
 
-    digests = row_digests(rows)
     in_one = (F.col("at") == 0) & F.col("last")
     short = digests.where(in_one).select(
         "file", "doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32")
@@ -183,11 +182,16 @@ def file_offsets(spark: SparkSession, path: str) -> DataFrame:
     return totals.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
 
 
-def document_table(spark: SparkSession, path: str, wanted: Column | None = None) -> DataFrame:
+def document_table(spark: SparkSession, path: str, folder: str, wanted: Column | None = None) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, or of those that ``wanted``
-    (a condition on ``doc_id``) names; ``start`` counts the ids of all documents before."""
+    (a condition on ``doc_id``) names; ``start`` counts the ids of all documents before.
+
+    The files are read once: a few numbers per row are set down in ``folder``, which
+    must not exist.
+    """
     rows = read_tokens(spark, path)
-    found = document_digests(rows if wanted is None else rows.where(wanted))
+    digests = stored(row_digests(rows if wanted is None else rows.where(wanted)), folder)
+    found = document_digests(digests)
     return found.join(file_offsets(spark, path), "file").select(
         "doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -42,7 +42,7 @@ def test_round_trip(spark, tmp_path, file_rows, row_ids):
     df = frame(spark)
     path = str(tmp_path / "tokens")
     token_files.write_tokens(df, path, TOKENIZER, RANKS, 0, file_rows=file_rows, row_ids=row_ids)
-    got = token_files.document_table(spark, path).collect()
+    got = token_files.document_table(spark, path, f"{path}-digests").collect()
     want = expected(in_order(df))
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
     back = token_files.read_tokens(spark, path)
@@ -57,7 +57,7 @@ def test_hot_id_fills_several_files(spark, tmp_path):
     df = frame(spark, rows)
     path = str(tmp_path / "tokens")
     token_files.write_tokens(df, path, TOKENIZER, RANKS, 0, file_rows=50)
-    got = token_files.document_table(spark, path).collect()
+    got = token_files.document_table(spark, path, f"{path}-digests").collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == expected(in_order(df))
     files = token_files.read_tokens(spark, path).where("doc_id = 5").select("file").distinct().count()
     assert files >= 3
@@ -94,17 +94,17 @@ def test_metadata_pruning_and_stripes(spark, tmp_path):
         files = glob.glob(f"{path}/*.orc")
         assert all(orc.ORCFile(f).nstripes > 1 for f in files)
         assert back.rdd.getNumPartitions() > 2 * len(files)
-        got = token_files.document_table(spark, path)
+        got = token_files.document_table(spark, path, f"{path}-digests")
         assert got.count() == 30_000
         assert sorted(map(tuple, got.where("doc_id < 30").collect())) == expected(
             [(r[0], r[1]) for r in rows[:10]])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", held)
-    some = token_files.document_table(spark, path, F.col("doc_id").isin(3, 2997, 89_997)).collect()
+    some = token_files.document_table(spark, path, f"{path}-some", F.col("doc_id").isin(3, 2997, 89_997)).collect()
     assert {r.doc_id for r in some} == {3, 2997, 89_997}
 
 
 def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "tokens")
     token_files.write_tokens(spark.createDataFrame([], DOCUMENTS), path, TOKENIZER, RANKS, 0)
-    assert token_files.document_table(spark, path).collect() == []
+    assert token_files.document_table(spark, path, f"{path}-digests").collect() == []
