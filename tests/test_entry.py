@@ -10,7 +10,7 @@ import pytest
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def names(folder, before=""):
+def names(folder, before="pass"):
     code = f"import sys; {before}; import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
     run = subprocess.run(
         [sys.executable, "-c", code], cwd=folder, capture_output=True, text=True, timeout=120,
