@@ -51,20 +51,18 @@ def round_half_away(value: str) -> str:
 
 def time(v: str, kind: str) -> str:
     """Epoch seconds from an integer, a float or integer text."""
-    return f"""CASE
-        WHEN {kind} = 'BIGINT' THEN {_read(v, 'bigint')}
+    odd = f"""CASE
         WHEN {kind} = 'STRING' THEN {integer_text(_read(v, 'string'))}
         WHEN {kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL')
             THEN {round_half_away(_read(v, 'double'))}
     END"""
+    return f"CASE WHEN {kind} = 'BIGINT' THEN {_read(v, 'bigint')} ELSE {ids.seldom(odd)} END"
 
 
 def score(v: str, kind: str) -> str:
     """Integer or integer text; floats and booleans do not fit."""
-    return f"""CASE
-        WHEN {kind} = 'BIGINT' THEN {_read(v, 'bigint')}
-        WHEN {kind} = 'STRING' THEN {integer_text(_read(v, 'string'))}
-    END"""
+    odd = f"CASE WHEN {kind} = 'STRING' THEN {integer_text(_read(v, 'string'))} END"
+    return f"CASE WHEN {kind} = 'BIGINT' THEN {_read(v, 'bigint')} ELSE {ids.seldom(odd)} END"
 
 
 def reference(value: str, v: str, kind: str) -> str:
@@ -75,7 +73,7 @@ def reference(value: str, v: str, kind: str) -> str:
     """
     return f"""CASE
         WHEN {kind} = 'STRING' THEN {ids.ref_from_text(value)}
-        WHEN {kind} = 'BIGINT' THEN {ids.ref_from_int(_read(v, 'bigint'))}
+        WHEN {kind} = 'BIGINT' THEN {ids.seldom(ids.ref_from_int(_read(v, 'bigint')))}
     END"""
 
 

@@ -77,8 +77,15 @@ def _spellings(letter: str) -> str:
 
 
 def _phrase_pattern(phrase: list[str]) -> str:
-    """Regular expression for the original spellings of a run of tokens."""
-    words = ["".join(f"[{_spellings(c)}][{MARKS}]*" for c in token) for token in phrase]
+    """Regular expression for the original spellings of a run of tokens.
+
+    A token that ends in ``*`` stands for all that it begins.
+    """
+    words = [
+        "".join(f"[{_spellings(c)}][{MARKS}]*" for c in token.rstrip("*"))
+        + (rf"(?:{TOKEN_CLASS}|[{MARKS}])*" if token.endswith("*") else "")
+        for token in phrase
+    ]
     return rf"(?:(?!{TOKEN_CLASS}).)+".join(words)
 
 

@@ -2,28 +2,54 @@
 
 Layout under the index path:
 
-* ``postings/buckets=B/batch=N/term_bucket=K``: term, field, doc_id, pos, doc_len,
-  sorted by term, so that a term reads one bucket and a few pages of its files;
+* ``postings/buckets=B/batch=N/term_bucket=K``: a row per term, field and document with
+  the sorted positions, sorted by term, so that a term reads one bucket and a few pages
+  of its files. B goes with the size of the batch, so small batches make few files;
+* ``terms/buckets=B/batch=N``: the batch's terms as a sorted dictionary, which tells the
+  buckets of a prefix and the number of documents of a term;
+* ``bounds/batch=N``: per frequent term and block of documents the largest frequency
+  and share of a document, which bound the rank of the block's documents;
 * ``docs/batch=N/id_range=R``: doc_id, doc_len; a batch counts once this part is complete;
+* ``facts/batch=N``: an empty file whose name tells the size of the batch;
 * ``removed/batch=N``: doc_ids whose older postings no longer count, once batch N is
   complete;
+* ``replaces/batch=N/M``: empty files: batch N holds what was live of batch M, which no
+  longer counts once batch N is complete;
 * ``covers_table``: there while the index holds every row of its table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import tokens
-from siltstone.operators import store
+from siltstone.operators import store, term_dictionary
+from siltstone.operators.term_dictionary import is_prefix
 from siltstone.workspace import child_names, delete_path, path_exists, touch_path
 
 DEFAULT_BUCKETS = 256
+# Documents per bucket of a batch, until there are as many buckets as the index may have.
+BUCKET_DOCS = 1024
+# Small pages let searches skip documents of a frequent term.
+PAGE_ROWS = 2048
+# Documents per block, on average, and from how many documents on a term has bounds.
+BLOCK_DOCS = 128
+BOUNDED_DOCS = 1024
+# So many batches of one size are merged into one; batches beyond the last size are not.
+MERGE_BATCHES = 4
+MERGED_DOCS = 1 << 24
+# The bucket of the rows that stand for documents, until these are written.
+DOC_BUCKET = -1
+
 _POSTING_DDL = (
-    "term string, field string, doc_id bigint, pos int, doc_len int, "
-    "buckets int, batch int, term_bucket int"
+    "term string, field string, doc_id bigint, block bigint, first boolean, tf int, "
+    "positions array<int>, doc_len int, buckets int, batch int, term_bucket int"
 )
+_TERM_DDL = term_dictionary.BLOCK_DDL + ", buckets int, batch int"
+_BOUND_DDL = "term string, block bigint, field string, most int, densest double, batch int"
 _DOC_DDL = "doc_id bigint, doc_len int, batch int, id_range int"
 _REMOVED_DDL = "doc_id bigint, batch int"
 
@@ -57,6 +83,49 @@ def postings_of(rows: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame
     )
 
 
+def entries_of(
+    rows: DataFrame, key: str, fields: tuple[str, ...], with_docs: bool = False
+) -> DataFrame:
+    """One row per term, field and document: term, field, doc_id, first, tf, positions, doc_len.
+
+    ``first`` marks the first field of a document that holds the term, so those rows
+    count documents. Grouped within the document's own row: no shuffle. ``with_docs``
+    adds a row without a term for each document.
+    """
+    cut = tokenized(rows, key, fields)
+    places = [
+        f"transform(`_t_{f}`, (t, i) -> named_struct('term', t, 'field', {n}, 'pos', i))"
+        for n, f in enumerate(fields)
+    ]
+    placed = places[0] if len(places) == 1 else f"concat({', '.join(places)})"
+    names = ", ".join(f"'{f}'" for f in fields)
+    # Each step names what the next one uses more than once. Equal terms of a field lie
+    # together in ``_all``; ``_starts`` has where each such run begins.
+    found = """transform(_starts, (s, k) -> named_struct(
+        'term', _all[s].term, 'field', get(_names, _all[s].field),
+        'first', s = 0 OR _all[s].term <> _all[s - 1].term,
+        'positions', transform(
+            slice(_all, s + 1, coalesce(get(_starts, k + 1), size(_all)) - s), x -> x.pos)))"""
+    if with_docs:
+        # A field's value, not a literal, keeps the array's elements of one type.
+        document = """array(named_struct('term', cast(NULL AS string), 'field', cast(NULL AS string),
+            'first', false, 'positions', cast(array() AS array<int>)))"""
+        found = f"concat({found}, {document})"
+    return (
+        cut.selectExpr("doc_id", "doc_len", f"sort_array({placed}) AS _all")
+        .selectExpr(
+            "doc_id", "doc_len", "_all", f"array({names}) AS _names",
+            """CASE WHEN size(_all) = 0 THEN cast(array() AS array<int>) ELSE filter(
+                sequence(0, size(_all) - 1), i -> i = 0 OR _all[i].term <> _all[i - 1].term
+                OR _all[i].field <> _all[i - 1].field) END AS _starts""",
+        )
+        .selectExpr("doc_id", "doc_len", f"inline({found})")
+        .selectExpr(
+            "term", "field", "doc_id", "first", "size(positions) AS tf", "positions", "doc_len"
+        )
+    )
+
+
 def docs_of(rows: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
     """One row per document: doc_id, doc_len."""
     return tokenized(rows, key, fields).select("doc_id", "doc_len")
@@ -80,12 +149,27 @@ def term_bucket(term: Column, buckets: Column | int) -> Column:
     return F.pmod(F.crc32(term.cast("binary")), buckets).cast("int")
 
 
+def block_bounds() -> list[Column]:
+    """Aggregates of a block's postings: largest frequency and largest share of a document."""
+    return [F.max("tf").alias("most"), F.max(F.col("tf") / F.col("doc_len")).alias("densest")]
+
+
+@dataclass(frozen=True)
+class BatchFacts:
+    """What the name of a batch's facts file tells."""
+
+    docs: int
+    tokens: int
+
+
 class TextIndex:
     """Index of ``fields`` of a table keyed by the BIGINT column ``key``.
 
     One writer at a time. Batches are numbered from the complete ones found on
     disk, so work left by a crashed writer is ignored by readers and overwritten
-    by the next writer.
+    by the next writer. Small batches are merged as they come, ``MERGE_BATCHES`` of one
+    size at a time, so their number grows with the logarithm of the documents; what a
+    merge has replaced is deleted by the next write, for searches that still read it.
     """
 
     def __init__(
@@ -100,18 +184,45 @@ class TextIndex:
         self.path = path.rstrip("/")
         self.key = key
         self.fields = tuple(fields)
-        found = [n for n in child_names(spark, f"{self.path}/postings") if n.startswith("buckets=")]
-        self.buckets = int(found[0].partition("=")[2]) if found else buckets
+        self.buckets = buckets
 
-    def _last_batch(self) -> int:
-        names = child_names(self.spark, f"{self.path}/docs")
+    # --- what is there -----------------------------------------------------------
+
+    def _numbers(self, part: str) -> list[int]:
+        names = child_names(self.spark, f"{self.path}/{part}")
+        return [int(n.partition("=")[2]) for n in names if n.startswith("batch=")]
+
+    def _complete(self) -> list[int]:
         done = [
-            int(n.partition("=")[2])
-            for n in names
-            if n.startswith("batch=")
-            and path_exists(self.spark, f"{self.path}/docs/{n}/_SUCCESS")
+            n for n in self._numbers("docs")
+            if path_exists(self.spark, f"{self.path}/docs/batch={n}/_SUCCESS")
         ]
-        return max(done, default=-1)
+        return sorted(done)
+
+    def _last_batch(self) -> int:
+        return max(self._complete(), default=-1)
+
+    def _replaced(self, complete: list[int]) -> set[int]:
+        """Batches whose content a complete batch holds."""
+        by = [n for n in self._numbers("replaces") if n in complete]
+        return {
+            int(name) for n in by for name in child_names(self.spark, f"{self.path}/replaces/batch={n}")
+        }
+
+    def batches(self) -> list[int]:
+        """Numbers of the batches that count."""
+        complete = self._complete()
+        return sorted(set(complete) - self._replaced(complete))
+
+    def _facts(self, batch: int) -> BatchFacts:
+        for name in child_names(self.spark, f"{self.path}/facts/batch={batch}"):
+            docs, _, length = name.removeprefix("docs-").partition("-tokens-")
+            return BatchFacts(int(docs), int(length))
+        # A writer that fell between the batch and its facts.
+        row = self._read("docs", _DOC_DDL).where(F.col("batch") == batch).agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("doc_len"), F.lit(0))
+        ).first()
+        return BatchFacts(row[0], row[1])
 
     def _read(self, part: str, ddl: str) -> DataFrame:
         path = f"{self.path}/{part}"
@@ -119,24 +230,89 @@ class TextIndex:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).option("basePath", path).parquet(path)
 
+    def _has_removed(self) -> bool:
+        return path_exists(self.spark, f"{self.path}/removed")
+
     def _live(self, rows: DataFrame) -> DataFrame:
-        complete = F.col("batch") <= self._last_batch()
-        rows = rows.where(complete)
-        if not path_exists(self.spark, f"{self.path}/removed"):
+        complete = self._complete()
+        alive = sorted(set(complete) - self._replaced(complete))
+        rows = rows.where(F.col("batch").isin(alive))
+        if not self._has_removed():
             return rows
-        removed = self._read("removed", _REMOVED_DDL).where(complete).groupBy("doc_id").agg(
-            F.max("batch").alias("_removed")
-        )
+        removed = self._read("removed", _REMOVED_DDL).where(
+            F.col("batch") <= max(complete, default=-1)
+        ).groupBy("doc_id").agg(F.max("batch").alias("_removed"))
         dead = (rows["doc_id"] == removed["doc_id"]) & (rows["batch"] < removed["_removed"])
         return rows.join(removed, dead, "left_anti")
 
+    def entries(self, searched: list[str] | None = None) -> DataFrame:
+        """Current postings, a row per term, field and document.
+
+        ``searched`` are query tokens, those that end in ``*`` standing for all terms
+        they begin: then only the buckets that hold such a term are read. The rows
+        still have to be filtered by term.
+        """
+        rows = self._read("postings", _POSTING_DDL).where(F.col("term_bucket") > DOC_BUCKET)
+        if searched is not None:
+            rows = rows.where(self._homes(searched))
+        return self._live(rows)
+
+    def _homes(self, searched: list[str]) -> Column:
+        """Condition on the folders that hold a term of one of the tokens."""
+        exact = sorted({t for t in searched if not is_prefix(t)})
+        homes = F.col("term_bucket").isin([term_bucket(F.lit(t), F.col("buckets")) for t in exact])
+        prefixes = sorted({t for t in searched if is_prefix(t)})
+        if not prefixes:
+            return homes if exact else F.lit(False)
+        # A pair per folder at most, however many terms start with the prefix.
+        found = self.lookup(prefixes).select(
+            "buckets", "batch", term_bucket(F.col("term"), F.col("buckets")).alias("home")
+        ).distinct().collect()
+        condition = homes if exact else F.lit(False)
+        by_batch: dict[tuple[int, int], list[int]] = {}
+        for row in found:
+            by_batch.setdefault((row["buckets"], row["batch"]), []).append(row["home"])
+        for (buckets, batch), folders in sorted(by_batch.items()):
+            condition = condition | (
+                (F.col("buckets") == buckets) & (F.col("batch") == batch)
+                & F.col("term_bucket").isin(sorted(folders))
+            )
+        return condition
+
+    def lookup(self, searched: list[str]) -> DataFrame:
+        """Dictionary rows of the terms that match: buckets, batch, term, docs, field_docs.
+
+        A row per batch; documents removed since it was written are still counted.
+        """
+        terms = self._read("terms", _TERM_DDL).where(F.col("batch").isin(self.batches()))
+        return term_dictionary.lookup(terms, searched, ["buckets", "batch"])
+
     def postings(self) -> DataFrame:
-        """Current postings; ``term_bucket`` and ``buckets`` let searches prune."""
-        return self._live(self._read("postings", _POSTING_DDL))
+        """Current postings, a row per occurrence: term, field, doc_id, pos, doc_len, and
+        the folder columns, which let searches prune."""
+        return self.entries().select(
+            "term", "field", "doc_id", F.explode("positions").alias("pos"), "doc_len",
+            "buckets", "batch", "term_bucket",
+        )
 
     def docs(self) -> DataFrame:
         return self._live(self._read("docs", _DOC_DDL))
 
+    def bounds(self, terms: list[str]) -> DataFrame:
+        """Bounds of the frequent ones of ``terms``: a row per batch, term, block and field."""
+        return self._read("bounds", _BOUND_DDL).where(
+            F.col("term").isin(sorted(set(terms))) & F.col("batch").isin(self.batches())
+        )
+
+    def corpus(self) -> tuple[int, int]:
+        """Number of documents and of their tokens; from the batches' facts where nothing
+        was removed."""
+        if self._has_removed():
+            row = self.docs().agg(F.count(F.lit(1)), F.coalesce(F.sum("doc_len"), F.lit(0))).first()
+            return row[0], row[1]
+        facts = [self._facts(n) for n in self.batches()]
+        return sum(f.docs for f in facts), sum(f.tokens for f in facts)
+
     def covers(self) -> bool:
         """Whether the index is known to hold every row of its table.
 
@@ -154,39 +330,157 @@ class TextIndex:
     def cover(self) -> None:
         touch_path(self.spark, f"{self.path}/covers_table")
 
-    def _begin(self) -> int:
-        """The next batch's number, with all that a crashed writer left under it removed."""
-        batch = self._last_batch() + 1
-        for part in (f"postings/buckets={self.buckets}", "docs", "removed"):
+    # --- writing -------------------------------------------------------------------
+
+    _PARTS = ("docs", "bounds", "facts", "replaces", "removed")
+    _BUCKETED = ("postings", "terms")
+
+    def _delete_batch(self, batch: int, parts: tuple[str, ...]) -> None:
+        for part in parts:
             delete_path(self.spark, f"{self.path}/{part}/batch={batch}")
+        for part in self._BUCKETED:
+            for folder in child_names(self.spark, f"{self.path}/{part}"):
+                delete_path(self.spark, f"{self.path}/{part}/{folder}/batch={batch}")
+
+    def _begin(self) -> int:
+        """The next batch's number, with all that a crashed writer left under it removed,
+        and what earlier merges have replaced."""
+        complete = self._complete()
+        batch = max(complete, default=-1) + 1
+        self._delete_batch(batch, self._PARTS)
+        replaced = self._replaced(complete)
+        for old in sorted(replaced):
+            # Older ones first, so that none comes back. What a batch has removed from
+            # older batches stays removed.
+            self._delete_batch(old, ("docs", "bounds", "facts", "replaces"))
+        alive = set(complete) - replaced
+        for n in self._numbers("removed"):
+            if not any(b < n for b in alive):
+                delete_path(self.spark, f"{self.path}/removed/batch={n}")
+        if self._has_removed() and not self._numbers("removed"):
+            delete_path(self.spark, f"{self.path}/removed")
         return batch
 
     def _write_removed(self, ids: DataFrame, batch: int) -> None:
         ids.toDF("doc_id").distinct().write.parquet(f"{self.path}/removed/batch={batch}")
 
     def _write(self, rows: DataFrame, batch: int) -> None:
-        """Postings, then docs, which complete the batch."""
-        bucketed = postings_of(rows, self.key, self.fields).withColumn(
-            "term_bucket", term_bucket(F.col("term"), self.buckets)
-        )
+        """Index rows as a batch. Text is cut once."""
+        size = self._size(rows, self.key)
+        self._write_entries(entries_of(rows, self.key, self.fields, with_docs=True), size, batch)
+        self._merge_small()
+
+    @staticmethod
+    def _size(rows: DataFrame, key: str) -> tuple[int, int, int]:
+        """Number of documents, least and largest id."""
+        return tuple(rows.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first())
+
+    def _write_entries(self, entries: DataFrame, size: tuple[int, int, int], batch: int) -> None:
+        """Postings, what is derived from them, then docs, which complete the batch.
+
+        ``entries`` has a row without a term for each document. ``size`` is the number
+        of documents and their least and largest id.
+        """
+        n, least, largest = size
+        if not n:
+            self._write_no_docs(batch)
+            return
+        buckets = min(self.buckets, 1 << max(0, (n - 1) // BUCKET_DOCS).bit_length())
+        ids_per_block = BLOCK_DOCS * ((largest or 0) - (least or 0) + 1) // n
+        bits = max(0, ids_per_block.bit_length() - 1)
+        home = F.when(F.col("term").isNull(), DOC_BUCKET).otherwise(term_bucket(F.col("term"), buckets))
+        path = f"{self.path}/postings/buckets={buckets}/batch={batch}"
         # Rebalancing groups each bucket and lets AQE cut the bucket of a very
         # frequent term into several evenly sized files.
         (
-            bucketed.hint("rebalance", "term_bucket")
-            .sortWithinPartitions("term_bucket", "term", "field", "doc_id", "pos")
+            entries.select(
+                "term", "field", "doc_id", F.shiftright("doc_id", bits).alias("block"), "first",
+                "tf", "positions", "doc_len", home.alias("term_bucket"),
+            )
+            .hint("rebalance", "term_bucket")
+            .sortWithinPartitions("term_bucket", "term", "field", "doc_id")
             .write.mode("overwrite")
+            .option("parquet.page.row.count.limit", PAGE_ROWS)
             .partitionBy("term_bucket")
-            .parquet(f"{self.path}/postings/buckets={self.buckets}/batch={batch}")
+            .parquet(path)
+        )
+        written = self.spark.read.schema(_POSTING_DDL.partition(", buckets")[0] + ", term_bucket int").parquet(path)
+        real = written.where(F.col("term_bucket") > DOC_BUCKET)
+        terms = term_dictionary.blocks_of(real, self.fields)
+        terms_path = f"{self.path}/terms/buckets={buckets}/batch={batch}"
+        terms.write.mode("overwrite").parquet(terms_path)
+        if n >= BOUNDED_DOCS:
+            self._write_bounds(real, f"{self.path}/bounds/batch={batch}")
+        self._write_docs(
+            written.where(F.col("term_bucket") == DOC_BUCKET).select("doc_id", "doc_len"), batch
         )
+        delete_path(self.spark, f"{path}/term_bucket={DOC_BUCKET}")
+
+    def _write_bounds(self, entries: DataFrame, path: str) -> None:
+        """Per block and field, for terms that many documents hold. Small: a row stands for
+        the postings of a block."""
+        blocks = entries.groupBy("term", "block", "field").agg(*block_bounds())
+        frequent = entries.where("first").groupBy("term").count().where(F.col("count") >= BOUNDED_DOCS)
+        (
+            blocks.join(frequent, "term", "left_semi")
+            .select("term", "block", "field", "most", "densest")
+            .sortWithinPartitions("term", "block")
+            .write.mode("overwrite").parquet(path)
+        )
+
+    def _write_docs(self, docs: DataFrame, batch: int) -> None:
+        seen = Observation()
         (
-            docs_of(rows, self.key, self.fields)
-            .withColumn("id_range", store.id_range(F.col("doc_id")))
+            docs.withColumn("id_range", store.id_range(F.col("doc_id")))
             .hint("rebalance", "id_range")
             .sortWithinPartitions("id_range", "doc_id")
+            .observe(seen, F.count(F.lit(1)).alias("docs"), F.sum("doc_len").alias("tokens"))
             .write.mode("overwrite")
             .partitionBy("id_range")
             .parquet(f"{self.path}/docs/batch={batch}")
         )
+        self._write_facts(batch, seen.get["docs"], seen.get["tokens"])
+
+    def _write_no_docs(self, batch: int) -> None:
+        empty = self.spark.createDataFrame([], "doc_id bigint, doc_len int, id_range int")
+        empty.write.mode("overwrite").partitionBy("id_range").parquet(f"{self.path}/docs/batch={batch}")
+        self._write_facts(batch, 0, 0)
+
+    def _write_facts(self, batch: int, docs: int, length: int) -> None:
+        touch_path(self.spark, f"{self.path}/facts/batch={batch}/docs-{docs}-tokens-{length}")
+
+    def _merge_small(self) -> None:
+        """Merge batches of about one size, while there are ``MERGE_BATCHES`` of them.
+
+        The merged batch counts when it is complete, and from then on the others do not.
+        """
+        while True:
+            tiers: dict[int, list[int]] = {}
+            for n in self.batches():
+                docs = self._facts(n).docs
+                if 0 < docs <= MERGED_DOCS:
+                    tiers.setdefault(docs.bit_length() // 2, []).append(n)
+            full = [t for t in sorted(tiers) if len(tiers[t]) >= MERGE_BATCHES]
+            if not full:
+                return
+            # Smaller ones come along: they would only wait for the next merge.
+            self._merge([n for t in tiers if t <= full[0] for n in tiers[t]])
+
+    def _merge(self, numbers: list[int]) -> None:
+        within = F.col("batch").isin(numbers)
+        docs = self.docs().where(within).select("doc_id", "doc_len")
+        size = self._size(docs, "doc_id")
+        columns = ["term", "field", "doc_id", "first", "tf", "positions", "doc_len"]
+        entries = self.entries().where(within).select(*columns).unionByName(
+            docs.select("doc_id", "doc_len", F.lit(0).alias("tf"), F.lit(False).alias("first")),
+            allowMissingColumns=True,
+        )
+        complete = self._complete()
+        batch = max(complete) + 1
+        self._delete_batch(batch, self._PARTS)
+        for n in numbers:
+            touch_path(self.spark, f"{self.path}/replaces/batch={batch}/{n}")
+        self._write_entries(entries, size, batch)
 
     def add_missing(self, table: DataFrame, ranges: list[int] | None = None) -> None:
         """Index the rows of ``table`` the index does not hold yet.
@@ -198,16 +492,17 @@ class TextIndex:
         if ranges is not None:
             table = table.where(F.col("id_range").isin(ranges))
             docs = docs.where(F.col("id_range").isin(ranges))
-        known = docs.select(F.col("doc_id").alias(self.key))
-        missing = table.select(self.key, *self.fields).join(known, self.key, "left_anti")
+        missing = table.select(self.key, *self.fields)
+        if self.batches():
+            known = docs.select(F.col("doc_id").alias(self.key))
+            missing = missing.join(known, self.key, "left_anti")
         self._write(missing, self._begin())
 
     def remove(self, ids: DataFrame) -> None:
         """Forget documents; ``ids`` has one column. Counts as a whole or not at all."""
         batch = self._begin()
         self._write_removed(ids, batch)
-        empty = self.spark.createDataFrame([], "doc_id bigint, doc_len int, id_range int")
-        empty.write.partitionBy("id_range").parquet(f"{self.path}/docs/batch={batch}")
+        self._write_no_docs(batch)
 
     def replace(self, rows: DataFrame) -> None:
         """Index new versions of documents in place of the old ones, all of them or none."""
@@ -223,21 +518,10 @@ class TextIndex:
 
     def compact(self, path: str) -> TextIndex:
         """Write the current content as a fresh single-batch index at ``path``."""
-        target = f"{path.rstrip('/')}/postings/buckets={self.buckets}/batch=0"
-        (
-            self.postings()
-            .drop("buckets", "batch")
-            .hint("rebalance", "term_bucket")
-            .sortWithinPartitions("term_bucket", "term", "field", "doc_id", "pos")
-            .write.partitionBy("term_bucket")
-            .parquet(target)
-        )
-        (
-            self.docs()
-            .drop("batch")
-            .hint("rebalance", "id_range")
-            .sortWithinPartitions("id_range", "doc_id")
-            .write.partitionBy("id_range")
-            .parquet(f"{path.rstrip('/')}/docs/batch=0")
-        )
-        return TextIndex(self.spark, path, self.key, self.fields, self.buckets)
+        fresh = TextIndex(self.spark, path, self.key, self.fields, self.buckets)
+        docs = self.docs().select("doc_id", "doc_len")
+        size = self._size(docs, "doc_id")
+        entries = self.entries().select("term", "field", "doc_id", "first", "tf", "positions", "doc_len")
+        documents = docs.select("doc_id", "doc_len", F.lit(0).alias("tf"), F.lit(False).alias("first"))
+        fresh._write_entries(entries.unionByName(documents, allowMissingColumns=True), size, 0)
+        return fresh
