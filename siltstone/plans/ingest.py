@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,9 @@ class IngestCounts:
     kept: int
     stored: int
 
+    def __add__(self, other: IngestCounts) -> IngestCounts:
+        return IngestCounts(*(a + b for a, b in zip(astuple(self), astuple(other))))
+
 
 def table_path(out: str, entity: Entity) -> str:
     return f"{out.rstrip('/')}/{entity.name}"
@@ -60,6 +63,7 @@ def _staged_schema(entity: Entity) -> T.StructType:
 
 
 UNWANTED = "not wanted"
+STATUSES = ("kept", "filtered", "rejected")
 
 
 def unparsed_where_unwanted(lines: DataFrame, spec: FilterSpec) -> DataFrame:
@@ -150,13 +154,14 @@ def ingest_lines(
     if not report_rejects:
         lines = unparsed_where_unwanted(lines, spec)
     rows = judged(lines, entity, spec, on_bad_id, files_only=not report_rejects)
-    staged_path = work_dir(spark)
+    staged_path, seen = work_dir(spark), Observation()
+    counted = [F.count(F.when(F.col("status") == s, 1)).alias(s) for s in STATUSES]
     try:
-        # Filtered rows are written too, as all NULLs, so that counting the staged
-        # rows gives exact totals however often a task was retried.
-        rows.selectExpr(
+        # Counted as they are written: the write's own tasks count, each once, however
+        # often it was retried. Filtered rows need no writing then.
+        rows.observe(seen, *counted).where("status <> 'filtered'").selectExpr(
             "status",
-            "if(status = 'filtered', NULL, file_path) AS file_path",
+            "file_path",
             "if(status = 'kept', line_hash, NULL) AS line_hash",
             "if(status = 'rejected', cast(value AS binary), NULL) AS value",
             "if(status = 'rejected', reason, NULL) AS reason",
@@ -164,7 +169,7 @@ def ingest_lines(
         ).write.partitionBy("status").parquet(staged_path)
         return _append_staged(
             spark, staged_path, out, entity, build_index, index_buckets, report_rejects,
-            batch or uuid.uuid4().hex,
+            batch or uuid.uuid4().hex, {s: seen.get[s] for s in STATUSES},
         )
     finally:
         delete_path(spark, staged_path)
@@ -172,14 +177,13 @@ def ingest_lines(
 
 def _append_staged(
     spark: SparkSession, staged_path: str, out: str, entity: Entity,
-    build_index: bool, index_buckets: int, report_rejects: bool, batch: str,
+    build_index: bool, index_buckets: int, report_rejects: bool, batch: str, tally: dict[str, int],
 ) -> IngestCounts:
     """Move judged rows from the work folder to the tables."""
     path = table_path(out, entity)
     store.create_table(spark, path, entity)
     staged = spark.read.schema(_staged_schema(entity)).parquet(staged_path)
-    tally = {r["status"]: r["count"] for r in staged.groupBy("status").count().collect()}
-    kept_count, rejected_count = tally.get("kept", 0), tally.get("rejected", 0)
+    kept_count, rejected_count = tally["kept"], tally["rejected"]
 
     if rejected_count:
         refused = staged.where("status = 'rejected'")
@@ -187,7 +191,7 @@ def _append_staged(
             refused = refused.where("value IS NULL")
         write_rejects(refused.withColumn("value", F.col("value").cast("string")), out, entity, batch)
 
-    stored, ranges = 0, []
+    stored, spans = 0, {}
     index = TextIndex(
         spark, index_path(out, entity), entity.key, entity.text_fields, index_buckets
     )
@@ -195,18 +199,18 @@ def _append_staged(
     if kept_count:
         index.uncover()
         kept = staged.where("status = 'kept'")
-        ranges = store.touched_ranges(kept, entity.key)
-        stored = store.append(spark, kept, path, entity, ["file_path", "line_hash"], ranges)
+        spans = store.touched_spans(kept, entity.key)
+        stored = store.append(spark, kept, path, entity, ["file_path", "line_hash"], spans)
     if build_index and (stored or not covered):
         # When all older rows are indexed, only the ranges of this batch need comparing.
         table = store.read_table(spark, path, entity)
         if not covered:
             index.drop_absent(table)
-        index.add_missing(table, ranges if covered else None)
+        index.add_missing(table, sorted(spans) if covered and spans is not None else None)
     if (build_index or covered) and not (stored and not build_index):
         index.cover()
     return IngestCounts(
-        sum(tally.values()), rejected_count, tally.get("filtered", 0), kept_count, stored
+        sum(tally.values()), rejected_count, tally["filtered"], kept_count, stored
     )
 
 
@@ -237,12 +241,24 @@ def update_stored(spark: SparkSession, out: str, entity: Entity, rows: DataFrame
     covered = index is not None and index.covers()
     if index is not None:
         index.uncover()
-    changed = store.update(spark, table_path(out, entity), entity, rows)
-    if index is not None:
-        index.replace(changed.select(entity.key, *entity.text_fields))
+    changed_path = work_dir(spark)
+    try:
+        changed = store.update(spark, table_path(out, entity), entity, rows, changed_path)
+        if index is not None:
+            index.replace(changed.select(entity.key, *entity.text_fields))
+        count = changed.count()
+    finally:
+        delete_path(spark, changed_path)
     if covered:
         index.cover()
-    return changed.count()
+    return count
+
+
+def read_filtered(spark: SparkSession, out: str, entity: Entity, spec: FilterSpec) -> DataFrame:
+    """Stored rows that pass the filter; its time bounds skip id ranges."""
+    path = table_path(out, entity)
+    rows = store.read_between(spark, path, entity, spec.min_datetime, spec.max_datetime)
+    return filters.apply_filter(rows, spec)
 
 
 def _existing_index(spark: SparkSession, out: str, entity: Entity) -> TextIndex | None:

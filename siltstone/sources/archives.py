@@ -14,11 +14,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.sources import decoders
+from siltstone.sources import blocks, decoders
 from siltstone.workspace import hadoop_path
 
 # The decoders travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(decoders)
+cloudpickle.register_pickle_by_value(blocks)
 
 # Accepted file extensions, compared case-sensitively.
 SPARK_CODECS = ("gz", "bz2")
@@ -32,6 +33,10 @@ _BINARY_DDL = "file_path string, value binary, error string"
 EXPANSION = 8
 SPREAD_BYTES = 128 << 20
 MOST_PER_CORE = 4
+# Compressed bytes of a part of an xz or zst file; larger where there would be too many
+# parts for the driver to list.
+PART_BYTES = SPREAD_BYTES // EXPANSION
+MOST_PARTS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -167,31 +172,65 @@ def unread_files(files: list[ArchiveFile]) -> list[tuple[str, None, str]]:
     ]
 
 
-def read_lines(
+def list_parts(spark: SparkSession, files: list[ArchiveFile]) -> list[blocks.Part]:
+    """The parts of the xz and zst files among ``files`` that have several, by path and place.
+
+    Looked up in tasks: an xz file's index is at its end, a zst file without a seek table
+    is read through, but not decoded.
+    """
+    large = [f for f in files if f.extension in TASK_CODECS and f.size > PART_BYTES]
+    if not large:
+        return []
+    part_bytes = max(PART_BYTES, sum(f.size for f in large) // MOST_PARTS)
+    paths = spark.createDataFrame([(f.path,) for f in large], "path string").repartition(
+        min(len(large), MOST_PER_CORE * spark.sparkContext.defaultParallelism)
+    )
+    rows = paths.mapInArrow(blocks.part_lister(part_bytes), blocks.PART_DDL).where(
+        F.col("start") != blocks.WHOLE
+    )
+    return sorted(blocks.Part(*r) for r in rows.collect())
+
+
+def part_lines(spark: SparkSession, parts: list[blocks.Part]) -> DataFrame:
+    """Lines of some parts, at most a few parts to a task."""
+    most = MOST_PER_CORE * spark.sparkContext.defaultParallelism
+    frame = spark.createDataFrame([tuple(p) for p in parts], blocks.PART_DDL)
+    # By position: the parts of one file must not fall into one task by chance.
+    dealt = spread(frame.coalesce(1), min(len(parts), most))
+    return dealt.mapInArrow(blocks.part_reader, _BINARY_DDL).select(
+        "file_path", F.col("value").cast("string").alias("value"), "error"
+    )
+
+
+def read_files(
     spark: SparkSession,
-    directory: str,
+    files: list[ArchiveFile],
     on_damage: str = "fail",
     spread_over: int | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    parts: list[blocks.Part] | None = None,
+    errors: list[tuple[str, None, str]] = (),
 ) -> DataFrame:
-    """All lines of the gz, bz2, xz and zst files directly inside ``directory``.
+    """All lines of some archives with known extensions, as ``read_lines`` gives them.
 
-    Files with another extension and files that cannot be opened become error
-    rows. Damage fails the job, or with ``on_damage="keep"`` ends its file with an
-    error row after the lines before it. ``spread_over`` forces the number of
-    partitions unsplittable files are dealt over; by default it is decided from the
-    file sizes. ``prepare`` is applied to lines before they are dealt out.
+    ``parts`` are read besides; by default those of the large files among ``files``.
+    ``errors`` are rows to be added.
     """
     fail = _check_mode(on_damage)
     prepare = prepare or (lambda lines: lines)
-    files = list_archives(spark, directory)
-    errors = unread_files(files)
-    known = [f for f in files if f.extension in SPARK_CODECS + TASK_CODECS]
+    errors = list(errors)
     # Spark hides some names, and cannot report damage or files that vanish; tasks
     # read those by path.
-    by_path = {f for f in known if hidden(f.path) or not fail}
-    by_spark = [f for f in known if f.extension in SPARK_CODECS and f not in by_path]
-    by_task = [f for f in known if f.extension in TASK_CODECS and f not in by_path]
+    by_path = {f for f in files if hidden(f.path) or not fail}
+    by_spark = [f for f in files if f.extension in SPARK_CODECS and f not in by_path]
+    by_task = [f for f in files if f.extension in TASK_CODECS and f not in by_path]
+    if by_task or parts:
+        require_decoders()
+    if parts is None:
+        parts = list_parts(spark, by_task)
+        in_parts = {p.path for p in parts}
+        by_task = [f for f in by_task if f.path not in in_parts]
+        files = [f for f in files if f.path not in in_parts]
     bad = _unopenable(spark, by_spark)
     errors += bad
     skipped = {path for path, _, _ in bad}
@@ -209,9 +248,11 @@ def read_lines(
         whole.append(task_lines(paths.repartition(tasks), on_damage))
     if found := [f.path for f in by_spark if f.extension == "bz2"]:
         split.append(text_lines(spark_text(spark.read).load(found)))
+    if parts:
+        split.append(part_lines(spark, parts))
 
     partitions = spread_over or spread_partitions(
-        [f for f in known if f.extension in UNSPLITTABLE], spark.sparkContext.defaultParallelism
+        [f for f in files if f.extension in UNSPLITTABLE], spark.sparkContext.defaultParallelism
     )
     if whole and partitions:
         whole = [spread(prepare(reduce(DataFrame.unionAll, whole)), partitions)]
@@ -221,3 +262,58 @@ def read_lines(
     if errors or not frames:
         frames.append(spark.createDataFrame(errors, LINE_DDL))
     return reduce(DataFrame.unionAll, frames)
+
+
+def known_files(files: list[ArchiveFile]) -> list[ArchiveFile]:
+    return [f for f in files if f.extension in SPARK_CODECS + TASK_CODECS]
+
+
+def read_lines(
+    spark: SparkSession,
+    directory: str,
+    on_damage: str = "fail",
+    spread_over: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """All lines of the gz, bz2, xz and zst files directly inside ``directory``.
+
+    Files with another extension and files that cannot be opened become error
+    rows. Damage fails the job, or with ``on_damage="keep"`` ends its file with an
+    error row after the lines before it. Large xz and zst files of several blocks or
+    frames are read in parts where damage fails the job; otherwise a file is one task.
+    ``spread_over`` forces the number of partitions that the lines of files read as a
+    whole are dealt over; by default it is decided from the file sizes. ``prepare`` is
+    applied to lines before they are dealt out.
+    """
+    _check_mode(on_damage)
+    files = list_archives(spark, directory)
+    return read_files(
+        spark, known_files(files), on_damage, spread_over, prepare, errors=unread_files(files)
+    )
+
+
+def rounds(
+    spark: SparkSession, files: list[ArchiveFile], on_damage: str, most_bytes: int | None
+) -> list[tuple[list[ArchiveFile], list[blocks.Part]]]:
+    """Files, and parts of large ones, in turns of about ``most_bytes`` compressed bytes.
+
+    By path and place, so the same files give the same rounds. A file of one block is
+    never cut.
+    """
+    whole = sorted(files, key=lambda f: f.path)
+    if most_bytes is None:
+        return [(whole, None)]
+    fail = _check_mode(on_damage)
+    parts = list_parts(spark, [f for f in whole if fail and not hidden(f.path)])
+    by_path: dict[str, list[blocks.Part]] = {}
+    for part in parts:
+        by_path.setdefault(part.path, []).append(part)
+    out, size = [([], [])], 0
+    for file in whole:
+        for piece in by_path.get(file.path, [file]):
+            if size and size + piece.size > most_bytes:
+                out.append(([], []))
+                size = 0
+            out[-1][isinstance(piece, blocks.Part)].append(piece)
+            size += piece.size
+    return out

@@ -21,6 +21,7 @@ import pyarrow as pa
 
 BATCH_BYTES = 4 << 20
 XZ_READ_BYTES = 1 << 20
+XZ_OUT_BYTES = 4 << 20
 # zstd input is fed in small pieces because one piece may expand a lot.
 ZSTD_READ_BYTES = 64 << 10
 # Fixed value: largest accepted zstd window, 2**31 bytes.
@@ -55,12 +56,28 @@ def open_file(uri: str):
 
 
 def xz_chunks(stream) -> Iterator[bytes]:
+    """All streams of an xz file, padding between and after them passed over."""
+    decoder, ended, piece = None, False, b""
     try:
-        with lzma.LZMAFile(stream) as decoded:
-            while chunk := decoded.read1(XZ_READ_BYTES):
-                yield chunk
-    except (lzma.LZMAError, EOFError) as e:
+        while True:
+            if not piece and (decoder is None or decoder.needs_input):
+                piece = stream.read(XZ_READ_BYTES)
+                if not piece:
+                    break
+            if decoder is None:
+                piece = piece.lstrip(b"\0") if ended else piece
+                if not piece:
+                    continue
+                decoder = lzma.LZMADecompressor(lzma.FORMAT_XZ)
+            out, piece = decoder.decompress(piece, XZ_OUT_BYTES), b""
+            if out:
+                yield out
+            if decoder.eof:
+                decoder, ended, piece = None, True, decoder.unused_data
+    except lzma.LZMAError as e:
         raise DamagedFile(str(e)) from e
+    if decoder is not None:
+        raise DamagedFile("ends early")
 
 
 def _members(stream, new, failure: type[Exception] | tuple) -> Iterator[bytes]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,44 +17,30 @@ from siltstone.schema import Entity
 from siltstone.sources.archives import (
     SPARK_CODECS,
     TASK_CODECS,
+    ArchiveFile,
     hidden,
     list_archives,
-    spark_text,
-    task_lines,
-    text_lines,
+    read_files,
+    rounds,
     unread_files,
 )
-from siltstone.workspace import path_exists
+from siltstone.workspace import path_exists, touch_path
 
 # Fixed value: the columns of Spark's binaryFile source.
 _BINARY_FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _files(reader, extensions: tuple[str, ...], max_files: int | None):
-    reader = reader.option("pathGlobFilter", "*.{" + ",".join(extensions) + "}")
+def stream_files(
+    spark: SparkSession, directory: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The archives in ``directory`` as a streaming (path, length); nothing of them is read."""
+    reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE_DDL)
+    reader = reader.option("pathGlobFilter", "*.{" + ",".join(SPARK_CODECS + TASK_CODECS) + "}")
     # By default files much older than the newest are ignored; archives keep old dates.
     reader = reader.option("maxFileAge", "36500d")
-    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
-
-
-def stream_lines(
-    spark: SparkSession,
-    directory: str,
-    on_damage: str = "fail",
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """Lines of the archives in ``directory`` as a streaming (file_path, value, error).
-
-    As in a batch, gz and bz2 are Spark's where damage fails the job, and read in
-    tasks, which report it, with ``on_damage="keep"``.
-    """
-    files = spark.readStream.format("binaryFile").schema(_BINARY_FILE_DDL)
-    if on_damage == "keep":
-        paths = _files(files, SPARK_CODECS + TASK_CODECS, max_files_per_trigger)
-        return task_lines(paths.load(directory), on_damage)
-    text = _files(spark_text(spark.readStream), SPARK_CODECS, max_files_per_trigger)
-    paths = _files(files, TASK_CODECS, max_files_per_trigger)
-    return text_lines(text.load(directory)).unionAll(task_lines(paths.load(directory), on_damage))
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(directory).select("path", "length")
 
 
 def report_unread(spark: SparkSession, directory: str, out: str, entity: Entity) -> int:
@@ -92,6 +79,7 @@ def start_ingest(
     on_damage: str = "fail",
     index_buckets: int = DEFAULT_BUCKETS,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_round: int | None = None,
     on_batch: Callable[[int, IngestCounts], None] | None = None,
 ) -> StreamingQuery:
     """Start a query that ingests everything new in ``directory`` and then stops.
@@ -100,26 +88,51 @@ def start_ingest(
     named by the query's id and the batch's number, so a batch that is run again
     replaces its own, and queries do not replace each other's.
 
-    ``checkpoint`` remembers the files already taken. Each micro-batch runs the
-    batch job's append, which adds unseen ids only, so a batch that is run again
-    after a failure changes nothing. No streaming state is kept: duplicates are
-    found against the table, however old. One writer per table.
+    ``checkpoint`` remembers the files already taken. Files of a micro-batch are read
+    like those of a batch, so a large xz or zst file is many tasks. With
+    ``max_bytes_per_round`` (compressed bytes) a micro-batch is taken in rounds, which may
+    end within such a file; rounds that are done are marked under the checkpoint, so a
+    restart goes on behind them. Each round runs the batch job's append, which adds unseen
+    ids only, so one that is run again after a failure changes nothing. No streaming state
+    is kept: duplicates are found against the table, however old. One writer per table.
+
+    ``on_batch`` gets the number of a micro-batch and the counts of the rounds run now.
     """
 
     def take(batch: DataFrame, number: int) -> None:
-        counts = ingest_lines(
-            batch.sparkSession, batch, out, entity, spec,
-            build_index=build_index, on_bad_id=on_bad_id, index_buckets=index_buckets,
-            batch=f"stream-{_query_id(batch.sparkSession, checkpoint)}-{number}",
-        )
+        session = batch.sparkSession
+        files = [
+            ArchiveFile(r["path"], r["path"].rpartition(".")[2], r["length"]) for r in batch.collect()
+        ]
+        delivery = f"stream-{_query_id(session, checkpoint)}-{number}"
+        counts = []
+        turns = rounds(session, files, on_damage, max_bytes_per_round)
+        for turn, (whole, parts) in enumerate(turns):
+            name = delivery if len(turns) == 1 else f"{delivery}-{turn}"
+            done = f"{checkpoint.rstrip('/')}/rounds/{number}/{_named(whole, parts)}"
+            if len(turns) > 1 and path_exists(session, done):
+                continue
+            counts.append(ingest_lines(
+                session, read_files(session, whole, on_damage, parts=parts), out, entity, spec,
+                build_index=build_index, on_bad_id=on_bad_id, index_buckets=index_buckets,
+                batch=name,
+            ))
+            if len(turns) > 1:
+                touch_path(session, done)
         if on_batch is not None:
-            on_batch(number, counts)
+            on_batch(number, reduce(lambda a, b: a + b, counts, IngestCounts(0, 0, 0, 0, 0)))
 
     report_unread(spark, directory, out, entity)
-    lines = stream_lines(spark, directory, on_damage, max_files_per_trigger)
     return (
-        lines.writeStream.foreachBatch(take)
+        stream_files(spark, directory, max_files_per_trigger)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _named(files: list[ArchiveFile], parts: list | None) -> str:
+    """A name for what a round reads: rounds cut otherwise have other names."""
+    what = [[f.path, f.size] for f in files] + [list(p) for p in parts or []]
+    return hashlib.sha256(json.dumps(what).encode()).hexdigest()[:24]
