@@ -349,4 +349,35 @@ ORACLES: dict[str, str] = {
         (SELECT {_KEY} AS decoded_reddit_id, role AS author, text AS body,
             {_TOKEN_LIST.format('text')} AS toks FROM conversations)
         WHERE {_has('the')}""",
+    **{
+        name: f"""SELECT decoded_reddit_id, author, subreddit, body, score, created_utc
+            FROM {_EVENT_ROWS}"""
+        for name in ("source_split_xz", "source_split_zstd")
+    },
+    "source_line_ends": f"""SELECT reason, count(*) AS n, min(id) AS least FROM (
+            SELECT CASE WHEN k = 2 THEN 'invalid utf-8' END AS reason,
+                CASE WHEN k <> 2 THEN decoded_reddit_id END AS id
+            FROM (SELECT decoded_reddit_id, CAST(regexp_extract(body, '([0-9]+)', 1) AS BIGINT) % 4 AS k
+                FROM {_EVENT_ROWS}))
+        GROUP BY reason""",
+    "source_directory_check": "SELECT 'line' AS what, count(*) AS n, 2 AS refused FROM events",
+    "filter_inverted_warns": f"""SELECT 'score' AS bounds, count(*) AS kept, 2 AS warned
+        FROM {_DOCS} WHERE score IS NULL""",
+    "key_is_decoded": f"""SELECT {_KEY} AS decoded_reddit_id, {_base36(_KEY)} AS reddit_id, text AS body
+        FROM conversations""",
+    "table_time_range": f"""SELECT decoded_reddit_id, author, score, created_utc FROM {_EVENT_ROWS}
+        WHERE created_utc BETWEEN epoch(TIMESTAMP '2024-01-10 00:00:00')
+            AND epoch(TIMESTAMP '2024-01-20 12:30:00') AND score <= 60""",
+    "stream_large_file": f"""SELECT decoded_reddit_id, author, subreddit, body, created_utc
+        FROM {_EVENT_ROWS}""",
+    "fts_phrase_prefix": f"""SELECT DISTINCT a.doc_id FROM {_POSTINGS} a JOIN {_POSTINGS} b
+        ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.term = 'de' AND starts_with(b.term, 'l')""",
+    "fts_index_prefix": f"""SELECT doc_id FROM {_DOC_TOKENS}
+        WHERE len(list_filter(toks, lambda t: starts_with(t, 'para'))) > 0""",
+    "fts_index_topk": _bm25([["que"], ["para"]], False) + " ORDER BY rank, doc_id LIMIT 20",
+    "fts_index_merge": _TERM_COUNTS.format(f"SELECT term, doc_id FROM {_POSTINGS}"),
+    "fts_submissions": f"""SELECT doc_id + 3000000000 AS decoded_reddit_id,
+            'about ' || source || ' ' || lang AS title
+        FROM (SELECT *, {_TOKEN_LIST.format("'about ' || source || ' ' || lang")} AS words FROM {_DOC_TOKENS})
+        WHERE list_contains(words, 'src1') OR {_has('nicht')}""",
 }

@@ -28,7 +28,7 @@ from siltstone.schema import (
     SUBREDDIT_TYPES,
     SUGGESTED_SORTS,
 )
-from siltstone.sources.archives import read_lines
+from siltstone.sources.archives import list_archives, read_lines
 from siltstone.streaming.incremental import start_ingest
 from siltstone.workspace import child_names, rename_path, work_dir
 
@@ -69,6 +69,21 @@ def filter_inverted_bounds(spark, sf):
     return filters.apply_filter(document_records(spark, sf), spec).select("doc_id", "score")
 
 
+@query
+def filter_inverted_warns(spark, sf):
+    import warnings
+
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        dates = FilterSpec(min_datetime=2_000_000_000, max_datetime=0)
+        scores = FilterSpec(min_score=1, max_score=0)
+    late = filters.apply_filter(event_records(spark, sf), dates).select(F.lit("datetime").alias("bounds"))
+    unscored = filters.apply_filter(document_records(spark, sf), scores).select(F.lit("score"))
+    return late.unionAll(unscored).groupBy("bounds").agg(F.count(F.lit(1)).alias("kept")).withColumn(
+        "warned", F.lit(len(told))
+    )
+
+
 @query
 def filter_datetime_range(spark, sf):
     spec = FilterSpec(min_datetime="2024-01-10-00:00:00", max_datetime="2024-01-20-12:30:00")
@@ -341,6 +356,10 @@ def submission_normalize(spark, sf):
     ).withColumn("author_flair_template_id", F.lower(F.hex("author_flair_template_id")))
 
 
+# The number in each event's props, which picks a variant.
+NUMBER = r"""cast(regexp_extract(value, r'k\W+: ([0-9]+)', 1) AS int) AS number"""
+
+
 def _broken_lines(spark, sf) -> DataFrame:
     """Event lines, most of them broken in one of several ways."""
     broken = _variants(
@@ -356,9 +375,7 @@ def _broken_lines(spark, sf) -> DataFrame:
         """replace(value, '"edited":false', '"edited":false,"edited":false')""",
         """regexp_replace(value, '"id":"[0-9a-z]+"', '"id":"invalid!@#"')""",
     )
-    # The number in each event's props picks the way.
-    number = r"""cast(regexp_extract(value, r'k\W+: ([0-9]+)', 1) AS int) AS number"""
-    lines = samples.event_lines(spark, sf).selectExpr("*", number)
+    lines = samples.event_lines(spark, sf).selectExpr("*", NUMBER)
     return lines.selectExpr("file_path", f"{broken} AS value", "error")
 
 
@@ -401,6 +418,19 @@ def insert_twice(spark, sf):
     return stored.select("decoded_reddit_id", "reddit_id", "author", "body", "created_utc")
 
 
+@query
+def key_is_decoded(spark, sf):
+    out = work_dir(spark)
+    lines = samples.conversation_lines(spark, sf)
+    jobs.ingest_lines(spark, lines, out, COMMENT)
+    found = r"""regexp_extract(value, '"id":"([0-9a-z]+)"', 1)"""
+    for spelled in (f"upper({found})", f"concat('00', {found})"):
+        again = f"""replace(replace(value, concat('"id":"', {found}), concat('"id":"', {spelled})),
+            '"body":"', '"body":"again ')"""
+        jobs.ingest_lines(spark, lines.selectExpr("file_path", f"{again} AS value", "error"), out, COMMENT)
+    return _stored_comments(spark, out).select("decoded_reddit_id", "reddit_id", "body")
+
+
 @query
 def point_lookup(spark, sf):
     found = store.lookup(_conversation_table(spark, sf), 45000007001)
@@ -475,6 +505,54 @@ def source_zstd(spark, sf):
     return _round_trip(spark, sf, "zstd")
 
 
+def _split_trip(spark, sf, codec: str) -> DataFrame:
+    """Events in archives of many small blocks, read in parts, a few blocks each."""
+    directory = work_dir(spark)
+    samples.write_archives(samples.event_lines(spark, sf), directory, codec, block_bytes=50_000)
+    read = read_lines(spark, directory, part_bytes=8_000).where("error is null")
+    return normalize.normalize(read, COMMENT).where("reason is null").select(
+        "decoded_reddit_id", "author", "subreddit", "body", "score", "created_utc"
+    )
+
+
+@query
+def source_split_xz(spark, sf):
+    return _split_trip(spark, sf, "xz")
+
+
+@query
+def source_split_zstd(spark, sf):
+    return _split_trip(spark, sf, "zstd")
+
+
+@query
+def source_line_ends(spark, sf):
+    directory = work_dir(spark)
+    ended = _variants(
+        "number", "value", "concat(value, '\\r')", "concat(value, cast(X'FF' AS string))",
+        "concat('\\u2028', value)",
+    )
+    lines = samples.event_lines(spark, sf).selectExpr("*", NUMBER).selectExpr(f"{ended} AS value")
+    samples.write_archives(lines, directory, "gzip")
+    rows = normalize.normalize(read_lines(spark, directory), COMMENT)
+    return rows.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.min("decoded_reddit_id").alias("least")
+    )
+
+
+@query
+def source_directory_check(spark, sf):
+    directory = work_dir(spark)
+    samples.write_archives(samples.event_lines(spark, sf), directory, "gzip")
+    refused = 0
+    for path in (f"{directory}/missing", f"{directory}/{child_names(spark, directory)[0]}"):
+        try:
+            read_lines(spark, path)
+        except ValueError:
+            refused += 1
+    return _lines_and_errors(read_lines(spark, directory)).withColumn("refused", F.lit(refused))
+
+
 @query
 def source_mixed(spark, sf):
     rows = _round_trip(spark, sf, "gzip", "bzip2", "xz", "zstd")
@@ -486,11 +564,8 @@ def source_mixed(spark, sf):
 @query
 def source_skips(spark, sf):
     directory = work_dir(spark)
-    lines = samples.event_lines(spark, sf).select("value")
-    samples.write_archives(lines, directory, "gzip")
-    lines.coalesce(1).write.mode("append").option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).text(directory)
+    samples.write_archives(samples.event_lines(spark, sf), directory, "gzip")
+    _plain_files(spark, directory, 1)
     read = read_lines(spark, directory)
     return read.groupBy(F.coalesce("error", F.lit("line")).alias("what")).agg(
         F.count(F.lit(1)).alias("n")
@@ -503,10 +578,11 @@ def _lines_and_errors(read: DataFrame) -> DataFrame:
     return read.groupBy(what.alias("what")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _four_archives(spark, sf, directory: str, damage: bytes = b"") -> None:
-    """Events as four gz files, if asked for with damage behind the last line."""
-    lines = samples.event_lines(spark, sf).select("value").repartition(4)
-    samples.write_archives(lines, directory, "gzip" if not damage else "gz", damage)
+def _plain_files(spark, directory: str, n: int) -> None:
+    """A number of small text files that are no archives."""
+    spark.range(0, n, 1, n).selectExpr("concat('no archive ', id) AS value").write.mode("append").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).text(directory)
 
 
 def _renamed(spark, directory: str, prefix: str = "", suffix: str = "") -> None:
@@ -518,25 +594,28 @@ def _renamed(spark, directory: str, prefix: str = "", suffix: str = "") -> None:
 @query
 def source_hidden(spark, sf):
     directory = work_dir(spark)
-    _four_archives(spark, sf, directory)
+    lines = samples.event_lines(spark, sf)
+    samples.write_archives(lines, directory, "gzip")
     _renamed(spark, directory, prefix="_")
-    _four_archives(spark, sf, directory)
+    samples.write_archives(lines, directory, "gzip")
     return _lines_and_errors(read_lines(spark, directory))
 
 
 @query
 def source_damaged_keep(spark, sf):
     directory = work_dir(spark)
-    _four_archives(spark, sf, directory, b"junk behind the archive")
+    samples.write_archives(samples.event_lines(spark, sf), directory, "gzip")
+    # Four archives without a line, and with something behind their end.
+    none = spark.range(0, 4, 1, 4).where("id < 0").selectExpr("cast(id AS string) AS value")
+    samples.write_archives(none, directory, "gz", b"junk behind the archive")
     return _lines_and_errors(read_lines(spark, directory, on_damage="keep"))
 
 
 def _with_unopenable(spark, sf, directory: str) -> None:
-    """Four good archives and four files with a gz name that are none."""
-    lines = samples.event_lines(spark, sf).select("value").repartition(4)
-    lines.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(directory)
+    """Good archives and four files with a gz name that are none."""
+    _plain_files(spark, directory, 4)
     _renamed(spark, directory, suffix=".gz")
-    _four_archives(spark, sf, directory)
+    samples.write_archives(samples.event_lines(spark, sf), directory, "gzip")
 
 
 @query
@@ -633,6 +712,15 @@ def _stored_comments(spark, out: str) -> DataFrame:
     return store.read_table(spark, jobs.table_path(out, COMMENT), COMMENT)
 
 
+@query
+def table_time_range(spark, sf):
+    spec = FilterSpec(
+        min_datetime="2024-01-10-00:00:00", max_datetime="2024-01-20-12:30:00", max_score=60,
+    )
+    found = jobs.read_filtered(spark, _event_table(spark, sf), COMMENT, spec)
+    return found.select("decoded_reddit_id", "author", "score", "created_utc")
+
+
 @query
 def table_delete(spark, sf):
     out = _event_table(spark, sf)
@@ -665,7 +753,7 @@ def fts_follows_changes(spark, sf):
     )
     jobs.ingest_lines(spark, late, out, COMMENT, build_index=True, index_buckets=16)
     index = text_index.TextIndex(spark, jobs.index_path(out, COMMENT), COMMENT.key, ("body",))
-    return _by_term(index.postings())
+    return _by_term(index.entries())
 
 
 @query
@@ -682,6 +770,21 @@ def stream_ingest(spark, sf):
     return stored.select("decoded_reddit_id", "author", "subreddit", "body", "created_utc")
 
 
+@query
+def stream_large_file(spark, sf):
+    root = work_dir(spark)
+    lines = samples.event_lines(spark, sf)
+    samples.write_archives(lines.coalesce(1), f"{root}/in", "xz", block_bytes=100_000)
+    files = list_archives(spark, f"{root}/in")
+    start_ingest(
+        spark, f"{root}/in", f"{root}/out", COMMENT, f"{root}/checkpoint",
+        max_bytes_per_round=1 + sum(f.size for f in files) // 3,
+    ).awaitTermination()
+    return _stored_comments(spark, f"{root}/out").select(
+        "decoded_reddit_id", "author", "subreddit", "body", "created_utc"
+    )
+
+
 # --- Full text -------------------------------------------------------------
 
 TALK_KEY = "conv_id * 1000 + turn"
@@ -698,7 +801,7 @@ def _documents(spark, sf) -> DataFrame:
 
 
 def _postings(spark, sf) -> DataFrame:
-    return text_index.postings_of(_documents(spark, sf), "doc_id", ("text",))
+    return text_index.entries_of(_documents(spark, sf), "doc_id", ("text",))
 
 
 @query
@@ -764,6 +867,11 @@ def fts_phrase(spark, sf):
     return text_search.phrase_docs(_postings(spark, sf), query_tokens(spark, "of THE"))
 
 
+@query
+def fts_phrase_prefix(spark, sf):
+    return text_search.phrase_docs(_postings(spark, sf), ["de", "l*"])
+
+
 @query
 def fts_near(spark, sf):
     return text_search.near_docs(_postings(spark, sf), [["que"], ["de", "la"]], 3)
@@ -785,7 +893,7 @@ def fts_any_column(spark, sf):
 def fts_bm25_topk(spark, sf):
     rows = _documents(spark, sf)
     ranks = text_search.ranked(
-        text_index.postings_of(rows, "doc_id", ("text",)),
+        text_index.entries_of(rows, "doc_id", ("text",)),
         text_index.docs_of(rows, "doc_id", ("text",)),
         [["que"], ["para"]],
         require_all=False,
@@ -797,7 +905,7 @@ def fts_bm25_topk(spark, sf):
 def fts_bm25_all(spark, sf):
     rows = _documents(spark, sf)
     ranks = text_search.ranked(
-        text_index.postings_of(rows, "doc_id", ("text",)),
+        text_index.entries_of(rows, "doc_id", ("text",)),
         text_index.docs_of(rows, "doc_id", ("text",)),
         [["the"], ["that"]],
     )
@@ -821,7 +929,9 @@ def fts_changes(spark, sf):
     docs = _documents(spark, sf)
     changed = docs.where("lang in ('de', 'es')").select("doc_id")
     new = docs.where("lang = 'de'").select("doc_id", F.reverse("text").alias("text"))
-    postings = text_index.with_changes(_postings(spark, sf), changed, new, "doc_id", ("text",))
+    postings = text_index.with_changes(
+        text_index.postings_of(docs, "doc_id", ("text",)), changed, new, "doc_id", ("text",)
+    )
     return postings.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("term").alias("n_terms")
     )
@@ -831,10 +941,9 @@ def _stored_index(spark, sf) -> text_index.TextIndex:
     return text_index.TextIndex(spark, work_dir(spark), "doc_id", ("text",), buckets=16)
 
 
-def _by_term(postings: DataFrame) -> DataFrame:
-    per_doc = postings.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("n_hits")
+def _by_term(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("term").agg(
+        F.count(F.when(F.col("first"), 1)).alias("n_docs"), F.sum("tf").alias("n_hits")
     )
 
 
@@ -843,7 +952,7 @@ def fts_index_build(spark, sf):
     index = _stored_index(spark, sf)
     index.add_missing(_documents(spark, sf))
     index.add_missing(_documents(spark, sf))  # nothing left to add
-    return _by_term(index.postings())
+    return _by_term(index.entries())
 
 
 @query
@@ -853,14 +962,16 @@ def fts_index_update(spark, sf):
     index.add_missing(docs)
     index.remove(docs.where("lang = 'es'").select("doc_id"))
     index.replace(docs.where("lang = 'de'").withColumn("text", F.reverse("text")))
-    return _by_term(index.postings())
+    return _by_term(index.entries())
 
 
 @query
 def fts_index_search(spark, sf):
     index = _stored_index(spark, sf)
     index.add_missing(_documents(spark, sf))
-    ranks = text_search.ranked(index.postings(), index.docs(), [["de", "la"], ["dans"]])
+    ranks = text_search.ranked(
+        index.entries(["de", "la", "dans"]), index.docs(), [["de", "la"], ["dans"]]
+    )
     return text_search.top_k(ranks.withColumn("rank", F.round("rank", 6)), 25)
 
 
@@ -872,7 +983,48 @@ def ingest_with_index(spark, sf):
     jobs.ingest_lines(spark, lines, out, COMMENT, build_index=True, index_buckets=16)
     index = text_index.TextIndex(spark, jobs.index_path(out, COMMENT), COMMENT.key, ("body",))
     stored = store.read_table(spark, jobs.table_path(out, COMMENT), COMMENT)
-    found = text_search.term_docs(index.postings(), "the", field="body")
+    found = text_search.term_docs(index.entries(["the"]), "the", field="body")
     return text_search.rows_of(stored, found, COMMENT.key).select(
         "decoded_reddit_id", "author", "body"
     )
+
+
+@query
+def fts_index_prefix(spark, sf):
+    index = _stored_index(spark, sf)
+    index.add_missing(_documents(spark, sf))
+    return text_search.prefix_docs(index.entries(["para*"]), "para")
+
+
+@query
+def fts_index_topk(spark, sf):
+    index = _stored_index(spark, sf)
+    index.add_missing(_documents(spark, sf))
+    return text_search.best_of_index(index, ["que", "para"], 20, require_all=False, digits=6)
+
+
+@query
+def fts_index_merge(spark, sf):
+    index = _stored_index(spark, sf)
+    docs = _documents(spark, sf)
+    for lang in ("en", "de", "fr", "es"):
+        index.add_missing(docs.where(F.col("lang") == lang))
+    index.add_missing(docs)
+    return _by_term(index.entries())
+
+
+@query
+def fts_submissions(spark, sf):
+    out = work_dir(spark)
+    lines = samples.document_lines(spark, sf)
+    jobs.ingest_lines(spark, lines, out, SUBMISSION, build_index=True, index_buckets=16)
+    index = text_index.TextIndex(
+        spark, jobs.index_path(out, SUBMISSION), SUBMISSION.key, SUBMISSION.text_fields
+    )
+    entries = index.entries(["src1", "nicht"])
+    found = text_search.any_of(
+        text_search.term_docs(entries, "src1", field="title"),
+        text_search.term_docs(entries, "nicht", field="selftext"),
+    )
+    stored = store.read_table(spark, jobs.table_path(out, SUBMISSION), SUBMISSION)
+    return text_search.rows_of(stored, found, SUBMISSION.key).select("decoded_reddit_id", "title")

@@ -142,10 +142,13 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_archives(lines: DataFrame, directory: str, codec: str, tail: bytes = b"") -> None:
+def write_archives(
+    lines: DataFrame, directory: str, codec: str, tail: bytes = b"", block_bytes: int | None = None
+) -> None:
     """Write lines as compressed files, one per partition, into ``directory``.
 
-    ``tail`` is put behind each file that a task writes itself (gz, xz, zstd).
+    ``tail`` is put behind each file that a task writes itself (gz, xz, zstd), and such a
+    file has a block or frame for each ``block_bytes`` of text.
     """
     if codec in ("gzip", "bzip2"):
         (
@@ -160,7 +163,7 @@ def write_archives(lines: DataFrame, directory: str, codec: str, tail: bytes = b
     directory = qualified_path(lines.sparkSession, directory)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from task_writer.write_partition(batches, directory, codec, tail)
+        yield from task_writer.write_partition(batches, directory, codec, tail, block_bytes)
 
     lines.select("value").mapInArrow(write, "path string").write.format("noop").mode(
         "overwrite"

@@ -33,8 +33,31 @@ def _compressor(stream, codec: str):
     return zstandard.ZstdCompressor().stream_writer(stream, closefd=False)
 
 
+class _Rotated:
+    """Compresses every ``block_bytes`` of text by itself, wherever lines end."""
+
+    def __init__(self, raw, codec: str, block_bytes: int | None):
+        self.raw, self.codec, self.block_bytes = raw, codec, block_bytes
+        self.out, self.room = None, 0
+
+    def write(self, data: bytes) -> None:
+        while data:
+            if self.out is None:
+                self.out, self.room = _compressor(self.raw, self.codec), self.block_bytes or 1 << 62
+            self.out.write(data[: self.room])
+            data, self.room = data[self.room :], self.room - min(self.room, len(data))
+            if not self.room:
+                self.close()
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.out = None
+
+
 def write_partition(
-    batches: Iterator[pa.RecordBatch], directory: str, codec: str, tail: bytes = b""
+    batches: Iterator[pa.RecordBatch], directory: str, codec: str, tail: bytes = b"",
+    block_bytes: int | None = None,
 ) -> Iterator[pa.RecordBatch]:
     """Write a partition's lines; a repeated task replaces its own file."""
     from pyspark import TaskContext
@@ -44,9 +67,12 @@ def write_partition(
     name = f"part-{context.partitionId():05d}.json.{extension}"
     fs, draft = _create(f"{directory}/.{name}.{context.taskAttemptId()}")
     with fs.open_output_stream(draft, compression=None) as raw:
-        with _compressor(raw, codec) as out:
-            for batch in batches:
-                out.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
+        out = _Rotated(raw, codec, block_bytes)
+        for batch in batches:
+            out.write("".join(f"{line}\n" for line in batch.column(0).to_pylist()).encode())
+        if not raw.tell():
+            _compressor(raw, codec).close()  # no line: a file of none
+        out.close()
         raw.write(tail)
     path = os.path.join(os.path.dirname(draft), name)
     fs.move(draft, path)

@@ -172,20 +172,23 @@ def unread_files(files: list[ArchiveFile]) -> list[tuple[str, None, str]]:
     ]
 
 
-def list_parts(spark: SparkSession, files: list[ArchiveFile]) -> list[blocks.Part]:
+def list_parts(
+    spark: SparkSession, files: list[ArchiveFile], part_bytes: int | None = None
+) -> list[blocks.Part]:
     """The parts of the xz and zst files among ``files`` that have several, by path and place.
 
     Looked up in tasks: an xz file's index is at its end, a zst file without a seek table
     is read through, but not decoded.
     """
-    large = [f for f in files if f.extension in TASK_CODECS and f.size > PART_BYTES]
+    least = PART_BYTES if part_bytes is None else part_bytes
+    large = [f for f in files if f.extension in TASK_CODECS and f.size > least]
     if not large:
         return []
-    part_bytes = max(PART_BYTES, sum(f.size for f in large) // MOST_PARTS)
+    least = max(least, sum(f.size for f in large) // MOST_PARTS)
     paths = spark.createDataFrame([(f.path,) for f in large], "path string").repartition(
         min(len(large), MOST_PER_CORE * spark.sparkContext.defaultParallelism)
     )
-    rows = paths.mapInArrow(blocks.part_lister(part_bytes), blocks.PART_DDL).where(
+    rows = paths.mapInArrow(blocks.part_lister(least), blocks.PART_DDL).where(
         F.col("start") != blocks.WHOLE
     )
     return sorted(blocks.Part(*r) for r in rows.collect())
@@ -210,6 +213,7 @@ def read_files(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     parts: list[blocks.Part] | None = None,
     errors: list[tuple[str, None, str]] = (),
+    part_bytes: int | None = None,
 ) -> DataFrame:
     """All lines of some archives with known extensions, as ``read_lines`` gives them.
 
@@ -227,7 +231,7 @@ def read_files(
     if by_task or parts:
         require_decoders()
     if parts is None:
-        parts = list_parts(spark, by_task)
+        parts = list_parts(spark, by_task, part_bytes)
         in_parts = {p.path for p in parts}
         by_task = [f for f in by_task if f.path not in in_parts]
         files = [f for f in files if f.path not in in_parts]
@@ -274,13 +278,15 @@ def read_lines(
     on_damage: str = "fail",
     spread_over: int | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    part_bytes: int | None = None,
 ) -> DataFrame:
     """All lines of the gz, bz2, xz and zst files directly inside ``directory``.
 
     Files with another extension and files that cannot be opened become error
     rows. Damage fails the job, or with ``on_damage="keep"`` ends its file with an
     error row after the lines before it. Large xz and zst files of several blocks or
-    frames are read in parts where damage fails the job; otherwise a file is one task.
+    frames are read in parts of ``part_bytes`` compressed bytes (``PART_BYTES`` by default)
+    where damage fails the job; otherwise a file is one task.
     ``spread_over`` forces the number of partitions that the lines of files read as a
     whole are dealt over; by default it is decided from the file sizes. ``prepare`` is
     applied to lines before they are dealt out.
@@ -288,23 +294,26 @@ def read_lines(
     _check_mode(on_damage)
     files = list_archives(spark, directory)
     return read_files(
-        spark, known_files(files), on_damage, spread_over, prepare, errors=unread_files(files)
+        spark, known_files(files), on_damage, spread_over, prepare, errors=unread_files(files),
+        part_bytes=part_bytes,
     )
 
 
 def rounds(
-    spark: SparkSession, files: list[ArchiveFile], on_damage: str, most_bytes: int | None
+    spark: SparkSession, files: list[ArchiveFile], on_damage: str, most_bytes: int | None,
+    part_bytes: int | None = None,
 ) -> list[tuple[list[ArchiveFile], list[blocks.Part]]]:
     """Files, and parts of large ones, in turns of about ``most_bytes`` compressed bytes.
 
     By path and place, so the same files give the same rounds. A file of one block is
-    never cut.
+    never cut; larger ones into parts that are no larger than a round.
     """
     whole = sorted(files, key=lambda f: f.path)
     if most_bytes is None:
         return [(whole, None)]
     fail = _check_mode(on_damage)
-    parts = list_parts(spark, [f for f in whole if fail and not hidden(f.path)])
+    part_bytes = min(most_bytes, PART_BYTES if part_bytes is None else part_bytes)
+    parts = list_parts(spark, [f for f in whole if fail and not hidden(f.path)], part_bytes)
     by_path: dict[str, list[blocks.Part]] = {}
     for part in parts:
         by_path.setdefault(part.path, []).append(part)
