@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,9 @@ from siltstone.operators import store, term_dictionary
 from siltstone.operators.term_dictionary import is_prefix
 from siltstone.workspace import child_names, delete_path, path_exists, touch_path
 
+# The dictionary's coding travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(term_dictionary)
+
 DEFAULT_BUCKETS = 256
 # Documents per bucket of a batch, until there are as many buckets as the index may have.
 BUCKET_DOCS = 1024
@@ -364,11 +368,15 @@ class TextIndex:
     def _write_removed(self, ids: DataFrame, batch: int) -> None:
         ids.toDF("doc_id").distinct().write.parquet(f"{self.path}/removed/batch={batch}")
 
-    def _write(self, rows: DataFrame, batch: int) -> None:
-        """Index rows as a batch. Text is cut once."""
+    def _write(self, rows: DataFrame, batch: int, replacing: bool = False) -> None:
+        """Index rows as a batch, if there are any. Text is cut once.
+
+        A batch that removes documents counts without rows, too.
+        """
         size = self._size(rows, self.key)
-        self._write_entries(entries_of(rows, self.key, self.fields, with_docs=True), size, batch)
-        self._merge_small()
+        if size[0] or replacing:
+            self._write_entries(entries_of(rows, self.key, self.fields, with_docs=True), size, batch)
+            self._merge_small()
 
     @staticmethod
     def _size(rows: DataFrame, key: str) -> tuple[int, int, int]:
@@ -508,7 +516,7 @@ class TextIndex:
         """Index new versions of documents in place of the old ones, all of them or none."""
         batch = self._begin()
         self._write_removed(rows.select(self.key), batch)
-        self._write(rows, batch)
+        self._write(rows, batch, replacing=True)
 
     def drop_absent(self, table: DataFrame) -> None:
         """Forget documents that ``table`` does not have."""

@@ -238,7 +238,7 @@ def test_a_crash_within_replace_changes_nothing(spark, tmp_path, monkeypatch):
     index = TextIndex(spark, str(tmp_path), "id", ("body",), 4)
     index.add_missing(df)
 
-    def crash(*args):
+    def crash(*args, **kwargs):
         raise RuntimeError("lost")
 
     monkeypatch.setattr(index, "_write", crash)
