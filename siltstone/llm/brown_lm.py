@@ -7,10 +7,16 @@ there every word of at least ``least_count`` occurrences is exchanged by itself:
 neighbours' classes are counted in Spark, and all words choose against one table. A text's
 probability is that of its classes, one after the other, times that of each word in
 its class.
+
+Texts are coded once: tasks hold the numbers of the frequent words, the others stay as
+bytes. Each occurrence of such a rare word sends a row with its neighbours' classes and
+its place to where the word is counted, and gets its class and count back by that place,
+so rare words need no table that a task or the driver would have to hold.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -18,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +36,9 @@ END = b""
 #: Distinct words that a task counts before it passes them on.
 HELD_WORDS = 500_000
 TASK_BITS = 33
+#: Classes within numbers, and as texts store them.
+CLASS_BITS = 16
+CLASS_TYPE = np.uint16
 
 
 @dataclass(frozen=True)
@@ -113,42 +123,8 @@ class UnitOf(dict):
         return self.first + zlib.crc32(word[-3:]) % self.suffixes
 
 
-def bigram_counts(texts: DataFrame, head: list[bytes], settings: BrownSettings) -> np.ndarray:
-    """How often one unit follows another, ends included; texts start after an end.
-
-    The table's size is fixed by the settings; it is summed in Spark.
-    """
-    spark, u = texts.sparkSession, settings.units
-    shared = spark.sparkContext.broadcast(head[: settings.cluster_words])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = UnitOf(shared.value, settings)
-        total = np.zeros(u * u, np.int64)
-        held, size = [unit[END]], 0
-        for batch in slices(batches):
-            for text in as_bytes(batch.column(0)):
-                found = words(text)
-                held += map(unit.__getitem__, found)
-                held.append(unit[END])
-                size += len(found) + 1
-                if size > 1_000_000:
-                    _add_pairs(total, held, u)
-                    held, size = [unit[END]], 0
-        _add_pairs(total, held, u)
-        pairs = np.flatnonzero(total)
-        for at in range(0, len(pairs), 100_000):
-            some = pairs[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
-
-    table = np.zeros(u * u)
-    summed = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    for batch in _arrow_batches(summed):
-        table[batch[0]] = batch[1]
-    return table.reshape(u, u)
-
-
-def _add_pairs(total: np.ndarray, units: list[int], u: int) -> None:
-    codes = np.array(units, np.int64)
+def _add_pairs(total: np.ndarray, units: np.ndarray, u: int) -> None:
+    codes = np.asarray(units, np.int64)
     total += np.bincount(codes[:-1] * u + codes[1:], minlength=u * u)
 
 
@@ -277,23 +253,34 @@ def class_table(pairs: np.ndarray, own: np.ndarray, classes: int) -> np.ndarray:
     return table
 
 
-def train(texts: DataFrame, settings: BrownSettings, folder: str) -> tuple[BrownModel, DataFrame]:
-    """The model of units, and the stored counts of all words, from one column of texts."""
-    return train_units(texts, settings, folder)[:2]
+@dataclass(frozen=True)
+class Counted:
+    """Counts over the training texts: the stored table of all words, the frequent ones,
+    and tokens and distinct words in all."""
+
+    words: DataFrame
+    head: list[tuple[bytes, int]]
+    least_band: int
+    total: tuple
 
 
-def train_units(texts: DataFrame, settings: BrownSettings, folder: str) -> tuple[BrownModel, DataFrame, np.ndarray, tuple]:
-    """As ``train``, with the table of classes, and tokens and distinct words in all."""
+def count_words(texts: DataFrame, settings: BrownSettings, folder: str) -> Counted:
+    """Counts of one column of texts."""
     counts = stored(word_counts(texts), f"{folder}/words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
-    head, least = frequent(counts, settings.head_words)
-    names = [w for w, _ in head]
-    pairs = bigram_counts(texts, names, settings)
-    tokens, types = unit_sizes(counts, names, settings)
+    return Counted(counts, *frequent(counts, settings.head_words), total)
+
+
+def train_units(coded: DataFrame, counted: Counted, settings: BrownSettings) -> tuple[BrownModel, np.ndarray]:
+    """The model of units from coded texts, and its table of classes."""
+    units = head_units(counted.head, settings)
+    suffix_units = np.arange(settings.cluster_words, settings.units)
+    pairs = count_classes(coded.where("__train"), units, suffix_units, settings.units)
+    tokens, types = unit_sizes(counted.words, [w for w, _ in counted.head], settings)
     own = exchange(pairs, settings.classes, settings.sweeps)
     table = class_table(pairs, own, settings.classes)
     sizes = np.bincount(own, tokens, settings.classes), np.bincount(own, types, settings.classes)
-    return model_of(settings, head, least, own, own[head_units(head, settings)], table, *sizes, total), counts, table, total
+    return model_of(settings, counted.head, counted.least_band, own, own[units], table, *sizes, counted.total), table
 
 
 # --- Classes of single words -----------------------------------------------
@@ -303,70 +290,76 @@ def suffix_classes(model: BrownModel) -> np.ndarray:
     return model.unit_class[model.settings.cluster_words :]
 
 
-def rare_words(counts: DataFrame, model: BrownModel) -> DataFrame:
-    """``w, n, c`` of the words that tasks do not hold, each in the class of its suffix."""
-    by_suffix = F.array(*(F.lit(int(c)) for c in suffix_classes(model)))
-    suffix = (F.crc32(F.substring("w", -3, 3)) % model.settings.suffixes + 1).cast("int")
-    return counts.where(_band("n") < model.least_band).select("w", "n", F.element_at(by_suffix, suffix).alias("c"))
-
-
-def looked_up(coded: DataFrame, rare: DataFrame, least_count: int) -> DataFrame:
-    """``coded`` with the classes of those rare words that chose one: ``__slot, __class``."""
-    coded = coded.drop("__tail_counts")
-    slots = coded.select("__uid", F.posexplode("__tail").alias("__at", "w"))
-    found = slots.join(rare.where(F.col("n") >= least_count), "w").groupBy("__uid").agg(
-        F.collect_list("__at").alias("__slot"), F.collect_list("c").alias("__class")
-    )
-    return coded.join(found, "__uid", "left")
-
-
 class Coded:
-    """A batch of coded texts as one run of tokens: numbers, classes, and rare words."""
+    """A batch of coded texts as one run of tokens: numbers, classes, and rare words.
+
+    ``flat`` has the number of a frequent word, or -1 - k for the k-th of the text's
+    ``__tail``; ``classes`` come from ``__class`` where the texts have it already, and else
+    from the words, those of rare ones from their last bytes.
+    """
 
     def __init__(self, batch: pa.RecordBatch, head_class: np.ndarray, suffix_class: np.ndarray):
         seq, tail = batch.column("__seq"), batch.column("__tail")
         self.sizes = seq.value_lengths().to_numpy()
-        self.flat = seq.flatten().to_numpy().astype(np.int64)
-        self.tail = tail.flatten().to_pylist()
-        first = np.cumsum(np.append(0, tail.value_lengths().to_numpy()))[:-1]
-        kind = len(suffix_class)
-        tail_class = np.fromiter((suffix_class[zlib.crc32(w[-3:]) % kind] for w in self.tail), np.int64, len(self.tail))
-        # Before any choice was looked up, each rare word may be one that chooses.
-        self.chose = np.full(len(self.tail), "__slot" not in batch.schema.names)
-        if "__slot" in batch.schema.names:
-            slot = batch.column("__slot")
-            rows = np.repeat(first, slot.value_lengths().fill_null(0).to_numpy())
-            at = rows + slot.flatten().to_numpy()
-            tail_class[at] = batch.column("__class").flatten().to_numpy()
-            self.chose[at] = True
-        self.tail_class = tail_class
+        self.flat = seq.flatten().to_numpy()
+        self.tail = tail.flatten()
+        self.tail_sizes = tail.value_lengths().to_numpy()
+        self.first = np.cumsum(np.append(0, self.tail_sizes))[:-1]
         self.in_tail = np.flatnonzero(self.flat < 0)
-        self.tail_at = np.repeat(first, self.sizes)[self.in_tail] - 1 - self.flat[self.in_tail]
-        self.classes = head_class[np.maximum(self.flat, 0)]
-        self.classes[self.in_tail] = tail_class[self.tail_at]
+        self.tail_at = np.repeat(self.first, self.sizes)[self.in_tail] - 1 - self.flat[self.in_tail]
+        if "__class" in batch.schema.names:
+            packed = batch.column("__class").to_pylist()
+            self.classes = np.frombuffer(b"".join(packed), CLASS_TYPE).astype(np.int32)
+        else:
+            self.classes = head_class[np.maximum(self.flat, 0)].astype(np.int32)
+            self.classes[self.in_tail] = suffix_of(self.tail, suffix_class)[self.tail_at]
+
+
+def suffix_of(tail: pa.Array, suffix_class: np.ndarray) -> np.ndarray:
+    """Class of each rare word by its last bytes."""
+    kind = len(suffix_class)
+    numbers = (zlib.crc32(w[-3:]) % kind for w in tail.to_pylist())
+    return suffix_class[np.fromiter(numbers, np.int64, len(tail))]
 
 
 def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.ndarray, classes: int) -> np.ndarray:
     """How often one class follows another."""
     shared = coded.sparkSession.sparkContext.broadcast((head_class, suffix_class))
+    made = "__class" in coded.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_head, of_suffix = shared.value
         total = np.zeros(classes * classes, np.int64)
         for batch in slices(batches):
-            _add_pairs(total, np.append(of_head[0], Coded(batch, of_head, of_suffix).classes), classes)
+            if made:
+                found = np.frombuffer(b"".join(batch.column(0).to_pylist()), CLASS_TYPE)
+            else:
+                found = Coded(batch, of_head, of_suffix).classes
+            _add_pairs(total, np.append(of_head[0], found), classes)
         pairs = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total[pairs])], names=["pair", "n"])
+        for at in range(0, len(pairs), 100_000):
+            some = pairs[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
 
     table = np.zeros(classes * classes)
-    for batch in _arrow_batches(coded.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))):
+    read = coded.select(*(["__class"] if made else ["__seq", "__tail"]))
+    for batch in _arrow_batches(read.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))):
         table[batch[0]] = batch[1]
     return table.reshape(classes, classes)
 
 
 #: Frequent words whose neighbours travel in one row.
 TOGETHER = 256
-HELD_TOKENS = 2_000_000
+HELD_TOKENS = 4_000_000
+#: Rows of rare words that are decided together, and up to which count a table tells what
+#: a class gains.
+DECIDED_ROWS = 200_000
+DECIDED_WORDS = 8192
+TABLED = 24
+
+NEIGHBOURS = "k binary, v long, g long, s int, b binary"
+CHOSEN = "kind int, g long, s int, c int, n long"
+IN_HEAD, PLACED, STAYED, CHOSE = range(4)
 
 
 def _narrow(numbers: np.ndarray) -> bytes:
@@ -379,238 +372,506 @@ def _wide(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"u{packed[0]}", offset=1).astype(np.int64)
 
 
-NEIGHBOURS = "k binary, was int, codes binary, counts binary"
-
-
 def neighbour_counts(coded: DataFrame, head_class: np.ndarray, suffix_class: np.ndarray, classes: int) -> DataFrame:
-    """Classes after and before words (``NEIGHBOURS``). Frequent words come
-    ``TOGETHER`` to a row, each rare word that chooses in one of its own."""
+    """Classes after and before words, over the training texts (``NEIGHBOURS``).
+
+    Frequent words come ``TOGETHER`` to a row, counted; each occurrence of a rare word in
+    one of its own, with its place, and those of other texts for the place alone.
+    """
     shared = coded.sparkSession.sparkContext.broadcast((head_class, suffix_class))
     width = 2 * classes
+    names = [c.split(" ")[0] for c in NEIGHBOURS.split(", ")]
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
-    def emit(ids: list[np.ndarray], found: list[np.ndarray], tail: dict[bytes, int], was: list[int], of_head) -> Iterator[pa.RecordBatch]:
-        n, c = np.concatenate(ids), np.concatenate(found)
-        codes = np.concatenate([n[:-1] * width + c[1:], n[1:] * width + classes + c[:-1]])
-        codes, counts = np.unique(codes[codes >= 0], return_counts=True)
-        head_end = int(np.searchsorted(codes, len(of_head) * width))
-        block = codes // width
-        block[:head_end] //= TOGETHER
-        block[head_end:] += len(of_head)  # apart from the numbers of blocks
+    def head_rows(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        codes, counts = np.unique(np.concatenate(held), return_counts=True)
+        block = codes // (width * TOGETHER)
         starts = np.flatnonzero(np.diff(block, prepend=-1))
-        names = list(tail)
-        rows = []
+        keys, packed = [], []
         for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(codes)]):
-            some = codes[start:end]
-            if start < head_end:
-                at = int(some[0]) // width // TOGETHER
-                key, old, some = b"h" + at.to_bytes(4, "big"), 0, some - at * TOGETHER * width
-            else:
-                at = int(some[0]) // width - len(of_head)
-                key, old, some = b"w" + names[at], was[at], some % width
-            rows.append((key, old, _narrow(some), _narrow(counts[start:end])))
-        for at in range(0, len(rows), 20_000):
-            columns = zip(*rows[at : at + 20_000])
-            kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["k", "was", "codes", "counts"])
+            at = int(block[start])
+            keys.append(b"h" + at.to_bytes(4, "big"))
+            some = _narrow(codes[start:end] - at * TOGETHER * width)
+            packed.append(len(some).to_bytes(4, "big") + some + _narrow(counts[start:end]))
+        n = len(keys)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, kinds[0]), pa.array(np.zeros(n, np.int64)), pa.nulls(n, kinds[2]),
+             pa.nulls(n, kinds[3]), pa.array(packed, kinds[4])], names=names,
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_head, of_suffix = shared.value
-        start = np.zeros(1, np.int64), of_head[:1].astype(np.int64)
-        ids, found, tail, was, size = [start[0]], [start[1]], {}, [], 0
+        held, size = [], 0
         for batch in slices(batches):
+            if not batch.num_rows:
+                continue
             part = Coded(batch, of_head, of_suffix)
-            number = np.full(len(part.tail), -2, np.int64)  # codes of words that do not choose are below 0
-            for i in np.flatnonzero(part.chose).tolist():
-                at = tail.setdefault(part.tail[i], len(tail))
-                if at == len(was):
-                    was.append(int(part.tail_class[i]))
-                number[i] = len(of_head) + at
-            part.flat[part.in_tail] = number[part.tail_at]
-            ids.append(part.flat)
-            found.append(part.classes)
-            size += len(part.flat)
+            train = batch.column("__train").to_numpy(zero_copy_only=False)
+            learned = np.repeat(train, part.sizes)
+            # Every text ends with the end, which so comes before each first word.
+            before_n = np.append(0, part.flat[:-1])
+            before_c = np.append(of_head[0], part.classes[:-1])
+            after = learned & (before_n >= 0) & (before_n < len(of_head))
+            code = np.int32 if len(of_head) * width < 1 << 31 else np.int64
+            held.append(before_n[after].astype(code) * code(width) + part.classes[after].astype(code))
+            own = learned & (part.flat >= 0) & (part.flat < len(of_head))
+            held.append(part.flat[own].astype(code) * code(width) + code(classes) + before_c[own].astype(code))
+            size += len(held[-1])
+            if len(part.in_tail):
+                yield tail_rows(batch, part, learned, before_c)
             if size > HELD_TOKENS:
-                yield from emit(ids, found, tail, was, of_head)
-                ids, found, tail, was, size = [start[0]], [start[1]], {}, [], 0
+                yield from head_rows(held)
+                held, size = [], 0
         if size:
-            yield from emit(ids, found, tail, was, of_head)
-
-    return coded.mapInArrow(count, NEIGHBOURS)
-
-
-def best_classes(table: np.ndarray, counts: np.ndarray, old: np.ndarray) -> np.ndarray:
-    """Best class of each word, all others staying; ``counts`` are those of classes
-    after it and, further right, before it. The one it has stays if equal."""
-    c = len(table)
-    right, left = counts[:, :c].astype(float), counts[:, c:].astype(float)
-    rows = np.arange(len(old))
-    gain = np.zeros((len(old), c))
-    for own, other, cells in ((right, left, table.T), (left, right, table)):
-        i, j = np.nonzero(own)
-        r = own[i, j]
-        base = cells[j]
-        base[np.arange(len(i)), old[i]] -= r
-        same = j == old[i]
-        base[same] -= other[i[same]]
-        base = np.maximum(base, 0)
-        np.add.at(gain, i, _f(base + r[:, None]) - _f(base))
-    d = np.repeat(np.diagonal(table)[None, :], len(old), 0)
-    d[rows, old] = np.maximum(d[rows, old] - right[rows, old] - left[rows, old], 0)
-    gain += _f(d + right + left) - _f(d + right) - _f(d + left) + _f(d)
-    for own, sums in ((right, table.sum(axis=1)), (left, table.sum(axis=0))):
-        n = own.sum(axis=1, keepdims=True)
-        rest = np.repeat(sums[None, :], len(old), 0)
-        rest[rows, old] -= n[:, 0]
-        rest = np.maximum(rest, 0)
-        gain -= _f(rest + n) - _f(rest)
+            yield from head_rows(held)
+
+    def tail_rows(batch: pa.RecordBatch, part: Coded, learned: np.ndarray, before_c: np.ndarray) -> pa.RecordBatch:
+        at = part.in_tail
+        v = learned[at].astype(np.int64)
+        for more in (part.classes[at], part.classes[at + 1], before_c[at]):
+            v = (v << CLASS_BITS) + more
+        text = np.repeat(np.arange(len(part.sizes)), part.sizes)[at]
+        group, place = batch.column("__gid").to_numpy(), batch.column("__tail_at").to_numpy()
+        keys = pc.binary_join_element_wise(pa.scalar(b"w"), part.tail.take(pa.array(part.tail_at)), pa.scalar(b""))
+        slot = place[text] + part.tail_at - part.first[text]
+        return pa.RecordBatch.from_arrays(
+            [keys, pa.array(v), pa.array(group[text]), pa.array(slot, kinds[3]), pa.nulls(len(v), kinds[4])], names=names,
+        )
+
+    columns = ["__seq", "__tail", "__train", "__gid", "__tail_at"]
+    columns += [c for c in ("__class",) if c in coded.columns]
+    return coded.select(*columns).mapInArrow(count, NEIGHBOURS)
+
+
+def _entries(word: np.ndarray, found: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
+    """Word, class and count of each pair that occurs, by word and class."""
+    codes, counts = np.unique(word * classes + found, return_counts=True)
+    return codes // classes, codes % classes, counts
+
+
+def tabled_gains(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What small counts add to a cell's share of the likelihood: by count, neighbour and
+    candidate class, for classes after a word and before it."""
+    counts = np.arange(TABLED + 1, dtype=float)[:, None, None]
+    return tuple(_f(cells[None] + counts) - _f(cells)[None] for cells in (table.T, table))
+
+
+def best_classes(
+    table: np.ndarray, right: tuple[np.ndarray, ...], left: tuple[np.ndarray, ...], old: np.ndarray,
+    tabled: tuple[np.ndarray, np.ndarray] | None = None,
+) -> np.ndarray:
+    """Best class of each word, all others staying. ``right`` and ``left`` have the word,
+    class and count of the classes after and before words, by word and class. The class
+    that a word has stays if equal.
+
+    Taking a word out changes the row and column of its old class by its own counts. What
+    a class gains is read from the table as it is, and mended where that change matters.
+    """
+    tabled = tabled_gains(table) if tabled is None else tabled
+    if len(old) > DECIDED_WORDS:
+        out = []
+        for first in range(0, len(old), DECIDED_WORDS):
+            sides = []
+            for w, j, r in (right, left):
+                at = slice(*np.searchsorted(w, (first, first + DECIDED_WORDS)))
+                sides.append((w[at] - first, j[at], r[at]))
+            out.append(best_classes(table, *sides, old[first : first + DECIDED_WORDS], tabled))
+        return np.concatenate(out)
+    c, n = len(table), len(old)
+    gain = np.zeros((n, c))
+    sums_after, sums_before = np.zeros(n), np.zeros(n)
+    own_after, own_before = np.zeros(n), np.zeros(n)
+    for (w, j, r), sums, own in ((right, sums_after, own_after), (left, sums_before, own_before)):
+        np.add.at(sums, w, r)
+        same = j == old[w]
+        own[w[same]] = r[same]
+    # cells[j]: by candidate class
+    for (w, j, r), cells, small in ((right, table.T, tabled[0]), (left, table, tabled[1])):
+        for at in range(0, len(w), 50_000):
+            some = slice(at, at + 50_000)
+            ww, jj, rr = w[some], j[some], r[some]
+            gained = small[np.minimum(rr, TABLED), jj]
+            large = np.flatnonzero(rr > TABLED)
+            if len(large):
+                base = cells[jj[large]]
+                gained[large] = _f(base + rr[large, None]) - _f(base)
+            starts = np.flatnonzero(np.diff(ww, prepend=-1))
+            gain[ww[starts]] += np.add.reduceat(gained, starts)
+
+    def put(w: np.ndarray, at: np.ndarray, plain: np.ndarray, true: np.ndarray, r: np.ndarray) -> None:
+        true = np.maximum(true, 0)
+        np.add.at(gain, (w, at), _f(true + r) - _f(true) - _f(plain + r) + _f(plain))
+
+    for (w, j, r), cells, own, other in ((right, table, own_after, own_before), (left, table.T, own_before, own_after)):
+        o = old[w]
+        # In the old class: without the word's own counts.
+        plain = cells[o, j]
+        put(w, o, plain, plain - r - np.where(j == o, other[w], 0), r)
+        # Classes j on this side, as candidates whose cell with the old class the word
+        # has counts in from the other side.
+        both = np.flatnonzero((j != o) & (other[w] > 0))
+        plain = cells[o[both], j[both]]
+        put(w[both], j[both], plain, plain - r[both], other[w[both]])
+    # A class on both sides gets both counts into one cell.
+    _, a, b = np.intersect1d(right[0] * c + right[1], left[0] * c + left[1], assume_unique=True, return_indices=True)
+    w, j, r, l_ = right[0][a], right[1][a], right[2][a], left[2][b]
+    d = np.maximum(table[j, j] - np.where(j == old[w], r + l_, 0), 0)
+    np.add.at(gain, (w, j), _f(d + r + l_) - _f(d + r) - _f(d + l_) + _f(d))
+    rows = np.arange(n)
+    for sums, margin in ((sums_after, table.sum(axis=1)), (sums_before, table.sum(axis=0))):
+        whole, at = np.unique(sums, return_inverse=True)
+        gain -= (_f(margin[None] + whole[:, None]) - _f(margin)[None])[at]
+        plain = margin[old]
+        rest = np.maximum(plain - sums, 0)
+        gain[rows, old] += _f(plain + sums) - _f(plain) - _f(rest + sums) + _f(rest)
     best = gain.argmax(axis=1)
     return np.where(gain[rows, best] > gain[rows, old] + 1e-9, best, old)
 
 
-def chosen_classes(neighbours: DataFrame, table: np.ndarray, head_class: np.ndarray) -> DataFrame:
-    """``h, w, c``: the class of each word, frequent ones by number, others by name."""
+def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted rows in pieces that do not part the rows of one word."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < DECIDED_ROWS:
+            continue
+        table = pa.Table.from_batches(held)
+        keys = table.column("k").combine_chunks()
+        last = keys[len(keys) - 1]
+        cut = len(keys) - pc.sum(pc.equal(keys, last)).as_py()
+        if cut:
+            yield table.slice(0, cut)
+        held, rows = table.slice(cut).to_batches(), len(keys) - cut
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def chosen_classes(
+    neighbours: DataFrame, rare: DataFrame, table: np.ndarray, head_class: np.ndarray, least_count: float
+) -> DataFrame:
+    """What words choose (``CHOSEN``): a row per frequent word (its number in ``g``); one per
+    occurrence of a rare word, with its place, its class, or -1 for that of its last
+    bytes, and its count; and per task and class the tokens (``n``) and distinct words
+    (``g``) of the rare ones that stayed with their last bytes and of those that chose."""
     shared = neighbours.sparkSession.sparkContext.broadcast((table, head_class))
-    width = 2 * len(table)
+    classes = len(table)
+    width, mask = 2 * classes, (1 << CLASS_BITS) - 1
+    # The count of a word stands before its occurrences.
+    known = rare.select(
+        F.concat(F.lit(bytearray(b"w")), "w").alias("k"), (-F.col("n")).alias("v"),
+        F.lit(None).cast("long").alias("g"), F.lit(None).cast("int").alias("s"), F.lit(None).cast("binary").alias("b"),
+    )
+
+    def rows_of(kind: int, g, s, c, n) -> pa.RecordBatch:
+        size = len(c)
+        columns = [pa.array(np.full(size, kind, np.int32))]
+        for values, t in ((g, pa.int64()), (s, pa.int32()), (c, pa.int32()), (n, pa.int64())):
+            columns.append(pa.nulls(size, t) if values is None else pa.array(np.asarray(values), t))
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "g", "s", "c", "n"])
+
+    class Heads:
+        """Sums a block of frequent words at a time; what they choose waits in ``done``."""
+
+        def __init__(self, cells: np.ndarray, of_head: np.ndarray, tabled):
+            self.cells, self.of_head, self.tabled = cells, of_head, tabled
+            self.key, self.total, self.done = None, None, []
+
+        def add(self, keys: list[bytes], packed: list[bytes]) -> None:
+            for key, data in zip(keys, packed):
+                if key != self.key:
+                    self.decide()
+                    self.key, self.total = key, np.zeros(TOGETHER * width, np.int64)
+                end = 4 + int.from_bytes(data[:4], "big")
+                self.total[_wide(data[4:end])] += _wide(data[end:])
+
+        def decide(self) -> None:
+            if self.key is None:
+                return
+            first = int.from_bytes(self.key[1:], "big") * TOGETHER
+            own = self.of_head[first : first + TOGETHER]
+            counts = self.total.reshape(TOGETHER, width)[: len(own)]
+            sides = []
+            for side in (counts[:, :classes], counts[:, classes:]):
+                w, j = np.nonzero(side)
+                sides.append((w, j, side[w, j]))
+            best = best_classes(self.cells, *sides, own, self.tabled)
+            self.done.append(rows_of(IN_HEAD, np.arange(first, first + len(own)), None, best, None))
+            self.key = None
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, of_head = shared.value
-        names: list[bytes] = []
-        held: list[np.ndarray] = []
-        old: list[int] = []
-
-        def decided() -> pa.RecordBatch:
-            numbers, words_, counts, before = [], [], [], []
-            for name, count, was in zip(names, held, old):
-                if name[:1] == b"h":
-                    first = int.from_bytes(name[1:], "big") * TOGETHER
-                    own = of_head[first : first + TOGETHER]
-                    numbers += range(first, first + len(own))
-                    words_ += [None] * len(own)
-                    counts.append(count.reshape(TOGETHER, width)[: len(own)])
-                    before += own.tolist()
-                else:
-                    numbers.append(None)
-                    words_.append(name[1:])
-                    counts.append(count[None, :])
-                    before.append(was)
-            best = best_classes(cells, np.concatenate(counts), np.array(before, np.int64))
-            names.clear(), held.clear(), old.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int32()), pa.array(words_, pa.binary()), pa.array(best, pa.int32())], names=["h", "w", "c"]
-            )
+        tabled = tabled_gains(cells)
+        heads = Heads(cells, of_head, tabled)
+        sums = np.zeros((2, 2, classes), np.int64)
+
+        def without_heads() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = pc.sum(pc.starts_with(batch.column(0), pattern=b"h")).as_py() or 0
+                if n:
+                    first = batch.slice(0, n)
+                    heads.add(first.column(0).to_pylist(), first.column(4).to_pylist())
+                if n < batch.num_rows:
+                    yield batch.slice(n)
+
+        for part in _whole_words(without_heads()):
+            word = part.column("k").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+            v = part.column("v").to_numpy()
+            size = int(word[-1]) + 1
+            count, old = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            count[word[v < 0]] = -v[v < 0]
+            seen = np.flatnonzero(v >= 0)
+            w, v = word[seen], v[seen]
+            before, after, was = (v >> (CLASS_BITS * i) & mask for i in range(3))
+            old[w] = was
+            chooses = count >= least_count
+            learned = np.flatnonzero((v >> 3 * CLASS_BITS > 0) & chooses[w])
+            number = np.cumsum(chooses) - 1  # of those that choose
+            sides = [_entries(number[w[learned]], found[learned], classes) for found in (after, before)]
+            best = old.copy()
+            if chooses.any():
+                best[chooses] = best_classes(cells, *sides, old[chooses], tabled)
+            group, slot = (part.column(c).combine_chunks().fill_null(0).to_numpy()[seen] for c in ("g", "s"))
+            yield rows_of(PLACED, group, slot, np.where(chooses, best, -1)[w], count[w])
+            for i, those in enumerate((~chooses & (count > 0), chooses)):
+                np.add.at(sums[i, 0], best[those], 1)
+                np.add.at(sums[i, 1], best[those], count[those])
+        heads.decide()
+        yield from heads.done
+        for i, kind in enumerate((STAYED, CHOSE)):
+            found = np.flatnonzero(sums[i, 0])
+            if len(found):
+                yield rows_of(kind, sums[i, 0, found], None, found, sums[i, 1, found])
+
+    together = neighbours.unionByName(known).repartition("k").sortWithinPartitions("k", "v")
+    return together.mapInArrow(choose, CHOSEN)
+
+
+def with_classes(
+    coded: DataFrame, placed: DataFrame, head_class: np.ndarray, suffix_class: np.ndarray, add: float
+) -> DataFrame:
+    """Coded texts with the class of each token, ``__class``, from the words' choices.
+
+    A group of texts meets the rows of its rare words. The first time that also tells
+    what their counts add to the scores, and of the rare words those stay that choose.
+    """
+    shared = coded.sparkSession.sparkContext.broadcast((head_class, suffix_class))
+    first_time = "__tail_counts" in coded.columns
+    out = coded.drop("__tail_counts")
+    if first_time:
+        schema = out.schema.add("__class", "binary")
+    else:
+        schema = out.schema
+    names = schema.names
+    nowhere = len(head_class)  # stands for rare words that never choose
+
+    def put(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        of_head, of_suffix = shared.value
+        batch = texts.sort_by("__uid").combine_chunks().to_batches()[0] if texts.num_rows else None
+        if batch is None:
+            return pa.Table.from_batches([], schema=texts.schema)
+        part = Coded(batch, of_head, of_suffix)
+        chosen, count = np.full(len(part.tail), -1, np.int32), np.zeros(len(part.tail), np.int64)
+        at = rows.column("s").to_numpy()
+        chosen[at], count[at] = rows.column("c").to_numpy(), rows.column("n").to_numpy()
+        columns = {n: batch.column(n) for n in batch.schema.names}
+        classes = part.classes
+        known = (part.flat >= 0) & (part.flat < nowhere)
+        classes[known] = of_head[part.flat[known]]
+        tokens = chosen[part.tail_at]
+        classes[part.in_tail] = np.where(tokens >= 0, tokens, classes[part.in_tail])
+        if first_time:
+            times = batch.column("__tail_counts").flatten().to_numpy()
+            text = np.repeat(np.arange(len(part.sizes)), part.tail_sizes)
+            logs = np.bincount(text, times * np.log10(count + add), len(part.sizes))
+            met = np.bincount(text, times * (count > 0), len(part.sizes)).astype(np.int64)
+            columns["__logs"] = pa.array(columns["__logs"].to_numpy() + logs)
+            columns["__known"] = pa.array(columns["__known"].to_numpy() + met)
+            # Only words that choose stay, numbered anew within their texts and the group.
+            stays = chosen >= 0
+            upto = np.cumsum(stays)
+            sizes = np.bincount(text[stays], minlength=len(part.sizes))
+            first = np.cumsum(np.append(0, sizes))[:-1]
+            number = -1 - (upto - 1 - first[text]) if len(text) else upto
+            flat = part.flat.copy()
+            flat[part.in_tail] = np.where(stays[part.tail_at], number[part.tail_at], nowhere)
+            columns["__seq"] = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(part.sizes)), pa.int32()), pa.array(flat, pa.int32()))
+            columns["__tail"] = pa.ListArray.from_arrays(
+                pa.array(np.append(first, sizes.sum()), pa.int32()), part.tail.filter(pa.array(stays)))
+            columns["__tail_at"] = pa.array(first, pa.int32())
+        edges = np.append(0, np.cumsum(part.sizes)).tolist()
+        data = classes.astype(CLASS_TYPE)
+        columns["__class"] = pa.array([data[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())
+        return pa.table([columns[n] for n in names], names=names)
+
+    return coded.groupBy("__gid").cogroup(placed.select(F.col("g").alias("__gid"), "s", "c", "n").groupBy("__gid")).applyInArrow(put, schema)
+
+
+class Groups:
+    """Coded texts stored in buckets of their groups, so that they stay where they lie when
+    rows of rare words come to them. A bucketed table has a name, for a while."""
+
+    def __init__(self, spark, folder: str):
+        self.spark, self.folder, self.names = spark, folder, {}
+
+    def stored(self, df: DataFrame, part: str) -> DataFrame:
+        self.names[part] = f"coded_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (
+            df.write.format("parquet").bucketBy(buckets, "__gid").sortBy("__gid")
+            .option("path", f"{self.folder}/{part}").saveAsTable(self.names[part])
+        )
+        return self.spark.table(self.names[part])
 
-        size = 0
-        for batch in batches:
-            for key, was, codes, counts in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if not names or names[-1] != key:
-                    if size >= 2048:
-                        yield decided()
-                        size = 0
-                    n = TOGETHER if key[:1] == b"h" else 1
-                    names.append(key), old.append(was), held.append(np.zeros(n * width, np.int64))
-                    size += n
-                held[-1][_wide(codes)] += _wide(counts)
-        if names:
-            yield decided()
+    def discard(self, part: str) -> None:
+        discard(self.spark, f"{self.folder}/{part}")
 
-    return neighbours.repartition("k").sortWithinPartitions("k").mapInArrow(choose, "h int, w binary, c int")
+    def by_path(self, part: str) -> DataFrame:
+        """A stored part as plain files; all names are given up, other files stay."""
+        schema = self.spark.table(self.names[part]).schema
+        for name in self.names.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{part}")
 
 
 def exchange_words(
-    coded: DataFrame, model: BrownModel, counts: DataFrame, table: np.ndarray, total: tuple, folder: str
-) -> tuple[BrownModel, DataFrame | None]:
-    """The model with a class chosen for each frequent enough word, and ``coded`` with
-    the classes of rare ones. A sweep that does not raise the likelihood is undone."""
-    s = model.settings
+    coded: DataFrame, model: BrownModel, counted: Counted, table: np.ndarray, groups: Groups
+) -> tuple[BrownModel, DataFrame]:
+    """The model with a class chosen for each frequent enough word, and ``coded`` (stored as
+    the part ``coded-0``) with the class of each token. A sweep that does not raise the
+    likelihood is undone."""
+    s, folder, part = model.settings, groups.folder, "coded-0"
     suffix = suffix_classes(model)
-    often = np.array([n for _, n in model.head]) >= s.least_count
-    often[0] = True  # the end
-    head_class, rare = model.head_class.astype(np.int64), stored(rare_words(counts, model), f"{folder}/rare-0")
-    any_rare = not rare.where(F.col("n") >= s.least_count).isEmpty()
-
-    def with_classes(rows: DataFrame, name: str) -> DataFrame:
-        return stored(looked_up(rows, rare, s.least_count), f"{folder}/{name}") if any_rare else rows
-
-    spark = coded.sparkSession
-
-    now = coded  # rare words have the classes of their suffixes as yet
-    for sweep in range(1, s.word_sweeps + 1):
-        near = neighbour_counts(now.where("__train"), head_class, suffix, s.classes)
-        chosen = stored(chosen_classes(near, table, head_class), f"{folder}/chosen-{sweep}")
-        before = head_class, rare, now, table
-        head_class = head_class.copy()
-        moved = chosen.where("h is not null").select("h", "c").toArrow()
-        at, to = moved["h"].to_numpy(), moved["c"].to_numpy()
-        head_class[at[often[at]]] = to[often[at]]
-        if any_rare:
-            new = chosen.where("h is null").select("w", F.col("c").alias("__c"))
-            moved_to = F.when(F.col("n") >= s.least_count, F.coalesce("__c", "c")).otherwise(F.col("c"))
-            rare = rare.join(new, "w", "left").select("w", "n", moved_to.alias("c"))
-            rare = stored(rare, f"{folder}/rare-{sweep}")
-        now = with_classes(coded, f"coded-{sweep}")
-        table = count_classes(now.where("__train"), head_class, suffix, s.classes)
-        if information(table) <= information(before[3]):
-            head_class, rare, now, table = before
+    rare = counted.words.where(_band("n") < counted.least_band).select("w", "n")
+    head_class = model.head_class.astype(np.int64)
+    chooses = np.array([n for _, n in counted.head]) >= (s.least_count or np.inf)
+    chooses[0] = s.least_count is not None  # the end
+    least = np.inf if s.least_count is None else s.least_count
+    now, stayed, chose = coded, np.zeros((2, s.classes)), np.zeros((2, s.classes))
+    for sweep in range(1, (s.word_sweeps if s.least_count is not None else 1) + 1):
+        near = neighbour_counts(now, head_class, suffix, s.classes)
+        chosen = chosen_classes(near, rare, table, head_class, least)
+        path = f"{folder}/chosen-{sweep}"
+        chosen.write.partitionBy("kind").parquet(path)
+        chosen = coded.sparkSession.read.schema(CHOSEN).parquet(path)
+        moved = chosen.where(F.col("kind") == IN_HEAD).select("g", "c").toArrow()
+        at, to = moved["g"].to_numpy(), moved["c"].to_numpy()
+        new_class = head_class.copy()
+        new_class[at[chooses[at]]] = to[chooses[at]]
+        sums = {STAYED: np.zeros((2, s.classes)), CHOSE: np.zeros((2, s.classes))}
+        summed = chosen.where(F.col("kind") >= STAYED).groupBy("kind", "c").agg(F.sum("n"), F.sum("g"))
+        for kind, c, n, kinds in summed.collect():
+            sums[kind][:, c] = n, kinds
+        placed = chosen.where(F.col("kind") == PLACED)
+        made = f"coded-{sweep}"
+        next_ = groups.stored(with_classes(now, placed, new_class, suffix, s.add), made)
+        new_table = count_classes(next_.where("__train"), new_class, suffix, s.classes)
+        better = s.least_count is not None and information(new_table) > information(table)
+        if better or sweep == 1:
+            if not better and s.least_count is not None:
+                # Their counts are wanted all the same, their choices are not.
+                none = placed.withColumn("c", F.lit(-1))
+                made = "coded-none"
+                next_ = groups.stored(with_classes(now, none, head_class, suffix, s.add), made)
+                stayed = sums[STAYED] + by_suffix(rare, least, suffix)
+            else:
+                stayed, chose = (sums[STAYED], sums[CHOSE]) if sweep == 1 else (stayed, sums[CHOSE])
+                head_class, table = new_class, new_table
+            # The texts as they were, and what led here, are not read again.
+            groups.discard(part)
+            now, part = next_, made
+        discard(coded.sparkSession, path)
+        rare = rare.where(F.col("n") >= (s.least_count or 0))
+        if not better:
             break
-        discard(spark, f"{folder}/chosen-{sweep}")
-        if any_rare:  # else they are still in use
-            discard(spark, f"{folder}/coded-{sweep - 1}")
-            discard(spark, f"{folder}/rare-{sweep - 1}")
-    numbers = np.array([n for _, n in model.head], float)
-    tokens, types = np.bincount(head_class, numbers, s.classes), np.bincount(head_class, numbers > 0, s.classes)
-    for c, n, kinds in rare.groupBy("c").agg(F.sum("n"), F.count("n")).collect():
-        tokens[c], types[c] = tokens[c] + n, types[c] + kinds
-    return model_of(s, model.head, model.least_band, model.unit_class, head_class, table, tokens, types, total), now
+        coded.sparkSession.sparkContext._jvm.System.gc()  # lets Spark delete finished shuffles
+    numbers = np.array([n for _, n in counted.head], float)
+    tokens = np.bincount(head_class, numbers, s.classes) + stayed[0] + chose[0]
+    types = np.bincount(head_class, numbers > 0, s.classes) + stayed[1] + chose[1]
+    model = model_of(
+        s, counted.head, counted.least_band, model.unit_class, head_class, table, tokens, types, counted.total
+    )
+    return model, groups.by_path(part)
+
+
+def by_suffix(rare: DataFrame, least: float, suffix: np.ndarray) -> np.ndarray:
+    """Tokens and distinct words by class of the last bytes, of rare words that choose."""
+    classes = F.array(*(F.lit(int(c)) for c in suffix))
+    number = (F.crc32(F.substring("w", -3, 3)) % len(suffix) + 1).cast("int")
+    out = np.zeros((2, int(suffix.max()) + 1 if len(suffix) else 1))
+    found = rare.where(F.col("n") >= least).groupBy(F.element_at(classes, number).alias("c"))
+    for c, n, kinds in found.agg(F.sum("n"), F.count("n")).collect():
+        out[:, c] = n, kinds
+    return out
 
 
 # --- Scores ----------------------------------------------------------------
 
 
+#: Tokens and texts of a group, which a task holds when it puts classes in.
+GROUP_TOKENS = 300_000
+GROUP_TEXTS = 1024
+
+
+class Numbers(dict):
+    """Numbers of the frequent words; other words get -1, -2, ... as they come."""
+
+    def __init__(self, head: list[tuple[bytes, int]]):
+        super().__init__((w, i) for i, (w, _) in enumerate(head))
+        self.tail: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - self.tail.setdefault(word, len(self.tail))
+
+
 def coded_texts(
-    docs: DataFrame, model: BrownModel, training: Column, keep: list[Column], text: str
+    docs: DataFrame, head: list[tuple[bytes, int]], settings: BrownSettings, training: Column, keep: list[Column], text: str
 ) -> DataFrame:
-    """``keep`` of each row, a number of its own, what its frequent words add to the
-    scores, and its words: numbers of frequent ones, places in ``__tail`` of others."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.head, model.settings.add))
+    """``keep`` of each row, a number of its own and one of its group, what its frequent
+    words add to the scores, and its words: numbers of frequent ones, places in
+    ``__tail`` of others. ``__tail_at`` is the place of its tail in the group's."""
+    shared = docs.sparkSession.sparkContext.broadcast((head, settings.add))
     source = docs.select(F.col(text).alias("__text"), *keep, F.coalesce(training, F.lit(False)).alias("__train"))
     kinds = (
-        "__uid long, n_tokens long, __head_known long, __head_logs double, "
-        "__seq array<int>, __tail array<binary>, __tail_counts array<int>"
+        "__uid long, __gid long, n_tokens long, __known long, __logs double, "
+        "__seq array<int>, __tail array<binary>, __tail_at int, __tail_counts array<int>"
     )
     schema = source.drop("__text").schema
     for field in source.sparkSession.createDataFrame([], kinds).schema:
         schema = schema.add(field)
     names = schema.names
+    types = [
+        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int32()),
+        pa.list_(pa.binary()), pa.int32(), pa.list_(pa.int32()),
+    ]
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, add = shared.value
-        number = {w: i for i, (w, _) in enumerate(head)}
-        counts = np.array([n for _, n in head], float)
+        words_, add = shared.value
+        number = Numbers(words_)
+        counts = np.array([n for _, n in words_], float)
         logs = np.log10(counts + add)
-        uid = TaskContext.get().partitionId() << TASK_BITS
+        uid = group = TaskContext.get().partitionId() << TASK_BITS
+        tokens = tails = 0
         for batch in slices(batches, 500):
             rows: list[tuple] = []
             for text in as_bytes(batch.column(0)):
                 found = words(text)
-                ids = list(map(number.get, found))
-                tail: Counter = Counter()
-                if None in ids:
-                    places: dict[bytes, int] = {}
-                    for i, v in enumerate(ids):
-                        if v is None:
-                            ids[i] = -1 - places.setdefault(found[i], len(places))
-                            tail[found[i]] += 1
-                seq = np.array([*ids, number[END]], np.int32)
+                number.tail = {}
+                seq = np.fromiter(map(number.__getitem__, found), np.int32, len(found))
+                seq = np.append(seq, np.int32(number[END]))
+                if uid > group and (tokens + len(seq) > GROUP_TOKENS or uid - group >= GROUP_TEXTS):
+                    group, tokens, tails = uid, 0, 0
                 known = seq[seq >= 0]
+                times = np.bincount(-1 - seq[seq < 0], minlength=len(number.tail))
                 rows.append((
-                    uid, len(seq), int((counts[known] > 0).sum()), float(logs[known].sum()), seq,
-                    list(tail), list(tail.values()),
+                    uid, group, len(seq), int((counts[known] > 0).sum()), float(logs[known].sum()), seq,
+                    list(number.tail), tails, times,
                 ))
                 uid += 1
-            columns = list(zip(*rows)) if rows else [[]] * 7
-            types = [
-                pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()),
-            ]
+                tokens += len(seq)
+                tails += len(number.tail)
+            columns = list(zip(*rows)) if rows else [[]] * len(types)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *(pa.array(c, t) for c, t in zip(columns, types))], names=names
             )
@@ -619,21 +880,21 @@ def coded_texts(
 
 
 def class_scores(coded: DataFrame, model: BrownModel, keep: list[str]) -> DataFrame:
-    """``keep`` of each row and what its classes add to the score."""
-    shared = coded.sparkSession.sparkContext.broadcast((model.head_class, suffix_classes(model), model.step, model.size))
-    lookups = [c for c in ("__slot", "__class") if c in coded.columns]
-    source = coded.select("__seq", "__tail", *lookups, *keep)
+    """``keep`` of each row and what its classes add to the score, from ``__class``."""
+    shared = coded.sparkSession.sparkContext.broadcast((int(model.head_class[0]), model.step, model.size))
+    source = coded.select("__class", *keep)
     schema = coded.select(*keep).schema.add("__class_logs", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_head, of_suffix, step, size = shared.value
+        end, step, size = shared.value
         for batch in slices(batches):
-            part = Coded(batch, of_head, of_suffix)
-            before = np.append(of_head[0], part.classes[:-1])
-            logs = step[before, part.classes] - size[part.classes]
-            starts = np.cumsum(part.sizes) - part.sizes
+            packed = batch.column(0).to_pylist()
+            classes = np.frombuffer(b"".join(packed), CLASS_TYPE).astype(np.int64)
+            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // CLASS_TYPE().itemsize
+            logs = step[np.append(end, classes[:-1]), classes] - size[classes] if len(classes) else np.zeros(0)
+            starts = np.cumsum(sizes) - sizes
             sums = np.add.reduceat(logs, starts) if len(starts) else logs
-            yield pa.RecordBatch.from_arrays([*batch.columns[2 + len(lookups) :], pa.array(sums)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sums)], names=schema.names)
 
     return source.mapInArrow(score, schema)
 
@@ -651,28 +912,16 @@ def score_texts(
     all counts are 0. Other columns are not read.
     """
     folder = folder or shared_dir(docs.sparkSession)
-    model, counts, table, total = train_units(docs.where(training).select(text), settings, folder)
-    coded = stored(coded_texts(docs, model, training, keep, text), f"{folder}/coded")
-    kept = coded.columns[: -8]
-    now = coded
-    if settings.least_count is not None:
-        model, now = exchange_words(coded, model, counts, table, total, folder)
-    scores = class_scores(now, model, [*kept, "__uid", "n_tokens", "__head_known", "__head_logs"])
-    tail = coded.select("__uid", F.explode(F.arrays_zip("__tail", "__tail_counts")).alias("t")).select(
-        "__uid", F.col("t.__tail").alias("w"), F.col("t.__tail_counts").alias("m")
-    )
-    rare = counts.where(_band("n") < model.least_band)
-    summed = (
-        tail.join(rare, "w", "left").groupBy("__uid").agg(
-            F.sum(F.col("m") * F.log10(F.coalesce("n", F.lit(0)) + settings.add)).alias("tail_logs"),
-            F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("tail_known"),
-        )
-    )
-    logs = F.col("__head_logs") + F.coalesce("tail_logs", F.lit(0.0))
-    return scores.join(summed, "__uid", "left").select(
-        *kept, "n_tokens",
-        (F.col("__head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
+    groups = Groups(docs.sparkSession, folder)
+    counted = count_words(docs.where(training).select(text), settings, folder)
+    coded = groups.stored(coded_texts(docs, counted.head, settings, training, keep, text), "coded-0")
+    kept = coded.columns[: coded.columns.index("__train")]
+    model, table = train_units(coded, counted, settings)
+    model, now = exchange_words(coded, model, counted, table, groups)
+    scores = class_scores(now, model, [*kept, "n_tokens", "__known", "__logs"])
+    return scores.select(
+        *kept, "n_tokens", F.col("__known").alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(model.whole)).alias("base_score"),
-        (logs + F.col("__class_logs")).alias("score"),
+        (F.col("__logs") - F.col("n_tokens") * F.lit(model.whole)).alias("base_score"),
+        (F.col("__logs") + F.col("__class_logs")).alias("score"),
     )

@@ -13,6 +13,14 @@ from siltstone.llm.common import crc_of_id
 SMALL = lm.BrownSettings(head_words=40, cluster_words=15, suffixes=5, classes=4)
 
 
+def units_of(docs, training, settings, folder, keep=()):
+    """Counts, coded texts and the model of units."""
+    groups = lm.Groups(docs.sparkSession, folder)
+    counted = lm.count_words(docs.where(training).select("text"), settings, folder)
+    coded = groups.stored(lm.coded_texts(docs, counted.head, settings, training, list(keep), "text"), "coded-0")
+    return groups, counted, coded, *lm.train_units(coded, counted, settings)
+
+
 def scored(docs, settings=SMALL):
     held_out = crc_of_id("doc_id") % 10 == 0
     return lm.score_texts(docs, ~held_out, [F.col("doc_id"), F.col("text"), held_out.alias("held_out")], settings=settings)
@@ -40,8 +48,8 @@ def test_score_is_that_of_classes_and_words(spark, tmp_path):
     rows = [(i, r[1], *r[2:]) for i, r in enumerate(documents()[:60])]
     docs = frame(spark, rows)
     training = F.col("doc_id") < 50
-    model, counts = lm.train(docs.where(training).select("text"), SMALL, str(tmp_path))
-    number = {bytes(r["w"]): r["n"] for r in counts.collect()}
+    _, counted, _, model, _ = units_of(docs, training, SMALL, str(tmp_path))
+    number = {bytes(r["w"]): r["n"] for r in counted.words.collect()}
     unit = lm.UnitOf([w for w, _ in model.head], SMALL)
     # Probabilities of a class's words, and of one unknown word, add up to 1; so do steps.
     assert np.allclose((10**model.step).sum(axis=1), 1)
@@ -112,10 +120,57 @@ def test_best_classes_are_those_of_full_recomputation():
     counts = np.zeros((16, 8))
     for i in range(16):
         counts[i, :4], counts[i, 4:] = np.bincount(own, pairs[i], 4), np.bincount(own, pairs[:, i], 4)
-    got = lm.best_classes(lm.class_table(pairs, own, 4), counts, own)
+    got = lm.best_classes(lm.class_table(pairs, own, 4), *entries(counts, 4), own)
     assert got.tolist() == [naive_best(pairs, own, i, 4) for i in range(16)]
 
 
+def entries(counts, c):
+    sides = []
+    for side in (counts[:, :c], counts[:, c:]):
+        w, j = np.nonzero(side)
+        sides.append((w, j, side[w, j].astype(np.int64)))
+    return sides
+
+
+def dense_best(table, counts, old):
+    """Every candidate by taking the word out of the table and putting it in."""
+    out = []
+    for n, o in enumerate(old):
+        right, left = counts[n, : len(table)], counts[n, len(table) :]
+        bare = table.copy()
+        bare[o] -= right
+        bare[:, o] -= left
+        bare = np.maximum(bare, 0)
+        values = []
+        for c in range(len(table)):
+            full = bare.copy()
+            full[c] += right
+            full[:, c] += left
+            rows, columns = bare.sum(axis=1), bare.sum(axis=0)
+            # Marginals count what the word is next to as belonging to some class already.
+            rows = np.maximum(table.sum(axis=1) - np.where(np.arange(len(table)) == o, right.sum(), 0), 0)
+            columns = np.maximum(table.sum(axis=0) - np.where(np.arange(len(table)) == o, left.sum(), 0), 0)
+            rows[c] += right.sum()
+            columns[c] += left.sum()
+            values.append(lm._f(full).sum() - lm._f(rows).sum() - lm._f(columns).sum())
+        best = int(np.argmax(values))
+        out.append(best if values[best] > values[o] + 1e-9 else o)
+    return out
+
+
+def test_best_classes_of_large_and_small_counts(monkeypatch):
+    monkeypatch.setattr(lm, "DECIDED_WORDS", 50)
+    rng = np.random.default_rng(8)
+    c, n = 6, 180
+    old = rng.integers(0, c, n)
+    counts = rng.poisson(rng.choice([0.2, 1.5, 40], (n, 1)), (n, 2 * c))
+    table = rng.poisson(50, (c, c)).astype(float)
+    for w in range(n):
+        table[old[w]] += counts[w, :c]
+        table[:, old[w]] += counts[w, c:]
+    assert lm.best_classes(table, *entries(counts, c), old).tolist() == dense_best(table, counts, old)
+
+
 def test_rare_words_choose_their_classes(spark, tmp_path):
     """Beyond the clustered and the broadcast words, a word goes by its neighbours, not its ending."""
     rng = random.Random(2)
@@ -123,12 +178,12 @@ def test_rare_words_choose_their_classes(spark, tmp_path):
     texts = [" ".join(rng.choice(kinds[j % 2]) for j in range(40)) for _ in range(150)]
     docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
     settings = lm.BrownSettings(head_words=30, cluster_words=10, suffixes=5, classes=3, least_count=3, word_sweeps=6)
-    model, counts, table, total = lm.train_units(docs.select("text"), settings, str(tmp_path))
-    coded = lm.stored(lm.coded_texts(docs, model, F.lit(True), [], "text"), str(tmp_path / "coded"))
-    better, now = lm.exchange_words(coded, model, counts, table, total, str(tmp_path))
+    groups, counted, coded, model, table = units_of(docs, F.lit(True), settings, str(tmp_path), [F.col("text")])
+    better, now = lm.exchange_words(coded, model, counted, table, groups)
     class_of = {w: int(c) for (w, _), c in zip(model.head, better.head_class)}
     for r in now.collect():
-        class_of |= {bytes(r["__tail"][at]): c for at, c in zip(r["__slot"] or [], r["__class"] or [])}
+        found = dict(zip([*r["text"].encode().split(), b""], np.frombuffer(r["__class"], lm.CLASS_TYPE).tolist()))
+        assert all(class_of.setdefault(w, c) == c for w, c in found.items())
     number = Counter(w for t in texts for w in t.encode().split())
     assert {w for w, n in number.items() if n >= 3} <= set(class_of)
     tables = np.zeros((3, 3))
