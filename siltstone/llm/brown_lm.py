@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import as_bytes, discard, shared_dir, slices, stored
+from siltstone.llm.common import discard, shared_dir, slices, stored
 
 #: The end of a text, which no word is.
 END = b""
@@ -66,33 +65,51 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+class Words:
+    """``words`` of a column of texts: the distinct ones, and those of all texts in a row by
+    their numbers, with the text of each."""
+
+    def __init__(self, texts: pa.Array):
+        found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        flat = found.flatten()
+        real = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty piece
+        text = np.repeat(np.arange(len(texts)), found.value_lengths().to_numpy())
+        self.text = text[real.to_numpy(zero_copy_only=False)]
+        coded = flat.filter(real).dictionary_encode()
+        self.numbers = coded.indices.to_numpy()
+        self.distinct = coded.dictionary.cast(pa.binary())
+
+
 # --- Counts over the corpus ------------------------------------------------
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``w, n``: how often each word and the end occur in the one text column."""
 
+    def summed(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("w").aggregate([("n", "sum")]).rename_columns(["w", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held, rows, ends = [], 0, 0
         for batch in slices(batches):
-            for text in as_bytes(batch.column(0)):
-                held.update(words(text))
-            held[END] += batch.num_rows
-            if len(held) > HELD_WORDS:
-                yield _counted(held)
-                held = Counter()
-        if held:
-            yield _counted(held)
+            found = Words(batch.column(0))
+            ends += batch.num_rows
+            n = np.bincount(found.numbers, minlength=len(found.distinct))
+            held.append(pa.table({"w": found.distinct, "n": n}))
+            rows += len(n)
+            if rows > 2 * HELD_WORDS:
+                held = [summed(held)]
+                rows = held[0].num_rows
+                if rows > HELD_WORDS:
+                    yield from held[0].combine_chunks().to_batches()
+                    held, rows = [], 0
+        if ends:
+            held.append(pa.table({"w": pa.array([END], pa.binary()), "n": np.array([ends])}))
+            yield from summed(held).combine_chunks().to_batches()
 
     return texts.mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
-def _counted(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["w", "n"]
-    )
-
-
 def _band(n: str) -> Column:
     return F.floor(F.log2(n) * 8).cast("int")
 
@@ -290,6 +307,26 @@ def suffix_classes(model: BrownModel) -> np.ndarray:
     return model.unit_class[model.settings.cluster_words :]
 
 
+def packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary column with each row's run of the values."""
+    edges = np.append(0, np.cumsum(sizes * values.itemsize))
+    if edges[-1] >= 1 << 31:
+        raise ValueError("a batch of texts with more than 2 GB of words")
+    buffers = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a ``packed`` column in a row, and how many each row has."""
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    size = np.dtype(kind).itemsize
+    if data is None or not len(column):
+        return np.zeros(0, kind), np.zeros(len(column), np.int64)
+    values = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]].view(kind)
+    return values, np.diff(edges).astype(np.int64) // size
+
+
 class Coded:
     """A batch of coded texts as one run of tokens: numbers, classes, and rare words.
 
@@ -299,17 +336,15 @@ class Coded:
     """
 
     def __init__(self, batch: pa.RecordBatch, head_class: np.ndarray, suffix_class: np.ndarray):
-        seq, tail = batch.column("__seq"), batch.column("__tail")
-        self.sizes = seq.value_lengths().to_numpy()
-        self.flat = seq.flatten().to_numpy()
+        tail = batch.column("__tail")
+        self.flat, self.sizes = unpacked(batch.column("__seq"), np.int32)
         self.tail = tail.flatten()
         self.tail_sizes = tail.value_lengths().to_numpy()
         self.first = np.cumsum(np.append(0, self.tail_sizes))[:-1]
         self.in_tail = np.flatnonzero(self.flat < 0)
         self.tail_at = np.repeat(self.first, self.sizes)[self.in_tail] - 1 - self.flat[self.in_tail]
         if "__class" in batch.schema.names:
-            packed = batch.column("__class").to_pylist()
-            self.classes = np.frombuffer(b"".join(packed), CLASS_TYPE).astype(np.int32)
+            self.classes = unpacked(batch.column("__class"), CLASS_TYPE)[0].astype(np.int32)
         else:
             self.classes = head_class[np.maximum(self.flat, 0)].astype(np.int32)
             self.classes[self.in_tail] = suffix_of(self.tail, suffix_class)[self.tail_at]
@@ -332,7 +367,7 @@ def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.nda
         total = np.zeros(classes * classes, np.int64)
         for batch in slices(batches):
             if made:
-                found = np.frombuffer(b"".join(batch.column(0).to_pylist()), CLASS_TYPE)
+                found = unpacked(batch.column(0), CLASS_TYPE)[0]
             else:
                 found = Coded(batch, of_head, of_suffix).classes
             _add_pairs(total, np.append(of_head[0], found), classes)
@@ -387,16 +422,16 @@ def neighbour_counts(coded: DataFrame, head_class: np.ndarray, suffix_class: np.
         codes, counts = np.unique(np.concatenate(held), return_counts=True)
         block = codes // (width * TOGETHER)
         starts = np.flatnonzero(np.diff(block, prepend=-1))
-        keys, packed = [], []
+        keys, data = [], []
         for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(codes)]):
             at = int(block[start])
             keys.append(b"h" + at.to_bytes(4, "big"))
             some = _narrow(codes[start:end] - at * TOGETHER * width)
-            packed.append(len(some).to_bytes(4, "big") + some + _narrow(counts[start:end]))
+            data.append(len(some).to_bytes(4, "big") + some + _narrow(counts[start:end]))
         n = len(keys)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, kinds[0]), pa.array(np.zeros(n, np.int64)), pa.nulls(n, kinds[2]),
-             pa.nulls(n, kinds[3]), pa.array(packed, kinds[4])], names=names,
+             pa.nulls(n, kinds[3]), pa.array(data, kinds[4])], names=names,
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -577,8 +612,8 @@ def chosen_classes(
             self.cells, self.of_head, self.tabled = cells, of_head, tabled
             self.key, self.total, self.done = None, None, []
 
-        def add(self, keys: list[bytes], packed: list[bytes]) -> None:
-            for key, data in zip(keys, packed):
+        def add(self, keys: list[bytes], counts: list[bytes]) -> None:
+            for key, data in zip(keys, counts):
                 if key != self.key:
                     self.decide()
                     self.key, self.total = key, np.zeros(TOGETHER * width, np.int64)
@@ -681,7 +716,7 @@ def with_classes(
         tokens = chosen[part.tail_at]
         classes[part.in_tail] = np.where(tokens >= 0, tokens, classes[part.in_tail])
         if first_time:
-            times = batch.column("__tail_counts").flatten().to_numpy()
+            times = unpacked(batch.column("__tail_counts"), np.int32)[0]
             text = np.repeat(np.arange(len(part.sizes)), part.tail_sizes)
             logs = np.bincount(text, times * np.log10(count + add), len(part.sizes))
             met = np.bincount(text, times * (count > 0), len(part.sizes)).astype(np.int64)
@@ -695,14 +730,11 @@ def with_classes(
             number = -1 - (upto - 1 - first[text]) if len(text) else upto
             flat = part.flat.copy()
             flat[part.in_tail] = np.where(stays[part.tail_at], number[part.tail_at], nowhere)
-            columns["__seq"] = pa.ListArray.from_arrays(
-                pa.array(np.append(0, np.cumsum(part.sizes)), pa.int32()), pa.array(flat, pa.int32()))
+            columns["__seq"] = packed(flat, part.sizes)
             columns["__tail"] = pa.ListArray.from_arrays(
                 pa.array(np.append(first, sizes.sum()), pa.int32()), part.tail.filter(pa.array(stays)))
             columns["__tail_at"] = pa.array(first, pa.int32())
-        edges = np.append(0, np.cumsum(part.sizes)).tolist()
-        data = classes.astype(CLASS_TYPE)
-        columns["__class"] = pa.array([data[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())
+        columns["__class"] = packed(classes.astype(CLASS_TYPE), part.sizes)
         return pa.table([columns[n] for n in names], names=names)
 
     return coded.groupBy("__gid").cogroup(placed.select(F.col("g").alias("__gid"), "s", "c", "n").groupBy("__gid")).applyInArrow(put, schema)
@@ -814,17 +846,6 @@ GROUP_TOKENS = 300_000
 GROUP_TEXTS = 1024
 
 
-class Numbers(dict):
-    """Numbers of the frequent words; other words get -1, -2, ... as they come."""
-
-    def __init__(self, head: list[tuple[bytes, int]]):
-        super().__init__((w, i) for i, (w, _) in enumerate(head))
-        self.tail: dict[bytes, int] = {}
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - self.tail.setdefault(word, len(self.tail))
-
-
 def coded_texts(
     docs: DataFrame, head: list[tuple[bytes, int]], settings: BrownSettings, training: Column, keep: list[Column], text: str
 ) -> DataFrame:
@@ -835,46 +856,57 @@ def coded_texts(
     source = docs.select(F.col(text).alias("__text"), *keep, F.coalesce(training, F.lit(False)).alias("__train"))
     kinds = (
         "__uid long, __gid long, n_tokens long, __known long, __logs double, "
-        "__seq array<int>, __tail array<binary>, __tail_at int, __tail_counts array<int>"
+        "__seq binary, __tail array<binary>, __tail_at int, __tail_counts binary"
     )
     schema = source.drop("__text").schema
     for field in source.sparkSession.createDataFrame([], kinds).schema:
         schema = schema.add(field)
     names = schema.names
-    types = [
-        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int32()),
-        pa.list_(pa.binary()), pa.int32(), pa.list_(pa.int32()),
-    ]
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_, add = shared.value
-        number = Numbers(words_)
+        number = {w: i for i, (w, _) in enumerate(words_)}
         counts = np.array([n for _, n in words_], float)
         logs = np.log10(counts + add)
         uid = group = TaskContext.get().partitionId() << TASK_BITS
         tokens = tails = 0
-        for batch in slices(batches, 500):
-            rows: list[tuple] = []
-            for text in as_bytes(batch.column(0)):
-                found = words(text)
-                number.tail = {}
-                seq = np.fromiter(map(number.__getitem__, found), np.int32, len(found))
-                seq = np.append(seq, np.int32(number[END]))
-                if uid > group and (tokens + len(seq) > GROUP_TOKENS or uid - group >= GROUP_TEXTS):
-                    group, tokens, tails = uid, 0, 0
-                known = seq[seq >= 0]
-                times = np.bincount(-1 - seq[seq < 0], minlength=len(number.tail))
-                rows.append((
-                    uid, group, len(seq), int((counts[known] > 0).sum()), float(logs[known].sum()), seq,
-                    list(number.tail), tails, times,
-                ))
-                uid += 1
-                tokens += len(seq)
-                tails += len(number.tail)
-            columns = list(zip(*rows)) if rows else [[]] * len(types)
+        for batch in slices(batches):
+            n = batch.num_rows
+            found = Words(batch.column(0))
+            of_word = np.fromiter((number.get(w, -1) for w in found.distinct.to_pylist()), np.int32, len(found.distinct))
+            flat = of_word[found.numbers]
+            rare = np.flatnonzero(flat < 0)
+            # The distinct rare words of each text, and which of them each occurrence is.
+            kinds = max(1, len(of_word))
+            pairs, which, times = np.unique(
+                found.text[rare] * kinds + found.numbers[rare], return_inverse=True, return_counts=True
+            )
+            tail_sizes = np.bincount(pairs // kinds, minlength=n)
+            first = np.cumsum(np.append(0, tail_sizes))
+            flat[rare] = -1 - (which - first[found.text[rare]])
+            tail = pa.ListArray.from_arrays(pa.array(first, pa.int32()), found.distinct.take(pa.array(pairs % kinds)))
+            # Each text's words, then the end.
+            sizes = np.bincount(found.text, minlength=n) + 1
+            seq = np.full(int(sizes.sum()), number[END], np.int32)
+            seq[np.arange(len(flat)) + found.text] = flat
+            text = np.repeat(np.arange(n), sizes)
+            often = seq >= 0
+            known = np.bincount(text[often], counts[seq[often]] > 0, n).astype(np.int64)
+            head_logs = np.bincount(text[often], logs[seq[often]], n)
+            groups, places = [], []
+            for i, (size, tail_size) in enumerate(zip(sizes.tolist(), tail_sizes.tolist()), uid):
+                if i > group and (tokens + size > GROUP_TOKENS or i - group >= GROUP_TEXTS):
+                    group, tokens, tails = i, 0, 0
+                groups.append(group)
+                places.append(tails)
+                tokens, tails = tokens + size, tails + tail_size
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *(pa.array(c, t) for c, t in zip(columns, types))], names=names
+                [*batch.columns[1:], pa.array(np.arange(uid, uid + n)), pa.array(groups, pa.int64()),
+                 pa.array(sizes, pa.int64()), pa.array(known), pa.array(head_logs), packed(seq, sizes), tail,
+                 pa.array(places, pa.int32()), packed(times.astype(np.int32), tail_sizes)],
+                names=names,
             )
+            uid += n
 
     return source.mapInArrow(code, schema)
 
@@ -888,9 +920,8 @@ def class_scores(coded: DataFrame, model: BrownModel, keep: list[str]) -> DataFr
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, step, size = shared.value
         for batch in slices(batches):
-            packed = batch.column(0).to_pylist()
-            classes = np.frombuffer(b"".join(packed), CLASS_TYPE).astype(np.int64)
-            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // CLASS_TYPE().itemsize
+            classes, sizes = unpacked(batch.column(0), CLASS_TYPE)
+            classes = classes.astype(np.int64)
             logs = step[np.append(end, classes[:-1]), classes] - size[classes] if len(classes) else np.zeros(0)
             starts = np.cumsum(sizes) - sizes
             sums = np.add.reduceat(logs, starts) if len(starts) else logs

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from llm_cases import DOCUMENTS, documents, frame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,24 @@ def scored(docs, settings=SMALL):
     return lm.score_texts(docs, ~held_out, [F.col("doc_id"), F.col("text"), held_out.alias("held_out")], settings=settings)
 
 
+def test_words_of_a_column():
+    texts = ["  a B\tc\n", "", " ", None, "É\x0bx\x0cy\rz \x1c \x85q\u2003w", "one", "x\x00y \x1f Z İ"]
+    found = lm.Words(pa.array(texts))
+    got = [[] for _ in texts]
+    for i, n in zip(found.text, found.numbers):
+        got[i].append(found.distinct[int(n)].as_py())
+    assert got == [lm.words(None if t is None else t.encode()) for t in texts]
+
+
+def test_packed_runs():
+    values, sizes = np.arange(6, dtype=np.int32), np.array([2, 0, 3, 1])
+    column = lm.packed(values, sizes)
+    assert [np.frombuffer(b, np.int32).tolist() for b in column.to_pylist()] == [[0, 1], [], [2, 3, 4], [5]]
+    for a, b in ((0, 4), (1, 3), (2, 2), (1, 2)):
+        back, lengths = lm.unpacked(column.slice(a, b - a), np.int32)
+        assert lengths.tolist() == sizes[a:b].tolist() and back.tolist() == values[sizes[:a].sum() : sizes[:b].sum()].tolist()
+
+
 def test_counts_against_brute_force(spark):
     rows = documents()
     got = scored(frame(spark)).collect()
