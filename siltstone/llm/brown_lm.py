@@ -33,8 +33,10 @@ from siltstone.llm.common import discard, shared_dir, slices, stored
 #: The end of a text, which no word is.
 END = b""
 #: Distinct words that a task counts before it passes them on.
-HELD_WORDS = 500_000
+HELD_WORDS = 400_000
 TASK_BITS = 33
+#: Texts that a task works on at a time.
+SLICE = 400
 #: Classes within numbers, and as texts store them.
 CLASS_BITS = 16
 CLASS_TYPE = np.uint16
@@ -91,7 +93,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, ends = [], 0, 0
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             found = Words(batch.column(0))
             ends += batch.num_rows
             n = np.bincount(found.numbers, minlength=len(found.distinct))
@@ -365,7 +367,7 @@ def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.nda
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_head, of_suffix = shared.value
         total = np.zeros(classes * classes, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             if made:
                 found = unpacked(batch.column(0), CLASS_TYPE)[0]
             else:
@@ -385,7 +387,7 @@ def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.nda
 
 #: Frequent words whose neighbours travel in one row.
 TOGETHER = 256
-HELD_TOKENS = 4_000_000
+HELD_TOKENS = 3_000_000
 #: Rows of rare words that are decided together, and up to which count a table tells what
 #: a class gains.
 DECIDED_ROWS = 200_000
@@ -437,7 +439,7 @@ def neighbour_counts(coded: DataFrame, head_class: np.ndarray, suffix_class: np.
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_head, of_suffix = shared.value
         held, size = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             if not batch.num_rows:
                 continue
             part = Coded(batch, of_head, of_suffix)
@@ -785,8 +787,7 @@ def exchange_words(
         near = neighbour_counts(now, head_class, suffix, s.classes)
         chosen = chosen_classes(near, rare, table, head_class, least)
         path = f"{folder}/chosen-{sweep}"
-        chosen.write.partitionBy("kind").parquet(path)
-        chosen = coded.sparkSession.read.schema(CHOSEN).parquet(path)
+        chosen = stored(chosen, path)
         moved = chosen.where(F.col("kind") == IN_HEAD).select("g", "c").toArrow()
         at, to = moved["g"].to_numpy(), moved["c"].to_numpy()
         new_class = head_class.copy()
@@ -870,7 +871,7 @@ def coded_texts(
         logs = np.log10(counts + add)
         uid = group = TaskContext.get().partitionId() << TASK_BITS
         tokens = tails = 0
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             n = batch.num_rows
             found = Words(batch.column(0))
             of_word = np.fromiter((number.get(w, -1) for w in found.distinct.to_pylist()), np.int32, len(found.distinct))
@@ -919,7 +920,7 @@ def class_scores(coded: DataFrame, model: BrownModel, keep: list[str]) -> DataFr
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, step, size = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             classes, sizes = unpacked(batch.column(0), CLASS_TYPE)
             classes = classes.astype(np.int64)
             logs = step[np.append(end, classes[:-1]), classes] - size[classes] if len(classes) else np.zeros(0)
