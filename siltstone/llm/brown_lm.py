@@ -16,6 +16,8 @@ so rare words need no table that a task or the driver would have to hold.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,8 +37,26 @@ END = b""
 #: Distinct words that a task counts before it passes them on.
 HELD_WORDS = 400_000
 TASK_BITS = 33
-#: Texts that a task works on at a time.
+#: Texts that a task cuts into words, and coded texts that it works on, at a time.
+CUT_TEXTS = 1500
 SLICE = 400
+
+
+def tidy(task):
+    """A ``mapInArrow`` function that gives freed memory back to the system when it ends,
+    as its worker lives on beside others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 #: Classes within numbers, and as texts store them.
 CLASS_BITS = 16
 CLASS_TYPE = np.uint16
@@ -93,7 +113,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, ends = [], 0, 0
-        for batch in slices(batches, SLICE):
+        for batch in slices(batches, CUT_TEXTS):
             found = Words(batch.column(0))
             ends += batch.num_rows
             n = np.bincount(found.numbers, minlength=len(found.distinct))
@@ -109,7 +129,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             held.append(pa.table({"w": pa.array([END], pa.binary()), "n": np.array([ends])}))
             yield from summed(held).combine_chunks().to_batches()
 
-    return texts.mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(count), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def _band(n: str) -> Column:
@@ -349,14 +369,8 @@ class Coded:
             self.classes = unpacked(batch.column("__class"), CLASS_TYPE)[0].astype(np.int32)
         else:
             self.classes = head_class[np.maximum(self.flat, 0)].astype(np.int32)
-            self.classes[self.in_tail] = suffix_of(self.tail, suffix_class)[self.tail_at]
-
-
-def suffix_of(tail: pa.Array, suffix_class: np.ndarray) -> np.ndarray:
-    """Class of each rare word by its last bytes."""
-    kind = len(suffix_class)
-    numbers = (zlib.crc32(w[-3:]) % kind for w in tail.to_pylist())
-    return suffix_class[np.fromiter(numbers, np.int64, len(tail))]
+            suffix = unpacked(batch.column("__tail_suffix"), np.uint16)[0]
+            self.classes[self.in_tail] = suffix_class[suffix[self.tail_at]]
 
 
 def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.ndarray, classes: int) -> np.ndarray:
@@ -379,8 +393,8 @@ def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.nda
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
 
     table = np.zeros(classes * classes)
-    read = coded.select(*(["__class"] if made else ["__seq", "__tail"]))
-    for batch in _arrow_batches(read.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))):
+    read = coded.select(*(["__class"] if made else ["__seq", "__tail", "__tail_suffix"]))
+    for batch in _arrow_batches(read.mapInArrow(tidy(count), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))):
         table[batch[0]] = batch[1]
     return table.reshape(classes, classes)
 
@@ -476,8 +490,8 @@ def neighbour_counts(coded: DataFrame, head_class: np.ndarray, suffix_class: np.
         )
 
     columns = ["__seq", "__tail", "__train", "__gid", "__tail_at"]
-    columns += [c for c in ("__class",) if c in coded.columns]
-    return coded.select(*columns).mapInArrow(count, NEIGHBOURS)
+    columns += [c for c in ("__class", "__tail_suffix") if c in coded.columns]
+    return coded.select(*columns).mapInArrow(tidy(count), NEIGHBOURS)
 
 
 def _entries(word: np.ndarray, found: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
@@ -594,7 +608,7 @@ def chosen_classes(
     shared = neighbours.sparkSession.sparkContext.broadcast((table, head_class))
     classes = len(table)
     width, mask = 2 * classes, (1 << CLASS_BITS) - 1
-    # The count of a word stands before its occurrences.
+    # The count of a word stands among its occurrences.
     known = rare.select(
         F.concat(F.lit(bytearray(b"w")), "w").alias("k"), (-F.col("n")).alias("v"),
         F.lit(None).cast("long").alias("g"), F.lit(None).cast("int").alias("s"), F.lit(None).cast("binary").alias("b"),
@@ -680,8 +694,8 @@ def chosen_classes(
             if len(found):
                 yield rows_of(kind, sums[i, 0, found], None, found, sums[i, 1, found])
 
-    together = neighbours.unionByName(known).repartition("k").sortWithinPartitions("k", "v")
-    return together.mapInArrow(choose, CHOSEN)
+    together = neighbours.unionByName(known).repartition("k").sortWithinPartitions("k")
+    return together.mapInArrow(tidy(choose), CHOSEN)
 
 
 def with_classes(
@@ -694,7 +708,7 @@ def with_classes(
     """
     shared = coded.sparkSession.sparkContext.broadcast((head_class, suffix_class))
     first_time = "__tail_counts" in coded.columns
-    out = coded.drop("__tail_counts")
+    out = coded.drop("__tail_counts", "__tail_suffix")
     if first_time:
         schema = out.schema.add("__class", "binary")
     else:
@@ -857,7 +871,7 @@ def coded_texts(
     source = docs.select(F.col(text).alias("__text"), *keep, F.coalesce(training, F.lit(False)).alias("__train"))
     kinds = (
         "__uid long, __gid long, n_tokens long, __known long, __logs double, "
-        "__seq binary, __tail array<binary>, __tail_at int, __tail_counts binary"
+        "__seq binary, __tail array<binary>, __tail_at int, __tail_counts binary, __tail_suffix binary"
     )
     schema = source.drop("__text").schema
     for field in source.sparkSession.createDataFrame([], kinds).schema:
@@ -871,10 +885,11 @@ def coded_texts(
         logs = np.log10(counts + add)
         uid = group = TaskContext.get().partitionId() << TASK_BITS
         tokens = tails = 0
-        for batch in slices(batches, SLICE):
+        for batch in slices(batches, CUT_TEXTS):
             n = batch.num_rows
             found = Words(batch.column(0))
-            of_word = np.fromiter((number.get(w, -1) for w in found.distinct.to_pylist()), np.int32, len(found.distinct))
+            distinct = found.distinct.to_pylist()
+            of_word = np.fromiter((number.get(w, -1) for w in distinct), np.int32, len(distinct))
             flat = of_word[found.numbers]
             rare = np.flatnonzero(flat < 0)
             # The distinct rare words of each text, and which of them each occurrence is.
@@ -885,7 +900,11 @@ def coded_texts(
             tail_sizes = np.bincount(pairs // kinds, minlength=n)
             first = np.cumsum(np.append(0, tail_sizes))
             flat[rare] = -1 - (which - first[found.text[rare]])
-            tail = pa.ListArray.from_arrays(pa.array(first, pa.int32()), found.distinct.take(pa.array(pairs % kinds)))
+            words_of = pairs % kinds
+            tail = pa.ListArray.from_arrays(pa.array(first, pa.int32()), found.distinct.take(pa.array(words_of)))
+            suffix = np.zeros(kinds, np.uint16)
+            for i in np.unique(words_of).tolist():
+                suffix[i] = zlib.crc32(distinct[i][-3:]) % settings.suffixes
             # Each text's words, then the end.
             sizes = np.bincount(found.text, minlength=n) + 1
             seq = np.full(int(sizes.sum()), number[END], np.int32)
@@ -904,12 +923,13 @@ def coded_texts(
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(np.arange(uid, uid + n)), pa.array(groups, pa.int64()),
                  pa.array(sizes, pa.int64()), pa.array(known), pa.array(head_logs), packed(seq, sizes), tail,
-                 pa.array(places, pa.int32()), packed(times.astype(np.int32), tail_sizes)],
+                 pa.array(places, pa.int32()), packed(times.astype(np.int32), tail_sizes),
+                 packed(suffix[words_of], tail_sizes)],
                 names=names,
             )
             uid += n
 
-    return source.mapInArrow(code, schema)
+    return source.mapInArrow(tidy(code), schema)
 
 
 def class_scores(coded: DataFrame, model: BrownModel, keep: list[str]) -> DataFrame:
