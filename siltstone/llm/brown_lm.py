@@ -393,7 +393,9 @@ def count_classes(coded: DataFrame, head_class: np.ndarray, suffix_class: np.nda
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
 
     table = np.zeros(classes * classes)
-    read = coded.select(*(["__class"] if made else ["__seq", "__tail", "__tail_suffix"]))
+    # A task gives up to a row per cell, so there are no more tasks than keep all cores busy.
+    tasks = 2 * coded.sparkSession.sparkContext.defaultParallelism
+    read = coded.select(*(["__class"] if made else ["__seq", "__tail", "__tail_suffix"])).coalesce(tasks)
     for batch in _arrow_batches(read.mapInArrow(tidy(count), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))):
         table[batch[0]] = batch[1]
     return table.reshape(classes, classes)
