@@ -11,17 +11,17 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def expected(rows, k=5, every=50):
-    vectors = {}
+    vectors = []
     for i, v, _ in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        q = [math.floor(256 * float(np.float32(x))) for x in v]
-        vectors[i] = min(vectors.get(i, q), q)
+        vectors.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
     out = []
-    for i, q in vectors.items():
-        if i % every:
-            continue
-        scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in vectors.items() if j != i and len(v) == len(q))
+    for i in sorted({i for i, _ in vectors if i % every == 0}):
+        scores = sorted(
+            (-sum(a * b for a, b in zip(q, v)), j)
+            for n, q in vectors if n == i for j, v in vectors if j != i and len(v) == len(q)
+        )
         out += [(i, n, j, -s) for n, (s, j) in enumerate(scores[:k], 1)]
     return sorted(out)
 
@@ -41,6 +41,69 @@ def run(spark, rows, **settings):
     return sorted(map(tuple, cover_tree.top_k(df, F.col("id") % 50 == 0, **settings).collect()))
 
 
+def test_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (1, [1.0, 0.0], 1), (50, [0.0, 1.0], 1), (50, [1.0, 1.0], 1)]
+    assert run(spark, rows) == expected(rows)
+    assert run(spark, rows)[0] == (0, 1, 1, 65536)
+
+
+def clustered(n, clusters, dims, queries, seed=5):
+    """Points in small clusters far from each other; the first rows are queries of few of them."""
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(0, 1, (clusters, dims))
+    centers /= np.linalg.norm(centers, axis=1)[:, None]
+    own = rng.integers(0, clusters, n)
+    points = centers[own] * 8 + rng.normal(0, 0.01, (n, dims))
+    ids = np.arange(n) * 50 + 1
+    ids[:queries] -= 1
+    return [(int(i), p.tolist(), 1) for i, p in zip(ids, points)]
+
+
+@pytest.mark.parametrize("clusters, queries", [(60, 100), (500, 400)])
+def test_cells_spare_copies_at_shipped_settings(spark, monkeypatch, clusters, queries):
+    rows = clustered(40_000, clusters, 16, queries)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    seen, cells, whole = [], [], cover_tree._meet
+
+    def counted(placed, pairs, k, floors):
+        seen.append(pairs.count())
+        cells.append(placed.select("cell").distinct().count())
+        return whole(placed, pairs, k, floors)
+
+    monkeypatch.setattr(cover_tree, "_meet", counted)
+    got = cover_tree.top_k(df, F.col("id") % 50 == 0, row_block=4096).collect()
+    points = np.floor(256 * np.array([np.float32(p) for _, p, _ in rows], float))
+    ids = np.array([i for i, _, _ in rows])
+    mine = {i: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == i] for i in ids[:queries:37].tolist()}
+    for n in range(0, queries, 37):
+        scores = points @ points[n]
+        scores[n] = -np.inf
+        best = np.lexsort((ids, -scores))[:5]
+        assert mine[int(ids[n])] == [(int(ids[j]), int(scores[j])) for j in best]
+    # Pairs of cells that met, of all, with few queries in some of the cells.
+    assert cells[0] >= clusters and sum(seen) < 5 * cells[0]
+
+
+@pytest.mark.parametrize("clusters, queries, rows", [(2000, 4096, 16_384), (60, 400, 20_000)])
+def test_trees_prune_at_shipped_settings(clusters, queries, rows):
+    points = np.floor(256 * np.array([p for _, p, _ in clustered(rows, clusters, 64, 0)]))
+    ids = np.arange(rows)
+    found = cover_tree.DualSearch(points[:queries], ids[:queries], points, ids, 5)
+    assert found.q.root.children and found.r.root.children and found.pruned > 100
+    for n in range(0, queries, 97):
+        at = int(np.flatnonzero(found.query_ids == n)[0])
+        scores = points @ points[n]
+        scores[n] = -np.inf
+        best = np.lexsort((ids, -scores))[:5]
+        assert found.best[at].tolist() == best.tolist() and found.scores[at].tolist() == scores[best].tolist()
+
+
+def test_scattered_points_stay_a_leaf():
+    points = np.random.default_rng(1).normal(size=(4000, 64))
+    assert not cover_tree.CoverTree(points).root.children
+    assert len(cover_tree.spread_pivots(points, 5)) == 5
+
+
 @pytest.mark.parametrize("blocks", [{}, {"query_block": 3, "row_block": 40}])
 def test_against_brute_force(spark, monkeypatch, blocks):
     rows = [r for r in cases() if r[0] != 5300]
@@ -64,6 +127,7 @@ def brute(q, qi, r, ri, k):
 @pytest.mark.parametrize("leaf", [1, 8])
 def test_trees_prune_and_stay_exact(monkeypatch, leaf):
     monkeypatch.setattr(cover_tree, "LEAF", leaf)
+    monkeypatch.setattr(cover_tree, "QUERY_LEAF", leaf)
     rng = np.random.default_rng(1)
     centers = rng.integers(-900, 900, (12, 4))
     points = (centers[rng.integers(0, 12, 900)] + rng.integers(-9, 9, (900, 4))).astype(float)
