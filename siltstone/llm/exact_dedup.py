@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import as_bytes, rows_of, shared_dir, slices, stored, text_hash
 
-#: Leading bits of a key that keys are counted by, which bounds the directory.
+#: Leading bits of a key that keys are counted by, and how many more where cells of so
+#: many bits have more keys than a bucket takes; together they bound the directory.
 CELL_BITS = 16
+MORE_BITS = 6
 #: Bytes of text that a task gathers before it passes on one row per distinct text.
 COMBINE_BYTES = 48 << 20
 
@@ -44,15 +46,15 @@ class Bucket:
 class Directory:
     """Leading bits to buckets."""
 
-    def __init__(self, cells: dict[int, int], capacity: int):
-        """``cells``: keys by the first ``CELL_BITS`` bits."""
-        self.depth = 0
+    def __init__(self, cells: dict[int, int], capacity: int, bits: int = CELL_BITS):
+        """``cells``: keys by their first ``bits`` bits."""
+        self.depth, self.bits = 0, bits
         self.slots = [Bucket(0, 0, sum(cells.values()))]
         self.cells = cells
         pending = [self.slots[0]]
         while pending:
             bucket = pending.pop()
-            if bucket.keys > capacity and bucket.depth < CELL_BITS:
+            if bucket.keys > capacity and bucket.depth < self.bits:
                 pending += self._split(bucket)
 
     def _split(self, bucket: Bucket) -> list[Bucket]:
@@ -61,26 +63,34 @@ class Directory:
             self.depth += 1
         depth = bucket.depth + 1
         halves = [Bucket(depth, bucket.prefix << 1 | bit, 0) for bit in (0, 1)]
-        shift = CELL_BITS - depth
+        shift = self.bits - depth
         low = halves[0].prefix << shift
         for half in halves:
             first = half.prefix << shift
             half.keys = sum(self.cells.get(c, 0) for c in range(first, first + (1 << shift)))
         span = 1 << (self.depth - depth)
-        start = low >> (CELL_BITS - self.depth)
+        start = low >> (self.bits - self.depth)
         self.slots[start : start + 2 * span] = [halves[0]] * span + [halves[1]] * span
         return halves
 
     def bucket_of_cells(self) -> list[tuple[int, int]]:
         """Cell and bucket number; buckets are numbered in key order."""
         number, out, last = -1, [], None
-        for cell in range(1 << CELL_BITS):
-            bucket = self.slots[cell >> (CELL_BITS - self.depth)]
+        for cell in range(1 << self.bits):
+            bucket = self.slots[cell >> (self.bits - self.depth)]
             if bucket is not last:
                 number, last = number + 1, bucket
             out.append((cell, number))
         return out
 
+    def owners(self, tasks: int) -> list[tuple[int, int, int]]:
+        """Cell, bucket and owner: tasks own runs of cells with about equally many keys."""
+        share, seen, out = max(1, -(-sum(self.cells.values()) // tasks)), 0, []
+        for cell, bucket in self.bucket_of_cells():
+            out.append((cell, bucket, min(seen // share, tasks - 1)))
+            seen += self.cells.get(cell, 0)
+        return out
+
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, key, sha, t`` of each row, by its normalised whole text; t: ``text_hash``."""
@@ -102,17 +112,29 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     return rows.mapInArrow(read, "id long, key long, sha binary, t long")
 
 
-def _cell(key: str = "key"):
-    return F.shiftrightunsigned(F.col(key), 64 - CELL_BITS).cast("int")
+def _cell(bits: int = CELL_BITS):
+    return F.shiftrightunsigned(F.col("key"), 64 - bits).cast("int")
 
 
 def directory_of(rows: DataFrame, capacity: int) -> Directory:
     """A directory for rows with a ``key``; equal keys count once.
 
-    What the driver gets is a count for each of at most 65,536 cells.
+    What the driver gets is a count for each of at most 2^CELL_BITS cells, or of
+    2^(CELL_BITS + MORE_BITS) where such a cell has more keys than a bucket takes. Beyond
+    that, buckets grow; what they give stays the same.
     """
-    counts = rows.select("key").distinct().groupBy(_cell().alias("cell")).count()
-    return Directory({r["cell"]: r["count"] for r in counts.collect()}, capacity)
+
+    def counted(bits: int) -> dict[int, int]:
+        counts = rows.select("key").distinct().groupBy(_cell(bits).alias("cell")).count()
+        return {r["cell"]: r["count"] for r in counts.collect()}
+
+    cells, bits = counted(CELL_BITS), CELL_BITS
+    fullest = max(cells.values(), default=0)
+    # Splitting one cell's few keys is no use where capacity is tiny.
+    if fullest > max(capacity, 1000):
+        bits += min(MORE_BITS, (fullest // capacity).bit_length())
+        cells = counted(bits)
+    return Directory(cells, capacity, bits)
 
 
 def combined(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,13 +216,17 @@ class ExtendibleIndex:
             keys = keys.select("key").union(old.select("key"))
             texts = texts.select(columns).union(old.select(columns))
         directory = directory_of(keys, self.capacity)
-        cells = self.spark.createDataFrame(directory.bucket_of_cells(), "cell int, bucket int")
-        # 65,536 rows of two integers at most, whatever the input.
-        placed = texts.select(columns).withColumn("cell", _cell()).join(F.broadcast(cells), "cell")
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        cells = self.spark.createDataFrame(directory.owners(tasks), "cell int, bucket int, owner int")
+        # Three integers for each cell of the directory, whose size has a bound.
+        placed = texts.select(columns).withColumn("cell", _cell(directory.bits)).join(F.broadcast(cells), "cell")
+        # Rows go to their owner by its number: the directory knows the ranges, so no
+        # sample of the texts has to tell them.
         owned = (
-            placed.select("bucket", *columns)
-            .repartitionByRange("bucket", "key")
+            placed.select("bucket", "owner", *columns)
+            .repartitionById(tasks, "owner")
             .sortWithinPartitions("bucket", "key")
+            .drop("owner")
             .mapInArrow(_own(self.keep_texts), self.schema)
         )
         self.generation += 1

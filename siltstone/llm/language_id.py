@@ -3,7 +3,8 @@
 Every language has a distribution over hashed letter trigrams. A text is taken to
 be drawn from a mixture of languages; expectation-maximisation finds the
 proportions, and a language joins the set only if it raises the penalised
-likelihood.
+likelihood. How likely the text is at all, compared with texts of its language and with
+trigrams never seen, tells whether it is in any learned language.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -70,15 +71,26 @@ class LanguageModel:
     languages: tuple[str, ...]
     log_p: np.ndarray  # languages x buckets
 
+    @cached_property
+    def scale(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per language, the log likelihood of a trigram never seen, and the expected one of
+        the language's own."""
+        return self.log_p.min(axis=1), (np.exp(self.log_p) * self.log_p).sum(axis=1)
+
     def infer(self, text: str, penalty: float = 2.0, rounds: int = 30) -> dict[str, float]:
-        """The languages of a text with their proportions, largest first.
+        """The languages of a text with their proportions, largest first: see ``judge``."""
+        return self.judge(text, penalty, rounds)[0]
+
+    def judge(self, text: str, penalty: float = 2.0, rounds: int = 30) -> tuple[dict[str, float], float]:
+        """The languages of a text with their proportions, largest first, and its fit.
 
-        Empty when the text has no letter or nothing was learned. Ties go to the
-        language that sorts first.
+        The fit is 1 for texts as likely as the main language's own and 0 for those with
+        no trigram of it. Empty, with fit 0, when the text has no letter or nothing was
+        learned. Ties go to the language that sorts first.
         """
         buckets, counts, any_letter = trigram_counts(text)
         if not any_letter or not self.languages or not len(buckets):
-            return {}
+            return {}, 0.0
         logs = self.log_p[:, buckets]
         chosen = [int(np.argmax(logs @ counts))]
         top = logs.max(axis=0)
@@ -103,7 +115,10 @@ class LanguageModel:
             best, extra, weights = max(tries, key=lambda t: t[:2])
             chosen.append(-extra)
         order = sorted(range(len(chosen)), key=lambda i: (-weights[i], self.languages[chosen[i]]))
-        return {self.languages[chosen[i]]: float(weights[i]) for i in order}
+        each = float(counts @ (np.log(weights @ p[chosen] + 1e-300) + top)) / n
+        unseen, own = (values[chosen[order[0]]] for values in self.scale)
+        fit = max(0.0, float((each - unseen) / (own - unseen))) if own > unseen else 1.0
+        return {self.languages[chosen[i]]: float(weights[i]) for i in order}, fit
 
 
 def _proportions(p: np.ndarray, counts: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
@@ -132,15 +147,16 @@ def train(
 
     The classifier is fitted on a bounded sample: about ``sample_per_language``
     rows of each language, chosen by a hash of the id, all rows if there are fewer.
-    Rows without language or text teach nothing; no rows give an empty model.
+    Rows without language or text teach nothing; no rows give an empty model. Of more
+    than ``MAX_LANGUAGES`` labels those with most rows are learned, of equal ones those
+    that sort first.
     """
     rows = docs.select(
         F.col(id_column).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l"),
         allowed.alias("a"),
     ).where("a AND l IS NOT NULL AND t IS NOT NULL")
-    sizes = {r["l"]: r["count"] for r in rows.groupBy("l").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    most = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES)
+    sizes = {r["l"]: r["count"] for r in most.collect()}
     if not sizes:
         return LanguageModel((), np.zeros((0, BUCKETS)))
     languages = tuple(sorted(sizes))
@@ -181,29 +197,31 @@ def identify(
     docs: DataFrame, model: LanguageModel, keep: list[Column], text: str = "text",
     penalty: float = 2.0,
 ) -> DataFrame:
-    """``keep`` of every row with ``lang_pred``, ``score``, ``languages``, ``proportions``.
+    """``keep`` of every row with ``lang_pred``, ``score``, ``languages``, ``proportions``
+    and ``fit``.
 
-    ``score`` is the predicted language's share of the text. A null text, one
-    without a letter, and any text under an empty model get ``und`` and 0. Rows are
+    ``score`` is the predicted language's share of the text, ``fit`` as ``judge`` has it. A
+    null text, one without a letter, and any text under an empty model get ``und`` and 0. Rows are
     judged by their text alone: repeated rows get equal answers, nothing is
     shuffled, other columns of ``docs`` do not matter.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.languages, model.log_p))
-    names = ("lang_pred", "score", "languages", "proportions")
+    names = ("lang_pred", "score", "languages", "proportions", "fit")
     source = docs.select(F.col(text).alias("__text"), *keep)
     out = (
         source.drop("__text").schema.add(names[0], "string").add(names[1], "double")
-        .add(names[2], ArrayType(StringType())).add(names[3], ArrayType(DoubleType()))
+        .add(names[2], ArrayType(StringType())).add(names[3], ArrayType(DoubleType())).add(names[4], "double")
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = LanguageModel(*shared.value)
         for batch in slices(batches):
-            found = [
-                {} if t is None else held.infer(t.decode("utf-8", "replace"), penalty)
+            judged = [
+                ({}, 0.0) if t is None else held.judge(t.decode("utf-8", "replace"), penalty)
                 for t in as_bytes(batch.column(0))
             ]
+            found = [f for f, _ in judged]
             first = [next(iter(f.items()), (UNDETERMINED, 0.0)) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -212,6 +230,7 @@ def identify(
                     pa.array([min(1.0, max(0.0, f[1])) for f in first], pa.float64()),
                     pa.array([list(f) for f in found], pa.list_(pa.string())),
                     pa.array([list(f.values()) for f in found], pa.list_(pa.float64())),
+                    pa.array([f for _, f in judged], pa.float64()),
                 ],
                 names=[*schema_names, *names],
             )

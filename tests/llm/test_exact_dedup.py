@@ -48,6 +48,40 @@ def test_directory_doubles_and_splits():
     assert dedup.Directory({}, 1).depth == 0
 
 
+def test_owners_share_the_keys():
+    directory = dedup.Directory({c: 10 for c in range(0, 1 << 16, 64)}, 500)
+    rows = directory.owners(7)
+    assert [r[:2] for r in rows] == directory.bucket_of_cells()
+    keys = {}
+    for cell, _, owner in rows:
+        keys[owner] = keys.get(owner, 0) + directory.cells.get(cell, 0)
+    assert sorted(keys) == list(range(7)) and max(keys.values()) <= -(-10240 // 7) + 10
+    assert [o for _, _, o in rows] == sorted(o for _, _, o in rows)
+    assert {o for _, _, o in dedup.Directory({}, 5).owners(3)} == {0}
+
+
+def test_directory_of_more_bits(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "CELL_BITS", 2)
+    keys = spark.range(9000).selectExpr("xxhash64(id) AS key")
+    directory = dedup.directory_of(keys, 100)
+    assert directory.bits == 7 and sum(directory.cells.values()) == 9000
+    assert max(b.keys for b in directory.slots) <= 150
+
+
+def test_texts_are_read_once(spark, tmp_path):
+    df = frame(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    texts = dedup.combined(df.select("doc_id", "text").mapInArrow(count, "doc_id long, text string"))
+    dedup.ExtendibleIndex(spark, str(tmp_path / "index"), 5).add(texts, dedup.digests(df))
+    assert read.value == df.count()
+
+
 def test_collisions_are_chained(spark, monkeypatch):
     import pyarrow as pa
 

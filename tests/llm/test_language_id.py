@@ -1,9 +1,10 @@
+import itertools
+import random
+
 import numpy as np
 from llm_cases import DOCUMENTS, SYLLABLES, documents, frame, sentence
 from pyspark.sql import functions as F
 
-import random
-
 from siltstone.llm import language_id
 from siltstone.llm.common import crc_of_id
 
@@ -73,3 +74,49 @@ def test_chunks_do_not_change_counts(monkeypatch):
     monkeypatch.setattr(language_id, "CHUNK", 7)
     parts = language_id.trigram_counts(text)
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+
+
+def learned(spark):
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, l, 80), l, "s", 1) for i, l in enumerate(list(SYLLABLES) * 60)]
+    return language_id.train(frame(spark, rows), F.lit(True))
+
+
+def test_set_of_languages_against_all_sets(spark):
+    model, rng = learned(spark), random.Random(7)
+    for _ in range(40):
+        kinds = rng.sample(list(SYLLABLES), rng.randint(1, 3))
+        text = " ".join(sentence(rng, l, rng.choice([3, 20, 120])) for l in kinds)
+        buckets, counts, _ = language_id.trigram_counts(text)
+        logs = model.log_p[:, buckets]
+        p = np.exp(logs - logs.max(axis=0))
+        best = None
+        for n in range(1, len(model.languages) + 1):
+            for some in itertools.combinations(range(len(model.languages)), n):
+                _, value = language_id._proportions(p[list(some)], counts, 30)
+                value -= (n - 1) * 2.0 * np.log(counts.sum() + 1)
+                if best is None or value > best[0] + 1e-6:
+                    best = value, {model.languages[i] for i in some}
+        assert set(model.infer(text)) == best[1]
+
+
+def test_fit_tells_gibberish_and_other_scripts(spark):
+    model, rng = learned(spark), random.Random(8)
+    for l in SYLLABLES:
+        for words in (5, 20, 200):
+            assert model.judge(sentence(rng, l, words))[1] > 0.6
+    both = sentence(rng, "en", 60) + " " + sentence(rng, "de", 60)
+    assert model.judge(both)[1] > 0.6
+    for letters in ("bcdfghjkmnpqrstvwxz", "абвгдежзиклмнопр", "".join(map(chr, range(0x4E00, 0x4F00)))):
+        text = " ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(40))
+        assert model.judge(text)[1] < 0.35
+    assert model.judge("12 !!") == ({}, 0.0)
+
+
+def test_more_labels_than_the_model_takes(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 4)
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, "en", 9), f"dirt{i}", "s", 1) for i in range(30)]
+    rows += [(100 + i, sentence(rng, l, 30), l, "s", 1) for i, l in enumerate(list(SYLLABLES) * 5)]
+    model = language_id.train(frame(spark, rows), F.lit(True))
+    assert set(SYLLABLES) <= set(model.languages) and len(model.languages) == 4 and "dirt0" in model.languages

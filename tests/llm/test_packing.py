@@ -96,3 +96,39 @@ def test_whole_table(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCUMENTS).withColumn("score", F.lit(0.0))
     assert packed(docs).count() == 0
+
+
+def naive(lengths, capacity, score, weights):
+    """Vector best fit by trying every open sequence for every piece, longest first."""
+    limit = np.array([capacity.tokens, capacity.documents, capacity.attention], float)
+    left, out = [], {}
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        need = np.array([lengths[i], 1, lengths[i] ** 2], float)
+        best = None
+        for n, room in enumerate(left):
+            if (room >= need).all():
+                if score == "dot":
+                    value = -float((np.array(weights) * (need / limit)) @ (room / limit))
+                else:
+                    value = float((((room - need) / limit) ** 2) @ np.array(weights))
+                if best is None or value < best[0] - 1e-12:
+                    best = value, n
+        if best is None:
+            left.append(limit.copy())
+            best = 0.0, len(left) - 1
+        at = best[1]
+        out[i] = at, int(limit[0] - left[at][0])
+        left[at] = left[at] - need
+    return [out[i] for i in range(len(lengths))], len(left)
+
+
+@pytest.mark.parametrize("score", ["dot", "norm"])
+@pytest.mark.parametrize("capacity", [Capacity(64, 64, 4096), Capacity(64, 4, 4096), Capacity(64, 9, 900)])
+def test_placing_against_naive_best_fit(score, capacity):
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 60):
+        lengths = rng.integers(1, 31, n)
+        for weights in ((1.0, 1.0, 1.0), (2.0, 0.5, 1.0)):
+            sequence, offset, made = pack_block(lengths, capacity, score, weights)
+            want, count = naive(lengths.tolist(), capacity, score, weights)
+            assert list(zip(sequence.tolist(), offset.tolist())) == want and made == count
