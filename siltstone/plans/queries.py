@@ -774,7 +774,7 @@ def stream_ingest(spark, sf):
 def stream_large_file(spark, sf):
     root = work_dir(spark)
     lines = samples.event_lines(spark, sf)
-    samples.write_archives(lines.coalesce(1), f"{root}/in", "xz", block_bytes=100_000)
+    samples.write_one_archive(lines, f"{root}/in", "xz", block_bytes=100_000)
     files = list_archives(spark, f"{root}/in")
     start_ingest(
         spark, f"{root}/in", f"{root}/out", COMMENT, f"{root}/checkpoint",

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.ids import base36_encode
 from siltstone.plans import task_writer
-from siltstone.workspace import qualified_path
+from siltstone.workspace import child_names, delete_path, qualified_path, work_dir
 
 cloudpickle.register_pickle_by_value(task_writer)
 
 
 SPLIT_BYTES = 128 << 20
+PIECE_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +30,12 @@ def dealt(df: DataFrame) -> DataFrame:
     """A small table dealt over all cores, before work that costs far more than moving it.
 
     The test tables are single files that one task would read. Inputs with
-    enough data to give every core full splits are left alone.
+    enough data to give every core full splits are left alone. A task gets about
+    ``PIECE_BYTES`` at most, so larger tables make more tasks, not longer ones.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
+    return df.repartition(max(cores, size // PIECE_BYTES)) if size < cores * SPLIT_BYTES else df
 
 
 def epoch(ts: Column) -> Column:
@@ -168,3 +170,26 @@ def write_archives(
     lines.select("value").mapInArrow(write, "path string").write.format("noop").mode(
         "overwrite"
     ).save()
+
+
+def write_one_archive(lines: DataFrame, directory: str, codec: str, block_bytes: int) -> None:
+    """Write lines as a single file (xz, zstd) with a block for each ``block_bytes`` of text.
+
+    Partitions are compressed by themselves, and one task puts the compressed bytes behind
+    each other: a file has one writer.
+    """
+    spark = lines.sparkSession
+    directory, parts = qualified_path(spark, directory), qualified_path(spark, work_dir(spark))
+    try:
+        write_archives(lines, parts, codec, block_bytes=block_bytes)
+        names = sorted(n for n in child_names(spark, parts) if not n.startswith("."))
+        paths = [f"{parts}/{name}" for name in names]
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                task_writer.join_files(paths, directory, names[0])
+                yield batch
+
+        spark.range(0, 1, 1, 1).mapInArrow(join, "id bigint").write.format("noop").mode("overwrite").save()
+    finally:
+        delete_path(spark, parts)

@@ -9,16 +9,25 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
+#: Lines shrink nearly as much as with the default, 6, in about a tenth of the time.
+XZ_PRESET = 1
+COPY_BYTES = 8 << 20
 
-def _create(uri: str):
-    """A pyarrow file system with the folder made, and the path on it."""
+
+def _located(uri: str):
+    """A pyarrow file system and the path on it."""
     import pyarrow.fs
 
     if uri.startswith(("s3a:", "s3n:")):
         uri = "s3" + uri[3:]
     if "://" not in uri:
         uri = "file://" + uri.removeprefix("file:")
-    fs, path = pyarrow.fs.FileSystem.from_uri(uri)
+    return pyarrow.fs.FileSystem.from_uri(uri)
+
+
+def _create(uri: str):
+    """A pyarrow file system with the folder made, and the path on it."""
+    fs, path = _located(uri)
     fs.create_dir(os.path.dirname(path), recursive=True)
     return fs, path
 
@@ -27,7 +36,7 @@ def _compressor(stream, codec: str):
     if codec == "gz":
         return gzip.GzipFile(fileobj=stream, mode="wb")
     if codec == "xz":
-        return lzma.LZMAFile(stream, "w")
+        return lzma.LZMAFile(stream, "w", preset=XZ_PRESET)
     import zstandard
 
     return zstandard.ZstdCompressor().stream_writer(stream, closefd=False)
@@ -77,3 +86,17 @@ def write_partition(
     path = os.path.join(os.path.dirname(draft), name)
     fs.move(draft, path)
     yield pa.RecordBatch.from_pydict({"path": [path]})
+
+
+def join_files(paths: list[str], directory: str, name: str) -> None:
+    """Put the bytes of some files behind each other into one file."""
+    from pyspark import TaskContext
+
+    fs, draft = _create(f"{directory}/.{name}.{TaskContext.get().taskAttemptId()}")
+    with fs.open_output_stream(draft, compression=None) as out:
+        for path in paths:
+            source, place = _located(path)
+            with source.open_input_stream(place, compression=None) as stream:
+                while data := stream.read(COPY_BYTES):
+                    out.write(data)
+    fs.move(draft, os.path.join(os.path.dirname(draft), name))

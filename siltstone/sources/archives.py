@@ -37,6 +37,9 @@ MOST_PER_CORE = 4
 # parts for the driver to list.
 PART_BYTES = SPREAD_BYTES // EXPANSION
 MOST_PARTS = 1 << 18
+# A round is cut into so many parts per core, if they are no smaller than this.
+ROUND_PARTS_PER_CORE = 2
+LEAST_PART_BYTES = 256 << 10
 
 
 @dataclass(frozen=True)
@@ -306,13 +309,17 @@ def rounds(
     """Files, and parts of large ones, in turns of about ``most_bytes`` compressed bytes.
 
     By path and place, so the same files give the same rounds. A file of one block is
-    never cut; larger ones into parts that are no larger than a round.
+    never cut; larger ones into parts that are no larger than a round, and small enough
+    for the parts of a round to keep all cores at work.
     """
     whole = sorted(files, key=lambda f: f.path)
     if most_bytes is None:
         return [(whole, None)]
     fail = _check_mode(on_damage)
-    part_bytes = min(most_bytes, PART_BYTES if part_bytes is None else part_bytes)
+    even = most_bytes // (ROUND_PARTS_PER_CORE * spark.sparkContext.defaultParallelism)
+    part_bytes = min(
+        most_bytes, max(even, LEAST_PART_BYTES), PART_BYTES if part_bytes is None else part_bytes
+    )
     parts = list_parts(spark, [f for f in whole if fail and not hidden(f.path)], part_bytes)
     by_path: dict[str, list[blocks.Part]] = {}
     for part in parts:

@@ -30,18 +30,18 @@ WHOLE = -1
 
 
 class Part(NamedTuple):
-    """Part of a file: block numbers (xz) or offsets (zstd), and its compressed size."""
+    """Part of a file: where its first block or frame begins and the one behind it, its
+    compressed size, and the end of the stream (xz) that its last block is in."""
 
     path: str
     start: int
     stop: int
     size: int
+    end: int
 
 
-PART_DDL = "path string, start bigint, stop bigint, size bigint"
-PART_SCHEMA = pa.schema(
-    [("path", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("size", pa.int64())]
-)
+PART_DDL = "path string, start bigint, stop bigint, size bigint, end bigint"
+PART_SCHEMA = pa.schema([("path", pa.string()), *((n, pa.int64()) for n in ("start", "stop", "size", "end"))])
 
 # Fixed values of the two formats.
 XZ_HEADER, XZ_MAGIC, XZ_FOOTER_MAGIC = 12, b"\xfd7zXZ\x00", b"YZ"
@@ -106,10 +106,14 @@ def _number(data: bytes, at: int) -> tuple[int, int]:
     raise BadLayout
 
 
-def xz_blocks(stream, size: int) -> list[Block]:
-    """All blocks of all streams of a file, from the indexes at the streams' ends."""
-    end, streams = size, []
-    while end:
+def xz_blocks(stream, end: int, least: int = 0) -> list[Block]:
+    """Blocks of the streams between two places, from the indexes at the streams' ends.
+
+    From the stream that ``least`` lies in, which is the file's first, to one that ends at
+    ``end``, which is the file's size for all of them.
+    """
+    streams = []
+    while end > least:
         if end < 2 * XZ_HEADER or end % 4:
             raise BadLayout
         footer = _at(stream, end - XZ_HEADER, XZ_HEADER)
@@ -141,6 +145,32 @@ def xz_blocks(stream, size: int) -> list[Block]:
     return [b for blocks in reversed(streams) for b in blocks]
 
 
+def xz_ends(blocks: list[Block], size: int) -> list[int]:
+    """For each block of a file a place where its stream, or padding behind it, ends."""
+    ends = [size] * len(blocks)
+    for i in range(len(blocks) - 2, -1, -1):
+        following = blocks[i + 1]
+        ends[i] = ends[i + 1] if following.header == blocks[i].header else following.header
+    return ends
+
+
+def xz_chunks_between(stream, start: int, end: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """Text from the block at ``start`` on, each piece with the place of its block.
+
+    Only the indexes of the streams up to ``end`` are read. What follows is decoded as it
+    comes, and its place is that of the file's end.
+    """
+    blocks = xz_blocks(stream, end, start)
+    places = [b.offset for b in blocks]
+    first = places.index(start) if start else 0
+    for number, out in xz_chunks_from(stream, blocks, first):
+        yield places[number], out
+    if end < size:
+        stream.seek(end)
+        for out in decoders.xz_chunks(stream):
+            yield size, out
+
+
 def xz_chunks_from(stream, blocks: list[Block], first: int) -> Iterator[tuple[int, bytes]]:
     """Text from block ``first`` on, each piece with the number of its block.
 
@@ -289,29 +319,30 @@ def _runs(sizes: list[int], part_bytes: int) -> Iterator[tuple[int, int, int]]:
             first, total = i + 1, 0
 
 
-def parts_of(path: str, part_bytes: int) -> list[tuple[str, int, int, int]]:
-    """Path, first, behind the last, and size in bytes of each part of a file.
-
-    Parts of an xz file go by block numbers, those of a zstd file by offsets.
-    """
+def parts_of(path: str, part_bytes: int) -> list[tuple[str, int, int, int, int]]:
+    """The parts of a file, of about ``part_bytes`` each, with the columns of ``Part``."""
     try:
         stream, size = open_seekable(path)
     except decoders.UNREADABLE:
-        return [(path, WHOLE, WHOLE, 0)]
+        return [(path, WHOLE, WHOLE, 0, 0)]
     with stream:
         try:
             if path.endswith(".xz"):
                 blocks = xz_blocks(stream, size)
-                runs = list(_runs([b.length for b in blocks], part_bytes))
+                ends, starts = xz_ends(blocks, size), [0, *(b.offset for b in blocks[1:]), size]
+                runs = [
+                    (starts[a], starts[b], n, ends[b - 1])
+                    for a, b, n in _runs([b.length for b in blocks], part_bytes)
+                ]
             else:
                 starts = [*zstd_frames(stream, size), size]
                 lengths = [b - a for a, b in zip(starts, starts[1:])]
-                runs = [(starts[a], starts[b], n) for a, b, n in _runs(lengths, part_bytes)]
+                runs = [(starts[a], starts[b], n, starts[b]) for a, b, n in _runs(lengths, part_bytes)]
         except BadLayout:
             runs = []
     if len(runs) <= 1:
-        return [(path, WHOLE, WHOLE, size)]
-    return [(path, a, b, n) for a, b, n in runs]
+        return [(path, WHOLE, WHOLE, size, size)]
+    return [(path, *run) for run in runs]
 
 
 def part_lister(part_bytes: int):
@@ -359,28 +390,30 @@ def owned_lines(
         yield [b"".join(rest)]
 
 
-def _read_part(path: str, start: int, stop: int) -> Iterator[list[bytes]]:
+def _read_part(path: str, start: int, stop: int, end: int | None = None) -> Iterator[list[bytes]]:
     stream, size = open_seekable(path)
     with stream:
         if path.endswith(".xz"):
-            try:
-                chunks = xz_chunks_from(stream, xz_blocks(stream, size), start)
-            except BadLayout as e:
-                raise DamagedFile("changed since it was listed") from e
+            chunks = xz_chunks_between(stream, start, size if end is None else end, size)
         else:
             chunks = zstd_chunks_from(stream, start)
-        yield from owned_lines(chunks, lambda place: place < stop, start == 0)
+        try:
+            yield from owned_lines(chunks, lambda place: place < stop, start == 0)
+        except (BadLayout, ValueError) as e:
+            raise DamagedFile("changed since it was listed") from e
 
 
 def part_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``mapInArrow`` function from parts to lines. Damage fails the task."""
     for batch in batches:
-        for path, start, stop in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop"))):
+        for path, start, stop, end in zip(
+            *(batch.column(c).to_pylist() for c in ("path", "start", "stop", "end"))
+        ):
             if start == WHOLE:
                 yield from decoders._read_one(path, True)
                 continue
             lines, size = [], 0
-            for group in _read_part(path, start, stop):
+            for group in _read_part(path, start, stop, end):
                 lines += group
                 size += sum(map(len, group))
                 if size >= decoders.BATCH_BYTES:

@@ -176,3 +176,46 @@ def test_rounds(spark, tmp_path, monkeypatch):
     assert [f.path.rpartition("/")[2] for f, _ in [(w[0], p) for w, p in some if w]] == ["a.zst"]
     read = [archives.read_files(spark, w, parts=p) for w, p in some]
     assert sum(r.count() for r in read) == 4001
+
+
+def test_a_part_reads_the_indexes_of_its_own_streams(tmp_path, monkeypatch):
+    """However many streams a file has; a line may go on through all that follow."""
+    texts = [f"{i}\n".encode() for i in range(200)] + [b"long "] + [b"x"] * 50 + [b"\nend\n"]
+    path = str(tmp_path / "a.xz")
+    with open(path, "wb") as f:
+        f.write(xz_of(texts, per_stream=1))
+    parts = blocks.parts_of(path, 700)
+    assert len(parts) > 5
+    listed, listing = [], blocks.xz_blocks
+
+    def counted(*args):
+        found = listing(*args)
+        listed.append(len(found))
+        return found
+
+    monkeypatch.setattr(blocks, "xz_blocks", counted)
+    got = [x for p in parts for g in blocks._read_part(p[0], p[1], p[2], p[4]) for x in g]
+    assert got == b"".join(texts).split(b"\n")[:-1]
+    assert sum(listed) == len(texts)
+
+
+def test_rounds_are_cut_for_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "LEAST_PART_BYTES", 500)
+    lines_and_file(tmp_path, "xz", make=lambda p: xz_of([b"".join(p)[i : i + 900] for i in range(0, len(b"".join(p)), 900)]))
+    files = archives.known_files(archives.list_archives(spark, str(tmp_path)))
+    rounds = archives.rounds(spark, files, "fail", 1 + files[0].size // 3)
+    assert len(rounds) in (3, 4) and len(rounds[0][1]) >= 8
+
+
+def test_one_archive_is_written_by_many_tasks(spark, tmp_path):
+    from siltstone.plans.samples import write_one_archive
+
+    lines = spark.range(0, 5000, 1, 7).selectExpr("concat('line ', id) AS value")
+    write_one_archive(lines, str(tmp_path / "in"), "xz", block_bytes=1000)
+    (file,) = archives.list_archives(spark, str(tmp_path / "in"))
+    with open(file.path.removeprefix("file:"), "rb") as f:
+        found = blocks.xz_blocks(f, file.size)
+    assert len(found) >= 50 and max(b.expanded for b in found) == 1000
+    # Each partition begins a stream of its own; a single task would leave one short block.
+    assert sum(b.expanded < 1000 for b in found) >= 7
+    assert sorted(r.value for r in read_lines(spark, str(tmp_path / "in")).collect()) == sorted(f"line {i}" for i in range(5000))
