@@ -27,11 +27,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import tokens
-from siltstone.operators import store, term_dictionary
+from siltstone.operators import grouping, store, term_dictionary
 from siltstone.operators.term_dictionary import is_prefix
 from siltstone.workspace import child_names, delete_path, path_exists, touch_path
 
-# The dictionary's coding travels with the task, so executors need no copy of this package.
+# The dictionary's coding and the grouping travel with the task, so executors need no copy
+# of this package.
+cloudpickle.register_pickle_by_value(grouping)
 cloudpickle.register_pickle_by_value(term_dictionary)
 
 DEFAULT_BUCKETS = 256
@@ -94,40 +96,13 @@ def entries_of(
 
     ``first`` marks the first field of a document that holds the term, so those rows
     count documents. Grouped within the document's own row: no shuffle. ``with_docs``
-    adds a row without a term for each document.
+    adds a row without a term for each document. Documents are taken many at a time.
     """
-    cut = tokenized(rows, key, fields)
-    places = [
-        f"transform(`_t_{f}`, (t, i) -> named_struct('term', t, 'field', {n}, 'pos', i))"
-        for n, f in enumerate(fields)
-    ]
-    placed = places[0] if len(places) == 1 else f"concat({', '.join(places)})"
-    names = ", ".join(f"'{f}'" for f in fields)
-    # Each step names what the next one uses more than once. Equal terms of a field lie
-    # together in ``_all``; ``_starts`` has where each such run begins.
-    found = """transform(_starts, (s, k) -> named_struct(
-        'term', _all[s].term, 'field', get(_names, _all[s].field),
-        'first', s = 0 OR _all[s].term <> _all[s - 1].term,
-        'positions', transform(
-            slice(_all, s + 1, coalesce(get(_starts, k + 1), size(_all)) - s), x -> x.pos)))"""
-    if with_docs:
-        # A field's value, not a literal, keeps the array's elements of one type.
-        document = """array(named_struct('term', cast(NULL AS string), 'field', cast(NULL AS string),
-            'first', false, 'positions', cast(array() AS array<int>)))"""
-        found = f"concat({found}, {document})"
-    return (
-        cut.selectExpr("doc_id", "doc_len", f"sort_array({placed}) AS _all")
-        .selectExpr(
-            "doc_id", "doc_len", "_all", f"array({names}) AS _names",
-            """CASE WHEN size(_all) = 0 THEN cast(array() AS array<int>) ELSE filter(
-                sequence(0, size(_all) - 1), i -> i = 0 OR _all[i].term <> _all[i - 1].term
-                OR _all[i].field <> _all[i - 1].field) END AS _starts""",
-        )
-        .selectExpr("doc_id", "doc_len", f"inline({found})")
-        .selectExpr(
-            "term", "field", "doc_id", "first", "size(positions) AS tf", "positions", "doc_len"
-        )
+    cut = tokenized(rows, key, fields).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "doc_len",
+        *[F.col(f"_t_{f}").alias(f"_t_{n}") for n, f in enumerate(fields)],
     )
+    return cut.mapInArrow(grouping.grouper(tuple(fields), with_docs), grouping.ENTRY_DDL)
 
 
 def docs_of(rows: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:

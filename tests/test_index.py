@@ -281,3 +281,34 @@ def test_crash_within_a_merge_changes_nothing(spark, tmp_path, monkeypatch, at):
     assert terms_of(fresh) == want and fresh.corpus()[0] == 8
     fresh.add_missing(df.limit(0).unionByName(spark.createDataFrame([(99, "later")], df.schema)))
     assert terms_of(fresh) == sorted(want + [("later", 99, 0)])
+
+
+def test_documents_are_grouped_many_at_a_time(spark):
+    """In slices of bounded size, and not by functions that Spark interprets per element."""
+    import pyarrow as pa
+
+    from siltstone.operators import grouping
+
+    df = spark.createDataFrame([(None, "b a b", "a"), (7, "", None), (3, "a c", "c a a")], "id long, x string, y string")
+    entries = entries_of(df, "id", ("x", "y"), with_docs=True)
+    assert "lambda" not in entries._jdf.queryExecution().executedPlan().toString()
+    got = [(r.doc_id, r.term, r.field, r.first, r.tf, list(r.positions), r.doc_len) for r in entries.collect()]
+    assert sorted(got, key=str) == sorted([
+        (None, "a", "x", True, 1, [1], 4), (None, "a", "y", False, 1, [0], 4), (None, "b", "x", True, 2, [0, 2], 4),
+        (3, "a", "x", True, 1, [0], 5), (3, "a", "y", False, 2, [1, 2], 5),
+        (3, "c", "x", True, 1, [1], 5), (3, "c", "y", False, 1, [0], 5),
+        (None, None, None, False, 0, [], 4), (7, None, None, False, 0, [], 0), (3, None, None, False, 0, [], 5),
+    ], key=str)
+
+    words = pa.array([["w"] * n for n in (3, 0, 900, 2, 500, 600)], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(6), pa.int64()), pa.array([3, 0, 900, 2, 500, 600], pa.int32()), words],
+        names=["doc_id", "doc_len", "_t_0"],
+    )
+    before, grouping.SLICE_TOKENS = grouping.SLICE_TOKENS, 1000
+    try:
+        assert [s.num_rows for s in grouping.slices(batch)] == [4, 1, 1]
+        out = [r for b in grouping.grouper(("x",), False)(iter([batch])) for r in b.to_pylist()]
+    finally:
+        grouping.SLICE_TOKENS = before
+    assert [(r["doc_id"], r["tf"], r["positions"][-1]) for r in out] == [(0, 3, 2), (2, 900, 899), (3, 2, 1), (4, 500, 499), (5, 600, 599)]
