@@ -219,3 +219,13 @@ def test_one_archive_is_written_by_many_tasks(spark, tmp_path):
     # Each partition begins a stream of its own; a single task would leave one short block.
     assert sum(b.expanded < 1000 for b in found) >= 7
     assert sorted(r.value for r in read_lines(spark, str(tmp_path / "in")).collect()) == sorted(f"line {i}" for i in range(5000))
+
+
+def test_larger_tables_make_more_tasks_not_longer_ones(spark, tmp_path, monkeypatch):
+    from siltstone.plans import samples
+
+    spark.range(20_000).selectExpr("id", "uuid() AS text").coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert samples.dealt(rows).rdd.getNumPartitions() == 8
+    monkeypatch.setattr(samples, "PIECE_BYTES", 20_000)
+    assert samples.dealt(rows).rdd.getNumPartitions() > 20
