@@ -1,7 +1,8 @@
-"""Task-side writing of one gz, xz or zstd text file per partition."""
+"""Task-side writing of one gz, bz2, xz or zstd text file per partition."""
 
 from __future__ import annotations
 
+import bz2
 import gzip
 import lzma
 import os
@@ -11,6 +12,8 @@ import pyarrow as pa
 
 #: Lines shrink nearly as much as with the default, 6, in about a tenth of the time.
 XZ_PRESET = 1
+#: Blocks of 100,000 bytes: faster both ways than the default, 900,000, and still split.
+BZ2_LEVEL = 1
 COPY_BYTES = 8 << 20
 
 
@@ -35,6 +38,8 @@ def _create(uri: str):
 def _compressor(stream, codec: str):
     if codec == "gz":
         return gzip.GzipFile(fileobj=stream, mode="wb")
+    if codec == "bz2":
+        return bz2.BZ2File(stream, "w", compresslevel=BZ2_LEVEL)
     if codec == "xz":
         return lzma.LZMAFile(stream, "w", preset=XZ_PRESET)
     import zstandard
@@ -72,7 +77,7 @@ def write_partition(
     from pyspark import TaskContext
 
     context = TaskContext.get()
-    extension = {"gz": "gz", "xz": "xz", "zstd": "zst"}[codec]
+    extension = {"gz": "gz", "bz2": "bz2", "xz": "xz", "zstd": "zst"}[codec]
     name = f"part-{context.partitionId():05d}.json.{extension}"
     fs, draft = _create(f"{directory}/.{name}.{context.taskAttemptId()}")
     with fs.open_output_stream(draft, compression=None) as raw:

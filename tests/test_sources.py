@@ -227,3 +227,22 @@ def test_when_to_spread():
     assert archives.spread_partitions(files(*[100 * gb] * 1000, 60_000 * gb), 10_000) == 40_000
     assert archives.spread_partitions(files(1000, 10), 10) is None
     assert archives.spread_partitions([], 10) is None
+
+
+def test_bzip2_samples_have_small_blocks_and_split(spark, tmp_path):
+    from siltstone.plans import samples
+
+    want = [f"line {i} {i * 7919 % 1000003}" for i in range(40_000)] + [None, ""]
+    rows = spark.createDataFrame([(v,) for v in want], "value string").coalesce(1)
+    empty = spark.range(0, 2, 1, 2).where("id < 0").selectExpr("cast(id AS string) AS value")
+    samples.write_archives(rows.unionAll(empty), str(tmp_path), "bzip2")
+    found = sorted(tmp_path.glob("*.bz2"), key=lambda f: f.stat().st_size)
+    assert len(found) == 3 and found[-1].read_bytes().startswith(b"BZh1")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 50_000)
+    try:
+        read = read_lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 3
+        assert sorted(r.value for r in read.collect()) == sorted(v or "" for v in want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
