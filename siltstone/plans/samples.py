@@ -16,7 +16,6 @@ from siltstone.workspace import child_names, delete_path, qualified_path, work_d
 cloudpickle.register_pickle_by_value(task_writer)
 
 
-SPLIT_BYTES = 128 << 20
 PIECE_BYTES = 16 << 20
 
 
@@ -27,15 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """A small table dealt over all cores, before work that costs far more than moving it.
+    """A table dealt over all cores, before work that costs far more than moving it.
 
-    The test tables are single files that one task would read. Inputs with
-    enough data to give every core full splits are left alone. A task gets about
-    ``PIECE_BYTES`` at most, so larger tables make more tasks, not longer ones.
+    The test tables are single files, and a split of a file is no smaller than its row
+    groups, which may be any size. A task gets about ``PIECE_BYTES`` at most, so larger
+    tables make more tasks, not longer ones.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(max(cores, size // PIECE_BYTES)) if size < cores * SPLIT_BYTES else df
+    return df.repartition(max(cores, size // PIECE_BYTES))
 
 
 def epoch(ts: Column) -> Column:

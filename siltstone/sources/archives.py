@@ -102,9 +102,7 @@ def text_lines(loaded: DataFrame) -> DataFrame:
 def task_lines(paths: DataFrame, on_damage: str) -> DataFrame:
     """Lines of the files at ``paths``, a frame of which only the column path is read.
 
-    Read in tasks, which report damage and files that cannot be opened. From a
-    binaryFile frame, Spark packs small files into one task and gives a large one
-    its own.
+    Read in tasks, which report damage and files that cannot be opened.
     """
     require_decoders()
     read = decoders.line_reader(_check_mode(on_damage))
@@ -247,8 +245,11 @@ def read_files(
     if found := [f.path for f in by_spark if f.extension == "gz"]:
         whole.append(text_lines(spark_text(spark.read).load(found)))
     if by_task:
-        paths = spark.read.format("binaryFile").load([f.path for f in by_task])
-        whole.append(task_lines(paths, on_damage))
+        paths = spark.read.format("binaryFile").load([f.path for f in by_task]).select("path")
+        # Spark packs up to 128 MB of files into a task, eight times that as text.
+        most = MOST_PER_CORE * spark.sparkContext.defaultParallelism
+        tasks = min(len(by_task), max(most, sum(f.size for f in by_task) // PART_BYTES))
+        whole.append(task_lines(paths.repartition(tasks), on_damage))
     if by_path:
         paths = spark.createDataFrame([(f.path,) for f in sorted(by_path, key=lambda f: f.path)], "path string")
         tasks = min(len(by_path), MOST_PER_CORE * spark.sparkContext.defaultParallelism)

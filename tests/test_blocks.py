@@ -229,3 +229,14 @@ def test_larger_tables_make_more_tasks_not_longer_ones(spark, tmp_path, monkeypa
     assert samples.dealt(rows).rdd.getNumPartitions() == 8
     monkeypatch.setattr(samples, "PIECE_BYTES", 20_000)
     assert samples.dealt(rows).rdd.getNumPartitions() > 20
+
+
+def test_tables_of_one_row_group_are_dealt_however_large(spark, tmp_path, monkeypatch):
+    from siltstone.plans import samples
+
+    spark.range(20_000).selectExpr("id", "uuid() AS text").coalesce(1).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(samples, "SPLIT_BYTES", 1000, raising=False)
+    monkeypatch.setattr(samples, "PIECE_BYTES", 20_000)
+    rows = samples.dealt(spark.read.parquet(str(tmp_path / "t")))
+    assert rows.rdd.getNumPartitions() > 20
+    assert rows.agg({"id": "sum"}).first()[0] == sum(range(20_000))

@@ -246,3 +246,11 @@ def test_bzip2_samples_have_small_blocks_and_split(spark, tmp_path):
         assert sorted(r.value for r in read.collect()) == sorted(v or "" for v in want)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_many_archives_are_many_tasks(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / f"{i}.json.xz", lzma.compress(f"line {i}\n".encode()))
+    read = read_lines(spark, str(tmp_path))
+    assert sum(1 for rows in read.rdd.glom().collect() if rows) > 16
+    assert sorted(r.value for r in read.collect()) == sorted(f"line {i}" for i in range(40))
