@@ -249,7 +249,8 @@ def read_files(
         # Spark packs up to 128 MB of files into a task, eight times that as text.
         most = MOST_PER_CORE * spark.sparkContext.defaultParallelism
         tasks = min(len(by_task), max(most, sum(f.size for f in by_task) // PART_BYTES))
-        whole.append(task_lines(paths.repartition(tasks), on_damage))
+        # By range: dealt round robin, some tasks would have several files and others none.
+        whole.append(task_lines(paths.repartitionByRange(tasks, "path"), on_damage))
     if by_path:
         paths = spark.createDataFrame([(f.path,) for f in sorted(by_path, key=lambda f: f.path)], "path string")
         tasks = min(len(by_path), MOST_PER_CORE * spark.sparkContext.defaultParallelism)
