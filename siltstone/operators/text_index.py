@@ -20,7 +20,10 @@ Layout under the index path:
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import tokens
 from siltstone.operators import grouping, store, term_dictionary
+from siltstone.operators.grouping import DOC_BUCKET
 from siltstone.operators.term_dictionary import is_prefix
 from siltstone.workspace import child_names, delete_path, path_exists, touch_path
 
@@ -47,8 +51,9 @@ BOUNDED_DOCS = 1024
 # So many batches of one size are merged into one; batches beyond the last size are not.
 MERGE_BATCHES = 4
 MERGED_DOCS = 1 << 24
-# The bucket of the rows that stand for documents, until these are written.
-DOC_BUCKET = -1
+# What packed postings take of the bytes that the rows would.
+PACKED_SHARE = 0.25
+ADVISORY_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 _POSTING_DDL = (
     "term string, field string, doc_id bigint, block bigint, first boolean, tf int, "
@@ -98,11 +103,45 @@ def entries_of(
     count documents. Grouped within the document's own row: no shuffle. ``with_docs``
     adds a row without a term for each document. Documents are taken many at a time.
     """
-    cut = tokenized(rows, key, fields).select(
+    grouper = grouping.grouper(tuple(fields), with_docs)
+    return _for_grouping(rows, key, fields).mapInArrow(grouper, grouping.ENTRY_DDL)
+
+
+def _for_grouping(rows: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
+    return tokenized(rows, key, fields).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "doc_len",
         *[F.col(f"_t_{f}").alias(f"_t_{n}") for n, f in enumerate(fields)],
     )
-    return cut.mapInArrow(grouping.grouper(tuple(fields), with_docs), grouping.ENTRY_DDL)
+
+
+def packed_rows(rows: DataFrame, key: str, fields: tuple[str, ...], buckets: int) -> DataFrame:
+    """``entries_of`` with documents, in packed runs: term_bucket, packed."""
+    packer = grouping.packer(buckets, tuple(fields))
+    return _for_grouping(rows, key, fields).mapInArrow(packer, grouping.PACKED_DDL)
+
+
+def packed_entries(entries: DataFrame, buckets: int) -> DataFrame:
+    """Postings (see ``entries_of``) in packed runs."""
+    columns = grouping.ENTRY_SCHEMA.names
+    return entries.select(*columns).mapInArrow(grouping.packer(buckets), grouping.PACKED_DDL)
+
+
+@contextmanager
+def packed_partitions(spark: SparkSession) -> Iterator[None]:
+    """Within it, a partition of packed postings is advised to hold as many rows as one of
+    plain rows otherwise would."""
+    before = spark.conf.get(ADVISORY_SETTING, None)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get(ADVISORY_SETTING)
+    )
+    spark.conf.set(ADVISORY_SETTING, str(max(1, int(size * PACKED_SHARE))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ADVISORY_SETTING)
+        else:
+            spark.conf.set(ADVISORY_SETTING, before)
 
 
 def docs_of(rows: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
@@ -133,6 +172,20 @@ def block_bounds() -> list[Column]:
     return [F.max("tf").alias("most"), F.max(F.col("tf") / F.col("doc_len")).alias("densest")]
 
 
+def bounds_of(entries: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Per term, block and field of the frequent terms. Small: a row stands for the postings
+    of a block.
+
+    Other terms have a block for almost every posting, so they go before any shuffle. There
+    is a frequent term for ``BOUNDED_DOCS`` postings at most.
+    """
+    return (
+        entries.join(F.broadcast(frequent), "term", "left_semi")
+        .groupBy("term", "block", "field").agg(*block_bounds())
+        .select("term", "block", "field", "most", "densest")
+    )
+
+
 @dataclass(frozen=True)
 class BatchFacts:
     """What the name of a batch's facts file tells."""
@@ -350,7 +403,8 @@ class TextIndex:
         """
         size = self._size(rows, self.key)
         if size[0] or replacing:
-            self._write_entries(entries_of(rows, self.key, self.fields, with_docs=True), size, batch)
+            packed = partial(packed_rows, rows, self.key, self.fields)
+            self._write_entries(packed, size, batch)
             self._merge_small()
 
     @staticmethod
@@ -358,11 +412,13 @@ class TextIndex:
         """Number of documents, least and largest id."""
         return tuple(rows.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first())
 
-    def _write_entries(self, entries: DataFrame, size: tuple[int, int, int], batch: int) -> None:
+    def _write_entries(
+        self, packed: Callable[[int], DataFrame], size: tuple[int, int, int], batch: int
+    ) -> None:
         """Postings, what is derived from them, then docs, which complete the batch.
 
-        ``entries`` has a row without a term for each document. ``size`` is the number
-        of documents and their least and largest id.
+        ``packed`` gives them for a number of buckets, with a row without a term for each
+        document. ``size`` is the number of documents and their least and largest id.
         """
         n, least, largest = size
         if not n:
@@ -371,45 +427,42 @@ class TextIndex:
         buckets = min(self.buckets, 1 << max(0, (n - 1) // BUCKET_DOCS).bit_length())
         ids_per_block = BLOCK_DOCS * ((largest or 0) - (least or 0) + 1) // n
         bits = max(0, ids_per_block.bit_length() - 1)
-        home = F.when(F.col("term").isNull(), DOC_BUCKET).otherwise(term_bucket(F.col("term"), buckets))
         path = f"{self.path}/postings/buckets={buckets}/batch={batch}"
         # Rebalancing groups each bucket and lets AQE cut the bucket of a very
         # frequent term into several evenly sized files.
-        (
-            entries.select(
-                "term", "field", "doc_id", F.shiftright("doc_id", bits).alias("block"), "first",
-                "tf", "positions", "doc_len", home.alias("term_bucket"),
+        runs = packed(buckets).hint("rebalance", "term_bucket")
+        entries = runs.mapInArrow(grouping.unpacked, grouping.ENTRY_DDL + ", term_bucket int")
+        with packed_partitions(runs.sparkSession):
+            (
+                entries.select(
+                    "term", "field", "doc_id", F.shiftright("doc_id", bits).alias("block"), "first",
+                    "tf", "positions", "doc_len", "term_bucket",
+                )
+                .sortWithinPartitions("term_bucket", "term", "field", "doc_id")
+                .write.mode("overwrite")
+                .option("compression", "zstd")
+                .option("parquet.writer.version", "PARQUET_2_0")
+                .option("parquet.enable.dictionary#block", "false")
+                .option("parquet.page.row.count.limit", PAGE_ROWS)
+                .partitionBy("term_bucket")
+                .parquet(path)
             )
-            .hint("rebalance", "term_bucket")
-            .sortWithinPartitions("term_bucket", "term", "field", "doc_id")
-            .write.mode("overwrite")
-            .option("parquet.page.row.count.limit", PAGE_ROWS)
-            .partitionBy("term_bucket")
-            .parquet(path)
-        )
         written = self.spark.read.schema(_POSTING_DDL.partition(", buckets")[0] + ", term_bucket int").parquet(path)
         real = written.where(F.col("term_bucket") > DOC_BUCKET)
         terms = term_dictionary.blocks_of(real, self.fields)
         terms_path = f"{self.path}/terms/buckets={buckets}/batch={batch}"
         terms.write.mode("overwrite").parquet(terms_path)
         if n >= BOUNDED_DOCS:
-            self._write_bounds(real, f"{self.path}/bounds/batch={batch}")
+            listed = term_dictionary.lookup(self.spark.read.parquet(terms_path), ["*"], [])
+            frequent = listed.where(F.col("docs") >= BOUNDED_DOCS).select("term")
+            self._write_bounds(bounds_of(real, frequent), f"{self.path}/bounds/batch={batch}")
         self._write_docs(
             written.where(F.col("term_bucket") == DOC_BUCKET).select("doc_id", "doc_len"), batch
         )
         delete_path(self.spark, f"{path}/term_bucket={DOC_BUCKET}")
 
-    def _write_bounds(self, entries: DataFrame, path: str) -> None:
-        """Per block and field, for terms that many documents hold. Small: a row stands for
-        the postings of a block."""
-        blocks = entries.groupBy("term", "block", "field").agg(*block_bounds())
-        frequent = entries.where("first").groupBy("term").count().where(F.col("count") >= BOUNDED_DOCS)
-        (
-            blocks.join(frequent, "term", "left_semi")
-            .select("term", "block", "field", "most", "densest")
-            .sortWithinPartitions("term", "block")
-            .write.mode("overwrite").parquet(path)
-        )
+    def _write_bounds(self, bounds: DataFrame, path: str) -> None:
+        bounds.sortWithinPartitions("term", "block").write.mode("overwrite").parquet(path)
 
     def _write_docs(self, docs: DataFrame, batch: int) -> None:
         seen = Observation()
@@ -463,7 +516,7 @@ class TextIndex:
         self._delete_batch(batch, self._PARTS)
         for n in numbers:
             touch_path(self.spark, f"{self.path}/replaces/batch={batch}/{n}")
-        self._write_entries(entries, size, batch)
+        self._write_entries(partial(packed_entries, entries), size, batch)
 
     def add_missing(self, table: DataFrame, ranges: list[int] | None = None) -> None:
         """Index the rows of ``table`` the index does not hold yet.
@@ -506,5 +559,6 @@ class TextIndex:
         size = self._size(docs, "doc_id")
         entries = self.entries().select("term", "field", "doc_id", "first", "tf", "positions", "doc_len")
         documents = docs.select("doc_id", "doc_len", F.lit(0).alias("tf"), F.lit(False).alias("first"))
-        fresh._write_entries(entries.unionByName(documents, allowMissingColumns=True), size, 0)
+        entries = entries.unionByName(documents, allowMissingColumns=True)
+        fresh._write_entries(partial(packed_entries, entries), size, 0)
         return fresh

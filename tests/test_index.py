@@ -312,3 +312,79 @@ def test_documents_are_grouped_many_at_a_time(spark):
     finally:
         grouping.SLICE_TOKENS = before
     assert [(r["doc_id"], r["tf"], r["positions"][-1]) for r in out] == [(0, 3, 2), (2, 900, 899), (3, 2, 1), (4, 500, 499), (5, 600, 599)]
+
+
+def test_postings_travel_packed(spark):
+    """In runs of a bucket, with all they hold, and in a fraction of the bytes."""
+    from siltstone.operators import grouping
+
+    rows = [(i, " ".join(f"w{(i * k) % 211}" for k in range(1, 120)), f"t{i % 3} é {i}") for i in range(300)]
+    rows += [(None, "b a b", "a"), (7, "", None), (7, "a w1", "w1")]
+    df = spark.createDataFrame(rows, "id long, x string, y string").coalesce(2)
+    entries = entries_of(df, "id", ("x", "y"), with_docs=True)
+    plain = sorted(map(str, entries.collect()))
+    buckets = F.coalesce(text_index.term_bucket(F.col("term"), 16), F.lit(grouping.DOC_BUCKET))
+    for runs in (text_index.packed_rows(df, "id", ("x", "y"), 16), text_index.packed_entries(entries, 16)):
+        out = runs.mapInArrow(grouping.unpacked, grouping.ENTRY_DDL + ", term_bucket int").cache()
+        assert sorted(map(str, out.select(*entries.columns).collect())) == plain
+        assert out.where(F.col("term_bucket") != buckets).isEmpty()
+        # A run holds a term's postings together; two tasks make two runs a bucket at most.
+        assert runs.groupBy("term_bucket").count().where("count > 2").isEmpty()
+        assert runs.agg(F.sum(F.length("packed"))).first()[0] < 10 * len(plain)
+
+
+def test_runs_hold_a_bounded_number_of_tokens(spark, monkeypatch):
+    import pyarrow as pa
+
+    from siltstone.operators import grouping
+
+    def batch(start):
+        return pa.RecordBatch.from_pylist([
+            {"term": t, "field": "x", "doc_id": d, "first": True, "tf": 5, "positions": [0] * 5, "doc_len": 10}
+            for d in range(start, start + 10) for t in ("a", "b")
+        ], grouping.ENTRY_SCHEMA)
+
+    monkeypatch.setattr(grouping, "SLICE_TOKENS", 200)
+    sealed = list(grouping.packer(1)(batch(10 * n) for n in range(5)))
+    assert [b.num_rows for b in sealed] == [1, 1, 1]
+    rows = [[(r["term"], r["doc_id"]) for b in grouping.unpacked([s]) for r in b.to_pylist()] for s in sealed]
+    assert [len(r) for r in rows] == [40, 40, 20] and all(r == sorted(r) for r in rows)
+    assert list(grouping.packer(4)(iter([]))) == []
+
+
+def test_advised_partition_size_comes_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b")], "id long, body string")
+    before = spark.conf.get(text_index.ADVISORY_SETTING, None)
+    TextIndex(spark, str(tmp_path), "id", ("body",)).add_missing(df)
+    assert spark.conf.get(text_index.ADVISORY_SETTING, None) == before
+    spark.conf.set(text_index.ADVISORY_SETTING, "1m")
+    try:
+        with pytest.raises(ValueError), text_index.packed_partitions(spark):
+            assert spark.conf.get(text_index.ADVISORY_SETTING) == str(1 << 18)
+            raise ValueError
+        assert spark.conf.get(text_index.ADVISORY_SETTING) == "1m"
+    finally:
+        spark.conf.unset(text_index.ADVISORY_SETTING)
+        if before is not None:
+            spark.conf.set(text_index.ADVISORY_SETTING, before)
+
+
+def test_rare_terms_go_before_bounds_are_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text_index, "BOUNDED_DOCS", 8)
+    df = spark.createDataFrame(
+        [(i, f"often once{i} " + "pair " * (i % 4 == 0)) for i in range(24)], "id long, body string")
+    index = TextIndex(spark, str(tmp_path), "id", ("body",))
+    plans = []
+    whole = TextIndex._write_bounds
+
+    def kept(self, bounds, path):
+        plans.append(bounds._jdf.queryExecution().executedPlan().toString())
+        whole(self, bounds, path)
+
+    monkeypatch.setattr(TextIndex, "_write_bounds", kept)
+    index.add_missing(df)
+    (plan,) = plans
+    # The join is below the only exchange of postings, and moves none itself.
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+    assert {r.term for r in spark.read.parquet(f"{tmp_path}/bounds/batch=0").collect()} == {"often"}
