@@ -797,7 +797,7 @@ def _talk(spark, sf) -> DataFrame:
 
 
 def _documents(spark, sf) -> DataFrame:
-    return samples.dealt(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    return samples.spread(table(spark, sf, "documents").select("doc_id", "text", "lang"))
 
 
 def _postings(spark, sf) -> DataFrame:

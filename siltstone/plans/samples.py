@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +18,10 @@ cloudpickle.register_pickle_by_value(task_writer)
 
 
 PIECE_BYTES = 16 << 20
+# A table's splits are left as they are while the slowest core has so many times its share,
+# and none has more than so many pieces.
+MOST_WAIT = 1.5
+MOST_PIECES = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +38,27 @@ def dealt(df: DataFrame) -> DataFrame:
     tables make more tasks, not longer ones.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(max(cores, size // PIECE_BYTES))
+    return df.repartition(max(cores, _planned_bytes(df) // PIECE_BYTES))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """As ``dealt``, but a table whose splits suit the cores is left as it lies: dealt rows
+    take as much disk as the table, until the session collects its garbage.
+
+    Rows per split come from Parquet's footers alone.
+    """
+    splits = df.groupBy(F.spark_partition_id().alias("split")).count().collect()
+    sizes = sorted((row["count"] for row in splits), reverse=True)
+    loads = [0] * df.sparkSession.sparkContext.defaultParallelism
+    for size in sizes:
+        heapq.heapreplace(loads, loads[0] + size)
+    even = max(loads) * len(loads) <= MOST_WAIT * sum(sizes)
+    small = max(sizes, default=0) * _planned_bytes(df) <= MOST_PIECES * PIECE_BYTES * sum(sizes)
+    return df if even and small else dealt(df)
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def epoch(ts: Column) -> Column:

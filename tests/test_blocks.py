@@ -240,3 +240,28 @@ def test_tables_of_one_row_group_are_dealt_however_large(spark, tmp_path, monkey
     rows = samples.dealt(spark.read.parquet(str(tmp_path / "t")))
     assert rows.rdd.getNumPartitions() > 20
     assert rows.agg({"id": "sum"}).first()[0] == sum(range(20_000))
+
+
+def test_tables_whose_splits_suit_the_cores_are_not_moved(spark, tmp_path, monkeypatch):
+    from siltstone.plans import samples
+
+    def stored(name, files):
+        spark.range(16_000).selectExpr("id", "uuid() AS text").repartitionByRange(files, "id").write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    def moved(df):
+        assert df.agg({"id": "sum"}).first()[0] == sum(range(16_000))
+        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        assert not moved(samples.spread(stored("even", 16)))
+        # One row group for all cores, then too few of them, then some that are too large.
+        assert moved(samples.spread(stored("one", 1)))
+        assert moved(samples.spread(stored("few", 3)))
+        monkeypatch.setattr(samples, "PIECE_BYTES", 1000)
+        assert moved(samples.spread(stored("large", 16)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    none = spark.createDataFrame([], "id long, text string")
+    assert samples.spread(none).count() == 0
