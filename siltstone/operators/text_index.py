@@ -33,7 +33,7 @@ from siltstone.functions.text import tokens
 from siltstone.operators import grouping, store, term_dictionary
 from siltstone.operators.grouping import DOC_BUCKET
 from siltstone.operators.term_dictionary import is_prefix
-from siltstone.workspace import child_names, delete_path, path_exists, touch_path
+from siltstone.workspace import child_names, delete_path, drop_shuffles, path_exists, touch_path
 
 # The dictionary's coding and the grouping travel with the task, so executors need no copy
 # of this package.
@@ -51,6 +51,8 @@ BOUNDED_DOCS = 1024
 # So many batches of one size are merged into one; batches beyond the last size are not.
 MERGE_BATCHES = 4
 MERGED_DOCS = 1 << 24
+# From how many documents on the shuffle of a batch's postings is worth deleting at once.
+DROPPED_DOCS = 1 << 15
 # What packed postings take of the bytes that the rows would.
 PACKED_SHARE = 0.25
 ADVISORY_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -452,6 +454,9 @@ class TextIndex:
         terms = term_dictionary.blocks_of(real, self.fields)
         terms_path = f"{self.path}/terms/buckets={buckets}/batch={batch}"
         terms.write.mode("overwrite").parquet(terms_path)
+        if n >= DROPPED_DOCS:
+            # Of the postings; Spark lets go of a step's shuffle a moment after it has ended.
+            drop_shuffles(self.spark)
         if n >= BOUNDED_DOCS:
             listed = term_dictionary.lookup(self.spark.read.parquet(terms_path), ["*"], [])
             frequent = listed.where(F.col("docs") >= BOUNDED_DOCS).select("term")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import cache
@@ -54,6 +55,16 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(jpath)]
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are done.
+
+    It does so when the driver collects its garbage, which on a cluster may be long after
+    the disks are full. Takes the driver about a second.
+    """
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder name under the cluster's shared checkpoint folder.
 

@@ -388,3 +388,31 @@ def test_rare_terms_go_before_bounds_are_shuffled(spark, tmp_path, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
     assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
     assert {r.term for r in spark.read.parquet(f"{tmp_path}/bounds/batch=0").collect()} == {"often"}
+
+
+def test_shuffled_postings_do_not_outlive_their_step(spark, tmp_path, monkeypatch):
+    import os
+    import time
+
+    folders = [f.getPath() for f in spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {f.split("_")[1] for d in folders for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+
+    df = many_terms(spark, 40).repartition(4).cache()
+    df.count()
+    before, left = shuffles(), []
+    write_docs = TextIndex._write_docs
+
+    def look(*args):
+        until = time.time() + 20
+        while len(new := shuffles() - before) > 1 and time.time() < until:
+            time.sleep(0.2)
+        left.append(len(new))
+        write_docs(*args)
+
+    monkeypatch.setattr(text_index, "DROPPED_DOCS", 1)
+    monkeypatch.setattr(TextIndex, "_write_docs", look)
+    TextIndex(spark, str(tmp_path), "id", ("body",)).add_missing(df)
+    # That of the dictionary may be left.
+    assert len(left) == 1 and left[0] <= 1
